@@ -49,6 +49,17 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return out.drop(*ren.values())
 
 
+def _extreme(cols: Sequence[str], order: Sequence[str], last: bool) -> Column:
+    """First/last row's ``cols`` as a struct.  When the only carried column is
+    the leading order column, a plain min/max keeps the aggregate hash-based
+    (``min_by`` over structs forces a sort-based aggregate)."""
+    if list(cols) == [order[0]]:
+        agg = F.max if last else F.min
+        return F.struct(agg(order[0]).alias(order[0]))
+    by = F.max_by if last else F.min_by
+    return by(F.struct(*_cols(cols)), F.struct(*_cols(order)))
+
+
 def prev_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 cols: Sequence[str], prefix: str = "prev_",
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
@@ -59,8 +70,7 @@ def prev_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     d = d.withColumn("__rn", F.row_number().over(w))
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
-    summ = d.groupBy(*keys, BUCKET).agg(
-        F.max_by(F.struct(*_cols(cols)), F.struct(*_cols(order))).alias("__last"))
+    summ = d.groupBy(*keys, BUCKET).agg(_extreme(cols, order, last=True).alias("__last"))
     ws = Window.partitionBy(*keys).orderBy(BUCKET)
     summ = summ.select(*keys, BUCKET, F.lag("__last").over(ws).alias("__carry"))
     out = join_on_keys(d, summ, [*keys, BUCKET])
@@ -80,8 +90,7 @@ def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     d = d.withColumn("__is_last", F.lead(F.lit(1)).over(w).isNull())
     for c in cols:
         d = d.withColumn(prefix + c, F.lead(c).over(w))
-    summ = d.groupBy(*keys, BUCKET).agg(
-        F.min_by(F.struct(*_cols(cols)), F.struct(*_cols(order))).alias("__first"))
+    summ = d.groupBy(*keys, BUCKET).agg(_extreme(cols, order, last=False).alias("__first"))
     ws = Window.partitionBy(*keys).orderBy(BUCKET)
     summ = summ.select(*keys, BUCKET, F.lead("__first").over(ws).alias("__carry"))
     out = join_on_keys(d, summ, [*keys, BUCKET])

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_BUCKET_FRAMES
-from .ordered import BUCKET, join_on_keys, with_bucket
+from .ordered import BUCKET, _extreme, join_on_keys, with_bucket
 
 SplitRule = Callable[[Mapping[str, Column], Mapping[str, Column]], Column]
 
@@ -50,11 +50,9 @@ def gap_sessionize(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     d = d.withColumn(
         "__local",
         F.sum("__flag").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    order_struct = F.struct(*[F.col(o) for o in order])
-    carry_struct = F.struct(*[F.col(c) for c in carry])
     summ = d.groupBy(*keys, BUCKET).agg(
-        F.min_by(carry_struct, order_struct).alias("__first"),
-        F.max_by(carry_struct, order_struct).alias("__last"),
+        _extreme(carry, order, last=False).alias("__first"),
+        _extreme(carry, order, last=True).alias("__last"),
         F.sum("__flag").alias("__inner"),
     )
     ws = Window.partitionBy(*keys).orderBy(BUCKET)
