@@ -149,7 +149,9 @@ def with_aspects(body: str, *aspects: str) -> str:
 
 def rnd(expr: str, d: int) -> str:
     scale = DBL.format(f"1e{d}")
-    return f"round(({expr}) * {scale}) / {scale}"
+    # "+ 0.0" turns a rounded -0.0 into 0.0 (Spark's decimal rounding never
+    # produces a negative zero).
+    return f"(round(({expr}) * {scale}) / {scale} + 0.0)"
 
 
 def rounded(sql: str, doubles: dict[str, int]) -> str:
@@ -435,3 +437,262 @@ FROM c GROUP BY ALL""", "unit_events"),
 for _a in ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
            "team_stats", "start_pos"):
     STATS_SQL[f"stream_{_a}"] = with_aspects(f"SELECT * FROM a_{_a}", _a)
+
+
+# --------------------------------------------------------------------------- views
+def _on_binned(body: str) -> str:
+    inner = binned(300).replace("\n", "\n  ")
+    return f"WITH b AS (\n  {inner}\n),{body}"
+
+
+def _net(prefix: str = "") -> str:
+    return f"({prefix}total_metal_produced_in_bin - {prefix}total_metal_consumed_in_bin)"
+
+
+_VIEWS = {
+    "vw_net_metal_by_time_team": """
+  v AS (SELECT replay_id, time_bin_start_frame, team_id, sum(total_metal_produced_in_bin
+               - total_metal_consumed_in_bin) AS net_metal FROM b GROUP BY ALL),
+  bins AS (SELECT DISTINCT replay_id, time_bin_start_frame FROM b),
+  teams AS (SELECT DISTINCT replay_id, team_id FROM b)
+SELECT g.replay_id, g.time_bin_start_frame, t.team_id, coalesce(v.net_metal, 0) AS net_metal
+FROM bins g JOIN teams t USING (replay_id)
+LEFT JOIN v ON v.replay_id = g.replay_id AND v.time_bin_start_frame = g.time_bin_start_frame
+           AND v.team_id = t.team_id""",
+    "vw_metal_by_time_def": """
+  v AS (SELECT replay_id, team_id, time_bin_start_frame, unit_def_id,
+               sum(total_metal_produced_in_bin) AS metal_produced FROM b GROUP BY ALL),
+  rows_ AS (SELECT DISTINCT replay_id, team_id, time_bin_start_frame FROM b),
+  defs AS (SELECT DISTINCT replay_id, team_id, unit_def_id FROM b)
+SELECT r.replay_id, r.team_id, r.time_bin_start_frame, d.unit_def_id,
+       coalesce(v.metal_produced, 0) AS metal_produced
+FROM rows_ r JOIN defs d ON d.replay_id = r.replay_id AND d.team_id = r.team_id
+LEFT JOIN v ON v.replay_id = r.replay_id AND v.team_id = r.team_id
+           AND v.time_bin_start_frame = r.time_bin_start_frame AND v.unit_def_id = d.unit_def_id""",
+    "vw_small_multiples": """
+  v AS (SELECT replay_id, team_id, time_bin_start_frame, unit_def_id,
+               sum(total_metal_produced_in_bin) AS metal_produced FROM b GROUP BY ALL),
+  bins AS (SELECT DISTINCT replay_id, time_bin_start_frame FROM b),
+  defs AS (SELECT DISTINCT replay_id, team_id, unit_def_id FROM b)
+SELECT g.replay_id, d.team_id, g.time_bin_start_frame, d.unit_def_id,
+       coalesce(v.metal_produced, 0) AS metal_produced
+FROM bins g JOIN defs d USING (replay_id)
+LEFT JOIN v ON v.replay_id = g.replay_id AND v.team_id = d.team_id
+           AND v.time_bin_start_frame = g.time_bin_start_frame AND v.unit_def_id = d.unit_def_id""",
+    "vw_build_order_events": """
+  x AS (SELECT 1)
+SELECT replay_id, team_id, time_bin_start_frame, unit_def_id, total_units_produced_in_bin
+FROM b WHERE total_units_produced_in_bin > 0""",
+    "vw_net_metal_heatmap": f"""
+  bins AS (SELECT replay_id, time_bin_start_frame,
+                  dense_rank() OVER (PARTITION BY replay_id ORDER BY time_bin_start_frame) - 1
+                    AS time_index
+           FROM (SELECT DISTINCT replay_id, time_bin_start_frame FROM b)),
+  labels AS (SELECT replay_id, team_id, unit_def_id,
+                    dense_rank() OVER (PARTITION BY replay_id, team_id
+                                       ORDER BY 'Unit ' || CAST(unit_def_id AS VARCHAR)) - 1
+                      AS unit_index
+             FROM (SELECT DISTINCT replay_id, team_id, unit_def_id FROM b)),
+  cells AS (SELECT replay_id, team_id, time_bin_start_frame, unit_def_id, {_net()} AS net_metal
+            FROM b),
+  rng AS (SELECT replay_id, team_id, least(min(net_metal), 0) AS min_value,
+                 greatest(max(net_metal), 0) AS max_value FROM cells GROUP BY ALL)
+SELECT c.replay_id, c.team_id, time_index, unit_index, c.time_bin_start_frame, c.unit_def_id,
+       net_metal, min_value, max_value
+FROM cells c JOIN bins USING (replay_id, time_bin_start_frame)
+JOIN labels USING (replay_id, team_id, unit_def_id)
+JOIN rng USING (replay_id, team_id)""",
+    "vw_economic_flow_edges": """
+  g AS (SELECT replay_id, team_id, unit_def_id,
+               sum(total_metal_produced_in_bin) FILTER (WHERE total_metal_produced_in_bin > 0) AS p,
+               sum(total_metal_consumed_in_bin) FILTER (WHERE total_metal_consumed_in_bin > 0) AS c
+        FROM b GROUP BY ALL)
+SELECT replay_id, team_id, unit_def_id, 'produced' AS direction, p AS value FROM g WHERE p IS NOT NULL
+UNION ALL
+SELECT replay_id, team_id, unit_def_id, 'consumed', c FROM g WHERE c IS NOT NULL""",
+    "vw_composition_snapshot": """
+  x AS (SELECT 1)
+SELECT replay_id, team_id, time_bin_start_frame, unit_def_id,
+       sum(total_metal_produced_in_bin) AS metal_produced
+FROM b WHERE total_metal_produced_in_bin > 0 GROUP BY ALL""",
+    "vw_build_order_transitions": """
+  e AS (SELECT replay_id, team_id, unit_def_id,
+               lead(unit_def_id) OVER (PARTITION BY replay_id, team_id
+                                       ORDER BY time_bin_start_frame, unit_def_id) AS nxt
+        FROM b WHERE total_units_produced_in_bin > 0)
+SELECT replay_id, team_id, unit_def_id AS source_def_id, nxt AS target_def_id,
+       count(*) AS transitions
+FROM e WHERE nxt IS NOT NULL GROUP BY ALL""",
+    "vw_producer_consumer_hierarchy": """
+  g AS (SELECT replay_id, team_id, unit_def_id,
+               sum(total_metal_produced_in_bin) FILTER (WHERE total_metal_produced_in_bin > 0) AS p,
+               sum(total_metal_consumed_in_bin) FILTER (WHERE total_metal_consumed_in_bin > 0) AS c
+        FROM b GROUP BY ALL),
+  e AS (SELECT replay_id, team_id, 'Producers' AS role, unit_def_id, p AS value FROM g WHERE p IS NOT NULL
+        UNION ALL
+        SELECT replay_id, team_id, 'Consumers', unit_def_id, c FROM g WHERE c IS NOT NULL)
+SELECT replay_id, team_id, role,
+       string_agg(CAST(unit_def_id AS VARCHAR) || ':' ||
+                  CAST(CAST(round(value * CAST(100 AS DOUBLE)) AS BIGINT) AS VARCHAR), ','
+                  ORDER BY unit_def_id, value) AS children
+FROM e GROUP BY ALL""",
+    "vw_economic_rhythm": """
+  x AS (SELECT 1)
+SELECT replay_id, team_id, time_bin_start_frame,
+       sum(total_metal_produced_in_bin) AS metal_produced,
+       sum(total_energy_produced_in_bin) AS energy_produced,
+       CAST(sum(total_units_produced_in_bin) AS BIGINT) AS units_produced
+FROM b GROUP BY ALL""",
+    "vw_first_appearance_summary": """
+  fa AS (SELECT replay_id, team_id, unit_def_id,
+                min(time_bin_start_frame) / CAST(30 AS DOUBLE) AS t
+         FROM b WHERE units_alive_in_bin > 0 GROUP BY ALL)
+SELECT team_id, unit_def_id, count(*) AS replays, min(t) AS t_min,
+       quantile_cont(t, 0.25) AS t_q1, quantile_cont(t, 0.5) AS t_median,
+       quantile_cont(t, 0.75) AS t_q3, max(t) AS t_max
+FROM fa GROUP BY ALL""",
+    "vw_lag_correlation": """
+  rng AS (SELECT replay_id, min(time_bin_start_frame) AS lo, max(time_bin_start_frame) AS hi
+          FROM b GROUP BY ALL),
+  grid AS (SELECT replay_id, unnest(range(lo, hi + 300, 300)) AS bin FROM rng),
+  sa AS (SELECT replay_id, time_bin_start_frame AS bin, sum(total_units_produced_in_bin) AS v
+         FROM b WHERE team_id = 0 GROUP BY ALL),
+  sb AS (SELECT replay_id, time_bin_start_frame AS bin, sum(total_units_produced_in_bin) AS v
+         FROM b WHERE team_id = 1 GROUP BY ALL),
+  a AS (SELECT g.replay_id, g.bin, CAST(coalesce(sa.v, 0) AS DOUBLE) AS a
+        FROM grid g LEFT JOIN sa USING (replay_id, bin)),
+  bb AS (SELECT g.replay_id, g.bin, CAST(coalesce(sb.v, 0) AS DOUBLE) AS b
+         FROM grid g LEFT JOIN sb USING (replay_id, bin)),
+  lags AS (SELECT unnest([-3, -2, -1, 0, 1, 2, 3]) AS lag),
+  pairs AS (SELECT a.replay_id, lags.lag, a.a, bb.b
+            FROM a JOIN bb ON bb.replay_id = a.replay_id, lags
+            WHERE bb.bin = a.bin + lags.lag * 300)
+SELECT replay_id, lag,
+       CASE WHEN stddev_pop(a) > 0 AND stddev_pop(b) > 0 THEN corr(a, b) END AS correlation,
+       count(*) AS pairs
+FROM pairs GROUP BY ALL""",
+    "vw_resource_tradeoff": f"""
+  x AS (SELECT 1)
+SELECT replay_id, time_bin_start_frame, team_id, unit_def_id, {_net()} AS net_metal,
+       (total_energy_produced_in_bin - total_energy_consumed_in_bin) AS net_energy,
+       units_alive_in_bin AS units_alive
+FROM b""",
+    "vw_sankey_fold": """
+  x AS (SELECT 1)
+SELECT replay_id, team_id, unit_def_id,
+       sum(total_metal_produced_in_bin) FILTER (WHERE total_metal_produced_in_bin > 0) AS production,
+       sum(total_metal_consumed_in_bin) FILTER (WHERE total_metal_consumed_in_bin > 0) AS consumption
+FROM b GROUP BY ALL""",
+}
+
+
+def _enum_case(col: str, enum_key: str) -> str:
+    from tickframe.enums import ENUMS
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in ENUMS[enum_key].items())
+    return f"CASE {col} {whens} END"
+
+
+_RECIPES = {
+    "rc_units_lost_per_player": with_aspects("""
+SELECT replay_id, unit_team_id AS player_id, count(*) AS units_lost
+FROM a_unit_events WHERE event_type = 'DESTROYED' GROUP BY ALL""", "unit_events"),
+    "rc_unified_event_log": with_aspects("""
+SELECT replay_id, frame, unit_id, unit_team_id AS team_id, 'UnitCreated' AS event_type,
+       CAST(unit_def_id AS VARCHAR) AS details, row_ord, CAST(NULL AS BIGINT) AS cmd_id
+FROM a_unit_events WHERE event_type = 'CREATED'
+UNION ALL
+SELECT replay_id, frame, unitId, teamId, 'UnitCommand', cmd_name, row_ord, cmd_id
+FROM a_commands_log""", "unit_events", "commands_log"),
+    "rc_unit_lifetime": with_aspects(""",
+  p AS (SELECT replay_id, unit_id, min(frame) AS first_seen_frame, max(frame) AS last_seen_frame,
+               count(*) AS positions FROM a_unit_positions GROUP BY ALL),
+  e AS (SELECT replay_id, unit_id,
+               min(frame) FILTER (WHERE event_type = 'CREATED') AS created_frame,
+               min(frame) FILTER (WHERE event_type = 'DESTROYED') AS destroyed_frame
+        FROM a_unit_events GROUP BY ALL)
+SELECT coalesce(p.replay_id, e.replay_id) AS replay_id, coalesce(p.unit_id, e.unit_id) AS unit_id,
+       first_seen_frame, last_seen_frame, coalesce(positions, 0) AS positions,
+       created_frame, destroyed_frame
+FROM p FULL OUTER JOIN e ON p.replay_id = e.replay_id AND p.unit_id = e.unit_id""",
+                                 "unit_positions", "unit_events"),
+    "rc_damage_location": with_aspects(""",
+  p AS (SELECT replay_id, unit_id, frame, arg_max(x, row_ord) AS x, arg_max(y, row_ord) AS y,
+               arg_max(z, row_ord) AS z FROM a_unit_positions GROUP BY ALL)
+SELECT d.replay_id, d.frame, d.victim_unit_id, d.damage, d.row_ord, p.x, p.y, p.z
+FROM a_damage_log d LEFT JOIN p ON p.replay_id = d.replay_id AND p.unit_id = d.victim_unit_id
+ AND p.frame = d.frame""", "unit_positions", "damage_log"),
+    "rc_commands_with_team_state": with_aspects(""",
+  s AS (SELECT replay_id, team_id, frame,
+               arg_max(metal_current, row_ord) AS metal_current,
+               arg_max(energy_current, row_ord) AS energy_current,
+               arg_max(metal_income, row_ord) AS metal_income,
+               arg_max(energy_income, row_ord) AS energy_income
+        FROM a_team_stats GROUP BY ALL)
+SELECT c.replay_id, c.frame, c.teamId, c.unitId, c.cmd_name, c.row_ord,
+       s.metal_current, s.energy_current, s.metal_income, s.energy_income
+FROM a_commands_log c LEFT JOIN s ON s.replay_id = c.replay_id AND s.team_id = c.teamId
+ AND s.frame = c.frame""", "commands_log", "team_stats"),
+    "rc_damage_with_attacker_type": with_aspects(""",
+  t AS (SELECT replay_id, unit_id, arg_min(unit_def_id, row_ord) AS attacker_type_def_id
+        FROM a_unit_events GROUP BY ALL)
+SELECT d.replay_id, d.attacker_unit_id, d.frame, d.row_ord, d.damage, t.attacker_type_def_id
+FROM a_damage_log d LEFT JOIN t ON t.replay_id = d.replay_id AND t.unit_id = d.attacker_unit_id""",
+                                             "damage_log", "unit_events"),
+    "rc_move_commands": with_aspects("SELECT * FROM a_commands_log WHERE cmd_name = 'MOVE'",
+                                     "commands_log"),
+    "rc_resources_at_death": with_aspects(""",
+  d AS (SELECT replay_id, unit_id, unit_team_id AS team_id, frame AS death_frame
+        FROM a_unit_events WHERE event_type = 'DESTROYED'),
+  s AS (SELECT replay_id, team_id, frame AS snapshot_frame,
+               arg_max(metal_current, row_ord) AS metal_current,
+               arg_max(energy_current, row_ord) AS energy_current
+        FROM a_team_stats GROUP BY ALL)
+SELECT d.replay_id, d.unit_id, d.team_id, d.death_frame, s.snapshot_frame, s.metal_current,
+       s.energy_current
+FROM d ASOF LEFT JOIN s ON s.replay_id = d.replay_id AND s.team_id = d.team_id
+ AND s.snapshot_frame <= d.death_frame""", "unit_events", "team_stats"),
+    "rc_command_codes_with_unknown": with_aspects(f"""
+SELECT replay_id, coalesce({_enum_case('cmd_id % 20', 'CommandsEnum')}, 'unknown') AS command,
+       count(*) AS commands
+FROM a_commands_log GROUP BY ALL""", "commands_log"),
+}
+
+
+def _dq_sql() -> str:
+    from tickframe.schemas import ASPECTS
+    parts = ["SELECT replay_id, 'damage_log' AS aspect, 'damage_negative' AS \"check\", "
+             "CAST(count_if(damage < 0) AS BIGINT) AS violations FROM a_damage_log GROUP BY ALL",
+             "SELECT replay_id, 'start_pos', 'player_not_unique', CAST(count_if(n > 1) AS BIGINT) FROM "
+             "(SELECT replay_id, player_id, count(*) AS n FROM a_start_pos GROUP BY ALL) "
+             "GROUP BY ALL"]
+    aspects = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
+               "team_stats")
+    for a in aspects:
+        parts.append(
+            f"SELECT replay_id, '{a}', 'frame_negative', CAST(count_if(frame < 0) AS BIGINT) "
+            f"FROM a_{a} GROUP BY ALL")
+        parts.append(
+            f"SELECT replay_id, '{a}', 'frame_decreasing', CAST(count_if(frame < pf) AS BIGINT) FROM "
+            f"(SELECT replay_id, frame, lag(frame) OVER (PARTITION BY replay_id ORDER BY row_ord, frame) "
+            f"AS pf FROM a_{a}) GROUP BY ALL")
+        cols = [f.name for f in ASPECTS[a] if not f.nullable and f.enum is None]
+        cond = " OR ".join(f"{c} IS NULL" for c in cols)
+        parts.append(
+            f"SELECT replay_id, '{a}', 'required_null', CAST(count_if({cond}) AS BIGINT) "
+            f"FROM a_{a} GROUP BY ALL")
+    body = "\nUNION ALL\n".join(parts)
+    return with_aspects(body, *aspects, "start_pos")
+
+
+def _extra() -> dict[str, str]:
+    from tickframe.plans.catalog import DIGITS
+    out = {}
+    for name, body in _VIEWS.items():
+        out[name] = rounded(_on_binned(body), DIGITS.get(name, {}))
+    for name, sql in _RECIPES.items():
+        out[name] = rounded(sql, DIGITS.get(name, {}))
+    out["dq_report"] = _dq_sql()
+    return out
+
+
+EXTRA_SQL = _extra()
