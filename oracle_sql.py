@@ -241,12 +241,15 @@ FROM m LEFT JOIN dead ON dead.replay_id = m.replay_id AND dead.unit_id = m.victi
     return with_aspects(body, "damage_log", "commands_log", "unit_events")
 
 
-ARMY = with_aspects(""",
+def army(dedupe: bool = False) -> str:
+    first = ("QUALIFY row_number() OVER (PARTITION BY replay_id, unit_id ORDER BY row_ord) = 1"
+             if dedupe else "")
+    return with_aspects(f""",
   mf AS (SELECT replay_id, max(frame) AS max_frame FROM a_unit_events GROUP BY ALL),
   fin AS (SELECT replay_id, unit_id, unit_def_id, unit_team_id, frame AS creation_frame
-          FROM a_unit_events WHERE event_type = 'FINISHED'),
+          FROM a_unit_events WHERE event_type = 'FINISHED' {first}),
   des AS (SELECT replay_id, unit_id, frame AS death_frame
-          FROM a_unit_events WHERE event_type = 'DESTROYED'),
+          FROM a_unit_events WHERE event_type = 'DESTROYED' {first}),
   life AS (
     SELECT fin.replay_id, unit_team_id AS team_id, creation_frame,
            coalesce(death_frame, max_frame + 1) AS death_frame, max_frame,
@@ -277,7 +280,10 @@ SELECT g.replay_id, CAST(g.frame AS BIGINT) AS frame, g.team_id,
        greatest(coalesce(v.army_value, 0), 0) AS army_value
 FROM grid g ASOF LEFT JOIN val v
   ON v.replay_id = g.replay_id AND v.team_id = g.team_id AND v.frame <= g.frame""",
-                    "unit_events", "defs_map", "unit_defs")
+                        "unit_events", "defs_map", "unit_defs")
+
+
+ARMY = army()
 
 UEC = with_aspects(""",
   r AS (
@@ -309,7 +315,7 @@ FROM econ FULL OUTER JOIN lt
                   "unit_economy")
 
 
-def binned(step: int = 300) -> str:
+def binned(step: int = 300, join: str = "FULL OUTER", bin_end: bool = False) -> str:
     body = f""",
   iv AS (
     SELECT replay_id, unit_id, team_id, unit_def_id, frame AS start_f,
@@ -340,7 +346,7 @@ def binned(step: int = 300) -> str:
 SELECT coalesce(a.replay_id, p.replay_id) AS replay_id,
        coalesce(a.team_id, p.team_id) AS team_id,
        coalesce(a.unit_def_id, p.unit_def_id) AS unit_def_id,
-       CAST(coalesce(a.bin_start, p.bin_start) AS BIGINT) AS time_bin_start_frame,
+       CAST(coalesce(a.bin_start, p.bin_start) AS BIGINT) AS time_bin_start_frame,{{end_col}}
        coalesce(units_alive_in_bin, 0) AS units_alive_in_bin,
        coalesce(total_unit_seconds_in_bin, 0) AS total_unit_seconds_in_bin,
        coalesce(total_units_produced_in_bin, 0) AS total_units_produced_in_bin,
@@ -348,10 +354,13 @@ SELECT coalesce(a.replay_id, p.replay_id) AS replay_id,
        coalesce(total_metal_consumed_in_bin, 0) AS total_metal_consumed_in_bin,
        coalesce(total_energy_produced_in_bin, 0) AS total_energy_produced_in_bin,
        coalesce(total_energy_consumed_in_bin, 0) AS total_energy_consumed_in_bin
-FROM act a FULL OUTER JOIN prod p
+FROM act a {{join}} JOIN prod p
   ON a.replay_id = p.replay_id AND a.team_id = p.team_id AND a.unit_def_id = p.unit_def_id
  AND a.bin_start = p.bin_start"""
-    return with_aspects(body, "unit_economy", "unit_events")
+    end_col = (f"\n       CAST(coalesce(a.bin_start, p.bin_start) + {step} AS BIGINT) "
+               "AS time_bin_end_frame," if bin_end else "")
+    return with_aspects(body.replace("{end_col}", end_col).replace("{join}", join),
+                        "unit_economy", "unit_events")
 
 
 BINNED_DOUBLES = {c: 4 for c in (
@@ -696,3 +705,69 @@ def _extra() -> dict[str, str]:
 
 
 EXTRA_SQL = _extra()
+
+
+def _contract_sql() -> dict[str, str]:
+    from tickframe.enums import ENUMS
+    from tickframe.schemas import ASPECTS
+    q = "CAST(0.1 AS DOUBLE)"
+    ev_case = "CASE event_type " + " ".join(
+        f"WHEN '{v}' THEN {k}" for k, v in ENUMS["UnitEventsEnum"].items()) + " END"
+    ue_cols = []
+    for f in ASPECTS["unit_events"]:
+        expr = ev_case if f.name == "event_type" else f"trunc({f.name})"
+        ue_cols.append(f"coalesce(CAST({expr} AS INTEGER), 0) AS {f.name}")
+    team_cols = ["CAST(frame AS DOUBLE) AS frame", "CAST(team_id AS DOUBLE) AS team_id"]
+    from tickframe.sinks.contracts import CONTRACTS
+    for name, rule in CONTRACTS["team_stats"].columns.items():
+        if name in ("frame", "team_id"):
+            continue
+        if rule.transform == "quantize":
+            team_cols.append(f"round_even(CAST({name} AS DOUBLE) / {q}, 0) AS {name}")
+        else:
+            team_cols.append(f"CAST({name} AS DOUBLE) AS {name}")
+    binned_types = {"team_id": "INTEGER", "unit_def_id": "INTEGER",
+                    "time_bin_start_frame": "BIGINT", "units_alive_in_bin": "INTEGER",
+                    "total_units_produced_in_bin": "INTEGER"}
+    bcols = []
+    for name in ("team_id", "unit_def_id", "time_bin_start_frame", "units_alive_in_bin",
+                 "total_unit_seconds_in_bin", "total_units_produced_in_bin",
+                 "total_metal_produced_in_bin", "total_metal_consumed_in_bin",
+                 "total_energy_produced_in_bin", "total_energy_consumed_in_bin"):
+        typ = binned_types.get(name, "FLOAT")
+        src = name if typ == "FLOAT" else f"trunc({name})"
+        bcols.append(f"coalesce(CAST({src} AS {typ}), 0) AS {name}")
+    return {
+        "out_army_value_timeline": f"""
+SELECT replay_id, CAST(frame AS BIGINT) AS frame, CAST(team_id AS BIGINT) AS team_id,
+       CAST(round_even(army_value / {q}, 0) AS BIGINT) AS army_value
+FROM ({rounded(ARMY, {"army_value": 4})}) t""",
+        "out_unit_events": with_aspects(
+            f"SELECT replay_id, {', '.join(ue_cols)} FROM a_unit_events", "unit_events"),
+        "out_unit_positions": with_aspects("""
+SELECT replay_id, CAST(frame AS BIGINT) AS frame, CAST(unit_id AS INTEGER) AS unit_id,
+       CAST(unit_def_id AS INTEGER) AS unit_def_id, CAST(team_id AS INTEGER) AS team_id,
+       CAST(x AS SMALLINT) AS x, CAST(y AS SMALLINT) AS y, CAST(z AS SMALLINT) AS z,
+       CAST(trunc(vx) AS SMALLINT) AS vx, CAST(trunc(vy) AS SMALLINT) AS vy,
+       CAST(trunc(vz) AS SMALLINT) AS vz, heading
+FROM a_unit_positions""", "unit_positions"),
+        "out_team_stats": with_aspects(
+            f"SELECT replay_id, {', '.join(team_cols)} FROM a_team_stats", "team_stats"),
+        "out_unit_economic_contribution_binned": f"""
+SELECT replay_id, {', '.join(bcols)}
+FROM ({rounded(binned(300), BINNED_DOUBLES)}) t""",
+        "out_defs_lookup": with_aspects(
+            "SELECT unit_def_id AS key, concat_ws('|', unit_name, translated_human_name) AS \"values\" "
+            "FROM a_defs_map", "defs_map"),
+        "resources_by_player_final": rounded(with_aspects("""
+SELECT replay_id, team_id, max(metal_produced) AS total_metal_produced,
+       max(metal_used) AS total_metal_used, max(energy_produced) AS total_energy_produced,
+       max(energy_used) AS total_energy_used
+FROM a_team_stats GROUP BY ALL""", "team_stats"), {c: 4 for c in TEAM_SUM_DOUBLES}),
+        "unit_economic_contribution_binned_left": rounded(
+            binned(300, join="LEFT", bin_end=True), BINNED_DOUBLES),
+        "army_value_timeline_dedupe": rounded(army(dedupe=True), {"army_value": 4}),
+    }
+
+
+EXTRA_SQL.update(_contract_sql())

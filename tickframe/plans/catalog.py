@@ -12,10 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sinks import contracts as C
 from ..sources import adapters
 from . import checks, recipes, stats, views
 
 ECON = ["unit_economy", "unit_events"]
+_BIN_METRICS_PRE = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",
+                    "total_metal_consumed_in_bin", "total_energy_produced_in_bin",
+                    "total_energy_consumed_in_bin")
 
 
 def _binned(spark, sf_dir) -> DataFrame:
@@ -36,6 +40,28 @@ def _children(c: str):
         F.round(s["value"] * F.lit(100.0), 0).cast("long").cast("string"))), ",").alias(c)
 
 
+def _contracted(stream: str, build, pre_digits: dict[str, int] | None = None):
+    """A stream through its output contract and null encoding (OUT-1..8).
+    ``pre_digits`` rounds float inputs first so both engines quantize the same
+    double."""
+    def run(spark, sf_dir):
+        df = build(spark, sf_dir)
+        if pre_digits:
+            df = _rounded(df, pre_digits)
+        c = C.CONTRACTS[stream]
+        return C.encode_nulls(C.apply_contract(df, c), c).drop("row_ord")
+    return run
+
+
+def _stat(fn, aspects, **kw):
+    return lambda spark, sf_dir: fn(adapters.load(spark, sf_dir, *aspects), **kw)
+
+
+def _defs_lookup(spark, sf_dir):
+    rows = C.lookup_rows(adapters.defs_map(spark, sf_dir))
+    return rows.select("key", F.array_join("values", "|").alias("values"))
+
+
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vw_net_metal_by_time_team": _view(views.net_metal_by_time_team),
     "vw_metal_by_time_def": _view(views.metal_by_time_def),
@@ -62,6 +88,27 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rc_move_commands": _tables(recipes.commands_named, ["commands_log"], name="MOVE"),
     "rc_resources_at_death": _tables(recipes.resources_at_death, ["unit_events", "team_stats"]),
     "rc_command_codes_with_unknown": _tables(recipes.command_codes_with_unknown, ["commands_log"]),
+    "out_army_value_timeline": _contracted(
+        "army_value_timeline",
+        _stat(stats.army_value_timeline, ["unit_events", "defs_map", "unit_defs"]),
+        {"army_value": 4}),
+    "out_unit_events": _contracted("unit_events", _stat(stats.passthrough("unit_events"),
+                                                        ["unit_events"])),
+    "out_unit_positions": _contracted("unit_positions", _stat(stats.passthrough("unit_positions"),
+                                                              ["unit_positions"])),
+    "out_team_stats": _contracted("team_stats", _stat(stats.passthrough("team_stats"),
+                                                      ["team_stats"])),
+    "out_unit_economic_contribution_binned": _contracted(
+        "unit_economic_contribution_binned",
+        _stat(stats.unit_economic_contribution_binned, ECON),
+        {c: 4 for c in _BIN_METRICS_PRE}),
+    "out_defs_lookup": _defs_lookup,
+    "resources_by_player_final": _stat(stats.resources_by_player, ["team_stats"], final=True),
+    "unit_economic_contribution_binned_left": _stat(
+        stats.unit_economic_contribution_binned, ECON, production_only_bins=False,
+        include_bin_end=True),
+    "army_value_timeline_dedupe": _stat(stats.army_value_timeline,
+                                        ["unit_events", "defs_map", "unit_defs"], dedupe=True),
     "dq_report": _tables(checks.quality_report,
                          ["damage_log", "commands_log", "unit_positions", "unit_events",
                           "unit_economy", "team_stats", "start_pos"]),
@@ -72,6 +119,10 @@ _BIN_METRICS = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",
                 "total_energy_consumed_in_bin")
 
 DIGITS: dict[str, dict[str, int]] = {
+    "resources_by_player_final": {c: 4 for c in ("total_metal_produced", "total_metal_used",
+                                                 "total_energy_produced", "total_energy_used")},
+    "unit_economic_contribution_binned_left": {c: 4 for c in _BIN_METRICS_PRE},
+    "army_value_timeline_dedupe": {"army_value": 4},
     "vw_net_metal_by_time_team": {"net_metal": 4},
     "vw_metal_by_time_def": {"metal_produced": 4},
     "vw_net_metal_heatmap": {"net_metal": 4, "min_value": 4, "max_value": 4},
