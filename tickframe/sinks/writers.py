@@ -312,8 +312,9 @@ def hybrid_bundle(streams: dict[str, DataFrame], defs: DataFrame | None = None,
     rows (JSON lines, one chunk per task batch) and the game metadata bytes,
     under one ``(replay_id, stream, data_key, part, seq, num_rows, blob)``
     schema."""
-    parts = [c for c in (row_major_bundle(streams, orders)[0],
-                         columnar_bundle(streams, orders)[0]) if c is not None]
+    parts = [c for c in ((row_major_bundle(streams, orders)[0] if streams else None),
+                         (columnar_bundle(streams, orders)[0] if streams else None))
+             if c is not None]
     if defs is not None:
         from .contracts import lookup_rows
         lines = lookup_rows(defs).select(F.to_json(F.struct("key", "values")).alias("line"))
