@@ -89,3 +89,26 @@ def test_apportion_fixture(spark):
     secs = [round(r.total_unit_seconds_in_bin, 3) for r in got]
     assert secs == [6.667, 10.0, 3.333]
     assert [round(r.metal, 3) for r in got] == [20.0, 30.0, 10.0]
+
+
+def test_distance_rule_sessions_match_single_window(spark):
+    """Spatiotemporal rule (time gap OR jump in position) across many small
+    buckets of one hot key equals the one-window formulation."""
+    rnd = random.Random(7)
+    rows = [(0, rnd.randint(0, 3000), i, float(rnd.randint(0, 50)), rnd.randint(0, 100),
+             rnd.randint(0, 100)) for i in range(500)]
+    df = make(spark, rows, "k long, frame long, row_ord long, v double, x long, y long")
+
+    def split(prev, cur):
+        dx, dy = cur["x"] - prev["x"], cur["y"] - prev["y"]
+        return ((cur["frame"] - prev["frame"]) > 30) | (F.sqrt(dx * dx + dy * dy) > 60)
+
+    got = gap_sessionize(df, ["k"], ["frame", "row_ord"], ["frame", "x", "y"], split,
+                         out="sid", width=64)
+    w = Window.partitionBy("k").orderBy("frame", "row_ord")
+    p = {c: F.lag(c).over(w) for c in ("frame", "x", "y")}
+    flag = F.when(p["frame"].isNull(), 1).when(split(p, {c: F.col(c) for c in p}), 1).otherwise(0)
+    ref = df.withColumn("f", flag).withColumn(
+        "sid", F.sum("f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert _collect(got, ["row_ord", "sid"]) == _collect(ref, ["row_ord", "sid"])
+    assert got.select("sid").distinct().count() > 50  # many sessions, many buckets
