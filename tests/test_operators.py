@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import make
 from tickframe.operators import (
-    apportion_to_bins, asof_join, gap_sessionize, next_values, prev_values, row_number0,
+    apportion_to_bins, apportion_to_bins_ranges, asof_join, gap_sessionize, next_values,
+    prev_values, row_number0,
     running_sum,
 )
 from tickframe.operators.sessionize import time_gap_rule
@@ -112,3 +113,29 @@ def test_distance_rule_sessions_match_single_window(spark):
         "sid", F.sum("f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     assert _collect(got, ["row_ord", "sid"]) == _collect(ref, ["row_ord", "sid"])
     assert got.select("sid").distinct().count() > 50  # many sessions, many buckets
+
+
+def test_range_apportioning_equals_explode(spark):
+    """Chains of disjoint intervals per unit, switching (team, def) between
+    intervals, some short, some spanning many bins, some zero-length."""
+    rnd = random.Random(11)
+    rows = []
+    for unit in range(40):
+        f = rnd.randint(0, 900)
+        for _ in range(rnd.randint(1, 8)):
+            nxt = f + rnd.choice([0, 1, 37, 299, 300, 301, 600, 1234, 5000])
+            rows.append((0, rnd.randint(0, 2), rnd.randint(0, 2), unit, f, nxt,
+                         float(rnd.randint(0, 9)), rnd.randint(0, 90) / 10.0))
+            f = nxt
+    df = make(spark, rows, "r long, team long, d long, unit_id long, s long, e long, "
+                           "a double, b double")
+    rates = {"ta": "a", "tb": "b"}
+    got = apportion_to_bins_ranges(df, ["r", "team", "d"], "s", "e", 300, rates)
+    ref = apportion_to_bins(df, ["r", "team", "d"], "s", "e", 300, rates)
+    cols = ["r", "team", "d", "bin_start", "units_alive_in_bin", "total_unit_seconds_in_bin",
+            "ta", "tb"]
+
+    def norm(x):
+        return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                      for r in x.select(*cols).collect())
+    assert norm(got) == norm(ref)

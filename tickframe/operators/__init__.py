@@ -8,4 +8,4 @@ from .ordered import (  # noqa: F401
 )
 from .sessionize import gap_sessionize  # noqa: F401
 from .asof import asof_join  # noqa: F401
-from .intervals import apportion_to_bins, explode_bins  # noqa: F401
+from .intervals import apportion_to_bins, apportion_to_bins_ranges, explode_bins  # noqa: F401
