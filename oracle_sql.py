@@ -771,3 +771,10 @@ FROM a_team_stats GROUP BY ALL""", "team_stats"), {c: 4 for c in TEAM_SUM_DOUBLE
 
 
 EXTRA_SQL.update(_contract_sql())
+
+
+EXTRA_SQL["ss_minute_activity"] = STATS_SQL["calculate_player_apm_and_focus"]
+EXTRA_SQL["ss_binned_production"] = with_aspects("""
+SELECT replay_id, unit_team_id AS team_id, unit_def_id, frame // 300 * 300 AS time_bin_start_frame,
+       count(*) AS units_produced_in_bin
+FROM a_unit_events WHERE event_type = 'CREATED' GROUP BY ALL""", "unit_events")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..sinks import contracts as C
 from ..sources import adapters
+from ..streaming import jobs as streams
 from . import checks, recipes, stats, views
 
 ECON = ["unit_economy", "unit_events"]
@@ -57,6 +58,31 @@ def _stat(fn, aspects, **kw):
     return lambda spark, sf_dir: fn(adapters.load(spark, sf_dir, *aspects), **kw)
 
 
+def _streamed(aspect: str, build, keys: list[str]):
+    """Run a Structured Streaming job over an aspect derived from the driver
+    tables: the aspect is written under the session's checkpoint dir, read as
+    a file stream, processed with ``availableNow`` in update mode and the sink
+    read back keeping each key's latest version."""
+    def run(spark, sf_dir):
+        import uuid
+
+        from pyspark.sql import Window as W
+
+        from ..session import ensure_checkpoint_dir
+        src = adapters.load(spark, sf_dir, aspect)[aspect]
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-queries/{uuid.uuid4().hex}"
+        src.write.parquet(f"{root}/in")
+        stream = build(streams.read_aspect_stream(spark, f"{root}/in", src.schema))
+        q = streams.start(stream, f"q{uuid.uuid4().hex[:12]}", f"{root}/out", mode="update",
+                       available_now=True, checkpoint=f"{root}/ckpt")
+        q.awaitTermination()
+        out = spark.read.parquet(f"{root}/out")
+        latest = W.partitionBy(*keys).orderBy(F.col("batch_id").desc())
+        return (out.withColumn("__rk", F.row_number().over(latest))
+                .filter("__rk = 1").drop("__rk", "batch_id"))
+    return run
+
+
 def _defs_lookup(spark, sf_dir):
     rows = C.lookup_rows(adapters.defs_map(spark, sf_dir))
     return rows.select("key", F.array_join("values", "|").alias("values"))
@@ -109,6 +135,11 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         include_bin_end=True),
     "army_value_timeline_dedupe": _stat(stats.army_value_timeline,
                                         ["unit_events", "defs_map", "unit_defs"], dedupe=True),
+    "ss_minute_activity": _streamed(
+        "commands_log", streams.minute_activity_stream, ["replay_id", "player_id", "minute"]),
+    "ss_binned_production": _streamed(
+        "unit_events", streams.binned_production_stream,
+        ["replay_id", "team_id", "unit_def_id", "time_bin_start_frame"]),
     "dq_report": _tables(checks.quality_report,
                          ["damage_log", "commands_log", "unit_positions", "unit_events",
                           "unit_economy", "team_stats", "start_pos"]),
@@ -119,6 +150,7 @@ _BIN_METRICS = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",
                 "total_energy_consumed_in_bin")
 
 DIGITS: dict[str, dict[str, int]] = {
+    "ss_minute_activity": {"combat_focus_pct": 6, "economy_focus_pct": 6},
     "resources_by_player_final": {c: 4 for c in ("total_metal_produced", "total_metal_used",
                                                  "total_energy_produced", "total_energy_used")},
     "unit_economic_contribution_binned_left": {c: 4 for c in _BIN_METRICS_PRE},
