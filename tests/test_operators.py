@@ -139,3 +139,42 @@ def test_range_apportioning_equals_explode(spark):
         return sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
                       for r in x.select(*cols).collect())
     assert norm(got) == norm(ref)
+
+
+def test_hot_bucket_refinement_keeps_results(spark):
+    """With a skew threshold, a hot (key, bucket) is split into sub-ranges;
+    every ordered operator still equals its single-window form."""
+    from tickframe.operators.ordered import BUCKET, SKEW_CONF, with_bucket
+
+    rnd = random.Random(5)
+    hot = [(0, rnd.randint(0, 999), i, float(rnd.randint(-5, 9))) for i in range(600)]
+    cold = [(1, rnd.randint(0, 999), 600 + i, 1.0) for i in range(10)]
+    df = make(spark, hot + cold, SCHEMA)
+    spark.conf.set(SKEW_CONF, "25")
+    try:
+        b = with_bucket(df, "frame", 10_000, ["k"])
+        per_key = {r.k: r.n for r in b.groupBy("k").agg(F.countDistinct(BUCKET).alias("n")).collect()}
+        assert per_key[0] >= 20 and per_key[1] == 1
+        w = Window.partitionBy("k").orderBy("frame", "row_ord")
+        ref = df.select("k", "row_ord", F.lag("frame").over(w).alias("p"),
+                        F.lead("v").over(w).alias("n"),
+                        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+        got = next_values(prev_values(df, ["k"], ["frame", "row_ord"], ["frame"], width=10_000),
+                          ["k"], ["frame", "row_ord"], ["v"], width=10_000)
+        got = running_sum(got, ["k"], ["frame", "row_ord"], "v", "s", width=10_000).select(
+            "k", "row_ord", F.col("prev_frame").alias("p"), F.col("next_v").alias("n"), "s")
+        cols = ["k", "row_ord", "p", "n", "s"]
+        assert _collect(got, cols) == _collect(ref, cols)
+        flag = F.when(F.lag("frame").over(w).isNull(), 1).when(
+            F.col("frame") - F.lag("frame").over(w) > 3, 1).otherwise(0)
+        sref = df.withColumn("f", flag).withColumn(
+            "sid", F.sum("f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        sgot = gap_sessionize(df, ["k"], ["frame", "row_ord"], ["frame"],
+                              time_gap_rule("frame", 3), out="sid", width=10_000)
+        assert _collect(sgot, ["row_ord", "sid"]) == _collect(sref, ["row_ord", "sid"])
+        right = make(spark, [(0, f, f * 10) for f in range(0, 1000, 7)], "k long, rt long, val long")
+        a = asof_join(df.select("k", F.col("frame").alias("t"), "row_ord"), right, ["k"], "t", "rt",
+                      ["val"], "backward", width=10_000)
+        assert all(r.val == (r.t // 7) * 70 for r in a.filter("k = 0").collect())
+    finally:
+        spark.conf.unset(SKEW_CONF)

@@ -50,7 +50,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
         F.lit(None).cast(L.schema["__l"].dataType).alias("__l"),
         F.struct(*[F.col(c) for c in payload]).alias("__r"),
     )
-    u = with_bucket(L.unionByName(R), "__t", width)
+    u = with_bucket(L.unionByName(R), "__t", width, by)
     w = Window.partitionBy(*by, BUCKET).orderBy("__t", "__side", "__tie")
     if backward:
         pick = F.last("__r", ignorenulls=True).over(

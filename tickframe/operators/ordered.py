@@ -32,8 +32,54 @@ def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def with_bucket(df: DataFrame, order_col: str, width: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.floor(F.col(order_col) / F.lit(width)).cast("long"))
+SKEW_CONF = "spark.tickframe.skewRows"
+
+
+DEFAULT_SKEW_ROWS = 4_000_000  # ~ what one task sorts comfortably
+
+
+def skew_rows(spark, keys: Sequence[str]) -> int | None:
+    """Rows per (key, bucket) above which a bucket is split further.
+
+    ``spark.tickframe.skewRows`` decides when set (``0`` turns refinement
+    off).  Unset, refinement is on for replay-level operators (a single key
+    column: the per-bucket count table is replays x buckets, tiny) and off for
+    finer keys, whose frame buckets already spread a hot unit over time."""
+    v = spark.conf.get(SKEW_CONF, None)
+    if v is not None and v != "":
+        return int(v) if int(v) > 0 else None
+    return DEFAULT_SKEW_ROWS if len(keys) == 1 else None
+
+
+def with_bucket(df: DataFrame, order_col: str, width: int,
+                keys: Sequence[str] | None = None) -> DataFrame:
+    """``__bkt``: a contiguous range of ``order_col`` per key.
+
+    The coarse bucket is ``floor(order / width)``.  With a skew threshold set,
+    a (key, coarse bucket) holding more rows than the threshold is cut into
+    ``k = ceil(rows / threshold)`` equal sub-ranges of its observed span; the
+    refinement table has at most total_rows / threshold entries (AQE
+    broadcasts it on its measured size).  ``coarse * (width + 1) + sub`` stays
+    monotone in the order column, so every operator works unchanged.  One
+    frame value is never split (rows of one key at one frame stay together).
+    """
+    coarse = F.floor(F.col(order_col) / F.lit(width)).cast("long")
+    limit = skew_rows(df.sparkSession, keys) if keys is not None else None
+    if limit is None:
+        return df.withColumn(BUCKET, coarse)
+    d = df.withColumn("__coarse", coarse)
+    hot = (d.groupBy(*keys, "__coarse")
+           .agg(F.count(F.lit(1)).alias("__n"), F.min(order_col).alias("__lo"),
+                F.max(order_col).alias("__hi"))
+           .filter(F.col("__n") > limit)
+           .select(*keys, "__coarse", "__lo",
+                   F.greatest(F.lit(1).cast("long"), F.ceil(
+                       (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / F.lit(limit)))
+                   ).alias("__fw")))
+    d = join_on_keys(d, hot, [*keys, "__coarse"])
+    sub = F.coalesce(F.floor((F.col(order_col) - F.col("__lo")) / F.col("__fw")), F.lit(0))
+    return d.withColumn(BUCKET, (F.col("__coarse") * F.lit(width + 1) + sub).cast("long")).drop(
+        "__coarse", "__lo", "__fw")
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -65,7 +111,7 @@ def prev_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
     """Add ``prev_<c>``: the value of ``c`` on the previous row in ``order``
     within ``keys`` (null on the first row) -- ``lag`` without a hot task."""
-    d = with_bucket(df, order[0], width)
+    d = with_bucket(df, order[0], width, keys)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*_cols(order))
     d = d.withColumn("__rn", F.row_number().over(w))
     for c in cols:
@@ -85,7 +131,7 @@ def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 cols: Sequence[str], prefix: str = "next_",
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
     """Add ``next_<c>``: the value on the following row (``lead``)."""
-    d = with_bucket(df, order[0], width)
+    d = with_bucket(df, order[0], width, keys)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*_cols(order))
     d = d.withColumn("__is_last", F.lead(F.lit(1)).over(w).isNull())
     for c in cols:
@@ -106,7 +152,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
     """``out`` = inclusive running sum of ``value`` over ``order`` within ``keys``."""
     val = F.col(value) if isinstance(value, str) else value
-    d = with_bucket(df, order[0], width).withColumn("__v", val)
+    d = with_bucket(df, order[0], width, keys).withColumn("__v", val)
     w = (Window.partitionBy(*keys, BUCKET).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.withColumn("__local", F.sum("__v").over(w))

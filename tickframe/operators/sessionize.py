@@ -39,7 +39,7 @@ def gap_sessionize(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     session.  A null rule result counts as "no split".  The first row of each
     key always starts session 1.
     """
-    d = with_bucket(df, order[0], width)
+    d = with_bucket(df, order[0], width, keys)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*[F.col(o) for o in order])
     d = d.withColumn("__prev", F.lag(F.struct(*[F.col(c) for c in carry])).over(w))
     prev = {c: F.col("__prev").getField(c) for c in carry}
