@@ -102,11 +102,12 @@ def net_metal_heatmap(binned: DataFrame, team=None) -> DataFrame:
     colour range (min/max of net metal, both starting from 0)."""
     t = _team_filter(binned, team)
     bins = binned.select(R, BIN).distinct().withColumn(
-        "time_index", F.dense_rank().over(Window.partitionBy(R).orderBy(BIN)) - 1)
+        "time_index", (F.dense_rank().over(Window.partitionBy(R).orderBy(BIN)) - 1).cast("long"))
     labels = t.select(R, "team_id", "unit_def_id").distinct().withColumn(
         "label", F.concat(F.lit("Unit "), F.col("unit_def_id").cast("string")))
     labels = labels.withColumn(
-        "unit_index", F.dense_rank().over(Window.partitionBy(R, "team_id").orderBy("label")) - 1)
+        "unit_index",
+        (F.dense_rank().over(Window.partitionBy(R, "team_id").orderBy("label")) - 1).cast("long"))
     cells = t.select(R, "team_id", BIN, "unit_def_id", _net_metal().alias("net_metal"))
     rng = cells.groupBy(R, "team_id").agg(
         F.least(F.min("net_metal"), F.lit(0.0)).alias("min_value"),
