@@ -778,3 +778,10 @@ EXTRA_SQL["ss_binned_production"] = with_aspects("""
 SELECT replay_id, unit_team_id AS team_id, unit_def_id, frame // 300 * 300 AS time_bin_start_frame,
        count(*) AS units_produced_in_bin
 FROM a_unit_events WHERE event_type = 'CREATED' GROUP BY ALL""", "unit_events")
+
+
+EXTRA_SQL["ingest_damage_log"] = with_aspects("""
+SELECT * EXCLUDE (row_ord) REPLACE (floor(damage * CAST(10 AS DOUBLE)) / CAST(10 AS DOUBLE) AS damage)
+FROM a_damage_log""", "damage_log")
+EXTRA_SQL["ingest_commands_log"] = with_aspects(
+    "SELECT * EXCLUDE (row_ord) FROM a_commands_log", "commands_log")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import name_to_code
 from ..sinks import contracts as C
 from ..sources import adapters
 from ..streaming import jobs as streams
@@ -83,6 +84,38 @@ def _streamed(aspect: str, build, keys: list[str]):
     return run
 
 
+def _ingest(aspect: str):
+    """Round trip through the positional ingest path: the adapted aspect is
+    encoded as raw positional records (quantized integers, untagged tokens),
+    written as Parquet under the checkpoint dir, then decoded and bound by the
+    scan (ING-1..7).  ``row_ord`` is dropped (it restarts in the new files)."""
+    def run(spark, sf_dir):
+        import uuid
+
+        from ..schemas import ASPECTS
+        from ..session import ensure_checkpoint_dir
+        from ..sources import scan
+
+        src = adapters.load(spark, sf_dir, aspect)[aspect]
+        vals = []
+        for f in ASPECTS[aspect]:
+            c = F.col(f.name)
+            if f.divisor is not None:
+                c = F.floor(c * F.lit(f.divisor)).cast("long")
+            if f.enum is not None:
+                c = name_to_code(c, f.enum)
+            vals.append(c.cast("string"))
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-queries/{uuid.uuid4().hex}"
+        src.select(F.col("replay_id").cast("string").alias("replay_id"),
+                   F.array(*vals).alias("vals")).write.partitionBy("replay_id").parquet(root)
+        raw = scan.positional_parquet(spark, root, aspect=aspect)
+        raw = raw.withColumn("replay_id", F.regexp_extract(
+            F.input_file_name(), r"replay_id=([^/]+)", 1))
+        clean, _ = scan.bind(raw, aspect)
+        return clean.drop("row_ord").withColumn("replay_id", F.col("replay_id").cast("long"))
+    return run
+
+
 def _defs_lookup(spark, sf_dir):
     rows = C.lookup_rows(adapters.defs_map(spark, sf_dir))
     return rows.select("key", F.array_join("values", "|").alias("values"))
@@ -140,6 +173,8 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ss_binned_production": _streamed(
         "unit_events", streams.binned_production_stream,
         ["replay_id", "team_id", "unit_def_id", "time_bin_start_frame"]),
+    "ingest_damage_log": _ingest("damage_log"),
+    "ingest_commands_log": _ingest("commands_log"),
     "dq_report": _tables(checks.quality_report,
                          ["damage_log", "commands_log", "unit_positions", "unit_events",
                           "unit_economy", "team_stats", "start_pos"]),
