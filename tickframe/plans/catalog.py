@@ -116,6 +116,29 @@ def _ingest(aspect: str):
     return run
 
 
+def _row_major_roundtrip(stream: str, build, pre_digits: dict[str, int] | None = None):
+    """Contracted stream -> row-major zstd chunks -> decoded rows (SNK-3)."""
+    def run(spark, sf_dir):
+        import numpy as np
+
+        from pyspark.sql import types as T
+
+        from ..sinks import writers as W
+        df = build(spark, sf_dir)
+        if pre_digits:
+            df = _rounded(df, pre_digits)
+        prepared = W.prepare(df, stream)
+        dtype = W.row_major_dtype(prepared)
+        chunks = W.pack_row_major(prepared, stream, ("frame", "team_id"))
+        # unsigned columns come back as the wider Spark types the contract uses
+        schema = T.StructType([T.StructField(n, T.LongType() if np.dtype(dtype[n]).kind in "iu"
+                                             else T.DoubleType()) for n in dtype.names])
+        rows = W.read_row_major(chunks, stream, dtype, schema)
+        return rows.select(F.col("replay_id").cast("long").alias("replay_id"),
+                           *[F.col(n) for n in dtype.names])
+    return run
+
+
 def _defs_lookup(spark, sf_dir):
     rows = C.lookup_rows(adapters.defs_map(spark, sf_dir))
     return rows.select("key", F.array_join("values", "|").alias("values"))
@@ -162,6 +185,10 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         _stat(stats.unit_economic_contribution_binned, ECON),
         {c: 4 for c in _BIN_METRICS_PRE}),
     "out_defs_lookup": _defs_lookup,
+    "sink_row_major_army_value_timeline": _row_major_roundtrip(
+        "army_value_timeline",
+        _stat(stats.army_value_timeline, ["unit_events", "defs_map", "unit_defs"]),
+        {"army_value": 4}),
     "resources_by_player_final": _stat(stats.resources_by_player, ["team_stats"], final=True),
     "unit_economic_contribution_binned_left": _stat(
         stats.unit_economic_contribution_binned, ECON, production_only_bins=False,

@@ -343,3 +343,37 @@ def hybrid_bundle(streams: dict[str, DataFrame], defs: DataFrame | None = None,
 
 def write_chunks(chunks: DataFrame, out_dir: str, mode: str = "overwrite") -> None:
     chunks.write.mode(mode).partitionBy("replay_id", "stream").parquet(out_dir)
+
+
+# --------------------------------------------------------------------------- readers
+def read_row_major(chunks: DataFrame, stream: str, dtype: np.dtype,
+                   schema: T.StructType) -> DataFrame:
+    """Decode row-major chunks back into rows (each chunk independently; the
+    chunk keys are kept so the original order can be restored)."""
+    names = list(dtype.names)
+    # Spark's Arrow reader has no unsigned types: widen to int64 / float64.
+    wide = {n: np.dtype("int64") if dtype[n].kind in "iu" else np.dtype("float64") for n in names}
+    arrow_schema = pa.schema([("replay_id", pa.string()), ("part", pa.int32()),
+                              ("seq", pa.int32()), ("row", pa.int64())]
+                             + [(n, pa.from_numpy_dtype(wide[n])) for n in names])
+
+    def unpack(batches):
+        import zstandard
+        d = zstandard.ZstdDecompressor()
+        for b in batches:
+            cols = b.to_pydict()
+            for rid, part, seq, blob in zip(cols["replay_id"], cols["part"], cols["seq"],
+                                            cols["blob"]):
+                rec = np.frombuffer(d.decompressobj().decompress(blob), dtype=dtype)
+                out = {"replay_id": [rid] * len(rec), "part": [part] * len(rec),
+                       "seq": [seq] * len(rec), "row": np.arange(len(rec), dtype=np.int64)}
+                for n in names:
+                    out[n] = rec[n].astype(wide[n])
+                yield pa.RecordBatch.from_pydict(out, schema=arrow_schema)
+
+    out_schema = T.StructType([
+        T.StructField("replay_id", T.StringType()), T.StructField("part", T.IntegerType()),
+        T.StructField("seq", T.IntegerType()), T.StructField("row", T.LongType())]
+        + [T.StructField(f.name, f.dataType) for f in schema.fields if f.name in names])
+    return chunks.filter(F.col("data_key") == f"{stream}.rows").select(
+        "replay_id", "part", "seq", "blob").mapInArrow(unpack, out_schema)
