@@ -786,3 +786,5 @@ FROM a_damage_log""", "damage_log")
 EXTRA_SQL["ingest_commands_log"] = with_aspects(
     "SELECT * EXCLUDE (row_ord) FROM a_commands_log", "commands_log")
 EXTRA_SQL["sink_row_major_army_value_timeline"] = EXTRA_SQL["out_army_value_timeline"]
+EXTRA_SQL["sink_columnar_unit_economic_contribution_binned"] = \
+    EXTRA_SQL["out_unit_economic_contribution_binned"]

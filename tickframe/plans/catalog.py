@@ -139,6 +139,24 @@ def _row_major_roundtrip(stream: str, build, pre_digits: dict[str, int] | None =
     return run
 
 
+def _columnar_roundtrip(stream: str, build, pre_digits: dict[str, int] | None = None):
+    """Contracted stream -> columnar zstd chunks -> decoded rows (SNK-4/5)."""
+    def run(spark, sf_dir):
+        from ..sinks import writers as W
+        df = build(spark, sf_dir)
+        if pre_digits:
+            df = _rounded(df, pre_digits)
+        prepared = W.prepare(df, stream)
+        cols = [(f.name, W._logical(f)) for f in prepared.schema.fields
+                if f.name not in ("replay_id", "row_ord")]
+        chunks = W.pack_columnar(prepared, stream, ("time_bin_start_frame", "team_id",
+                                                    "unit_def_id"))
+        rows = W.read_columnar(chunks, stream, cols)
+        return rows.select(F.col("replay_id").cast("long").alias("replay_id"),
+                           *[F.col(n) for n, _ in cols])
+    return run
+
+
 def _defs_lookup(spark, sf_dir):
     rows = C.lookup_rows(adapters.defs_map(spark, sf_dir))
     return rows.select("key", F.array_join("values", "|").alias("values"))
@@ -185,6 +203,9 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         _stat(stats.unit_economic_contribution_binned, ECON),
         {c: 4 for c in _BIN_METRICS_PRE}),
     "out_defs_lookup": _defs_lookup,
+    "sink_columnar_unit_economic_contribution_binned": _columnar_roundtrip(
+        "unit_economic_contribution_binned", _stat(stats.unit_economic_contribution_binned, ECON),
+        {c: 4 for c in _BIN_METRICS_PRE}),
     "sink_row_major_army_value_timeline": _row_major_roundtrip(
         "army_value_timeline",
         _stat(stats.army_value_timeline, ["unit_events", "defs_map", "unit_defs"]),

@@ -377,3 +377,33 @@ def read_row_major(chunks: DataFrame, stream: str, dtype: np.dtype,
         + [T.StructField(f.name, f.dataType) for f in schema.fields if f.name in names])
     return chunks.filter(F.col("data_key") == f"{stream}.rows").select(
         "replay_id", "part", "seq", "blob").mapInArrow(unpack, out_schema)
+
+
+def read_columnar(chunks: DataFrame, stream: str, columns: list[tuple[str, str]]) -> DataFrame:
+    """Decode primitive columns of columnar chunks back into rows.  A chunk's
+    buffers (one row per column) form one small group, so no group grows
+    with the data."""
+    spark_types = {"Float32": T.FloatType(), "Float64": T.DoubleType()}
+    fields = [T.StructField("replay_id", T.StringType()), T.StructField("part", T.IntegerType()),
+              T.StructField("seq", T.IntegerType()), T.StructField("row", T.LongType())]
+    for name, logical in columns:
+        fields.append(T.StructField(name, spark_types.get(logical, TYPES[logical][0])))
+    out_schema = T.StructType(fields)
+    codes = {name: _NUMPY[logical] for name, logical in columns}
+
+    def unpack(pdf):
+        import pandas as pd
+        import zstandard
+        d = zstandard.ZstdDecompressor()
+        bufs = {k: d.decompressobj().decompress(b) for k, b in zip(pdf["data_key"], pdf["blob"])}
+        n = int(pdf["num_rows"].iloc[0])
+        out = {"replay_id": [pdf["replay_id"].iloc[0]] * n, "part": [pdf["part"].iloc[0]] * n,
+               "seq": [pdf["seq"].iloc[0]] * n, "row": np.arange(n, dtype=np.int64)}
+        for name, code in codes.items():
+            vals = np.frombuffer(bufs[f"{stream}.{name}"], dtype=code)
+            out[name] = vals.astype(np.int64) if vals.dtype.kind in "iu" else vals
+        return pd.DataFrame(out)
+
+    keys = [f"{stream}.{name}" for name, _ in columns]
+    return (chunks.filter(F.col("data_key").isin(keys))
+            .groupBy("replay_id", "part", "seq").applyInPandas(unpack, out_schema))
