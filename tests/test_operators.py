@@ -178,3 +178,20 @@ def test_hot_bucket_refinement_keeps_results(spark):
         assert all(r.val == (r.t // 7) * 70 for r in a.filter("k = 0").collect())
     finally:
         spark.conf.unset(SKEW_CONF)
+
+
+def test_asof_matches_brute_force(spark):
+    rnd = random.Random(3)
+    left = [(rnd.randint(0, 2), rnd.randint(0, 400)) for _ in range(150)]
+    right = [(rnd.randint(0, 2), rnd.randint(0, 400), i) for i in range(60)]
+    L = make(spark, left, "k long, t long")
+    Rt = make(spark, right, "k long, rt long, ro long")
+    for direction in ("backward", "forward"):
+        got = asof_join(L, Rt, ["k"], "t", "rt", ["rt", "ro"], direction, right_order="ro", width=37)
+        want = []
+        for k, t in left:
+            cands = [(rt, ro) for kk, rt, ro in right if kk == k and
+                     (rt <= t if direction == "backward" else rt >= t)]
+            pick = (max(cands) if direction == "backward" else min(cands)) if cands else (None, None)
+            want.append((k, t) + pick)
+        assert sorted(_collect(got, ["k", "t", "rt", "ro"]), key=str) == sorted(want, key=str)

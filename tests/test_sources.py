@@ -106,3 +106,15 @@ def test_qualified_roundtrip(spark, tmp_path):
     (r,) = back["map_envir_econ"].collect()
     assert (r.replay_id, r.frame, r.wind_strength) == ("r1", 0, 1)
     assert qualified.read_qualified(spark, root, ["map_envir_econ"], version="other") is None
+
+
+def test_short_row_with_optional_tail_is_padded(spark, tmp_path):
+    # unit_events: the last four fields are optional; a row without them is padded
+    _write(str(tmp_path), "r", "unit_events",
+           [[5, 7, 1, 2, 10, 20, 0, None, None, None, 1],
+            [6, 7, 1, 2, 10, 20, 0, None, None, None, 3, 1, 2, 3, 4]])
+    tables, q = scan.scan(spark, [str(tmp_path)], aspects=["unit_events"])
+    rows = {r.frame: r for r in tables["unit_events"].collect()}
+    assert q.count() == 0
+    assert rows[5].event_type == "CREATED" and rows[5].factory_queue_len is None
+    assert rows[6].event_type == "DESTROYED" and rows[6].factory_queue_len == 4
