@@ -118,6 +118,43 @@ ADAPTERS = {
 }
 
 
+ADAPTERS["map_envir_econ"] = """
+  SELECT user_id // 15 AS replay_id,
+         (epoch_us(ts) - 1704067200000000) // 2000000 AS frame,
+         user_id % 20 AS wind_strength, event_id % 7 AS tidal_strength, event_id AS row_ord
+  FROM events"""
+ADAPTERS["unit_state_snapshots"] = """
+  SELECT user_id // 15 AS replay_id,
+         (epoch_us(ts) - 1704067200000000) // 2000000 AS frame,
+         user_id AS unit_id, user_id % 16 AS team_id, event_id % 1000 AS currentHealth,
+         CAST(1000 AS BIGINT) AS currentMaxHealth, value / CAST(100 AS DOUBLE) AS experience,
+         event_type = 'signup' AS is_being_built, event_type = 'error' AS is_stunned,
+         false AS is_cloaked, CAST(0 AS BIGINT) AS is_transporting_count,
+         CAST(500 AS BIGINT) AS current_max_range, event_type = 'purchase' AS is_firing,
+         event_id AS row_ord
+  FROM events"""
+
+
+def _construction_sql() -> str:
+    from tickframe.enums import ENUMS
+    case = "CASE l_linenumber % 6 + 1 " + " ".join(
+        f"WHEN {k} THEN '{v}'" for k, v in ENUMS["ConstructionActionsEnum"].items()) + " END"
+    return f"""
+  SELECT l_suppkey // 15 AS replay_id,
+         CAST(30 * date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) AS frame,
+         {case} AS event,
+         l_orderkey AS builder_unit_id, l_partkey % 25 AS builder_unit_def_id,
+         l_suppkey % 16 AS builder_player_id, l_partkey AS target_unit_id,
+         l_partkey % 200 AS target_unit_def_id,
+         CASE WHEN l_linenumber = 1 THEN NULL ELSE l_suppkey % 16 END AS target_player_id,
+         l_quantity / CAST(100 AS DOUBLE) AS buildpower,
+         l_orderkey * 8 + l_linenumber AS row_ord
+  FROM lineitem"""
+
+
+ADAPTERS["construction_log"] = _construction_sql()
+
+
 def _team_stats_sql() -> str:
     from tickframe.schemas import ASPECTS
     from tickframe.sources.adapters import TEAM_KEY_RULES, TEAM_PRICE_DIVISORS
@@ -444,7 +481,8 @@ FROM c GROUP BY ALL""", "unit_events"),
 }
 
 for _a in ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
-           "team_stats", "start_pos"):
+           "team_stats", "start_pos", "map_envir_econ", "unit_state_snapshots",
+           "construction_log"):
     STATS_SQL[f"stream_{_a}"] = with_aspects(f"SELECT * FROM a_{_a}", _a)
 
 

@@ -264,6 +264,57 @@ def unit_defs(spark, sf_dir) -> DataFrame:
     )
 
 
+def map_envir_econ(spark, sf_dir) -> DataFrame:
+    e = _table(spark, sf_dir, "events")
+    return e.select(
+        _replay_of("user_id").alias("replay_id"),
+        event_frame().alias("frame"),
+        (F.col("user_id") % 20).alias("wind_strength"),
+        (F.col("event_id") % 7).alias("tidal_strength"),
+        F.col("event_id").alias("row_ord"),
+    )
+
+
+def unit_state_snapshots(spark, sf_dir) -> DataFrame:
+    e = _table(spark, sf_dir, "events")
+    return e.select(
+        _replay_of("user_id").alias("replay_id"),
+        event_frame().alias("frame"),
+        F.col("user_id").alias("unit_id"),
+        (F.col("user_id") % 16).alias("team_id"),
+        (F.col("event_id") % 1000).alias("currentHealth"),
+        F.lit(1000).cast("long").alias("currentMaxHealth"),
+        (F.col("value") / 100).alias("experience"),
+        (F.col("event_type") == "signup").alias("is_being_built"),
+        (F.col("event_type") == "error").alias("is_stunned"),
+        F.lit(False).alias("is_cloaked"),
+        F.lit(0).cast("long").alias("is_transporting_count"),
+        F.lit(500).cast("long").alias("current_max_range"),
+        (F.col("event_type") == "purchase").alias("is_firing"),
+        F.col("event_id").alias("row_ord"),
+    )
+
+
+def construction_log(spark, sf_dir) -> DataFrame:
+    from ..functions import code_to_name
+
+    li = _table(spark, sf_dir, "lineitem")
+    return li.select(
+        _replay_of("l_suppkey").alias("replay_id"),
+        day_frame("l_shipdate").alias("frame"),
+        code_to_name((F.col("l_linenumber") % 6) + 1, "ConstructionActionsEnum").alias("event"),
+        F.col("l_orderkey").alias("builder_unit_id"),
+        (F.col("l_partkey") % 25).alias("builder_unit_def_id"),
+        (F.col("l_suppkey") % 16).alias("builder_player_id"),
+        F.col("l_partkey").alias("target_unit_id"),
+        (F.col("l_partkey") % 200).alias("target_unit_def_id"),
+        F.when(F.col("l_linenumber") == 1, F.lit(None).cast("long"))
+        .otherwise(F.col("l_suppkey") % 16).alias("target_player_id"),
+        (F.col("l_quantity") / 100).alias("buildpower"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_ord"),
+    )
+
+
 ADAPTERS = {
     "damage_log": damage_log,
     "commands_log": commands_log,
@@ -274,6 +325,9 @@ ADAPTERS = {
     "start_pos": start_pos,
     "defs_map": defs_map,
     "unit_defs": unit_defs,
+    "map_envir_econ": map_envir_econ,
+    "unit_state_snapshots": unit_state_snapshots,
+    "construction_log": construction_log,
 }
 
 
