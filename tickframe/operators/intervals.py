@@ -56,7 +56,9 @@ def apportion_to_bins(df: DataFrame, keys: list[str], start: str, end: str, step
 
 def apportion_to_bins_ranges(df: DataFrame, keys: list[str], start: str, end: str, step: int,
                              rates: dict[str, str], unit_col: str = "unit_id",
-                             bin_col: str = "bin_start") -> DataFrame:
+                             bin_col: str = "bin_start", extra: DataFrame | None = None,
+                             extra_col: str = "extra", keep_extra_only: bool = True
+                             ) -> DataFrame:
     """Same result as ``apportion_to_bins`` with work proportional to
     intervals + output instead of the summed interval lengths.
 
@@ -68,6 +70,10 @@ def apportion_to_bins_ranges(df: DataFrame, keys: list[str], start: str, end: st
       (game length / step) rows per group -- gives every interior bin.
     * A unit covering a whole bin has no other interval in it, so interior
       units and partial units are disjoint and their counts add up.
+
+    ``extra`` (keys, ``bin_col``, ``extra_col``) is a per-bin count merged in
+    the same pass (no join); bins that only have ``extra`` are kept when
+    ``keep_extra_only`` (full-outer semantics) and dropped otherwise (left).
     """
     secs = float(step) / FRAME_RATE
     s, e = F.col(start), F.col(end)
@@ -98,6 +104,11 @@ def apportion_to_bins_ranges(df: DataFrame, keys: list[str], start: str, end: st
     # (1) partial rows deduplicate per unit; deltas sum per bin
     l1 = x.groupBy(*keys, "kind", "bin", "u").agg(
         F.sum("cnt").alias("cnt"), F.sum("ov").alias("ov"), *[F.sum(c).alias(c) for c in m])
+    if extra is not None:
+        l1 = l1.unionByName(extra.select(
+            *keys, F.lit("c").alias("kind"), F.col(bin_col).cast("long").alias("bin"),
+            F.lit(None).cast("long").alias("u"), F.col(extra_col).cast("long").alias("cnt"),
+            F.lit(0.0).alias("ov"), *[F.lit(0.0).alias(c) for c in m]))
     is_p, is_d = F.col("kind") == "p", F.col("kind") == "d"
     # (2) one row per (group, bin): distinct partial units, their sums, net deltas
     l2 = l1.groupBy(*keys, "bin").agg(
@@ -105,12 +116,13 @@ def apportion_to_bins_ranges(df: DataFrame, keys: list[str], start: str, end: st
         F.coalesce(F.sum(F.when(is_p, F.col("ov"))), F.lit(0.0)).alias("pov"),
         *[F.coalesce(F.sum(F.when(is_p, F.col(c))), F.lit(0.0)).alias(f"p{c}") for c in m],
         F.coalesce(F.sum(F.when(is_d, F.col("cnt"))), F.lit(0)).alias("dcnt"),
-        *[F.coalesce(F.sum(F.when(is_d, F.col(c))), F.lit(0.0)).alias(f"d{c}") for c in m])
+        *[F.coalesce(F.sum(F.when(is_d, F.col(c))), F.lit(0.0)).alias(f"d{c}") for c in m],
+        F.coalesce(F.sum(F.when(F.col("kind") == "c", F.col("cnt"))), F.lit(0)).alias("xc"))
     # (3) running interior state over the group's bins (<= game length / step
     #     rows per group) and the next bin that has any event
     w = Window.partitionBy(*keys).orderBy("bin")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    l3 = l2.select(*keys, "bin", "pu", "pov", *[f"p{c}" for c in m],
+    l3 = l2.select(*keys, "bin", "pu", "pov", "xc", *[f"p{c}" for c in m],
                    F.sum("dcnt").over(run).alias("ic"),
                    *[F.sum(f"d{c}").over(run).alias(f"i{c}") for c in m],
                    F.lead("bin").over(w).alias("nb"))
@@ -127,11 +139,16 @@ def apportion_to_bins_ranges(df: DataFrame, keys: list[str], start: str, end: st
     def interior(c):
         return F.when(covered, F.col(c)).otherwise(F.lit(0.0))
 
-    out = l3.filter(~own | (F.col("pu") > 0) | covered).select(
+    keep = ~own | (F.col("pu") > 0) | covered
+    if extra is not None and keep_extra_only:
+        keep = keep | (F.col("xc") > 0)
+    out = l3.filter(keep).select(
         *keys, F.col("ob").alias(bin_col),
         (F.when(own, F.col("pov")).otherwise(F.lit(0.0)) + ic * F.lit(secs))
         .alias("total_unit_seconds_in_bin"),
         (F.when(own, F.col("pu")).otherwise(F.lit(0)) + ic).cast("long").alias("units_alive_in_bin"),
         *[(F.when(own, F.col(f"p{c}")).otherwise(F.lit(0.0)) + interior(f"i{c}")).alias(o)
-          for c, o in zip(m, rates)])
+          for c, o in zip(m, rates)],
+        *([F.when(own, F.col("xc")).otherwise(F.lit(0)).cast("long").alias(extra_col)]
+          if extra is not None else []))
     return out
