@@ -712,8 +712,8 @@ def _dq_sql() -> str:
              "SELECT replay_id, 'start_pos', 'player_not_unique', CAST(count_if(n > 1) AS BIGINT) FROM "
              "(SELECT replay_id, player_id, count(*) AS n FROM a_start_pos GROUP BY ALL) "
              "GROUP BY ALL"]
-    aspects = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
-               "team_stats")
+    from tickframe.plans.checks import FRAMED
+    aspects = FRAMED
     for a in aspects:
         parts.append(
             f"SELECT replay_id, '{a}', 'frame_negative', CAST(count_if(frame < 0) AS BIGINT) "

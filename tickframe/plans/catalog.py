@@ -19,6 +19,7 @@ from ..streaming import jobs as streams
 from . import checks, recipes, stats, views
 
 ECON = ["unit_economy", "unit_events"]
+STREAM_TIMEOUT_S = 3600
 _BIN_METRICS_PRE = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",
                     "total_metal_consumed_in_bin", "total_energy_produced_in_bin",
                     "total_energy_consumed_in_bin")
@@ -76,7 +77,11 @@ def _streamed(aspect: str, build, keys: list[str]):
         stream = build(streams.read_aspect_stream(spark, f"{root}/in", src.schema))
         q = streams.start(stream, f"q{uuid.uuid4().hex[:12]}", f"{root}/out", mode="update",
                        available_now=True, checkpoint=f"{root}/ckpt")
-        q.awaitTermination()
+        if not q.awaitTermination(STREAM_TIMEOUT_S):
+            q.stop()
+            raise TimeoutError(f"streaming query {q.name} did not finish its available input")
+        if q.exception() is not None:
+            raise q.exception()
         out = spark.read.parquet(f"{root}/out")
         latest = W.partitionBy(*keys).orderBy(F.col("batch_id").desc())
         return (out.withColumn("__rk", F.row_number().over(latest))
@@ -223,9 +228,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         ["replay_id", "team_id", "unit_def_id", "time_bin_start_frame"]),
     "ingest_damage_log": _ingest("damage_log"),
     "ingest_commands_log": _ingest("commands_log"),
-    "dq_report": _tables(checks.quality_report,
-                         ["damage_log", "commands_log", "unit_positions", "unit_events",
-                          "unit_economy", "team_stats", "start_pos"]),
+    "dq_report": _tables(checks.quality_report, [*checks.FRAMED, "start_pos"]),
 }
 
 _BIN_METRICS = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",

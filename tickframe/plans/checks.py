@@ -51,8 +51,11 @@ def required_not_null(tables, aspect: str) -> DataFrame:  # DQ-4
     return _report(df, aspect, "required_null", F.count_if(bad))
 
 
-def quality_report(tables, aspects=("damage_log", "commands_log", "unit_positions",
-                                    "unit_events", "unit_economy", "team_stats")) -> DataFrame:
+FRAMED = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
+          "team_stats", "map_envir_econ", "unit_state_snapshots", "construction_log")
+
+
+def quality_report(tables, aspects=FRAMED) -> DataFrame:
     parts = []
     if "damage_log" in tables:
         parts.append(negative_damage(tables))
