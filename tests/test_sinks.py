@@ -132,3 +132,27 @@ def test_lookup_rows_and_map(spark):
     assert m.lookup[2] == ["b", "B"]
     with pytest.raises(C.ContractError):
         C.lookup_map(defs, max_entries=1)
+
+
+def test_hybrid_bundle_with_assets(spark, tmp_path):
+    army = make(spark, [("r", 0, 1, 10.0), ("r", 450, 1, 20.0)],
+                "replay_id string, frame long, team_id long, army_value double")
+    binned = make(spark, [("r", 1, 2, 0, 1, 10.0, 0, 1.0, 0.0, 0.0, 0.0)],
+                  "replay_id string, team_id long, unit_def_id long, time_bin_start_frame long, "
+                  "units_alive_in_bin long, total_unit_seconds_in_bin double, "
+                  "total_units_produced_in_bin long, total_metal_produced_in_bin double, "
+                  "total_metal_consumed_in_bin double, total_energy_produced_in_bin double, "
+                  "total_energy_consumed_in_bin double")
+    defs = make(spark, [(1, "a", "A")], "unit_def_id long, unit_name string, translated_human_name string")
+    meta = make(spark, [("p", bytearray(b'{"id": "g"}'))], "path string, content binary")
+    out = W.hybrid_bundle({"army_value_timeline": army, "unit_economic_contribution_binned": binned},
+                          defs=defs, game_meta=meta,
+                          orders={"army_value_timeline": ["frame", "team_id"],
+                                  "unit_economic_contribution_binned": ["time_bin_start_frame"]})
+    keys = {r.data_key for r in out.select("data_key").distinct().collect()}
+    assert {"army_value_timeline.rows", "defs.lookup", "game_meta.json",
+            "unit_economic_contribution_binned.units_alive_in_bin"} <= keys
+    lookup = _concat(out, "defs.lookup")["*"].decode()
+    assert json.loads(lookup) == {"key": 1, "values": ["a", "A"]}
+    W.write_chunks(out, str(tmp_path / "bundle"))
+    assert spark.read.parquet(str(tmp_path / "bundle")).count() == out.count()

@@ -69,9 +69,9 @@ def run(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
             log.exception("output %s failed; skipped", name)
             status[name] = f"failed: {type(e).__name__}"
     if fmt == "hybrid" and (defs is not None or game_meta is not None):
-        assets = writers.hybrid_bundle({}, defs=defs, game_meta=game_meta) if outputs else None
-        if assets is not None:
-            writers.write_chunks(assets, f"{out_dir.rstrip('/')}/chunks", mode="append")
+        assets = writers.hybrid_bundle({}, defs=defs, game_meta=game_meta)
+        writers.write_chunks(assets, f"{out_dir.rstrip('/')}/chunks", mode="append")
+        status["assets"] = "written"
     return status
 
 
