@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import exact_dedup
-from tickframe.llm.common import table
+from tickframe.llm import exact_dedup, token_store
+from tickframe.llm.common import scratch_path, table
+
+
+def vocabulary(name: str) -> str:
+    """A public tokenizer's file; operators take the path as a parameter."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_store.write(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return token_store.checksums(token_store.read(spark, path))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +39,7 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_store": op1_token_store,
         "op2_exact_dedup": op2_exact_dedup,
     }
 
