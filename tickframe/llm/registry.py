@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import exact_dedup, token_store
+from tickframe.llm import bpe, exact_dedup, token_store
 from tickframe.llm.common import scratch_path, table
 
 
@@ -37,10 +37,16 @@ FROM n WINDOW w AS (PARTITION BY text_sha256)
 """
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary("word_bpe_49k.json")
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), words), words)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_bpe": op3_bpe,
     }
 
 
