@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import bpe, exact_dedup, token_store
+from tickframe.llm import bpe, exact_dedup, token_store, warc
 from tickframe.llm.common import scratch_path, table
 
 
@@ -42,13 +42,34 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), words), words)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(warc.mark_revisits(table(spark, sf_dir, "pages")), path)
+    return warc.verified(spark, path)
+
+
+OP9_SQL = """
+WITH n AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM n)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to
+FROM m
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_bpe": op3_bpe,
+        "op9_warc": op9_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op9_warc": OP9_SQL}
