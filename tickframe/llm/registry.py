@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import bpe, exact_dedup, token_store, warc
-from tickframe.llm.common import scratch_path, table
+from tickframe.llm import bpe, exact_dedup, quality, token_store, warc
+from tickframe.llm.common import crc_mod, scratch_path, table
 
 
 def vocabulary(name: str) -> str:
@@ -42,6 +42,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), words), words)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"),
+                                  table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) == 2)
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(warc.mark_revisits(table(spark, sf_dir, "pages")), path)
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_store": op1_token_store,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_bpe": op3_bpe,
+        "op5_quality": op5_quality,
         "op9_warc": op9_warc,
     }
 
