@@ -7,22 +7,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BINS = 4096
+SLOPE = 1e-3
 
 
-def isotonic(bins: list[tuple[float, float, float]]) -> tuple[list[float], list[float]]:
-    """Pool adjacent violators over (score, weight, positives) bins in score order.
+def isotonic(bins: list[tuple[float, float, float, float]]) -> tuple[list[float], list[float]]:
+    """Pool adjacent violators over (lowest score, highest score, weight, positives) bins.
 
-    Returns the knots of a non-decreasing, piecewise linear map from score to
-    probability; the knots are the weighted centres of the pooled blocks.
+    Returns the knots of an increasing, piecewise linear map from score to
+    probability: flat over each pooled block but for a slope of ``SLOPE`` in
+    all, which keeps the order of scores, and linear between blocks.
     """
     blocks: list[list[float]] = []
-    for score, weight, positive in sorted(bins):
-        blocks.append([weight, positive, score * weight])
+    for low, high, weight, positive in sorted(bins):
+        blocks.append([weight, positive, low, high])
         while len(blocks) > 1 and (blocks[-2][1] * blocks[-1][0]
                                    >= blocks[-1][1] * blocks[-2][0]):
-            w, p, s = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + w, blocks[-1][1] + p, blocks[-1][2] + s]
-    return [b[2] / b[0] for b in blocks], [b[1] / b[0] for b in blocks]
+            w, p, _, h = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + w, blocks[-1][1] + p, blocks[-1][2], h]
+    x, y = [], []
+    for w, p, low, high in blocks:
+        x += [low, high] if high > low else [low]
+        y += [p / w, p / w] if high > low else [p / w]
+    return x, [(1 - SLOPE) * v + SLOPE * (i + 1) / (len(y) + 1) for i, v in enumerate(y)]
 
 
 def fit_isotonic(scored: DataFrame, score: str, label: str, low: float = -1.0,
@@ -31,9 +37,10 @@ def fit_isotonic(scored: DataFrame, score: str, label: str, low: float = -1.0,
     clipped = F.least(F.greatest(F.col(score), F.lit(low)), F.lit(high))
     width = (high - low) / BINS
     rows = (scored.groupBy(F.floor((clipped - low) / width).alias("bin"))
-            .agg(F.avg(clipped).alias("s"), F.count(F.lit(1)).alias("n"),
+            .agg(F.min(clipped).alias("low"), F.max(clipped).alias("high"),
+                 F.count(F.lit(1)).alias("n"),
                  F.sum(F.col(label).cast("double")).alias("p")).collect())
-    return isotonic([(r["s"], float(r["n"]), r["p"]) for r in rows])
+    return isotonic([(r["low"], r["high"], float(r["n"]), r["p"]) for r in rows])
 
 
 def apply_knots(scores: np.ndarray, knots: tuple[list[float], list[float]]) -> np.ndarray:
