@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import bpe, exact_dedup, quality, token_store, toxicity, warc
+from tickframe.llm import bpe, exact_dedup, near_dup, quality, token_store, toxicity, warc
 from tickframe.llm.common import crc_mod, scratch_path, table
 
 
@@ -47,6 +47,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) == 2)
 
 
+def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"),
                                     table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) == 1)
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": op2_exact_dedup,
         "op3_bpe": op3_bpe,
         "op5_quality": op5_quality,
+        "op8_chosen_path_join": op8_chosen_path_join,
         "op9_warc": op9_warc,
         "op10_toxicity": op10_toxicity,
     }
