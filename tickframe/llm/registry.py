@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import bpe, exact_dedup, near_dup, quality, token_store, toxicity, warc
+from tickframe.llm import (bpe, decontaminate, exact_dedup, near_dup, quality, token_store,
+                           toxicity, warc)
 from tickframe.llm.common import crc_mod, scratch_path, table
 
 
@@ -47,6 +48,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) == 2)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "benchmark"))
+
+
 def op8_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -82,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": op2_exact_dedup,
         "op3_bpe": op3_bpe,
         "op5_quality": op5_quality,
+        "op7_decontaminate": op7_decontaminate,
         "op8_chosen_path_join": op8_chosen_path_join,
         "op9_warc": op9_warc,
         "op10_toxicity": op10_toxicity,
