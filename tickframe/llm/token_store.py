@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,13 +41,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 0
-KEPT_PIECES = 300_000
+KEPT_PIECES = 400_000
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1000
 
-_ODD_SPACE = re.compile(r"\s \S|\S \s|  |^\s|\s$")
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
+def _cuts_at_spaces(text: str) -> bool:
+    """Whether every space stands alone between two characters that are not white space."""
+    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text
+                or "\n " in text or "\0" in text or _OTHER_SPACE.search(text))
 
 
 class PieceEncoder:
@@ -62,74 +68,80 @@ class PieceEncoder:
                            and self.model.normalizer is None
                            and not self.model.pre_tokenizer.add_prefix_space)
         show = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.shown = {i: show.pre_tokenize_str(chr(i))[0][0] for i in range(128)}
-        self.letters = {c: show.pre_tokenize_str(chr(c))[0][0] for c in range(128, 0x250)}
+        self.shown = {c: show.pre_tokenize_str(chr(c))[0][0]
+                      for c in [32, *range(65, 91), *range(97, 123), *range(128, 0x250)]}
+        self.space = self.shown[32]
         self.marks = {m: self._ids(m) for m in (".", ",")}
+        self.model.model._resize_cache(0)
         self.kept: dict[str, bytes] = {}
+        self.once: set[str] = set()
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids,
-                        dtype=np.int32).tobytes()
+        return array("i", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _fill(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces (a leading space is part of a piece) not met before."""
-        out, rest = {}, []
-        tokenize, shown = self.model.model.tokenize, self.shown | self.letters
+        """Ids of pieces not kept; a leading space is part of a piece."""
+        out: dict[str, bytes] = {}
+        rest = []
+        tokenize, kept, marks = self.model.model.tokenize, self.kept, self.marks
         for piece in pieces:
-            plain = _PLAIN.fullmatch(piece, 1) if piece[:1] == " " else None
-            if plain is None:
-                rest.append(piece)
-                continue
-            word = " " + plain[1]
-            ids = self.kept.get(word) or out.get(word)
+            mark = marks.get(piece[-1:])
+            body = piece if mark is None else piece[:-1]
+            ids = kept.get(body) or out.get(body)
             if ids is None:
-                # letters alone are one pre-token, so the model sees them directly
-                ids = out[word] = np.array([t.id for t in tokenize(word.translate(shown))],
-                                           dtype=np.int32).tobytes()
-            if plain[2]:
-                out[piece] = ids + self.marks[plain[2]]
+                letters = body[1:]
+                if body[:1] != " " or not letters.isalpha():
+                    rest.append(piece)
+                    continue
+                # a space and letters are one pre-token, so the model sees them directly
+                if letters.isascii():
+                    word = self.space + letters
+                elif max(letters) < "\u0250":
+                    word = body.translate(self.shown)
+                else:
+                    rest.append(piece)
+                    continue
+                ids = out[body] = array("i", [t.id for t in tokenize(word)]).tobytes()
+            if mark is not None:
+                out[piece] = ids + mark
         for i in range(0, len(rest), 4096):
             part = rest[i:i + 4096]
             found = self.model.encode_batch_fast(part, add_special_tokens=False)
-            out.update(zip(part, (np.array(e.ids, dtype=np.int32).tobytes() for e in found),
-                           strict=True))
+            out.update(zip(part, (array("i", e.ids).tobytes() for e in found), strict=True))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian int32 ids of each text."""
+        """32-bit ids of each text, as bytes in the machine's order."""
         out: list[bytes | None] = [None] * len(texts)
         split = []
+        missing: set[str] = set()
         for i, text in enumerate(texts):
             if not text:
                 out[i] = b""
-            elif not self.byte_level or _ODD_SPACE.search(text) or any(
+            elif not self.byte_level or not _cuts_at_spaces(text) or any(
                     s in text for s in self.special):
                 out[i] = self._ids(text)
             else:
-                split.append((i, text.replace(" ", "\0 ").split("\0") if "\0" not in text
-                              else [text]))
-        missing: set[str] = set()
-        for _, pieces in split:
-            missing.update(pieces)
+                pieces = text.replace(" ", "\0 ").split("\0")
+                split.append((i, pieces))
+                missing.update(pieces)
         missing -= self.kept.keys()
         new = self._fill(missing)
-        if len(self.kept) < KEPT_PIECES:
-            self.kept.update(new)
-            table = self.kept
-        else:
-            table = _Both(new, self.kept)
+        self.kept.update(new)
         for i, pieces in split:
-            out[i] = b"".join(map(table.__getitem__, pieces))
+            out[i] = b"".join(map(self.kept.__getitem__, pieces))
+        self._forget(new)
         return out
 
-
-class _Both(dict):
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
+    def _forget(self, new: dict[str, bytes]) -> None:
+        """Keep what came up in two batches, while there is room; drop the rest."""
+        again = self.once & new.keys()
+        if len(self.kept) - len(new) + len(again) > KEPT_PIECES:
+            again = set()
+        once = new.keys() - again
+        for piece in once:
+            del self.kept[piece]
+        self.once = once if len(self.once) > KEPT_PIECES else self.once | once
 
 
 @lru_cache(maxsize=2)
@@ -145,7 +157,7 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
-             most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+             most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     part, at, end = TaskContext.get().partitionId(), 0, np.int32(end_id).tobytes()
     model = _encoder(vocabulary)
 
