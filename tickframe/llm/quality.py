@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import stored
-from tickframe.llm.kernels import apply_knots, bounded, fit_isotonic, one_label
+from tickframe.llm.kernels import apply_knots, bounded, fit_isotonic, one_label, tree_sum
 
 MAX_TRAIN = 200_000
 FEATURES = 384
@@ -38,7 +38,6 @@ RIDGE = 1e-3
 GAMMA = 0.06
 THRESHOLD = 0.7
 STATISTICS = 20
-_SUM_PARTS = 32
 
 
 def statistics(text: bytes) -> np.ndarray:
@@ -120,21 +119,10 @@ def _summed(rows: DataFrame, part) -> list[np.ndarray]:
             flat = np.concatenate([np.atleast_1d(a).ravel() for a in total])
             yield pa.record_batch([pa.array([flat.tobytes()], pa.binary())], ["sums"])
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = None
-        for batch in batches:
-            for value in batch.column(0):
-                add = np.frombuffer(value.as_py())
-                flat = add if flat is None else flat + add
-        if flat is not None:
-            yield pa.record_batch([pa.array([flat.tobytes()], pa.binary())], ["sums"])
-
-    parts = rows.select("x", "label").mapInArrow(partial, "sums binary")
-    # partitions to a few, a few to one: no task reads more than a few sums
-    got = (parts.repartition(_SUM_PARTS).mapInArrow(total, "sums binary")
-           .repartition(1).mapInArrow(total, "sums binary").collect())
+    flat = tree_sum(rows.select("x", "label").mapInArrow(partial, "sums binary"))
     shapes = [np.atleast_1d(a) for a in part(np.zeros((1, STATISTICS)), np.zeros(1))]
-    flat = np.frombuffer(got[0][0]) if got else np.zeros(sum(a.size for a in shapes))
+    if flat is None:
+        flat = np.zeros(sum(a.size for a in shapes))
     cuts = np.cumsum([a.size for a in shapes])[:-1]
     return [a.reshape(s.shape) for a, s in zip(np.split(flat, cuts), shapes, strict=True)]
 
