@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickframe.llm import (bpe, decontaminate, exact_dedup, hmm_lm, near_dup, quality, token_store,
-                           toxicity, warc)
+from tickframe.llm import (bpe, decontaminate, exact_dedup, hmm_lm, html_extract, near_dup, quality,
+                           token_store, toxicity, warc)
 from tickframe.llm.common import crc_mod, scratch_path, table
 
 
@@ -48,6 +48,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) == 2)
 
 
+def op4_crf_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.text_scores(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
 
@@ -91,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_store": op1_token_store,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_bpe": op3_bpe,
+        "op4_crf_extract": op4_crf_extract,
         "op5_quality": op5_quality,
         "op6_hidden_markov": op6_hidden_markov,
         "op7_decontaminate": op7_decontaminate,
