@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_BUCKET_FRAMES
-from .ordered import BUCKET, join_on_keys, with_bucket
+from .ordered import BUCKET, join_on_keys, with_bucket, with_plain_keys
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str,
@@ -50,29 +50,31 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
         F.lit(None).cast(L.schema["__l"].dataType).alias("__l"),
         F.struct(*[F.col(c) for c in payload]).alias("__r"),
     )
-    u = with_bucket(L.unionByName(R), "__t", width, by)
-    w = Window.partitionBy(*by, BUCKET).orderBy("__t", "__side", "__tie")
-    if backward:
-        pick = F.last("__r", ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    else:
-        pick = F.first("__r", ignorenulls=True).over(
-            w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    u = u.withColumn("__m", pick)
+    u, plain = with_plain_keys(with_bucket(L.unionByName(R), "__t", width, by), by)
+    at = [*plain, BUCKET]
+
+    def nearest(col: str, w):
+        """The last non-null value up to the row, counted in the search's direction.
+
+        A running frame takes one step a row; a frame from the row to the end of
+        its partition would be scanned anew for every row.
+        """
+        return F.last(col, ignorenulls=True).over(w)
+
+    def ordered(*names: str):
+        return [F.col(n).asc() if backward else F.col(n).desc() for n in names]
+
+    w = Window.partitionBy(*at).orderBy(*ordered("__t", "__side", "__tie"))
     is_right = F.col("__side") == right_side
     rkey = F.when(is_right, F.struct("__t", "__tie"))
     agg = (F.max_by if backward else F.min_by)("__r", rkey)
-    summ = u.groupBy(*by, BUCKET).agg(agg.alias("__b"))
-    ws = Window.partitionBy(*by).orderBy(BUCKET)
-    if backward:
-        carry = F.last("__b", ignorenulls=True).over(
-            ws.rowsBetween(Window.unboundedPreceding, -1))
-    else:
-        carry = F.first("__b", ignorenulls=True).over(
-            ws.rowsBetween(1, Window.unboundedFollowing))
-    summ = summ.select(*by, BUCKET, carry.alias("__carry"))
-    lrows = u.filter(F.col("__side") == left_side)
-    res = join_on_keys(lrows, summ, [*by, BUCKET])
+    summ = u.groupBy(*at).agg(agg.alias("__b"))
+    ws = Window.partitionBy(*plain).orderBy(*ordered(BUCKET))
+    summ = summ.select(*at, nearest("__b", ws.rowsBetween(Window.unboundedPreceding, -1))
+                       .alias("__carry"))
+    u = u.withColumn("__m", nearest("__r", w.rowsBetween(Window.unboundedPreceding,
+                                                         Window.currentRow)))
+    res = join_on_keys(u.filter(F.col("__side") == left_side), summ, at)
     m = F.coalesce(F.col("__m"), F.col("__carry"))
     return res.select(
         *[F.col("__l").getField(c).alias(c) for c in lcols],

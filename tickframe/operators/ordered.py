@@ -7,11 +7,12 @@ operators instead partition by ``(keys, bucket)`` where
 column:
 
 1. phase 1 (data-sized, parallel): the window runs inside each bucket;
-2. phase 2 (tiny): one summary row per (keys, bucket) carries what crosses a
-   bucket boundary (last row, totals); a window over the summaries, which has
-   ``range / width`` rows per key, supplies the carry-in;
-3. the carry is joined back on ``(keys, bucket)``; the data side is already
-   hash-partitioned on exactly those columns, so only the summary moves.
+2. phase 2 (tiny): what crosses a bucket boundary comes from one or two rows
+   per (keys, bucket): the bucket's edge rows for ``lag`` and ``lead``, its
+   totals for running sums.  A window over those, ``range / width`` rows per
+   key, finishes the edge rows or supplies the carry-in;
+3. totals are joined back on (keys, bucket) by key columns without nulls, the
+   very columns the data is partitioned on, so the data moves once.
 
 All results equal the single-window form (tests check this on fixtures).
 """
@@ -76,34 +77,42 @@ def with_bucket(df: DataFrame, order_col: str, width: int,
                    F.greatest(F.lit(1).cast("long"), F.ceil(
                        (F.col("__hi") - F.col("__lo") + 1) / F.ceil(F.col("__n") / F.lit(limit)))
                    ).alias("__fw")))
-    d = join_on_keys(d, hot, [*keys, "__coarse"])
+    d, plain = with_plain_keys(d, keys)
+    hot, _ = with_plain_keys(hot, keys)
+    # at most total rows / limit entries, so small beside the data at any size
+    d = join_on_keys(d, F.broadcast(hot.drop(*keys)), [*plain, "__coarse"]).drop(*plain)
     sub = F.coalesce(F.floor((F.col(order_col) - F.col("__lo")) / F.col("__fw")), F.lit(0))
     return d.withColumn(BUCKET, (F.col("__coarse") * F.lit(width + 1) + sub).cast("long")).drop(
         "__coarse", "__lo", "__fw")
 
 
+def with_plain_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Columns that partition and join like ``keys`` but hold no nulls.
+
+    A null-safe join condition is planned on rewritten keys, which no window's
+    partitioning matches; with these columns a window and a later equi-join on
+    them share one exchange of the data.
+    """
+    kinds = dict(df.dtypes)
+    plain: list[str] = []
+    for n, k in enumerate(keys):
+        empty = F.lit("") if kinds[k] == "string" else F.lit(0)
+        df = (df.withColumn(f"__k{n}", F.coalesce(F.col(k), empty.cast(kinds[k])))
+              .withColumn(f"__z{n}", F.col(k).isNull()))
+        plain += [f"__k{n}", f"__z{n}"]
+    return df, plain
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
                  how: str = "left") -> DataFrame:
-    """Null-safe equi-join on ``keys``; right-side key copies are dropped."""
+    """Equi-join on key columns without nulls; right-side key copies are dropped."""
     ren = {k: f"__r_{k}" for k in keys}
     r = right.select(*[F.col(c).alias(ren.get(c, c)) for c in right.columns])
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(r[ren[k]])
+        c = left[k] == r[ren[k]]
         cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out.drop(*ren.values())
-
-
-def _extreme(cols: Sequence[str], order: Sequence[str], last: bool) -> Column:
-    """First/last row's ``cols`` as a struct.  When the only carried column is
-    the leading order column, a plain min/max keeps the aggregate hash-based
-    (``min_by`` over structs forces a sort-based aggregate)."""
-    if list(cols) == [order[0]]:
-        agg = F.max if last else F.min
-        return F.struct(agg(order[0]).alias(order[0]))
-    by = F.max_by if last else F.min_by
-    return by(F.struct(*_cols(cols)), F.struct(*_cols(order)))
+    return left.join(r, cond, how).drop(*ren.values())
 
 
 def prev_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -111,40 +120,39 @@ def prev_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
     """Add ``prev_<c>``: the value of ``c`` on the previous row in ``order``
     within ``keys`` (null on the first row) -- ``lag`` without a hot task."""
-    d = with_bucket(df, order[0], width, keys)
-    w = Window.partitionBy(*keys, BUCKET).orderBy(*_cols(order))
-    d = d.withColumn("__rn", F.row_number().over(w))
-    for c in cols:
-        d = d.withColumn(prefix + c, F.lag(c).over(w))
-    summ = d.groupBy(*keys, BUCKET).agg(_extreme(cols, order, last=True).alias("__last"))
-    ws = Window.partitionBy(*keys).orderBy(BUCKET)
-    summ = summ.select(*keys, BUCKET, F.lag("__last").over(ws).alias("__carry"))
-    out = join_on_keys(d, summ, [*keys, BUCKET])
-    first = F.col("__rn") == 1
-    for c in cols:
-        out = out.withColumn(
-            prefix + c, F.when(first, F.col("__carry").getField(c)).otherwise(F.col(prefix + c)))
-    return out.drop("__rn", "__carry", BUCKET)
+    return _neighbours(df, keys, order, cols, prefix, width, F.lag)
 
 
 def next_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 cols: Sequence[str], prefix: str = "next_",
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
     """Add ``next_<c>``: the value on the following row (``lead``)."""
+    return _neighbours(df, keys, order, cols, prefix, width, F.lead)
+
+
+def _neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                prefix: str, width: int, step) -> DataFrame:
+    """``step`` (lag or lead) of ``cols``.
+
+    Rows inside a bucket are done after the first window.  The first and last
+    row of each bucket go through a second window over those edge rows alone:
+    there the neighbour of an edge row is the facing edge of the next bucket.
+    Both branches read the same exchange, and no rows are joined.
+    """
     d = with_bucket(df, order[0], width, keys)
     w = Window.partitionBy(*keys, BUCKET).orderBy(*_cols(order))
-    d = d.withColumn("__is_last", F.lead(F.lit(1)).over(w).isNull())
+    d = (d.withColumn("__first", F.lag(F.lit(1)).over(w).isNull())
+         .withColumn("__last", F.lead(F.lit(1)).over(w).isNull()))
     for c in cols:
-        d = d.withColumn(prefix + c, F.lead(c).over(w))
-    summ = d.groupBy(*keys, BUCKET).agg(_extreme(cols, order, last=False).alias("__first"))
-    ws = Window.partitionBy(*keys).orderBy(BUCKET)
-    summ = summ.select(*keys, BUCKET, F.lead("__first").over(ws).alias("__carry"))
-    out = join_on_keys(d, summ, [*keys, BUCKET])
+        d = d.withColumn(prefix + c, step(c).over(w))
+    edge = F.col("__first") | F.col("__last")
+    outer = F.col("__first" if step is F.lag else "__last")
+    ws = Window.partitionBy(*keys).orderBy(BUCKET, *_cols(order))
+    edges = d.where(edge)
     for c in cols:
-        out = out.withColumn(
-            prefix + c,
-            F.when(F.col("__is_last"), F.col("__carry").getField(c)).otherwise(F.col(prefix + c)))
-    return out.drop("__is_last", "__carry", BUCKET)
+        edges = edges.withColumn("__near", step(c).over(ws)).withColumn(
+            prefix + c, F.when(outer, F.col("__near")).otherwise(F.col(prefix + c))).drop("__near")
+    return d.where(~edge).unionByName(edges).drop("__first", "__last", BUCKET)
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -152,17 +160,17 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
     """``out`` = inclusive running sum of ``value`` over ``order`` within ``keys``."""
     val = F.col(value) if isinstance(value, str) else value
-    d = with_bucket(df, order[0], width, keys).withColumn("__v", val)
-    w = (Window.partitionBy(*keys, BUCKET).orderBy(*_cols(order))
+    d, plain = with_plain_keys(with_bucket(df, order[0], width, keys).withColumn("__v", val), keys)
+    at = [*plain, BUCKET]
+    w = (Window.partitionBy(*at).orderBy(*_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("__local", F.sum("__v").over(w))
-    summ = d.groupBy(*keys, BUCKET).agg(F.sum("__v").alias("__tot"))
-    ws = (Window.partitionBy(*keys).orderBy(BUCKET)
+    ws = (Window.partitionBy(*plain).orderBy(BUCKET)
           .rowsBetween(Window.unboundedPreceding, -1))
-    summ = summ.select(*keys, BUCKET, F.sum("__tot").over(ws).alias("__off"))
-    res = join_on_keys(d, summ, [*keys, BUCKET])
+    summ = d.groupBy(*at).agg(F.sum("__v").alias("__tot"))
+    summ = summ.select(*at, F.sum("__tot").over(ws).alias("__off"))
+    res = join_on_keys(d.withColumn("__local", F.sum("__v").over(w)), summ, at)
     total = F.col("__local") + F.coalesce(F.col("__off"), F.lit(0).cast(d.schema["__v"].dataType))
-    return res.withColumn(out, total).drop("__v", "__local", "__off", BUCKET)
+    return res.withColumn(out, total).drop("__v", "__local", "__off", BUCKET, *plain)
 
 
 def row_number0(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
