@@ -699,7 +699,7 @@ SELECT d.replay_id, d.unit_id, d.team_id, d.death_frame, s.snapshot_frame, s.met
 FROM d ASOF LEFT JOIN s ON s.replay_id = d.replay_id AND s.team_id = d.team_id
  AND s.snapshot_frame <= d.death_frame""", "unit_events", "team_stats"),
     "rc_command_codes_with_unknown": with_aspects(f"""
-SELECT replay_id, coalesce({_enum_case('cmd_id % 20', 'CommandsEnum')}, 'unknown') AS command,
+SELECT replay_id, coalesce({_enum_case('cmd_id', 'CommandsEnum')}, 'unknown') AS command,
        count(*) AS commands
 FROM a_commands_log GROUP BY ALL""", "commands_log"),
 }
@@ -722,7 +722,7 @@ def _dq_sql() -> str:
             f"SELECT replay_id, '{a}', 'frame_decreasing', CAST(count_if(frame < pf) AS BIGINT) FROM "
             f"(SELECT replay_id, frame, lag(frame) OVER (PARTITION BY replay_id ORDER BY row_ord, frame) "
             f"AS pf FROM a_{a}) GROUP BY ALL")
-        cols = [f.name for f in ASPECTS[a] if not f.nullable and f.enum is None]
+        cols = [f.name for f in ASPECTS[a] if not f.nullable]
         cond = " OR ".join(f"{c} IS NULL" for c in cols)
         parts.append(
             f"SELECT replay_id, '{a}', 'required_null', CAST(count_if({cond}) AS BIGINT) "
@@ -818,11 +818,35 @@ SELECT replay_id, unit_team_id AS team_id, unit_def_id, frame // 300 * 300 AS ti
 FROM a_unit_events WHERE event_type = 'CREATED' GROUP BY ALL""", "unit_events")
 
 
-EXTRA_SQL["ingest_damage_log"] = with_aspects("""
-SELECT * EXCLUDE (row_ord) REPLACE (floor(damage * CAST(10 AS DOUBLE)) / CAST(10 AS DOUBLE) AS damage)
-FROM a_damage_log""", "damage_log")
-EXTRA_SQL["ingest_commands_log"] = with_aspects(
-    "SELECT * EXCLUDE (row_ord) FROM a_commands_log", "commands_log")
+EXTRA_SQL["ss_unit_engagements"] = with_aspects("""
+SELECT replay_id, attacker_unit_id, min(frame) AS start_frame, max(frame) AS end_frame,
+       round(sum(damage), 4) AS total_damage, CAST(sum(hits) AS BIGINT) AS hits,
+       round((max(frame) - min(frame)) / 30.0, 6) AS duration_seconds
+FROM (SELECT *, sum(split) OVER (PARTITION BY replay_id, attacker_unit_id ORDER BY frame) AS sid
+      FROM (SELECT *, CASE WHEN frame - lag(frame) OVER (
+                         PARTITION BY replay_id, attacker_unit_id ORDER BY frame) > 450
+                      THEN 1 ELSE 0 END AS split
+            FROM (SELECT replay_id, attacker_unit_id, frame, sum(damage) AS damage,
+                         count(*) AS hits
+                  FROM a_damage_log WHERE attacker_unit_id IS NOT NULL GROUP BY ALL)))
+GROUP BY replay_id, attacker_unit_id, sid""", "damage_log")
+
+
+def _ingested(aspect: str) -> str:
+    """The aspect as it comes back from quantized positional records."""
+    from tickframe.schemas import ASPECTS
+    steps = [f"floor({f.name} * CAST({f.divisor} AS DOUBLE)) / CAST({f.divisor} AS DOUBLE) "
+             f"AS {f.name}" for f in ASPECTS[aspect] if f.divisor is not None]
+    replace = f" REPLACE ({', '.join(steps)})" if steps else ""
+    return with_aspects(f"SELECT * EXCLUDE (row_ord){replace} FROM a_{aspect}", aspect)
+
+
+def _all_ingested() -> dict[str, str]:
+    from tickframe.plans.catalog import INGESTED
+    return {f"ingest_{a}": _ingested(a) for a in INGESTED}
+
+
+EXTRA_SQL.update(_all_ingested())
 EXTRA_SQL["sink_row_major_army_value_timeline"] = EXTRA_SQL["out_army_value_timeline"]
 EXTRA_SQL["sink_columnar_unit_economic_contribution_binned"] = \
     EXTRA_SQL["out_unit_economic_contribution_binned"]

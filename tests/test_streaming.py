@@ -1,6 +1,4 @@
-"""Streaming jobs equal their batch counterparts on a finished input."""
-
-from pyspark.sql import functions as F
+"""Streaming jobs equal their batch counterparts, in whatever order replays arrive."""
 
 from tests.conftest import make
 from tickframe.plans import stats as S
@@ -11,21 +9,22 @@ DMG = ("replay_id long, frame long, attacker_unit_id long, attacker_team_id long
        "victim_pos_x long, victim_pos_y long, row_ord long")
 
 
-def _run(spark, static_df, build, tmp_path, name, mode="update"):
-    src = str(tmp_path / f"{name}_in")
-    static_df.write.parquet(src)
-    stream = build(jobs.read_aspect_stream(spark, src, static_df.schema))
-    q = jobs.start(stream, name, str(tmp_path / f"{name}_out"), mode=mode, available_now=True,
-                   checkpoint=str(tmp_path / f"{name}_ckpt"))
-    q.awaitTermination(120)
-    return spark.read.parquet(str(tmp_path / f"{name}_out"))
+def _run(spark, frames, job, tmp_path):
+    """One availableNow run for each frame of new files, on one checkpoint."""
+    src, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
+    for df in frames:
+        df.write.mode("append").parquet(src)
+        q = jobs.start(job, jobs.read_aspect_stream(spark, src, df.schema), out,
+                       available_now=True, checkpoint=ckpt)
+        q.awaitTermination(120)
+    return jobs.result(job, spark, out)
 
 
 def test_minute_activity_matches_batch(spark, tmp_path):
     rows = [(0, f, t, n, i) for i, (f, t, n) in enumerate(
         [(10, 1, "ATTACK"), (20, 1, "BUILD"), (1799, 1, "MOVE"), (1800, 1, None), (40, 2, "FIGHT")])]
     df = make(spark, rows, CMD)
-    got = _run(spark, df, jobs.minute_activity_stream, tmp_path, "apm")
+    got = _run(spark, [df], jobs.MINUTE_ACTIVITY, tmp_path)
     batch = S.calculate_player_apm_and_focus({"commands_log": df})
     key = ["replay_id", "player_id", "minute", "actions_per_minute", "combat_focus_pct",
            "economy_focus_pct"]
@@ -33,15 +32,23 @@ def test_minute_activity_matches_batch(spark, tmp_path):
         tuple(r) for r in batch.select(*key).collect())
 
 
+def test_no_replay_is_late(spark, tmp_path):
+    # three replays on the same clock in three runs, the last one split over two
+    minutes = range(30)
+    frames = [make(spark, [(r, m * 1800, 1, "MOVE", m) for m in part], CMD)
+              for r, part in ((0, minutes), (1, minutes), (2, minutes[:10]), (2, minutes[5:]))]
+    got = _run(spark, frames, jobs.MINUTE_ACTIVITY, tmp_path).collect()
+    assert len(got) == 90
+    assert sum(r.actions_per_minute for r in got) == 95
+
+
 def test_unit_sessions_gap_rule(spark, tmp_path):
-    # lull 10 s = 300 frames: 0,100,400 (gap exactly 300 stays) | 701
-    rows = [(0, f, 7, 1, 1.0, 0, 0, i) for i, f in enumerate([0, 100, 400, 701])]
-    rows.append((0, 100_000, 99, 1, 1.0, 0, 0, 9))  # later hit elsewhere: moves the watermark
-    df = make(spark, rows, DMG)
-    got = _run(spark, df, lambda s: jobs.unit_engagement_stream(
-        s, lull_seconds=10.0, watermark="0 seconds"), tmp_path, "eng", mode="append")
-    assert sorted((r.start_frame, r.end_frame, r.hits) for r in got.filter(
-        "attacker_unit_id = 7").collect()) == [(0, 400, 3), (701, 701, 1)]
+    # lull 10 s = 300 frames: 0,100,400 (gap exactly 300 stays) | 701; one hit arrives last
+    early = make(spark, [(0, f, 7, 1, 1.0, 0, 0, i) for i, f in enumerate([0, 400, 701])], DMG)
+    late = make(spark, [(0, 100, 7, 1, 1.0, 0, 0, 3), (1, 5, 7, 1, 2.0, 0, 0, 4)], DMG)
+    got = _run(spark, [early, late], jobs.unit_engagements(10.0), tmp_path).collect()
+    assert sorted((r.replay_id, r.start_frame, r.end_frame, r.hits) for r in got) == [
+        (0, 0, 400, 3), (0, 701, 701, 1), (1, 5, 5, 1)]
 
 
 def test_binned_production(spark, tmp_path):
@@ -49,6 +56,6 @@ def test_binned_production(spark, tmp_path):
                       (0, 300, 3, 5, 2, "CREATED", 2), (0, 310, 3, 5, 2, "FINISHED", 3)],
               "replay_id long, frame long, unit_id long, unit_def_id long, unit_team_id long, "
               "event_type string, row_ord long")
-    got = _run(spark, ue, jobs.binned_production_stream, tmp_path, "bins")
+    got = _run(spark, [ue], jobs.binned_production(), tmp_path)
     assert sorted((r.time_bin_start_frame, r.units_produced_in_bin) for r in got.collect()) == [
         (0, 2), (300, 1)]

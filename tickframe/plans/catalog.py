@@ -18,8 +18,10 @@ from ..sources import adapters
 from ..streaming import jobs as streams
 from . import checks, recipes, stats, views
 
+INGESTED = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
+            "team_stats", "start_pos", "map_envir_econ", "unit_state_snapshots",
+            "construction_log")
 ECON = ["unit_economy", "unit_events"]
-STREAM_TIMEOUT_S = 3600
 _BIN_METRICS_PRE = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",
                     "total_metal_consumed_in_bin", "total_energy_produced_in_bin",
                     "total_energy_consumed_in_bin")
@@ -60,32 +62,25 @@ def _stat(fn, aspects, **kw):
     return lambda spark, sf_dir: fn(adapters.load(spark, sf_dir, *aspects), **kw)
 
 
-def _streamed(aspect: str, build, keys: list[str]):
-    """Run a Structured Streaming job over an aspect derived from the driver
-    tables: the aspect is written under the session's checkpoint dir, read as
-    a file stream, processed with ``availableNow`` in update mode and the sink
-    read back keeping each key's latest version."""
+def _streamed(aspect: str, job):
+    """Run a streaming job over an aspect derived from the driver tables: the
+    aspect is written as several files under the session's checkpoint dir, read
+    as a file stream one file a micro-batch (``availableNow``), and the job's
+    partial rows are added up."""
     def run(spark, sf_dir):
         import uuid
 
-        from pyspark.sql import Window as W
-
         from ..session import ensure_checkpoint_dir
         src = adapters.load(spark, sf_dir, aspect)[aspect]
         root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-queries/{uuid.uuid4().hex}"
-        src.write.parquet(f"{root}/in")
-        stream = build(streams.read_aspect_stream(spark, f"{root}/in", src.schema))
-        q = streams.start(stream, f"q{uuid.uuid4().hex[:12]}", f"{root}/out", mode="update",
-                       available_now=True, checkpoint=f"{root}/ckpt")
-        if not q.awaitTermination(STREAM_TIMEOUT_S):
-            q.stop()
-            raise TimeoutError(f"streaming query {q.name} did not finish its available input")
+        src.repartition(3).write.parquet(f"{root}/in")
+        source = streams.read_aspect_stream(spark, f"{root}/in", src.schema, max_files=1)
+        q = streams.start(job, source, f"{root}/out", name=f"q{uuid.uuid4().hex[:12]}",
+                          available_now=True, checkpoint=f"{root}/ckpt")
+        q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
-        out = spark.read.parquet(f"{root}/out")
-        latest = W.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-        return (out.withColumn("__rk", F.row_number().over(latest))
-                .filter("__rk = 1").drop("__rk", "batch_id"))
+        return streams.result(job, spark, f"{root}/out")
     return run
 
 
@@ -221,21 +216,15 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         include_bin_end=True),
     "army_value_timeline_dedupe": _stat(stats.army_value_timeline,
                                         ["unit_events", "defs_map", "unit_defs"], dedupe=True),
-    "ss_minute_activity": _streamed(
-        "commands_log", streams.minute_activity_stream, ["replay_id", "player_id", "minute"]),
-    "ss_binned_production": _streamed(
-        "unit_events", streams.binned_production_stream,
-        ["replay_id", "team_id", "unit_def_id", "time_bin_start_frame"]),
-    "ingest_damage_log": _ingest("damage_log"),
-    "ingest_commands_log": _ingest("commands_log"),
+    "ss_minute_activity": _streamed("commands_log", streams.MINUTE_ACTIVITY),
+    "ss_unit_engagements": _streamed("damage_log", streams.unit_engagements()),
+    "ss_binned_production": _streamed("unit_events", streams.binned_production()),
+    **{f"ingest_{a}": _ingest(a) for a in INGESTED},
     "dq_report": _tables(checks.quality_report, [*checks.FRAMED, "start_pos"]),
 }
 
-_BIN_METRICS = ("total_unit_seconds_in_bin", "total_metal_produced_in_bin",
-                "total_metal_consumed_in_bin", "total_energy_produced_in_bin",
-                "total_energy_consumed_in_bin")
-
 DIGITS: dict[str, dict[str, int]] = {
+    "ss_unit_engagements": {"total_damage": 4, "duration_seconds": 6},
     "ss_minute_activity": {"combat_focus_pct": 6, "economy_focus_pct": 6},
     "resources_by_player_final": {c: 4 for c in ("total_metal_produced", "total_metal_used",
                                                  "total_energy_produced", "total_energy_used")},

@@ -44,7 +44,7 @@ def frame_order(tables, aspect: str, width: int = DEFAULT_BUCKET_FRAMES) -> Data
 
 
 def required_not_null(tables, aspect: str) -> DataFrame:  # DQ-4
-    cols = [f.name for f in ASPECTS[aspect] if not f.nullable and f.enum is None]
+    cols = [f.name for f in ASPECTS[aspect] if not f.nullable]
     df = tables[aspect]
     cols = [c for c in cols if c in df.columns]
     bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])

@@ -116,9 +116,8 @@ def resources_at_death(tables, width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
 
 
 # RC-9
-def command_codes_with_unknown(tables, code_col: str = "cmd_id", modulus: int = 20) -> DataFrame:
-    """Decode raw command codes, grouping codes outside the enum into
-    "unknown" (here the raw code is ``cmd_id % modulus``)."""
+def command_codes_with_unknown(tables, code_col: str = "cmd_id") -> DataFrame:
+    """Decode raw command codes, grouping codes outside the enum into "unknown"."""
     c = tables["commands_log"]
-    name = F.coalesce(code_to_name(F.col(code_col) % modulus, "CommandsEnum"), F.lit("unknown"))
+    name = F.coalesce(code_to_name(F.col(code_col), "CommandsEnum"), F.lit("unknown"))
     return c.groupBy(R, name.alias("command")).agg(F.count(F.lit(1)).alias("commands"))

@@ -1,9 +1,11 @@
 """Structured Streaming variants of the event-time stats (SS-1..3)."""
 
 from .jobs import (  # noqa: F401
-    binned_production_stream,
-    minute_activity_stream,
+    MINUTE_ACTIVITY,
+    StreamJob,
+    binned_production,
+    read_aspect_stream,
+    result,
     start,
-    unit_engagement_stream,
-    with_event_time,
+    unit_engagements,
 )

@@ -1,97 +1,132 @@
 """Streaming jobs over aspect tables arriving as files.
 
-Event time is ``ts = start + frame / 30 s``.  Each job is a plain streaming
-DataFrame (``readStream`` in, aggregation with a watermark, ``writeStream``
-out), so state lives in Spark's state store and survives restarts through
-the checkpoint under the session's shared ``spark.checkpoint.dir``.
-
-* SS-1 ``minute_activity_stream``: tumbling 1-minute windows per player --
-  actions and combat/economy share (the streaming form of the APM stat).
-* SS-2 ``unit_engagement_stream``: per attacker unit ``session_window`` with
-  the lull as gap; a hit exactly ``gap`` after the previous one stays in the
-  session, matching the batch rule "split when gap > lull".  Durations come
-  from min/max frame (a session's end is last hit + gap).
-* SS-3 ``binned_production_stream``: tumbling bins of unit creations per
-  (team, unit def).
+Replays arrive in any order and all start at frame 0, so no clock is shared by
+two of them and no watermark fits: it would call every replay but the furthest
+late.  Each job therefore sums what a micro-batch holds into additive partial
+rows and writes them to the batch's own folder; reading a job's output adds the
+partial rows up.  Nothing is ever late, a batch that is run again after a
+failure overwrites its own folder, and no state grows in memory.
+
+* SS-1 ``MINUTE_ACTIVITY``: actions and combat/economy share per player and
+  minute (the streaming form of the APM stat).
+* SS-2 ``unit_engagements(lull_seconds)``: gap sessions per attacker unit.
+  Partial rows are hits and damage per frame; sessions are numbered on reading,
+  with the batch rule "split when gap > lull", and the last one is closed too.
+* SS-3 ``binned_production(bin_seconds)``: unit creations per bin, team and
+  unit definition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import FRAME_RATE
 from ..enums import COMBAT_COMMANDS, ECONOMY_COMMANDS
+from ..functions.frames import bin_start, minute_of
+from ..operators import gap_sessionize
 from ..session import ensure_checkpoint_dir
 
-EPOCH_US = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z: frame 0 of the stream clock
+
+@dataclass(frozen=True)
+class StreamJob:
+    """``partial`` sums one micro-batch; ``final`` adds up all partial rows."""
+
+    name: str
+    partial: Callable[[DataFrame], DataFrame]
+    final: Callable[[DataFrame], DataFrame]
 
 
-def with_event_time(df: DataFrame, start_us: int = EPOCH_US) -> DataFrame:
-    """Add ``ts`` (timestamp) = start + frame / 30 seconds (exact micros)."""
-    micros = F.lit(start_us) + F.expr(f"(frame * 1000000) div {FRAME_RATE}")
-    return df.withColumn("ts", F.timestamp_micros(micros))
+def _activity(batch: DataFrame) -> DataFrame:
+    return batch.groupBy("replay_id", F.col("teamId").alias("player_id"),
+                         minute_of("frame").alias("minute")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("cmd_name").isin(COMBAT_COMMANDS)).alias("combat"),
+        F.count_if(F.col("cmd_name").isin(ECONOMY_COMMANDS)).alias("economy"))
 
 
-def minute_activity_stream(commands: DataFrame, watermark: str = "2 minutes") -> DataFrame:
-    c = with_event_time(commands).withWatermark("ts", watermark)
-    n = F.count(F.lit(1))
-    return c.groupBy("replay_id", F.col("teamId").alias("player_id"),
-                     F.window("ts", "1 minute").alias("w")).agg(
+def _activity_total(partial: DataFrame) -> DataFrame:
+    n = F.sum("n")
+    return partial.groupBy("replay_id", "player_id", "minute").agg(
         n.alias("actions_per_minute"),
-        (F.count_if(F.col("cmd_name").isin(COMBAT_COMMANDS)) / n * 100).alias("combat_focus_pct"),
-        (F.count_if(F.col("cmd_name").isin(ECONOMY_COMMANDS)) / n * 100).alias("economy_focus_pct"),
-    ).select("replay_id", "player_id",
-             (F.unix_micros(F.col("w.start")) - F.lit(EPOCH_US)).alias("_us"),
-             "actions_per_minute", "combat_focus_pct", "economy_focus_pct") \
-     .withColumn("minute", (F.col("_us") / F.lit(60_000_000)).cast("int")).drop("_us")
-
-
-def unit_engagement_stream(damage: DataFrame, lull_seconds: float = 15.0,
-                           watermark: str = "1 minute") -> DataFrame:
-    d = with_event_time(damage.filter(F.col("attacker_unit_id").isNotNull())).withWatermark(
-        "ts", watermark)
-    gap = f"{int(lull_seconds * 1_000_000)} microseconds"
-    return d.groupBy("replay_id", "attacker_unit_id", F.session_window("ts", gap).alias("s")).agg(
-        F.min("frame").alias("start_frame"),
-        F.max("frame").alias("end_frame"),
-        F.sum("damage").alias("total_damage"),
-        F.count(F.lit(1)).alias("hits"),
-    ).select("replay_id", "attacker_unit_id", "start_frame", "end_frame", "total_damage", "hits",
-             ((F.col("end_frame") - F.col("start_frame")) / F.lit(float(FRAME_RATE)))
-             .alias("duration_seconds"))
-
-
-def binned_production_stream(unit_events: DataFrame, bin_seconds: int = 10,
-                             watermark: str = "1 minute") -> DataFrame:
-    e = with_event_time(unit_events.filter(F.col("event_type") == "CREATED")).withWatermark(
-        "ts", watermark)
-    return e.groupBy("replay_id", F.col("unit_team_id").alias("team_id"), "unit_def_id",
-                     F.window("ts", f"{bin_seconds} seconds").alias("w")).agg(
-        F.count(F.lit(1)).alias("units_produced_in_bin")
-    ).select("replay_id", "team_id", "unit_def_id",
-             ((F.unix_micros(F.col("w.start")) - F.lit(EPOCH_US)) * FRAME_RATE / 1_000_000)
-             .cast("long").alias("time_bin_start_frame"),
-             "units_produced_in_bin")
-
-
-def read_aspect_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+        (F.sum("combat") / n * 100).alias("combat_focus_pct"),
+        (F.sum("economy") / n * 100).alias("economy_focus_pct"))
+
+
+MINUTE_ACTIVITY = StreamJob("minute_activity", _activity, _activity_total)
+
+
+def unit_engagements(lull_seconds: float = 15.0) -> StreamJob:
+    key = ["replay_id", "attacker_unit_id"]
+    lull = lull_seconds * FRAME_RATE
+
+    def partial(batch: DataFrame) -> DataFrame:
+        hits = batch.filter(F.col("attacker_unit_id").isNotNull())
+        return hits.groupBy(*key, "frame").agg(F.sum("damage").alias("damage"),
+                                               F.count(F.lit(1)).alias("hits"))
+
+    def final(partials: DataFrame) -> DataFrame:
+        frames = partials.groupBy(*key, "frame").agg(F.sum("damage").alias("damage"),
+                                                     F.sum("hits").alias("hits"))
+        d = gap_sessionize(frames, key, ["frame"], ["frame"],
+                           lambda prev, cur: cur["frame"] - prev["frame"] > lull)
+        return d.groupBy(*key, "session_id").agg(
+            F.min("frame").alias("start_frame"), F.max("frame").alias("end_frame"),
+            F.sum("damage").alias("total_damage"), F.sum("hits").alias("hits")).select(
+            *key, "start_frame", "end_frame", "total_damage", "hits",
+            ((F.col("end_frame") - F.col("start_frame")) / F.lit(float(FRAME_RATE)))
+            .alias("duration_seconds"))
+
+    return StreamJob("unit_engagements", partial, final)
+
+
+def binned_production(bin_seconds: int = 10) -> StreamJob:
+    key = ["replay_id", "team_id", "unit_def_id", "time_bin_start_frame"]
+
+    def partial(batch: DataFrame) -> DataFrame:
+        made = batch.filter(F.col("event_type") == "CREATED").withColumnRenamed(
+            "unit_team_id", "team_id")
+        return made.withColumn("time_bin_start_frame", bin_start(
+            "frame", bin_seconds * FRAME_RATE)).groupBy(*key).agg(
+            F.count(F.lit(1)).alias("units_produced_in_bin"))
+
+    def final(partials: DataFrame) -> DataFrame:
+        return partials.groupBy(*key).agg(
+            F.sum("units_produced_in_bin").alias("units_produced_in_bin"))
+
+    return StreamJob("binned_production", partial, final)
+
+
+def read_aspect_stream(spark: SparkSession, path: str, schema,
+                       max_files: int | None = None) -> DataFrame:
     """Aspect rows arriving as Parquet files under ``path``."""
-    return spark.readStream.schema(schema).parquet(path)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.parquet(path)
 
 
-def start(df: DataFrame, name: str, sink_path: str, mode: str = "append",
+def start(job: StreamJob, source: DataFrame, sink_path: str, name: str | None = None,
           available_now: bool = False, checkpoint: str | None = None):
-    """Start a query writing Parquet to ``sink_path``; the checkpoint goes to
-    ``<spark.checkpoint.dir>/streams/<name>`` unless given."""
-    spark = df.sparkSession
+    """Start ``job`` on a streaming ``source``; partial rows go to ``sink_path``.
+
+    The checkpoint goes to ``<spark.checkpoint.dir>/streams/<name>`` unless given.
+    """
+    name = name or job.name
+    spark = source.sparkSession
     root = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    w = df.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", root)
-    if mode == "append":
-        w = w.format("parquet").option("path", sink_path)
-    else:  # update: upsert-style sinks go through foreachBatch
-        def write_batch(batch: DataFrame, batch_id: int):
-            batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_path)
-        w = w.foreachBatch(write_batch)
-    w = w.trigger(availableNow=True) if available_now else w
-    return w.start()
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        job.partial(batch).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+
+    w = (source.writeStream.queryName(name).option("checkpointLocation", root)
+         .foreachBatch(write_batch))
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def result(job: StreamJob, spark: SparkSession, sink_path: str) -> DataFrame:
+    """What a job has counted so far."""
+    return job.final(spark.read.parquet(sink_path).drop("batch_id"))
