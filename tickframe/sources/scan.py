@@ -161,9 +161,11 @@ def positional_json(spark: SparkSession, path: str, replay_id: str | None = None
                     aspect: str | None = None) -> DataFrame:
     """JSON lines, one positional array per line -> raw rows (replay and
     aspect from the path unless given)."""
+    # a split's rows are fewer than its bytes, so the sum keeps the order of the file
+    in_split = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     txt = spark.read.text(path).select(
         F.input_file_name().alias("path"), "value",
-        F.monotonically_increasing_id().alias("__id"))
+        (F.col("_metadata.file_block_start") + in_split).alias("__id"))
     arr = F.from_json("value", T.ArrayType(T.StringType()))
     return _from_array(txt, arr, replay_id, aspect, order="__id")
 
@@ -173,7 +175,7 @@ def positional_parquet(spark: SparkSession, path: str, column: str = "vals",
     """Parquet with an ``array<string>`` positional column -> raw rows."""
     df = spark.read.parquet(path).select(
         F.input_file_name().alias("path"), F.col(column).alias("value"),
-        F.monotonically_increasing_id().alias("__id"))
+        F.col("_metadata.row_index").alias("__id"))
     return _from_array(df, F.col("value"), replay_id, aspect, order="__id")
 
 
@@ -188,33 +190,32 @@ def _from_array(df: DataFrame, arr: Column, replay_id, aspect, order: str) -> Da
 
 
 def _tag_expr(v: Column) -> Column:
-    return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(v.rlike(r"^-?[0-9]+$"), F.concat(F.lit("i:"), v))
-            .when(v.rlike(r"^-?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$"), F.concat(F.lit("f:"), v))
-            .when(v.isin("true", "false"), F.concat(F.lit("b:"), v))
-            .otherwise(F.concat(F.lit("s:"), v)))
+    """Text without a kind of its own; the declared type of its field decides."""
+    return F.when(v.isNotNull(), F.concat(F.lit("u:"), v))
 
 
 # --------------------------------------------------------------------------- bind
 def _field_value(f: Field, raw: Column, on_bad_enum: str) -> tuple[Column, Column]:
     """(typed value, error message or null) for one positional field."""
     kind = F.substring(raw, 1, 1)
-    payload = F.substring(raw, 3, 1 << 30)
-    as_long = F.when(kind == "i", payload.try_cast("long")).when(
-        (kind == "f") & (payload.try_cast("double") == F.floor(payload.try_cast("double"))),
+    payload = F.substr(raw, F.lit(3))
+    as_long = F.when((kind == "i") | (kind == "u") & payload.rlike("^[+-]?[0-9]+$"),
+                     payload.try_cast("long")).when(
+        kind.isin("f", "u") & (payload.try_cast("double") == F.floor(payload.try_cast("double"))),
         payload.try_cast("double").try_cast("long")).when(kind == "s", payload.try_cast("long"))
     if f.enum is not None or f.divisor is not None or f.kind == "long":
         val = as_long
         want = "integer"
     elif f.kind == "double":
-        val = F.when(kind.isin("i", "f", "s"), payload.try_cast("double"))
+        val = F.when(kind.isin("i", "f", "s", "u"), payload.try_cast("double"))
         want = "number"
     elif f.kind == "bool":
         val = F.when(kind == "b", payload == "true").when(
-            (kind == "i") & payload.isin("0", "1"), payload == "1")
+            (kind == "u") & payload.isin("true", "false"), payload == "true").when(
+            kind.isin("i", "u") & payload.isin("0", "1"), payload == "1")
         want = "boolean"
     else:
-        val = F.when(kind == "s", payload)
+        val = F.when(kind.isin("s", "u"), payload)
         want = "string"
     err = F.when(raw.isNotNull() & val.isNull(),
                  F.lit(f"{f.name}: expected {want}"))
