@@ -12,11 +12,6 @@ def euclid(dx: Column, dy: Column) -> Column:
     return F.sqrt(dx * dx + dy * dy)
 
 
-def safe_sum(c: str | Column) -> Column:
-    """Sum where an all-null (or empty) group gives 0, not null."""
-    return F.coalesce(F.sum(_c(c)), F.lit(0))
-
-
 def quantize(c: str | Column, scale: float) -> Column:
     """Static quantization ``round(x / scale)`` with half-even ties."""
     return F.bround(_c(c).cast("double") / F.lit(scale), 0)

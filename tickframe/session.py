@@ -3,7 +3,7 @@
 The library never creates a session behind the caller's back; ``local_session``
 is for tests, the bench and examples.  ``checkpoint_dir`` reads the cluster's
 shared ``spark.checkpoint.dir`` and only falls back to a scratch folder when
-the setting is absent (local tests).
+the setting is absent in a local session (tests); on a cluster it raises.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tickframe-ckpt-")
     sc.setCheckpointDir(path)
     return path

@@ -134,8 +134,9 @@ CONTRACTS: dict[str, Contract] = {
         "attacker_team_id": cast("Int16", -1),
         "victim_unit_id": cast("Int32"),
         "victim_def_id": cast("Int32"),
-        "attacker_unit_id": cast("UInt16", -1),
-        "attacker_def_id": cast("UInt16", -1),
+        # unsigned columns cannot hold -1: no attacker is the type's largest value
+        "attacker_unit_id": cast("UInt16", 65535),
+        "attacker_def_id": cast("UInt16", 65535),
         "weapon_def_id": cast("Int32"),
         "projectile_id": cast("Int32", -1),
         "damage": cast("Float64"),
@@ -261,20 +262,8 @@ def encode_nulls(df: DataFrame, contract: Contract | None, layout: str | None =
 def lookup_rows(defs: DataFrame, key_column: str | None = None,
                 value_columns: list[str] | None = None) -> DataFrame:
     """Lookup-map asset (OUT-9) as rows ``(key, values)``; distributed, never
-    gathered into one map unless ``lookup_map`` is asked for."""
+    gathered into one map."""
     key_column = key_column or DEFS_LOOKUP["key_column"]
     value_columns = value_columns or DEFS_LOOKUP["value_columns"]
     return defs.select(F.col(key_column).alias("key"),
                        F.array(*[F.col(c).cast("string") for c in value_columns]).alias("values"))
-
-
-def lookup_map(defs: DataFrame, max_entries: int = 100_000, **kw) -> DataFrame:
-    """One-row ``map<key, array<string>>``.  The entry count is checked first:
-    above ``max_entries`` the map would be one oversized row, so it raises
-    and callers use ``lookup_rows``."""
-    rows = lookup_rows(defs, **kw)
-    n = rows.count()
-    if n > max_entries:
-        raise ContractError(f"lookup map has {n} entries (> {max_entries}); use lookup_rows")
-    return rows.agg(F.map_from_entries(F.collect_list(F.struct("key", "values"))).alias("lookup"))
-
