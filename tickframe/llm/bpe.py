@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=4)
