@@ -96,9 +96,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     ids = stored(identities(docs, id_col, text_col, block_bytes), "identities")
-    keep = (ids.groupBy("levels", "name")
+    keep = stored(ids.groupBy("levels", "name")
             .agg(F.max(F.struct("doc_id", "rid")).alias("keep"),
-                 F.count(F.lit(1)).alias("group_size")))
+                 F.count(F.lit(1)).alias("group_size")), "groups")
     return ids.join(keep, ["levels", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("keep.rid")).alias("kept"), "text_sha256")
