@@ -17,8 +17,8 @@ benchmark's windows are broadcast only while they are few (``MAX_BROADCAST``),
 beyond that the join shuffles.
 
 Cases: null and empty texts have no windows; items without a usable window
-(fewer than ``WINDOW`` words, or slots throughout) cannot be matched; rows that
-share an id count as one document or item; null ids are matched like any other;
+(fewer than ``WINDOW`` words, or slots throughout) cannot be matched; of rows
+that share an id the best match counts; null ids are matched like any other;
 an empty table on either side gives an empty result; other columns are not read.
 """
 
@@ -35,6 +35,7 @@ WINDOW = 5
 LITERALS = 3
 COVERAGE = 0.5
 MAX_BROADCAST = 500_000
+DOC = ["doc_id", "doc_hash"]
 
 # fixed values: units of measure that may follow a number
 UNITS = ("mm", "cm", "dm", "m", "km", "inch", "inches", "ft", "foot", "feet", "yd", "yards",
@@ -47,7 +48,7 @@ UNITS = ("mm", "cm", "dm", "m", "km", "inch", "inches", "ft", "foot", "feet", "y
          "%", "€", "$", "£", "°")
 
 # a word that starts a sentence brings along what stands between it and the sentence before
-_TOKEN = ("(?:[.!?:\\n][^\\p{L}0-9]*(?=\\p{Lu}))?\\p{L}[\\p{L}\\p{M}]*"
+_TOKEN = ("(?:[.!?:\\n][^\\p{L}0-9]*(?=\\p{Lu}))?\\p{L}[\\p{L}\\p{M}0-9]*"
           "|[0-9]+(?:[.,][0-9]+)*|[%€$£°]")
 
 
@@ -71,24 +72,23 @@ def templates(raw: Column) -> Column:
     return F.transform(raw, one)
 
 
-def _windows(rows: DataFrame, key: str, window: int) -> DataFrame:
-    """Rows (key, at, window) of the hashes of all windows of rows (key, tokens).
+def _windows(rows: DataFrame, key: list[str], window: int) -> DataFrame:
+    """Rows (*key, at, window) of the hashes of all windows of rows (*key, tokens).
 
     The last, shorter windows of a text have hashes too; no full window has those.
     """
     def one(token: Column, i: Column) -> Column:
         return F.xxhash64(token, *[F.get("tokens", i + k) for k in range(1, window)])
-    return rows.select(key, F.posexplode(F.transform("tokens", one)).alias("at", "window"))
+    return rows.select(*key, F.posexplode(F.transform("tokens", one)).alias("at", "window"))
 
 
-def _usable(rows: DataFrame, key: str, window: int) -> DataFrame:
+def _usable(rows: DataFrame, window: int) -> DataFrame:
     """Windows of the benchmark that are full and have plain words enough."""
     plain = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(window)),
                             lambda t: ~t.startswith("<")))
     full = F.col("at") + window <= F.size("tokens")
-    found = _windows(rows, key, window).join(rows.select(F.col(key).alias("of"), "tokens"),
-                                             F.col(key).eqNullSafe(F.col("of")))
-    return found.where(full & (plain >= LITERALS)).select(key, "at", "window")
+    found = _windows(rows, ["item_id", "raw", "tokens"], window)
+    return found.where(full & (plain >= LITERALS)).select("item_id", "at", "window")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -98,37 +98,40 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     items = stored(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                                     raw_tokens(F.col(item_text_col)).alias("raw"))
                    .select("item_id", "raw", templates(F.col("raw")).alias("tokens")), "items")
-    bench = stored(_usable(items, "item_id", window)
+    bench = stored(_usable(items, window)
                    .withColumnRenamed("at", "item_at").distinct(), "item-windows")
     totals = bench.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
     side = F.broadcast(bench) if bench.count() <= MAX_BROADCAST else bench
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # rows that share an id are told apart by the hash of their texts
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        F.xxhash64(F.col(text_col)).alias("doc_hash"))
     # one projection a step: a lambda must refer to a finished array, not to its expression
-    cut = (texts.select("doc_id", raw_tokens(F.col("text")).alias("raw"))
-           .select("doc_id", templates(F.col("raw")).alias("tokens")))
-    matched = stored(_windows(cut, "doc_id", window).join(side, "window")
-                     .select("doc_id", "at", "item_id", "item_at", "window"), "matches")
+    cut = (texts.select(*DOC, raw_tokens(F.col("text")).alias("raw"))
+           .select(*DOC, templates(F.col("raw")).alias("tokens")))
+    matched = stored(_windows(cut, DOC, window).join(side, "window")
+                     .select(*DOC, "at", "item_id", "item_at", "window"), "matches")
 
     slotted = stored(matched.join(
         items.select(F.col("item_id").alias("slot_item"), F.col("raw").alias("item_raw"),
                      F.col("tokens").alias("item_tokens"))
         .where(F.exists("item_tokens", lambda t: t.startswith("<"))),
         F.col("item_id").eqNullSafe(F.col("slot_item")))
-        .select("doc_id", "at", "item_id", "item_at", F.explode(F.transform(
+        .select(*DOC, "at", "item_id", "item_at", F.explode(F.transform(
             F.filter(F.sequence(F.lit(0), F.lit(window - 1)),
                      lambda k: F.get("item_tokens", F.col("item_at") + k).startswith("<")),
             lambda k: F.struct(k.alias("k"), F.lower(F.get("item_raw", F.col("item_at") + k))
                      .alias("value")))).alias("slot"))
-        .select("doc_id", "item_id", (F.col("at") + F.col("slot.k")).alias("slot_at"),
+        .select(*DOC, "item_id", (F.col("at") + F.col("slot.k")).alias("slot_at"),
                 (F.col("at") - F.col("item_at")).alias("diagonal"), "slot.value").distinct(),
         "slots")
     wrong = _inconsistent(slotted, texts)
     good = matched.withColumn("diagonal", F.col("at") - F.col("item_at")).join(
         wrong, F.col("doc_id").eqNullSafe(F.col("wrong_doc"))
-        & F.col("item_id").eqNullSafe(F.col("wrong_item"))
+        & (F.col("doc_hash") == F.col("wrong_hash")) & F.col("item_id").eqNullSafe(F.col("wrong_item"))
         & (F.col("diagonal") == F.col("wrong_diagonal")), "left_anti")
-    return (good.groupBy("doc_id", "item_id").agg(F.countDistinct("window").alias("matched_windows"))
+    return (good.groupBy(*DOC, "item_id").agg(F.countDistinct("window").alias("matched"))
+            .groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched_windows"))
             .join(totals.withColumnRenamed("item_id", "of_item"),
                   F.col("item_id").eqNullSafe(F.col("of_item")))
             .select("doc_id", "item_id", "matched_windows", "item_windows",
@@ -137,12 +140,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
-    """Diagonals on which slots contradict each other: wrong_doc, wrong_item, wrong_diagonal."""
-    ids = slotted.select(F.col("doc_id").alias("slot_doc")).distinct()
-    raw = (texts.join(ids, F.col("doc_id").eqNullSafe(F.col("slot_doc")), "left_semi")
-           .select(F.col("doc_id").alias("raw_doc"), raw_tokens(F.col("text")).alias("raw")))
-    diagonal = ["doc_id", "item_id", "diagonal"]
-    filled = (slotted.join(raw, F.col("doc_id").eqNullSafe(F.col("raw_doc")))
+    """Diagonals on which slots contradict each other: wrong_doc, wrong_hash, wrong_item, wrong_diagonal."""
+    ids = slotted.select(F.col("doc_id").alias("slot_doc"),
+                         F.col("doc_hash").alias("slot_hash")).distinct()
+    raw = (texts.join(ids, F.col("doc_id").eqNullSafe(F.col("slot_doc"))
+                      & (F.col("doc_hash") == F.col("slot_hash")), "left_semi")
+           .select(F.col("doc_id").alias("raw_doc"), F.col("doc_hash").alias("raw_hash"),
+                   raw_tokens(F.col("text")).alias("raw")))
+    diagonal = [*DOC, "item_id", "diagonal"]
+    filled = (slotted.join(raw, F.col("doc_id").eqNullSafe(F.col("raw_doc"))
+                           & (F.col("doc_hash") == F.col("raw_hash")))
               .select(*diagonal, "value", F.lower(F.get("raw", "slot_at")).alias("filled"))
               .distinct())
     one_way = (filled.groupBy(*diagonal, "value").agg(F.count(F.lit(1)).alias("n"))
@@ -150,7 +157,7 @@ def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
     other_way = (filled.groupBy(*diagonal, "filled").agg(F.count(F.lit(1)).alias("n"))
                  .where("n > 1").select(*diagonal))
     return one_way.unionByName(other_way).distinct().toDF(
-        "wrong_doc", "wrong_item", "wrong_diagonal")
+        "wrong_doc", "wrong_hash", "wrong_item", "wrong_diagonal")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
