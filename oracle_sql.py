@@ -21,7 +21,8 @@ ADAPTERS = {
          CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id % 5 END AS attacker_team_id,
          user_id AS victim_unit_id,
          user_id % 40 AS victim_def_id,
-         CASE WHEN event_id % 10 = 0 THEN NULL ELSE (user_id * 7 + 3) % 150 END AS attacker_unit_id,
+         CASE WHEN event_id % 10 = 0 THEN NULL
+              ELSE user_id // 15 * 15 + (user_id * 7 + 3) % 15 END AS attacker_unit_id,
          CASE WHEN event_id % 10 = 0 THEN NULL ELSE user_id % 25 END AS attacker_def_id,
          event_id % 11 AS weapon_def_id,
          event_id AS projectile_id,
@@ -63,11 +64,16 @@ ADAPTERS = {
   FROM events""",
     "unit_events": """
   WITH o AS (
-    SELECT o_custkey // 15 AS replay_id, o_orderkey AS unit_id,
+    SELECT o_custkey // 15 AS replay_id, o_orderkey + 10000000 AS unit_id,
            o_custkey % 200 AS unit_def_id, o_custkey % 16 AS unit_team_id,
            30 * date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS born,
            o_orderstatus
-    FROM orders),
+    FROM orders
+    UNION ALL
+    SELECT c_custkey // 15, c_custkey, c_custkey % 200, c_custkey % 16, 0, 'C'
+    FROM customer WHERE c_custkey % 4 <> 3),
+  le AS (SELECT user_id, max((epoch_us(ts) - 1704067200000000) // 2000000) AS last_frame
+         FROM events GROUP BY user_id),
   ls AS (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM lineitem GROUP BY l_orderkey),
   ev AS (
     SELECT replay_id, unit_id, unit_def_id, unit_team_id, born AS frame, 'CREATED' AS event_type, 1 AS code FROM o
@@ -77,7 +83,13 @@ ADAPTERS = {
     SELECT replay_id, unit_id, unit_def_id, unit_team_id,
            greatest(30 * date_diff('day', DATE '1995-01-01', CAST(ls.last_ship AS DATE)), born + 30),
            'DESTROYED', 3
-    FROM o JOIN ls ON ls.l_orderkey = o.unit_id WHERE o.o_orderstatus = 'F')
+    FROM o JOIN ls ON ls.l_orderkey + 10000000 = o.unit_id WHERE o.o_orderstatus = 'F'
+    UNION ALL
+    SELECT replay_id, unit_id, unit_def_id, unit_team_id, last_frame + 300, 'DESTROYED', 3
+    FROM o JOIN le ON le.user_id = o.unit_id WHERE o.o_orderstatus = 'C' AND unit_id % 3 = 0
+    UNION ALL
+    SELECT replay_id, unit_id, unit_def_id, unit_team_id, 600, 'FINISHED', 4
+    FROM o WHERE o.o_orderstatus = 'C' AND unit_id % 5 = 0)
   SELECT replay_id, CAST(frame AS BIGINT) AS frame, unit_id, unit_def_id, unit_team_id,
          CAST(0 AS BIGINT) AS x, CAST(0 AS BIGINT) AS y, CAST(0 AS BIGINT) AS z,
          CAST(NULL AS BIGINT) AS attacker_unit_id, CAST(NULL AS BIGINT) AS attacker_unit_def_id,

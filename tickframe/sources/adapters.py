@@ -62,6 +62,10 @@ def day_frame(col: str | Column) -> Column:
     return (F.datediff(F.to_date(c), F.lit(DAY_EPOCH).cast("date")) * 30).cast("long")
 
 
+#: Unit ids of orders start here, above those of commanders.
+ORDER_UNITS = 10_000_000
+
+
 def _replay_of(key: str) -> Column:
     return F.expr(f"{key} div {USERS_PER_REPLAY}")
 
@@ -88,7 +92,8 @@ def damage_log(spark, sf_dir) -> DataFrame:
         attacker(F.col("user_id") % 5).alias("attacker_team_id"),
         F.col("user_id").alias("victim_unit_id"),
         (F.col("user_id") % 40).alias("victim_def_id"),
-        attacker((F.col("user_id") * 7 + 3) % 150).alias("attacker_unit_id"),
+        attacker(_replay_of("user_id") * USERS_PER_REPLAY
+                 + (F.col("user_id") * 7 + 3) % USERS_PER_REPLAY).alias("attacker_unit_id"),
         attacker(F.col("user_id") % 25).alias("attacker_def_id"),
         (F.col("event_id") % 11).alias("weapon_def_id"),
         F.col("event_id").alias("projectile_id"),
@@ -142,8 +147,15 @@ def unit_positions(spark, sf_dir) -> DataFrame:
 
 
 def unit_events(spark, sf_dir) -> DataFrame:
-    """CREATED and FINISHED at the order date; DESTROYED for finished orders
-    with lines, at greatest(last ship date, order date + 1 day)."""
+    """Units of orders and of customers.
+
+    Orders: CREATED and FINISHED at the order date; DESTROYED for finished
+    orders with lines, at greatest(last ship date, order date + 1 day).
+
+    Customers are the commanders that the event tables' units are: three in four
+    have lifecycle rows.  They are built at frame 0, every fifth is FINISHED
+    twice, and of those with events every third is DESTROYED 300 frames after
+    its last one."""
     o = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     last_ship = (
@@ -154,19 +166,30 @@ def unit_events(spark, sf_dir) -> DataFrame:
     born = day_frame("o_orderdate")
     base = o.select(
         _replay_of("o_custkey").alias("replay_id"),
-        F.col("o_orderkey").alias("unit_id"),
+        (F.col("o_orderkey") + ORDER_UNITS).alias("unit_id"),
         (F.col("o_custkey") % 200).alias("unit_def_id"),
         (F.col("o_custkey") % 16).alias("unit_team_id"),
         born.alias("born"),
         F.col("o_orderstatus"),
     )
+    commanders = _table(spark, sf_dir, "customer").where("c_custkey % 4 <> 3").select(
+        _replay_of("c_custkey").alias("replay_id"),
+        F.col("c_custkey").alias("unit_id"),
+        (F.col("c_custkey") % 200).alias("unit_def_id"),
+        (F.col("c_custkey") % 16).alias("unit_team_id"),
+        F.lit(0).cast("long").alias("born"),
+        F.lit("C").alias("o_orderstatus"),
+    )
+    last_event = (_table(spark, sf_dir, "events").groupBy("user_id")
+                  .agg(F.max(event_frame()).alias("last_frame")))
+    base = base.unionByName(commanders)
     created = base.select("*", F.lit("CREATED").alias("event_type"),
                           F.col("born").alias("frame"), F.lit(1).alias("code"))
     finished = base.select("*", F.lit("FINISHED").alias("event_type"),
                            F.col("born").alias("frame"), F.lit(2).alias("code"))
     dead = (
         base.filter(F.col("o_orderstatus") == "F")
-        .join(last_ship, base.unit_id == last_ship.l_orderkey, "inner")
+        .join(last_ship, base.unit_id == last_ship.l_orderkey + ORDER_UNITS, "inner")
         .select(
             *[base[c] for c in base.columns],
             F.lit("DESTROYED").alias("event_type"),
@@ -174,8 +197,18 @@ def unit_events(spark, sf_dir) -> DataFrame:
             F.lit(3).alias("code"),
         )
     )
+    fallen = (
+        commanders.where("unit_id % 3 = 0")
+        .join(last_event, F.col("unit_id") == F.col("user_id"))
+        .select(*commanders.columns, F.lit("DESTROYED").alias("event_type"),
+                (F.col("last_frame") + 300).alias("frame"), F.lit(3).alias("code"))
+    )
+    again = commanders.where("unit_id % 5 = 0").select(
+        "*", F.lit("FINISHED").alias("event_type"), F.lit(600).cast("long").alias("frame"),
+        F.lit(4).alias("code"))
     nul = F.lit(None).cast("long")
-    return created.unionByName(finished).unionByName(dead).select(
+    return created.unionByName(finished).unionByName(dead).unionByName(fallen).unionByName(
+        again).select(
         "replay_id",
         F.col("frame").cast("long").alias("frame"),
         "unit_id", "unit_def_id", "unit_team_id",
