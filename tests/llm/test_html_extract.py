@@ -76,17 +76,24 @@ def test_viterbi_and_gradient_equal_enumeration():
     ways = list(itertools.product((0, 1), repeat=5))
     scores = np.array([_score(model, active, list(y)) for y in ways])
     assert tuple(model.viterbi(active)) == ways[int(scores.argmax())]
+    # one page of five blocks, and one of a single block beside it
+    short = [[4, 2]]
     p = np.exp(scores - np.logaddexp.reduce(scores))
+    alone = np.array([_score(model, short, [0]), _score(model, short, [1])])
+    q = np.exp(alone - np.logaddexp.reduce(alone))
     y = [0, 1, 1, 0, 1]
-    left, step, ends, like = model.gradient(active, y)
-    assert np.isclose(like, np.log(p[ways.index(tuple(y))]))
-    mean = sum(w * np.eye(2)[list(z)] for w, z in zip(p, ways, strict=True))
-    assert np.allclose(left, np.eye(2)[y] - mean)
+    emit, step, ends, like = model.gradient([short, active], [[1], y])
+    assert np.isclose(like, np.log(p[ways.index(tuple(y))]) + np.log(q[1]))
+    left = np.eye(2)[y] - sum(w * np.eye(2)[list(z)] for w, z in zip(p, ways, strict=True))
+    left_short = np.eye(2)[1] - q
+    want = np.zeros((hx.FEATURES, 2))
+    for block, x in zip(active + short, [*left, left_short], strict=True):
+        for f in block:
+            want[f] += x
+    assert np.allclose(emit, want)
     pairs = np.zeros((2, 2))
-    for w, z in zip(p, ways, strict=True):
+    for w, z in zip([1.0, *-p], [y, *ways], strict=True):
         for a, b in zip(z, z[1:], strict=False):
             pairs[a, b] += w
-    seen = np.zeros((2, 2))
-    for a, b in zip(y, y[1:], strict=False):
-        seen[a, b] += 1
-    assert np.allclose(step, seen - pairs) and np.allclose(ends, [left[0], left[-1]])
+    assert np.allclose(step, pairs)
+    assert np.allclose(ends, [left[0] + left_short, left[-1] + left_short])

@@ -7,7 +7,7 @@ from tests.llm.helpers import odd_rows, words
 
 def _tables(spark, path):
     rows = odd_rows()
-    item = " ".join(words(1, 30))
+    item = " ".join(words(9999, 30))
     for k in range(120):
         good = k % 4 > 0
         w = words(k, 60)
