@@ -24,31 +24,34 @@ def _report(df: DataFrame, aspect: str, check: str, violations) -> DataFrame:
         R, F.lit(aspect).alias("aspect"), F.lit(check).alias("check"), "violations")
 
 
-def negative_damage(tables) -> DataFrame:  # DQ-1
-    return _report(tables["damage_log"], "damage_log", "damage_negative",
-                   F.count_if(F.col("damage") < 0))
-
-
 def duplicate_start_positions(tables) -> DataFrame:  # DQ-2
     per_player = tables["start_pos"].groupBy(R, "player_id").agg(F.count(F.lit(1)).alias("n"))
     return _report(per_player, "start_pos", "player_not_unique", F.count_if(F.col("n") > 1))
 
 
-def frame_order(tables, aspect: str, width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:  # DQ-3
-    """Negative frames, and frames that decrease in file (row_ord) order."""
-    d = prev_values(tables[aspect].select(R, "frame", "row_ord"), [R], ["row_ord", "frame"], ["frame"],
-                    width=width)
-    neg = _report(d, aspect, "frame_negative", F.count_if(F.col("frame") < 0))
-    dec = _report(d, aspect, "frame_decreasing", F.count_if(F.col("frame") < F.col("prev_frame")))
-    return neg.unionByName(dec)
+def _null_in_required(df: DataFrame, aspect: str):
+    cols = [f.name for f in ASPECTS[aspect] if not f.nullable and f.name in df.columns]
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
+
 
+def aspect_checks(tables, aspect: str, width: int = DEFAULT_BUCKET_FRAMES) -> DataFrame:
+    """DQ-3 and DQ-4 (and DQ-1 for the damage log) from one pass over the aspect.
 
-def required_not_null(tables, aspect: str) -> DataFrame:  # DQ-4
-    cols = [f.name for f in ASPECTS[aspect] if not f.nullable]
+    Negative frames, frames that decrease in file (row_ord) order, and rows
+    without a required value.
+    """
     df = tables[aspect]
-    cols = [c for c in cols if c in df.columns]
-    bad = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return _report(df, aspect, "required_null", F.count_if(bad))
+    marks = {"required_null": _null_in_required(df, aspect), "frame_negative": F.col("frame") < 0}
+    if aspect == "damage_log":
+        marks["damage_negative"] = F.col("damage") < 0
+    d = df.select(R, "frame", "row_ord", *[m.alias(f"__{c}") for c, m in marks.items()])
+    d = prev_values(d, [R], ["row_ord", "frame"], ["frame"], width=width)
+    found = [(c, F.count_if(F.col(f"__{c}"))) for c in marks]
+    found.append(("frame_decreasing", F.count_if(F.col("frame") < F.col("prev_frame"))))
+    counts = d.groupBy(R).agg(F.array(*[
+        F.struct(F.lit(c).alias("check"), n.alias("violations")) for c, n in found]).alias("all"))
+    return counts.select(R, F.lit(aspect).alias("aspect"), F.explode("all").alias("one")).select(
+        R, "aspect", "one.check", "one.violations")
 
 
 FRAMED = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
@@ -56,13 +59,7 @@ FRAMED = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_e
 
 
 def quality_report(tables, aspects=FRAMED) -> DataFrame:
-    parts = []
-    if "damage_log" in tables:
-        parts.append(negative_damage(tables))
+    parts = [aspect_checks(tables, a) for a in aspects if a in tables]
     if "start_pos" in tables:
         parts.append(duplicate_start_positions(tables))
-    for a in aspects:
-        if a in tables:
-            parts.append(frame_order(tables, a))
-            parts.append(required_not_null(tables, a))
     return reduce(DataFrame.unionByName, parts)
