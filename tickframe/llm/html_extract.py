@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from tickframe.llm.common import stored
 from tickframe.llm.kernels import bounded, tree_sum
 
-MAX_TRAIN = 8000
+MAX_TRAIN = 4000
 FEATURES = 1024
 ROUNDS = 30
 RATE = 0.5
@@ -249,28 +249,53 @@ class Chain:
             out.append(label)
         return out[::-1]
 
-    def gradient(self, active: list[list[int]], labels: list[int]) -> tuple:
-        """Observed minus expected counts of one page, and its log likelihood."""
-        scores = self._scores(active)
-        n = len(active)
-        forward, back = np.zeros((n, 2)), np.zeros((n, 2))
-        forward[0] = scores[0]
-        for t in range(1, n):
-            forward[t] = scores[t] + np.logaddexp(forward[t - 1, 0] + self.step[0],
-                                                  forward[t - 1, 1] + self.step[1])
-        for t in range(n - 2, -1, -1):
-            right = scores[t + 1] + back[t + 1]
-            back[t] = np.logaddexp(self.step[:, 0] + right[0], self.step[:, 1] + right[1])
-        total = np.logaddexp(*forward[-1])
-        post = np.exp(forward + back - total)
-        y = np.array(labels)
-        left = np.eye(2)[y] - post
-        step = np.zeros((2, 2))
-        for t in range(1, n):
-            step -= np.exp(forward[t - 1][:, None] + self.step + scores[t] + back[t] - total)
-            step[y[t - 1], y[t]] += 1
-        reached = scores[np.arange(n), y].sum() + self.step[y[:-1], y[1:]].sum()
-        return left, step, np.array([left[0], left[-1]]), reached - total
+    def gradient(self, pages: list[list[list[int]]], labels: list[list[int]]) -> tuple:
+        """Observed minus expected counts of pages, summed, and their log likelihood.
+
+        All pages take each step of the recursions together, longest first.
+        """
+        order = sorted(range(len(pages)), key=lambda k: -len(pages[k]))
+        lens = np.array([len(pages[k]) for k in order])
+        n, longest = len(pages), int(lens[0])
+        alive = (lens[None, :] > np.arange(longest)[:, None]).sum(axis=1)
+        sizes = np.array([len(a) for k in order for a in pages[k]])
+        flat = np.array([f for k in order for a in pages[k] for f in a])
+        ends = np.cumsum(lens)
+        page = np.repeat(np.arange(n), lens)
+        at = np.arange(len(sizes)) - np.repeat(ends - lens, lens)
+        scores = np.zeros((longest, n, 2))
+        scores[at, page] = np.add.reduceat(self.emit[flat], np.cumsum(sizes) - sizes)
+        y = np.zeros((longest, n), dtype=int)
+        y[at, page] = [label for k in order for label in labels[k]]
+        last = (lens - 1, np.arange(n))
+        scores[0] += self.ends[0]
+        scores[last] += self.ends[1]
+        forward, back = scores.copy(), np.zeros_like(scores)
+        for t in range(1, longest):
+            m = alive[t]
+            forward[t, :m] += np.logaddexp(forward[t - 1, :m, :1] + self.step[0],
+                                           forward[t - 1, :m, 1:] + self.step[1])
+        for t in range(longest - 2, -1, -1):
+            m = alive[t + 1]
+            right = scores[t + 1, :m] + back[t + 1, :m]
+            back[t, :m] = np.logaddexp(self.step[:, 0] + right[:, :1],
+                                       self.step[:, 1] + right[:, 1:])
+        total = np.logaddexp(forward[last][:, 0], forward[last][:, 1])
+        left = np.eye(2)[y] - np.exp(forward + back - total[:, None])
+        step, reached = np.zeros((2, 2)), 0.0
+        for t in range(1, longest):
+            m = alive[t]
+            both = (forward[t - 1, :m, :, None] + self.step
+                    + (scores[t, :m] + back[t, :m])[:, None, :] - total[:m, None, None])
+            step -= np.exp(both).sum(axis=0)
+            np.add.at(step, (y[t - 1, :m], y[t, :m]), 1)
+            reached += self.step[y[t - 1, :m], y[t, :m]].sum()
+        reached += np.take_along_axis(scores[at, page], y[at, page][:, None], 1).sum()
+        emit = np.zeros_like(self.emit)
+        for label in (0, 1):
+            emit[:, label] = np.bincount(flat, np.repeat(left[at, page, label], sizes), FEATURES)
+        return (emit, step, np.array([left[0].sum(axis=0), left[last].sum(axis=0)]),
+                float(reached - total.sum()))
 
 
 def train(rows: DataFrame, rounds: int = ROUNDS) -> Chain:
@@ -282,14 +307,14 @@ def train(rows: DataFrame, rounds: int = ROUNDS) -> Chain:
         def partial(batches: Iterator[pa.RecordBatch], model=shared) -> Iterator[pa.RecordBatch]:
             total, pages = Chain.zeros(), 0
             for batch in batches:
-                for active, labels in zip(batch.column(0).to_pylist(),
-                                          batch.column(1).to_pylist(), strict=True):
-                    left, step, ends, _ = model.value.gradient(active, labels)
-                    for a, x in zip(active, left, strict=True):
-                        total.emit[a] += x
+                for i in range(0, batch.num_rows, 256):
+                    part = batch.slice(i, 256)
+                    emit, step, ends, _ = model.value.gradient(part.column(0).to_pylist(),
+                                                               part.column(1).to_pylist())
+                    total.emit += emit
                     total.step += step
                     total.ends += ends
-                    pages += 1
+                    pages += part.num_rows
             flat = np.concatenate([total.emit.ravel(), total.step.ravel(), total.ends.ravel(),
                                    [pages]])
             yield pa.record_batch([pa.array([flat.tobytes()], pa.binary())], ["sums"])
