@@ -32,6 +32,26 @@ def test_piece_encoder_equals_the_library():
                 text, add_special_tokens=False).ids, repr(text)
 
 
+def test_marks_after_marks_equal_the_library():
+    model, encoder = _model(BYTES), ts.PieceEncoder(BYTES)
+    batches = [["a etc. b", 'he said". so', "an end). so", "one word.. so", "x 12. y", "x Ω. y"],
+               ["a etc. etc.. etc., b", 'he said", said". said". .', "an end).. end)., so",
+                "one word... word..., so", "x 12.. 12., y", "x Ω.. Ω., y", "x é. é.. é., y"]]
+    for k in (0, 1, 0, 1, 1):
+        for text, ids in zip(batches[k], encoder.encode(batches[k]), strict=True):
+            assert np.frombuffer(ids, np.int32).tolist() == model.encode(
+                text, add_special_tokens=False).ids, repr(text)
+
+
+def test_bpe_composes_before_it_lowers(spark):
+    texts = ["H\u0331", "a H\u0331 B", "J\u030c T\u0308 W\u030a Y\u030a", "ABC def"]
+    got = {r.doc_id: r.ids for r in bpe.encode(documents(spark, list(enumerate(texts))),
+                                               WORDS).select("doc_id", "ids").collect()}
+    model = _model(WORDS)
+    assert [got[k] for k in range(len(texts))] == [
+        model.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def _stored(spark, tmp_path, rows):
     path = str(tmp_path / "tokens")
     ts.write(documents(spark, rows), path, BYTES)

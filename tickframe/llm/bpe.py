@@ -52,8 +52,9 @@ def tokenizer(vocabulary: str):
 
 
 def _words(text: bytes) -> list[bytes]:
-    # the normaliser lower-cases anyway; spelling of special tokens must stay
-    return (text if b"<|" in text else text.lower()).split()
+    # the normaliser lower-cases anyway, but only after it has composed characters, so texts
+    # beyond ASCII stay as they are; so does the spelling of special tokens
+    return (text.lower() if text.isascii() and b"<|" not in text else text).split()
 
 
 def _by_bucket(texts: list[bytes], buckets: int) -> dict[int, list[bytes]]:

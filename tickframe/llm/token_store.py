@@ -87,20 +87,16 @@ class PieceEncoder:
         for piece in pieces:
             mark = marks.get(piece[-1:])
             body = piece if mark is None else piece[:-1]
+            letters = body[1:]
+            # a space and letters are one pre-token, so the model sees them directly and a
+            # mark after them is a pre-token of its own; after anything else it may not be
+            if body[:1] != " " or not letters.isalpha() or not (
+                    letters.isascii() or max(letters) < "\u0250"):
+                rest.append(piece)
+                continue
             ids = kept.get(body) or out.get(body)
             if ids is None:
-                letters = body[1:]
-                if body[:1] != " " or not letters.isalpha():
-                    rest.append(piece)
-                    continue
-                # a space and letters are one pre-token, so the model sees them directly
-                if letters.isascii():
-                    word = self.space + letters
-                elif max(letters) < "\u0250":
-                    word = body.translate(self.shown)
-                else:
-                    rest.append(piece)
-                    continue
+                word = self.space + letters if letters.isascii() else body.translate(self.shown)
                 ids = out[body] = array("i", [t.id for t in tokenize(word)]).tobytes()
             if mark is not None:
                 out[piece] = ids + mark
