@@ -5,6 +5,7 @@ import math
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, odd_rows, words
 from tickframe.llm import hmm_lm, quality, toxicity
@@ -50,6 +51,23 @@ def test_toxicity_held_out_with_evidence(spark):
     assert all(r.evidence_ids for r in got if r.doc_id in truth and truth[r.doc_id][1])
 
 
+def test_toxicity_learns_from_every_label_and_every_index_part(spark):
+    docs, labels, truth, n = _labelled(spark)
+    held = crc_mod("doc_id", 3) == 1
+
+    def near(**options):
+        return {(r.doc_id, r.score, tuple(r.evidence_similarity)) for r in
+                toxicity.toxicity_scores(docs, labels, held, **options).collect()}
+    assert near(part_examples=30) == near()
+    # a word of four labelled documents joins them, whatever the number of other terms
+    rows = [(5000 + k, " ".join(words(900 + k, 30)) + " seldomword") for k in range(40)]
+    more = docs.unionByName(documents(spark, rows))
+    kept = labels.unionByName(spark.createDataFrame([(i, 1, 1, "") for i, _ in rows], LABELS))
+    got = toxicity.toxicity_scores(more, kept, F.col("doc_id") >= 5004).collect()
+    assert sum(r.held_out and not {5000, 5001, 5002, 5003}.isdisjoint(r.evidence_ids)
+               for r in got if r.doc_id) > 30
+
+
 def test_scores_without_labels_and_empty_tables(spark):
     docs, none = documents(spark, odd_rows()), spark.createDataFrame([], LABELS)
     for score in (quality.quality_scores, toxicity.toxicity_scores):
