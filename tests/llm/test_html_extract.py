@@ -59,6 +59,16 @@ def test_no_labelled_page_and_empty_table(spark):
     assert hx.main_texts(_pages(spark, [])).count() == 0
 
 
+def test_bound_counts_labelled_pages_only(spark):
+    plain = [(1000 + k, "u", f"<p>Just words {k}.</p>") for k in range(400)]
+    docs = _pages(spark, _corpus()[:12] + plain)
+    got = {r.page_id: r.text for r in hx.main_texts(docs, max_train=12, rounds=15).collect()}
+    assert hx.count_labelled(docs) == 12
+    assert all(got[k].startswith(TEXT) for k in range(12))
+    picked = hx.bounded(spark.range(4000), hx.F.col("id"), 1000).count()
+    assert 800 < picked < 1200
+
+
 def _random_chain():
     draw = np.random.default_rng(5)
     return hx.Chain(draw.normal(size=(hx.FEATURES, 2)), draw.normal(size=(2, 2)),

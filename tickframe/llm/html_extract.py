@@ -349,6 +349,17 @@ def labelled(pages: DataFrame) -> DataFrame:
         run, "active array<array<int>>, labels array<int>")
 
 
+def count_labelled(pages: DataFrame) -> int:
+    """The number of pages (html) whose markup labels them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = sum(markup_labels(leaf_blocks(page or "")) is not None
+                    for page in batch.column(0).to_pylist())
+            yield pa.record_batch([pa.array([n], pa.int64())], ["n"])
+    return pages.select("html").mapInArrow(run, "n long").agg(
+        F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def extract(page: str | None, model: Chain | None) -> str:
     """Main text of one page."""
     blocks = leaf_blocks(page or "")
@@ -365,7 +376,10 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """page_id, url, text, n_chars for every row of ``pages``."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                         F.col(html_col).alias("html"))
-    known = stored(labelled(bounded(rows, F.col("page_id"), max_train)), "labelled-pages")
+    # the bound is one of labelled pages, so those are counted before any is picked
+    n = rows.count()
+    n = count_labelled(rows) if n > max_train else n
+    known = stored(labelled(bounded(rows, F.col("page_id"), max_train, n)), "labelled-pages")
     model = None if known.isEmpty() else train(known, rounds)
     shared = pages.sparkSession.sparkContext.broadcast(model)
 

@@ -60,12 +60,12 @@ def one_label(labels: DataFrame, column: str, id_col: str = "doc_id") -> DataFra
             .agg(F.max((F.col(column) > 0).cast("int")).alias("label")))
 
 
-def bounded(rows: DataFrame, key: Column, most: int) -> DataFrame:
-    """All rows, or about ``most`` of them picked by the hash of a key."""
-    n = rows.count()
+def bounded(rows: DataFrame, key: Column, most: int, n: int | None = None) -> DataFrame:
+    """All rows, or about ``most`` of the ``n`` that count (all) picked by the hash of a key."""
+    n = rows.count() if n is None else n
     if n <= most:
         return rows
-    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int((1 << 20) * most / n))
+    return rows.where(F.shiftrightunsigned(F.xxhash64(key), 1) < (most << 63) // n)
 
 
 def tree_sum(parts: DataFrame, ways: int = 32) -> np.ndarray | None:
