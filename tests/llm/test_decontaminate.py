@@ -47,3 +47,10 @@ def test_removal_and_empty_tables(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
     assert dc.leaks(documents(spark, []), _items(spark, [(1, ITEM)])).count() == 0
     assert dc.leaks(docs, _items(spark, [])).count() == 0
+
+
+def test_removal_tells_rows_of_one_id_apart(spark):
+    rows = [(None, ITEM), (None, "a clean text of its own"), (None, None), (7, OTHER), (7, "clean")]
+    kept = dc.without_leaks(documents(spark, rows), _items(spark, [(1, ITEM)])).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(
+        [rows[1], rows[2], rows[4]], key=str)

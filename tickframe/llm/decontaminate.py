@@ -95,6 +95,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
           coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, matched_windows, item_windows, coverage of every leak."""
+    best = F.max_by(F.struct("matched_windows", "item_windows", "coverage"), "coverage")
+    return (_leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, window, coverage)
+            .groupBy("doc_id", "item_id").agg(best.alias("best"))
+            .select("doc_id", "item_id", "best.*"))
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+           coverage: float = COVERAGE) -> DataFrame:
+    """The rows of ``leaks`` for every text of an id, with its hash ``doc_hash``."""
     items = stored(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                                     raw_tokens(F.col(item_text_col)).alias("raw"))
                    .select("item_id", "raw", templates(F.col("raw")).alias("tokens")), "items")
@@ -130,11 +140,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         wrong, F.col("doc_id").eqNullSafe(F.col("wrong_doc"))
         & (F.col("doc_hash") == F.col("wrong_hash")) & F.col("item_id").eqNullSafe(F.col("wrong_item"))
         & (F.col("diagonal") == F.col("wrong_diagonal")), "left_anti")
-    return (good.groupBy(*DOC, "item_id").agg(F.countDistinct("window").alias("matched"))
-            .groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched_windows"))
+    return (good.groupBy(*DOC, "item_id").agg(F.countDistinct("window").alias("matched_windows"))
             .join(totals.withColumnRenamed("item_id", "of_item"),
                   F.col("item_id").eqNullSafe(F.col("of_item")))
-            .select("doc_id", "item_id", "matched_windows", "item_windows",
+            .select(*DOC, "item_id", "matched_windows", "item_windows",
                     (F.col("matched_windows") / F.col("item_windows")).alias("coverage"))
             .where(F.col("coverage") >= coverage))
 
@@ -162,7 +171,12 @@ def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that leak no benchmark item, all columns unchanged."""
-    gone = stored(leaks(docs, benchmark, id_col, text_col, **options)
-                  .select(F.col("doc_id").alias("leaked_id")).distinct(), "leaks")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("leaked_id")), "left_anti")
+    """The rows of ``docs`` that leak no benchmark item, all columns unchanged.
+
+    Rows are told apart by id and text: others with the id of a row that goes stay.
+    """
+    gone = stored(_leaks(docs, benchmark, id_col, text_col, **options)
+                  .select(F.col("doc_id").alias("__leaked_id"),
+                          F.col("doc_hash").alias("__leaked_hash")).distinct(), "leaks")
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__leaked_id"))
+                     & (F.xxhash64(F.col(text_col)) == F.col("__leaked_hash")), "left_anti")
