@@ -5,9 +5,13 @@ names (capitalised words inside a sentence) are replaced by typed placeholders,
 everything else is lower-cased.  Windows of ``WINDOW`` template tokens of the
 benchmark are hash-joined with those of the documents, so a question leaks even
 if its figures or names were exchanged.  Matches of a document and an item lie
-on diagonals (document position minus item position).  On each diagonal the
-slots must be consistent: the same benchmark value is always replaced by the
-same document value and no two by one; windows on other diagonals don't count.
+on diagonals (document position minus item position).  On each diagonal names
+inside sentences must be consistent: the same name is always replaced by the
+same name and no two by one, or no window of the diagonal counts.  Redrawn
+numbers may coincide; one that is replaced by several values takes out the
+windows that hold it.  A capitalised word that starts a sentence is both a plain
+word and, in a second template, a name; contradictions of the latter take out
+its windows there alone.
 A document leaks an item when the windows left cover ``COVERAGE`` of the item's.
 
 Windows with fewer than ``LITERALS`` plain words say too little and are not
@@ -24,9 +28,7 @@ an empty table on either side gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import stored
@@ -72,23 +74,53 @@ def templates(raw: Column) -> Column:
     return F.transform(raw, one)
 
 
-def _windows(rows: DataFrame, key: list[str], window: int) -> DataFrame:
-    """Rows (*key, at, window) of the hashes of all windows of rows (*key, tokens).
+def _bare(token: Column) -> Column:
+    """A raw token in lower case, without what stands between it and the sentence before."""
+    return F.lower(F.regexp_replace(token, "^[.!?:\\n][^\\p{L}0-9]*", ""))
+
+
+def opened(raw: Column, tokens: Column) -> Column:
+    """Template tokens with the capitalised words that start sentences as names too."""
+    def one(token: Column, i: Column) -> Column:
+        starts = F.get(raw, i).rlike("^[^\\p{L}0-9]*\\p{Lu}\\p{Ll}")
+        return F.when(starts & ~token.startswith("<"), "<name>").otherwise(token)
+    return F.transform(tokens, one)
+
+
+def _hashes(tokens: str, window: int) -> Column:
+    """The hashes of all windows of an array column of template tokens.
 
     The last, shorter windows of a text have hashes too; no full window has those.
     """
     def one(token: Column, i: Column) -> Column:
-        return F.xxhash64(token, *[F.get("tokens", i + k) for k in range(1, window)])
-    return rows.select(*key, F.posexplode(F.transform("tokens", one)).alias("at", "window"))
+        return F.xxhash64(token, *[F.get(tokens, i + k) for k in range(1, window)])
+    return F.transform(tokens, one)
+
+
+def _windows(rows: DataFrame, key: list[str], window: int) -> DataFrame:
+    """Rows (*key, at, plain, open) of the hashes of windows under both templates."""
+    return (rows.select(*key, _hashes("tokens", window).alias("plain"),
+                        _hashes("opened", window).alias("open"))
+            .select(*key, F.posexplode(F.arrays_zip("plain", "open")).alias("at", "hash"))
+            .select(*key, "at", "hash.plain", "hash.open"))
 
 
 def _usable(rows: DataFrame, window: int) -> DataFrame:
-    """Windows of the benchmark that are full and have plain words enough."""
-    plain = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(window)),
-                            lambda t: ~t.startswith("<")))
-    full = F.col("at") + window <= F.size("tokens")
-    found = _windows(rows, ["item_id", "raw", "tokens"], window)
-    return found.where(full & (plain >= LITERALS)).select("item_id", "at", "window")
+    """Windows of the benchmark that are full and have plain words enough.
+
+    ``place`` is the window's hash under the first template, ``is_open`` tells the second.
+    """
+    def enough(tokens: str) -> Column:
+        return F.size(F.filter(F.slice(tokens, F.col("at") + 1, F.lit(window)),
+                               lambda t: ~t.startswith("<"))) >= LITERALS
+    found = _windows(rows, ["item_id", "tokens", "opened"], window).where(
+        F.col("at") + window <= F.size("tokens"))
+    first = found.where(enough("tokens")).select(
+        "item_id", "at", F.col("plain").alias("window"), F.col("plain").alias("place"),
+        F.lit(False).alias("is_open"))
+    return first.unionByName(found.where(enough("opened") & (F.col("open") != F.col("plain")))
+                             .select("item_id", "at", F.col("open").alias("window"),
+                                     F.col("plain").alias("place"), F.lit(True).alias("is_open")))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -107,10 +139,11 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``leaks`` for every text of an id, with its hash ``doc_hash``."""
     items = stored(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                                     raw_tokens(F.col(item_text_col)).alias("raw"))
-                   .select("item_id", "raw", templates(F.col("raw")).alias("tokens")), "items")
+                   .select("item_id", "raw", templates(F.col("raw")).alias("tokens"))
+                   .withColumn("opened", opened(F.col("raw"), F.col("tokens"))), "items")
     bench = stored(_usable(items, window)
                    .withColumnRenamed("at", "item_at").distinct(), "item-windows")
-    totals = bench.groupBy("item_id").agg(F.countDistinct("window").alias("item_windows"))
+    totals = bench.groupBy("item_id").agg(F.countDistinct("place").alias("item_windows"))
     side = F.broadcast(bench) if bench.count() <= MAX_BROADCAST else bench
 
     # rows that share an id are told apart by the hash of their texts
@@ -118,29 +151,41 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
                         F.xxhash64(F.col(text_col)).alias("doc_hash"))
     # one projection a step: a lambda must refer to a finished array, not to its expression
     cut = (texts.select(*DOC, raw_tokens(F.col("text")).alias("raw"))
-           .select(*DOC, templates(F.col("raw")).alias("tokens")))
-    matched = stored(_windows(cut, DOC, window).join(side, "window")
-                     .select(*DOC, "at", "item_id", "item_at", "window"), "matches")
-
+           .select(*DOC, "raw", templates(F.col("raw")).alias("tokens"))
+           .select(*DOC, "tokens", opened(F.col("raw"), F.col("tokens")).alias("opened")))
+    found = _windows(cut, DOC, window).select(
+        *DOC, "at", F.explode(F.array_distinct(F.array("plain", "open"))).alias("window"))
+    matched = stored(found.join(side, "window").select(
+        *DOC, "at", "item_id", "item_at", "place", "is_open"), "matches")
+
+    item_tokens = F.when(F.col("is_open"), F.col("item_opened")).otherwise(F.col("item_tokens"))
     slotted = stored(matched.join(
         items.select(F.col("item_id").alias("slot_item"), F.col("raw").alias("item_raw"),
-                     F.col("tokens").alias("item_tokens"))
-        .where(F.exists("item_tokens", lambda t: t.startswith("<"))),
+                     F.col("tokens").alias("item_tokens"), F.col("opened").alias("item_opened"))
+        .where(F.exists("item_opened", lambda t: t.startswith("<"))),
         F.col("item_id").eqNullSafe(F.col("slot_item")))
-        .select(*DOC, "at", "item_id", "item_at", F.explode(F.transform(
+        .withColumn("slots", item_tokens)
+        .select(*DOC, "at", "item_id", "item_at", "is_open", F.explode(F.transform(
             F.filter(F.sequence(F.lit(0), F.lit(window - 1)),
-                     lambda k: F.get("item_tokens", F.col("item_at") + k).startswith("<")),
-            lambda k: F.struct(k.alias("k"), F.lower(F.get("item_raw", F.col("item_at") + k))
-                     .alias("value")))).alias("slot"))
-        .select(*DOC, "item_id", (F.col("at") + F.col("slot.k")).alias("slot_at"),
-                (F.col("at") - F.col("item_at")).alias("diagonal"), "slot.value").distinct(),
-        "slots")
-    wrong = _inconsistent(slotted, texts)
-    good = matched.withColumn("diagonal", F.col("at") - F.col("item_at")).join(
-        wrong, F.col("doc_id").eqNullSafe(F.col("wrong_doc"))
-        & (F.col("doc_hash") == F.col("wrong_hash")) & F.col("item_id").eqNullSafe(F.col("wrong_item"))
-        & (F.col("diagonal") == F.col("wrong_diagonal")), "left_anti")
-    return (good.groupBy(*DOC, "item_id").agg(F.countDistinct("window").alias("matched_windows"))
+                     lambda k: F.get("slots", F.col("item_at") + k).startswith("<")),
+            lambda k: F.struct(
+                k.alias("k"), (F.get("slots", F.col("item_at") + k) == "<name>").alias("name"),
+                (~F.get("item_tokens", F.col("item_at") + k).startswith("<")).alias("first"),
+                _bare(F.get("item_raw", F.col("item_at") + k)).alias("value")))).alias("slot"))
+        .select(*DOC, "item_id", "at", "item_at", "is_open",
+                (F.col("at") + F.col("slot.k")).alias("slot_at"),
+                (F.col("at") - F.col("item_at")).alias("diagonal"), "slot.name", "slot.first",
+                "slot.value").distinct(), "slots")
+    wrong = stored(_inconsistent(slotted, texts), "contradictions")
+    good = matched.withColumn("diagonal", F.col("at") - F.col("item_at"))
+    same = (F.col("doc_id").eqNullSafe(F.col("wrong_doc"))
+            & (F.col("doc_hash") == F.col("wrong_hash"))
+            & F.col("item_id").eqNullSafe(F.col("wrong_item"))
+            & (F.col("diagonal") == F.col("wrong_diagonal")))
+    good = good.join(wrong.where("whole"), same, "left_anti").join(
+        wrong.where("NOT whole"), same & (F.col("at") == F.col("wrong_at"))
+        & (F.col("is_open") == F.col("wrong_open")), "left_anti")
+    return (good.groupBy(*DOC, "item_id").agg(F.countDistinct("place").alias("matched_windows"))
             .join(totals.withColumnRenamed("item_id", "of_item"),
                   F.col("item_id").eqNullSafe(F.col("of_item")))
             .select(*DOC, "item_id", "matched_windows", "item_windows",
@@ -149,7 +194,7 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 
 def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
-    """Diagonals on which slots contradict each other: wrong_doc, wrong_hash, wrong_item, wrong_diagonal."""
+    """Diagonals (``whole``) and windows on which slots contradict each other."""
     ids = slotted.select(F.col("doc_id").alias("slot_doc"),
                          F.col("doc_hash").alias("slot_hash")).distinct()
     raw = (texts.join(ids, F.col("doc_id").eqNullSafe(F.col("slot_doc"))
@@ -159,14 +204,24 @@ def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
     diagonal = [*DOC, "item_id", "diagonal"]
     filled = (slotted.join(raw, F.col("doc_id").eqNullSafe(F.col("raw_doc"))
                            & (F.col("doc_hash") == F.col("raw_hash")))
-              .select(*diagonal, "value", F.lower(F.get("raw", "slot_at")).alias("filled"))
-              .distinct())
-    one_way = (filled.groupBy(*diagonal, "value").agg(F.count(F.lit(1)).alias("n"))
-               .where("n > 1").select(*diagonal))
-    other_way = (filled.groupBy(*diagonal, "filled").agg(F.count(F.lit(1)).alias("n"))
-                 .where("n > 1").select(*diagonal))
-    return one_way.unionByName(other_way).distinct().toDF(
-        "wrong_doc", "wrong_hash", "wrong_item", "wrong_diagonal")
+              .withColumn("filled", _bare(F.get("raw", "slot_at"))))
+
+    def values(of: Column, by: str) -> Column:
+        return F.size(F.collect_set(of).over(Window.partitionBy(*diagonal, "name", by)))
+
+    inner = ~F.col("first")
+    ways = values(F.col("filled"), "value") > 1
+    either = ways | (values(F.col("value"), "filled") > 1)
+    inside = ((values(F.when(inner, F.col("filled")), "value") > 1)
+              | (values(F.when(inner, F.col("value")), "filled") > 1))
+    found = filled.select(
+        *diagonal, "at", "is_open", (F.col("name") & inner & inside).alias("whole"),
+        ((~F.col("name") & ways) | (F.col("first") & either)).alias("part"))
+    return (found.where("whole OR part").distinct()
+            .select(*diagonal, F.col("at").alias("wrong_at"), F.col("is_open").alias("wrong_open"),
+                    "whole")
+            .toDF("wrong_doc", "wrong_hash", "wrong_item", "wrong_diagonal", "wrong_at",
+                  "wrong_open", "whole"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
