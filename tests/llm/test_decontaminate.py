@@ -64,3 +64,14 @@ def test_redrawn_numbers_may_coincide_and_sentences_may_start_with_names(spark):
             (3, apples.replace("ate 5", "ate 8")), (4, anna), (5, " ".join(words(9, 60)))]
     got = dc.leaks(documents(spark, rows), _items(spark, [(1, apples), (2, anna)])).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (2, 2), (3, 1), (4, 2)]
+
+
+def test_items_without_a_usable_window_match_verbatim(spark):
+    items = [(1, "What is 12 + 15?"), (2, "Compute 12 * 34 + 56 - 78"), (3, "日本の首都はどこですか"),
+             (4, ITEM), (5, "?!")]
+    rows = [(1, "so: what is 12 + 15? 27"), (2, "First compute 12 * 34 + 56 - 78 now"),
+            (3, "問題日本の首都はどこですか。東京"), (4, "what is 12 + 16"), (5, "日本の首都は"),
+            (6, None), (7, "12 15")]
+    got = dc.leaks(documents(spark, rows), _items(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in got) == [
+        (1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)]

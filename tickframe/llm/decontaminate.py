@@ -20,8 +20,11 @@ only those with matched slots), windows live inside the scan's stage, and the
 benchmark's windows are broadcast only while they are few (``MAX_BROADCAST``),
 beyond that the join shuffles.
 
-Cases: null and empty texts have no windows; items without a usable window
-(fewer than ``WINDOW`` words, or slots throughout) cannot be matched; of rows
+Items without a usable window (fewer than ``WINDOW`` words, or slots throughout)
+are matched by their exact values: one window of the item's whole length over
+lower-cased tokens, single characters in scripts without spaces.
+
+Cases: null and empty texts, and texts without a token, match nothing; of rows
 that share an id the best match counts; null ids are matched like any other;
 an empty table on either side gives an empty result; other columns are not read.
 """
@@ -54,6 +57,18 @@ _TOKEN = ("(?:[.!?:\\n][^\\p{L}0-9]*(?=\\p{Lu}))?\\p{L}[\\p{L}\\p{M}0-9]*"
           "|[0-9]+(?:[.,][0-9]+)*|[%€$£°]")
 
 
+# scripts without spaces: every character is a token of its own
+_DENSE = ("\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}"
+          "\\p{IsMyanmar}")
+_EXACT = (f"[{_DENSE}]|[\\p{{L}}&&[^{_DENSE}]][[\\p{{L}}\\p{{M}}0-9]&&[^{_DENSE}]]*"
+          "|[0-9]+(?:[.,][0-9]+)*|[%€$£°]")
+
+
+def exact_tokens(text: Column) -> Column:
+    """Lower-cased words, numbers and unit signs as they are."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_EXACT), F.lit(0))
+
+
 def raw_tokens(text: Column) -> Column:
     """Words, numbers and unit signs."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
@@ -185,12 +200,41 @@ def _leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     good = good.join(wrong.where("whole"), same, "left_anti").join(
         wrong.where("NOT whole"), same & (F.col("at") == F.col("wrong_at"))
         & (F.col("is_open") == F.col("wrong_open")), "left_anti")
-    return (good.groupBy(*DOC, "item_id").agg(F.countDistinct("place").alias("matched_windows"))
+    templated = (good.groupBy(*DOC, "item_id").agg(F.countDistinct("place").alias("matched_windows"))
             .join(totals.withColumnRenamed("item_id", "of_item"),
                   F.col("item_id").eqNullSafe(F.col("of_item")))
             .select(*DOC, "item_id", "matched_windows", "item_windows",
                     (F.col("matched_windows") / F.col("item_windows")).alias("coverage"))
             .where(F.col("coverage") >= coverage))
+    return templated.unionByName(_exact_leaks(texts, benchmark, totals, item_col, item_text_col))
+
+
+def _exact_leaks(texts: DataFrame, benchmark: DataFrame, totals: DataFrame, item_col: str,
+                 item_text_col: str) -> DataFrame:
+    """Leaks of the items without a usable window: their whole length, value by value."""
+    whole = stored(benchmark.select(F.col(item_col).cast("long").alias("item_id"),
+                                    exact_tokens(F.col(item_text_col)).alias("words"))
+                   .where(F.size("words") > 0)
+                   .join(totals.select(F.col("item_id").alias("of_item")),
+                         F.col("item_id").eqNullSafe(F.col("of_item")), "left_anti")
+                   .select("item_id", F.size("words").alias("length"),
+                           F.xxhash64("words").alias("window")).distinct(), "whole-items")
+    lengths = [r[0] for r in whole.select("length").distinct().orderBy("length").collect()]
+    words = texts.select(*DOC, exact_tokens(F.col("text")).alias("words"))
+
+    def windows(length: int) -> Column:
+        last = F.size("words") - length
+        return F.when(last >= 0, F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda i: F.struct(F.lit(length).alias("length"), F.xxhash64(
+                F.slice("words", i + 1, F.lit(length))).alias("window"))))
+    none = F.array().cast("array<struct<length:int,window:bigint>>")
+    found = words.select(*DOC, F.explode(F.concat(
+        none, *[F.coalesce(windows(n), none) for n in lengths])).alias("w")).select(
+        *DOC, "w.length", "w.window")
+    return (found.join(whole, ["length", "window"]).select(*DOC, "item_id").distinct()
+            .select(*DOC, "item_id", F.lit(1).cast("long").alias("matched_windows"),
+                    F.lit(1).cast("long").alias("item_windows"), F.lit(1.0).alias("coverage")))
 
 
 def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
