@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickframe.llm import (bpe, decontaminate, exact_dedup, hmm_lm, html_extract, near_dup, quality,
-                           token_store, toxicity, warc)
+from tickframe.llm import (bpe, decontaminate, exact_dedup, hard_negatives, hmm_lm, html_extract,
+                           near_dup, quality, token_store, toxicity, warc)
 from tickframe.llm.common import crc_mod, scratch_path, table
 
 
@@ -90,6 +91,39 @@ FROM m
 """
 
 
+def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", F.expr(
+        "CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END"))
+    return hard_negatives.mine(vectors, F.expr("vec_id % 100 = 0"))
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, a.label = b.label AS same, b.r AS br, b.vec_id,
+         CAST(list_inner_product(a.c, b.c) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT ar, anchor_id, vec_id AS positive_id, score AS positive_score, br AS pr
+  FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, br) <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id,
+         CAST(row_number() OVER (PARTITION BY p.ar, p.pr
+                                 ORDER BY s.score DESC, s.vec_id, s.br) AS INTEGER) AS rank,
+         s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.ar = p.ar AND NOT s.same
+    AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT * FROM n WHERE rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
@@ -102,8 +136,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chosen_path_join": op8_chosen_path_join,
         "op9_warc": op9_warc,
         "op10_toxicity": op10_toxicity,
+        "op12_kronecker_negatives": op12_kronecker_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op9_warc": OP9_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op9_warc": OP9_SQL,
+            "op12_kronecker_negatives": OP12_SQL}
