@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import (bpe, decontaminate, exact_dedup, hard_negatives, hmm_lm, html_extract,
-                           near_dup, quality, token_store, toxicity, warc)
+                           near_dup, phrases, quality, token_store, toxicity, warc)
 from tickframe.llm.common import crc_mod, scratch_path, table
 
 
@@ -124,6 +124,46 @@ SELECT * FROM n WHERE rank <= 10
 """
 
 
+def op13_dynamic_itemsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH w AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')),
+                                  '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents)),
+o AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2),
+                         lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3), (4)) AS t(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM o GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM o WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS p, array_to_string(w[j + 1:k], ' ') AS q
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+s AS (
+  SELECT cuts.lang, cuts.phrase, a, j, x.f AS l, y.f AS r,
+         CAST((CAST(2000000 AS HUGEINT) * a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = p
+       JOIN f y ON y.lang = cuts.lang AND y.phrase = q
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, j) = 1),
+around AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2))
+  GROUP BY ALL),
+t AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM s LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM t JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_store": op1_token_store,
@@ -137,9 +177,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_warc": op9_warc,
         "op10_toxicity": op10_toxicity,
         "op12_kronecker_negatives": op12_kronecker_negatives,
+        "op13_dynamic_itemsets": op13_dynamic_itemsets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_exact_dedup": OP2_SQL, "op9_warc": OP9_SQL,
-            "op12_kronecker_negatives": OP12_SQL}
+            "op12_kronecker_negatives": OP12_SQL, "op13_dynamic_itemsets": OP13_SQL}
