@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import (bpe, decontaminate, exact_dedup, hard_negatives, hmm_lm, html_extract,
-                           near_dup, phrases, quality, token_store, toxicity, warc)
+                           line_rules, near_dup, phrases, quality, token_store, toxicity, warc)
 from tickframe.llm.common import crc_mod, scratch_path, table
 
 
@@ -91,6 +91,11 @@ FROM m
 """
 
 
+def op11_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.line_quality(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "labels"))
+
+
 def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").withColumn("label", F.expr(
         "CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END"))
@@ -176,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chosen_path_join": op8_chosen_path_join,
         "op9_warc": op9_warc,
         "op10_toxicity": op10_toxicity,
+        "op11_line_crf": op11_line_crf,
         "op12_kronecker_negatives": op12_kronecker_negatives,
         "op13_dynamic_itemsets": op13_dynamic_itemsets,
     }
