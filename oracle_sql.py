@@ -862,3 +862,32 @@ EXTRA_SQL.update(_all_ingested())
 EXTRA_SQL["sink_row_major_army_value_timeline"] = EXTRA_SQL["out_army_value_timeline"]
 EXTRA_SQL["sink_columnar_unit_economic_contribution_binned"] = \
     EXTRA_SQL["out_unit_economic_contribution_binned"]
+
+
+# --------------------------------------------------------------------------- whole runs
+def _run_sql(names: list[str]) -> str:
+    """All outputs of a run as rows (output, replay_id, row)."""
+    from tickframe.plans.catalog import run_columns, run_digits
+    parts = []
+    for name in names:
+        sql = STATS_SQL.get(name) or EXTRA_SQL[name]
+        digits = run_digits(name)
+        texts = [f"coalesce(CAST({_scaled(c, digits[c])} AS VARCHAR), '~')" if c in digits else
+                 f"coalesce(CAST({c} AS VARCHAR), '~')" for c in run_columns(name)]
+        replay = "CAST(NULL AS BIGINT)" if name == "vw_first_appearance_summary" else "replay_id"
+        parts.append(f"SELECT '{name}' AS output, {replay} AS replay_id, "
+                     f"concat_ws('|', {', '.join(texts)}) AS row\nFROM ({sql}) t")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _scaled(column: str, digits: int) -> str:
+    return f"CAST(round({column} * CAST({10 ** digits} AS DOUBLE), 0) AS BIGINT)"
+
+
+def _runs() -> dict[str, str]:
+    from tickframe.plans import registry
+    return {"run_default_stats": _run_sql(registry.default_stats()),
+            "run_views": _run_sql(list(registry.VIEWS))}
+
+
+EXTRA_SQL.update(_runs())

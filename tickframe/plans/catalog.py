@@ -7,6 +7,7 @@ oracle round to; ``RENDER`` lists array columns rendered as strings.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from ..functions import name_to_code
 from ..sinks import contracts as C
 from ..sources import adapters
 from ..streaming import jobs as streams
-from . import checks, recipes, stats, views
+from . import checks, recipes, registry, stats, views
+from .views import BIN
 
 INGESTED = ("damage_log", "commands_log", "unit_positions", "unit_events", "unit_economy",
             "team_stats", "start_pos", "map_envir_econ", "unit_state_snapshots",
@@ -157,6 +159,103 @@ def _columnar_roundtrip(stream: str, build, pre_digits: dict[str, int] | None =
     return run
 
 
+#: Decimals that rows of a whole run are compared at (besides ``DIGITS``).
+RUN_DIGITS: dict[str, dict[str, int]] = {
+    "damage_by_unit_def": {"total_damage_dealt": 4},
+    "resources_by_player": {c: 2 for c in ("total_metal_produced", "total_metal_used",
+                                           "total_energy_produced", "total_energy_used")},
+    "player_economic_efficiency": {c: 6 for c in (
+        "total_metal_spent", "total_energy_spent", "total_damage_output",
+        "damage_per_resource_unit")},
+    "player_collaboration": {c: 6 for c in (
+        "total_metal_sent", "total_metal_received", "total_energy_sent", "total_energy_received",
+        "net_metal_contribution", "net_energy_contribution")},
+    "aggression_by_unit": {"aggression_score": 6},
+    "calculate_player_apm_and_focus": {"combat_focus_pct": 6, "economy_focus_pct": 6},
+    "map_control_timeline": {"dispersion_x": 6, "dispersion_y": 6},
+    "combat_engagement_summary_default": {"location_x": 6, "location_y": 6, "total_damage": 4,
+                                          "duration_seconds": 6},
+    "army_value_timeline": {"army_value": 4},
+    "unit_economic_contribution_binned": {c: 4 for c in _BIN_METRICS_PRE},
+}
+#: Columns of a whole run's outputs, in the order they are written to a row.
+RUN_COLUMNS = {
+    "vw_net_metal_by_time_team": (BIN, "team_id", "net_metal"),
+    "vw_metal_by_time_def": ("team_id", BIN, "unit_def_id", "metal_produced"),
+    "vw_build_order_events": ("team_id", BIN, "unit_def_id", "total_units_produced_in_bin"),
+    "vw_net_metal_heatmap": ("team_id", "time_index", "unit_index", BIN, "unit_def_id",
+                             "net_metal", "min_value", "max_value"),
+    "vw_economic_flow_edges": ("team_id", "unit_def_id", "direction", "value"),
+    "vw_small_multiples": ("team_id", BIN, "unit_def_id", "metal_produced"),
+    "vw_composition_snapshot": ("team_id", BIN, "unit_def_id", "metal_produced"),
+    "vw_build_order_transitions": ("team_id", "source_def_id", "target_def_id", "transitions"),
+    "vw_producer_consumer_hierarchy": ("team_id", "role", "children"),
+    "vw_economic_rhythm": ("team_id", BIN, "metal_produced", "energy_produced", "units_produced"),
+    "vw_first_appearance_summary": ("team_id", "unit_def_id", "replays", "t_min", "t_q1",
+                                    "t_median", "t_q3", "t_max"),
+    "vw_lag_correlation": ("lag", "correlation", "pairs"),
+    "vw_resource_tradeoff": (BIN, "team_id", "unit_def_id", "net_metal", "net_energy",
+                             "units_alive"),
+    "vw_sankey_fold": ("team_id", "unit_def_id", "production", "consumption"),
+    "unit_economic_contribution_binned": (
+        "team_id", "unit_def_id", BIN, "units_alive_in_bin", "total_units_produced_in_bin",
+        *_BIN_METRICS_PRE),
+}
+
+
+def run_columns(name: str) -> tuple[str, ...]:
+    """Columns of an output without ``replay_id``."""
+    if name in RUN_COLUMNS:
+        return RUN_COLUMNS[name]
+    ddl = registry.STATS[name].schema
+    while "<" in ddl:
+        ddl = re.sub(r"<[^<>]*>", "", ddl)
+    return tuple(part.split()[0] for part in ddl.split(","))
+
+
+def run_digits(name: str) -> dict[str, int]:
+    return RUN_DIGITS.get(name) or DIGITS.get(name, {})
+
+
+def _row_text(name: str, df: DataFrame) -> DataFrame:
+    """An output as rows (output, replay_id, row); doubles as integers at their decimals."""
+    digits, parts = run_digits(name), []
+    render = {**RENDER.get(name, {}), "involved_players": _numbers, "unit_stats": _unit_stats}
+    df = df.select(*[render[c](c) if c in render else F.col(c) for c in df.columns])
+    for c in run_columns(name):
+        if c in digits:
+            scaled = F.round(F.round(F.col(c) * float(10 ** digits[c]), 0)
+                             / float(10 ** digits[c]) * float(10 ** digits[c]), 0)
+            parts.append(F.coalesce(scaled.cast("long").cast("string"), F.lit("~")))
+        else:
+            parts.append(F.coalesce(F.col(c).cast("string"), F.lit("~")))
+    replay = F.col("replay_id") if "replay_id" in df.columns else F.lit(None).cast("long")
+    return df.select(F.lit(name).alias("output"), replay.alias("replay_id"),
+                     F.concat_ws("|", *parts).alias("row"))
+
+
+def _numbers(c: str):
+    return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",").alias(c)
+
+
+def _unit_stats(c: str):
+    return F.array_join(F.transform(F.col(c), lambda s: F.concat(
+        s["unit_def_id"].cast("string"), F.lit(":"), s["units_produced"].cast("string"))),
+        ",").alias(c)
+
+
+def _whole_run(stats_of):
+    """All outputs of one run with shared inputs, as rows (output, replay_id, row)."""
+    def run(spark, sf_dir):
+        outputs, _ = registry.run(adapters.load(spark, sf_dir), stats_of(), [])
+        rows = None
+        for name, df in outputs.items():
+            part = _row_text(name, df)
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+    return run
+
+
 def _defs_lookup(spark, sf_dir):
     rows = C.lookup_rows(adapters.defs_map(spark, sf_dir))
     return rows.select("key", F.array_join("values", "|").alias("values"))
@@ -220,6 +319,8 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ss_unit_engagements": _streamed("damage_log", streams.unit_engagements()),
     "ss_binned_production": _streamed("unit_events", streams.binned_production()),
     **{f"ingest_{a}": _ingest(a) for a in INGESTED},
+    "run_default_stats": _whole_run(registry.default_stats),
+    "run_views": _whole_run(lambda: list(registry.VIEWS)),
     "dq_report": _tables(checks.quality_report, [*checks.FRAMED, "start_pos"]),
 }
 

@@ -1,9 +1,10 @@
 """End-to-end run: aspects -> stats and streams -> contracts -> sink.
 
-RUN-1/RUN-2: every requested stat and stream is built lazily; a failure while
-building *or writing* one output is logged and that output skipped, so one
-broken stat never loses the others.  Empty outputs are not written.  When a
-stat and a stream share a name the stream wins (as in the reference).
+RUN-1/RUN-2: the requested stats and streams share their inputs (see
+``registry``); a failure while building *or writing* one output is logged and
+that output skipped, so one broken stat never loses the others.  Empty outputs
+are not written.  When a stat and a stream share a name the stream wins (as in
+the reference).  Tables stored for the run are removed at its end.
 """
 
 from __future__ import annotations
@@ -22,33 +23,47 @@ FORMATS = ("parquet", "jsonl-gz", "row-major", "columnar", "hybrid")
 
 
 def build_outputs(tables: dict[str, DataFrame], stats: Iterable[str] | None = None,
-                  streams: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    st, sm = registry.run(tables, stats, streams)
-    clash = set(st) & set(sm)
-    for name in clash:
+                  streams: Iterable[str] | None = None, known: registry.Registry | None = None,
+                  share: bool = True) -> registry.Outputs:
+    st, sm = registry.run(tables, stats, streams, known, share)
+    for name in set(st) & set(sm):
         log.warning("name clash %r: the unaggregated stream wins", name)
-    return {**{k: v for k, v in st.items() if k not in clash}, **sm}
+    st.update(sm)
+    return st
 
 
 def run(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
         stats: Iterable[str] | None = None, streams: Iterable[str] | None = None,
-        defs: DataFrame | None = None, game_meta: DataFrame | None = None) -> dict[str, str]:
-    """Write every output; returns ``{name: "written" | "empty" | "failed: ..."}``."""
+        defs: DataFrame | None = None, game_meta: DataFrame | None = None,
+        known: registry.Registry | None = None) -> dict[str, str]:
+    """Write every output; returns ``{name: "written" | "empty" | "failed: ..."}``.
+
+    ``known`` is the registry to choose from, the library's own by default.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}")
-    outputs = build_outputs(tables, stats, streams)
+    known = known or registry.Registry()
+    outputs = build_outputs(tables, stats, streams, known)
+    try:
+        return _write(outputs, out_dir, fmt, known, defs, game_meta)
+    finally:
+        outputs.close()
+
+
+def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, known: registry.Registry,
+           defs: DataFrame | None, game_meta: DataFrame | None) -> dict[str, str]:
     status: dict[str, str] = {}
     if fmt in ("parquet", "jsonl-gz"):
         write = writers.write_parquet if fmt == "parquet" else writers.write_jsonl_gz
         for name, df in outputs.items():
             try:
-                df = registry.sorted_for_sink(name, df)
+                df = registry.sorted_for_sink(name, df, known)
                 status[name] = "written" if write({name: df}, out_dir) else "empty"
             except Exception as e:  # isolation at action time
                 log.exception("output %s failed; skipped", name)
                 status[name] = f"failed: {type(e).__name__}"
         return status
-    orders = {n: _order_of(n, df) for n, df in outputs.items()}
+    orders = {n: _order_of(known, n, df) for n, df in outputs.items()}
     for name, df in outputs.items():
         try:
             if fmt == "row-major":
@@ -75,8 +90,8 @@ def run(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
     return status
 
 
-def _order_of(name: str, df: DataFrame) -> list[str]:
-    stat = registry.STATS.get(name) or registry.STREAMS.get(name)
+def _order_of(known: registry.Registry, name: str, df: DataFrame) -> list[str]:
+    stat = known.stats.get(name) or known.streams.get(name)
     keys = [c for c, _ in (stat.sort if stat else ())]
     if not keys:
         keys = [c for c in ("frame", "row_ord") if c in df.columns]
