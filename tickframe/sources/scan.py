@@ -7,11 +7,12 @@ lists), or JSON-lines / Parquet files holding one positional array per row.
    (replay, aspect) exists under several roots the later root wins.  The
    override is an anti-join on file metadata only, so file contents are never
    shuffled.
-2. *decode* (SRC-2): ``mapInArrow`` in the executors turns each file into
-   rows ``(replay_id, aspect, row_ord, vals)``; every value is tagged with its
-   MessagePack kind (``i:``, ``f:``, ``b:``, ``s:``, ``x:``).  One file is one
-   task's input (a MessagePack stream has no split points); output is emitted
-   in bounded batches.
+2. *decode* (SRC-2): ``mapInArrow`` in the executors turns byte ranges of the
+   files into rows ``(replay_id, aspect, row_ord, vals)``; every value is tagged
+   with its MessagePack kind (``i:``, ``f:``, ``b:``, ``s:``, ``x:``).  Record
+   boundaries inside a file are searched and checked (``mpk_split``), so a long
+   file is read by several tasks; output is emitted in bounded batches.  Stores
+   that only Spark reads fall back to whole files (``binaryFile``).
 3. *bind* (ING-1..7): all JVM-side -- positional ``get``, kind checks and
    ``try_cast`` validation, dequantization, enum code -> name, typed select.
    Bad rows go to a quarantine table ``(replay_id, aspect, row_ord, reason,
@@ -31,6 +32,8 @@ from pyspark.sql import types as T
 
 from ..enums import ENUMS
 from ..schemas import ASPECTS, Field
+from . import mpk_split
+from .msgpack_lite import iter_records
 
 log = logging.getLogger(__name__)
 
@@ -57,7 +60,7 @@ def _list(spark: SparkSession, root: str, glob: str, with_content: bool) -> Data
             log.warning("input directory %s not found; skipped", root)
             return None
         raise
-    cols = [F.col("path"), F.col("length")]
+    cols = [F.col("path"), F.col("length"), F.col("modificationTime").alias("modified")]
     if with_content:
         cols.append(F.col("content"))
     return df.select(
@@ -81,7 +84,8 @@ def discover(spark: SparkSession, roots: Sequence[str], glob: str = "*.mpk",
             df = df.filter(F.col("aspect").isin(wanted))
         per_root.append((i, df))
     if not per_root:
-        return spark.createDataFrame([], "path string, length long, replay_id string, aspect string"
+        return spark.createDataFrame([], "path string, length long, modified timestamp, replay_id "
+                                     "string, aspect string"
                                      + (", content binary" if with_content else ""))
     out = None
     for n, (i, df) in enumerate(per_root):
@@ -120,43 +124,81 @@ def _tag(v) -> str | None:
     return "x:" + json.dumps(v, default=str)
 
 
-def _decode_batches(batches):
-    from .msgpack_lite import iter_records
-
-    cols = {k: [] for k in ("replay_id", "aspect", "row_ord", "vals", "decode_error")}
+_RAW_ARROW = pa.schema([("replay_id", pa.string()), ("aspect", pa.string()),
+                        ("row_ord", pa.int64()), ("vals", pa.list_(pa.string())),
+                        ("decode_error", pa.string())])
+
+
+def _record_batches(replay: str, aspect: str, first_row: int, content: bytes,
+                    error: str | None = None) -> Iterable[pa.RecordBatch]:
+    """Raw rows of a run of records, in bounded batches.
+
+    ``error`` is why the records end where they do; it takes the place of the
+    broken record that the decoder would find there.
+    """
+    rows: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        n, columns = len(rows), list(zip(*rows, strict=True))
+        rows.clear()
+        return pa.record_batch([pa.array([replay] * n), pa.array([aspect] * n),
+                                *(pa.array(list(c), f.type) for c, f in
+                                  zip(columns, list(_RAW_ARROW)[2:], strict=True))],
+                               schema=_RAW_ARROW)
+
+    for i, (rec, err) in enumerate(iter_records(content), first_row):
+        if err is not None and error is not None:
+            err = error
+        elif err is None and not isinstance(rec, list):
+            rec, err = None, "record is not a positional list"
+        rows.append((i, None if rec is None else [_tag(v) for v in rec], err))
+        if len(rows) >= BATCH_ROWS:
+            yield flush()
+    if rows:
+        yield flush()
 
-    def flush():
-        out = pa.RecordBatch.from_pydict(
-            cols, schema=pa.schema([("replay_id", pa.string()), ("aspect", pa.string()),
-                                    ("row_ord", pa.int64()), ("vals", pa.list_(pa.string())),
-                                    ("decode_error", pa.string())]))
-        for v in cols.values():
-            v.clear()
-        return out
 
+def _decode_batches(batches):
     for batch in batches:
         d = batch.to_pydict()
         for replay, aspect, content in zip(d["replay_id"], d["aspect"], d["content"]):
-            for i, (rec, err) in enumerate(iter_records(content)):
-                cols["replay_id"].append(replay)
-                cols["aspect"].append(aspect)
-                cols["row_ord"].append(i)
-                if err is None and not isinstance(rec, list):
-                    err = "record is not a positional list"
-                    rec = None
-                cols["vals"].append(None if rec is None else [_tag(v) for v in rec])
-                cols["decode_error"].append(err)
-                if len(cols["row_ord"]) >= BATCH_ROWS:
-                    yield flush()
-    if cols["row_ord"]:
-        yield flush()
+            yield from _record_batches(replay, aspect, 0, content)
 
 
 def decode_files(files: DataFrame) -> DataFrame:
-    """files(replay_id, aspect, content) -> raw positional rows."""
+    """files(replay_id, aspect, content) -> raw positional rows, one task a file."""
     return files.select("replay_id", "aspect", "content").mapInArrow(_decode_batches, RAW_SCHEMA)
 
 
+#: Stores whose files executors open at any place.
+RANGED = ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
+
+
+def decode_split(files: DataFrame, split: int | None = None, store: str | None = None) -> DataFrame:
+    """files(path, length, modified, replay_id, aspect) -> raw rows, read by byte ranges.
+
+    ``split`` is the size of a range, by default one that gives all cores work.
+    ``store`` keeps the index of record boundaries for later reads.
+    """
+    if split is None:
+        total = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        split = mpk_split.split_size(total, files.sparkSession.sparkContext.defaultParallelism)
+    ranges = mpk_split.indexed(files, split, store) if store else mpk_split.index(files, split)
+    return mpk_split.decode(ranges, _record_batches, RAW_SCHEMA)
+
+
+def read_raw(spark: SparkSession, roots: Sequence[str], aspects: Iterable[str],
+             split: int | None = None, store: str | None = None) -> DataFrame:
+    """Raw rows of the MessagePack files under ``roots``."""
+    names = list(aspects)
+    files = discover(spark, roots, aspects=names, with_content=False)
+    schemes = {r[0] for r in files.select(
+        F.regexp_extract("path", "^([a-z0-9]+):", 1)).distinct().collect()}
+    if schemes <= set(RANGED):
+        return decode_split(files, split, store)
+    return decode_files(discover(spark, roots, aspects=names))
+
+
 def positional_json(spark: SparkSession, path: str, replay_id: str | None = None,
                     aspect: str | None = None) -> DataFrame:
     """JSON lines, one positional array per line -> raw rows (replay and
@@ -276,18 +318,20 @@ def bind(raw: DataFrame, aspect: str, on_bad_enum: str = "reject",
 
 
 def scan(spark: SparkSession, roots: Sequence[str], aspects: Iterable[str] | None = None,
-         on_bad_enum: str = "reject", on_error: str = "skip"
-         ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Scan MessagePack aspect files under ``roots`` -> ({aspect: clean}, quarantine)."""
+         on_bad_enum: str = "reject", on_error: str = "skip", split: int | None = None,
+         store: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Scan MessagePack aspect files under ``roots`` -> ({aspect: clean}, quarantine).
+
+    ``split`` and ``store`` as in ``decode_split``.
+    """
     names = list(aspects) if aspects is not None else list(ASPECTS)
     unknown = [a for a in names if a not in ASPECTS]
     if unknown:
         log.warning("no schema for aspects %s; skipped", unknown)
     names = [a for a in names if a in ASPECTS]
-    files = discover(spark, roots, aspects=names)
     tables, quarantines = {}, []
     for a in names:
-        raw = decode_files(files.filter(F.col("aspect") == a))
+        raw = read_raw(spark, roots, [a], split, store and f"{store.rstrip('/')}/{a}")
         clean, q = bind(raw, a, on_bad_enum, on_error)
         tables[a] = clean
         quarantines.append(q)
