@@ -853,9 +853,44 @@ def _ingested(aspect: str) -> str:
     return with_aspects(f"SELECT * EXCLUDE (row_ord){replace} FROM a_{aspect}", aspect)
 
 
+def _quarantined() -> str:
+    """Accepted and rejected command records, by the faults that the query plants."""
+    from tickframe.enums import ENUMS
+    code = "CASE " + " ".join(f"WHEN cmd_name = '{v}' THEN {k}"
+                              for k, v in ENUMS["CommandsEnum"].items()) + " END"
+
+    def tag(kind: str, c: str) -> str:
+        return f"coalesce('{kind}:' || CAST({c} AS VARCHAR), 'null')"
+
+    start = ", ".join([tag("i", "frame"), tag("f", "team"), tag("i", "unitId"), tag("i", "cmd_id"),
+                       tag("i", "code"), tag("i", "cmd_tag"), tag("i", "target_unit_id"),
+                       tag("i", "x")])
+    rest = ", ".join([tag("i", "y"), tag("i", "z")])
+    return with_aspects(f""",
+  r AS (SELECT *, row_ord % 11 AS fault,
+               CAST(teamId AS DOUBLE) + CASE WHEN row_ord % 11 IN (3, 5) THEN 0.5 ELSE 0 END AS team,
+               CASE WHEN row_ord % 11 IN (4, 5) THEN 99 ELSE {code} END AS code
+        FROM a_commands_log)
+SELECT replay_id,
+       CASE fault WHEN 1 THEN 'y: required value missing; z: required value missing'
+                  WHEN 2 THEN 'commands_log: 10 fields, got 11'
+                  WHEN 3 THEN 'teamId: expected integer'
+                  WHEN 4 THEN 'cmd_name: unknown CommandsEnum code 99'
+                  WHEN 5 THEN 'teamId: expected integer; cmd_name: unknown CommandsEnum code 99'
+                  ELSE '' END AS reason,
+       CASE WHEN fault = 1 THEN concat_ws('|', {start})
+            WHEN fault = 2 THEN concat_ws('|', {start}, {rest}, 'i:1')
+            WHEN fault IN (3, 4, 5) THEN concat_ws('|', {start}, {rest})
+            ELSE concat_ws('|', frame, teamId, unitId, cmd_id, cmd_name, x, y) END AS row
+FROM r""", "commands_log")
+
+
 def _all_ingested() -> dict[str, str]:
     from tickframe.plans.catalog import INGESTED
-    return {f"ingest_{a}": _ingested(a) for a in INGESTED}
+    return {**{f"ingest_{a}": _ingested(a) for a in INGESTED},
+            **{f"ingest_mpk_{a}": _ingested(a) for a in INGESTED},
+            "ingest_layer_damage_log": _ingested("damage_log"),
+            "ingest_quarantine": _quarantined()}
 
 
 EXTRA_SQL.update(_all_ingested())

@@ -159,3 +159,14 @@ def test_writer_round_trip(spark, tmp_path):
         ("p", ("i:1", "f:1.5", "s:x", "b:true")), ("q", ("i:2", None, None, None))]
     assert not [f for _, _, fs in os.walk(tmp_path) for f in fs if f.startswith(".things")]
     assert list(iter_records(b"")) == []
+
+
+def test_writer_keeps_all_batches(spark, tmp_path):
+    rows = spark.range(25_000).selectExpr("CAST(id % 3 AS string) AS replay_id", "id AS a",
+                                          "CAST(1 + id % 2 AS int) AS n", "'x' AS b").coalesce(1)
+    M.write(rows, ["a", "b"], "things", str(tmp_path), "n")
+    got = scan.read_raw(spark, [str(tmp_path)], ["things"], split=9000)
+    assert got.count() == 25_000
+    assert sorted(r[0] for r in got.selectExpr("vals[0]").collect()) == sorted(
+        f"i:{i}" for i in range(25_000))
+    assert got.where("size(vals) = 2 AND vals[1] = 's:x'").count() == 12_500

@@ -129,10 +129,10 @@ def apportion_to_bins_ranges(df: DataFrame, keys: list[str], start: str, end: st
     covered = F.col("ic") > 0
     # (4) this bin, plus the fully covered bins up to the next event bin
     gap_end = F.coalesce(F.col("nb"), F.col("bin") + step) - step
-    extra = F.when(covered & (gap_end > F.col("bin")),
-                   F.sequence(F.col("bin") + step, gap_end, F.lit(step).cast("long"))
-                   ).otherwise(F.array().cast("array<bigint>"))
-    l3 = l3.select("*", F.explode(F.concat(F.array(F.col("bin")), extra)).alias("ob"))
+    between = F.when(covered & (gap_end > F.col("bin")),
+                     F.sequence(F.col("bin") + step, gap_end, F.lit(step).cast("long"))
+                     ).otherwise(F.array().cast("array<bigint>"))
+    l3 = l3.select("*", F.explode(F.concat(F.array(F.col("bin")), between)).alias("ob"))
     own = F.col("ob") == F.col("bin")
     ic = F.when(covered, F.col("ic")).otherwise(F.lit(0))
 

@@ -10,12 +10,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import name_to_code
+from ..schemas import ASPECTS
+from ..scratch import scratch_path
 from ..sinks import contracts as C
-from ..sources import adapters
+from ..sources import adapters, mpk_split, qualified, scan
 from ..streaming import jobs as streams
 from . import checks, recipes, registry, stats, views
 from .views import BIN
@@ -66,18 +68,18 @@ def _stat(fn, aspects, **kw):
 
 def _streamed(aspect: str, job):
     """Run a streaming job over an aspect derived from the driver tables: the
-    aspect is written as several files under the session's checkpoint dir, read
-    as a file stream one file a micro-batch (``availableNow``), and the job's
-    partial rows are added up."""
+    aspect is written as files under the session's checkpoint dir, read as a file
+    stream in three micro-batches (``availableNow``), and the job's partial rows
+    are added up."""
     def run(spark, sf_dir):
-        import uuid
-
-        from ..session import ensure_checkpoint_dir
         src = adapters.load(spark, sf_dir, aspect)[aspect]
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-queries/{uuid.uuid4().hex}"
-        src.repartition(3).write.parquet(f"{root}/in")
-        source = streams.read_aspect_stream(spark, f"{root}/in", src.schema, max_files=1)
-        q = streams.start(job, source, f"{root}/out", name=f"q{uuid.uuid4().hex[:12]}",
+        root = scratch_path(spark, f"stream-{aspect}")
+        # the tasks of the scan write, and a micro-batch reads a third of their files
+        files = max(3, src.rdd.getNumPartitions())
+        (src if files > 3 else src.repartition(3)).write.parquet(f"{root}/in")
+        source = streams.read_aspect_stream(spark, f"{root}/in", src.schema,
+                                            max_files=-(-files // 3))
+        q = streams.start(job, source, f"{root}/out", name=f"q{root.rsplit('-', 1)[1][:12]}",
                           available_now=True, checkpoint=f"{root}/ckpt")
         q.awaitTermination()
         if q.exception() is not None:
@@ -86,38 +88,85 @@ def _streamed(aspect: str, job):
     return run
 
 
+def _positional(aspect: str) -> list[Column]:
+    """An aspect's columns as its raw records have them: quantized integers and enum codes."""
+    out = []
+    for f in ASPECTS[aspect]:
+        c = F.col(f.name)
+        if f.divisor is not None:
+            c = F.floor(c * F.lit(f.divisor)).cast("long")
+        if f.enum is not None:
+            c = name_to_code(c, f.enum)
+        out.append(c.alias(f.name))
+    return out
+
+
 def _ingest(aspect: str):
     """Round trip through the positional ingest path: the adapted aspect is
     encoded as raw positional records (quantized integers, untagged tokens),
     written as Parquet under the checkpoint dir, then decoded and bound by the
     scan (ING-1..7).  ``row_ord`` is dropped (it restarts in the new files)."""
     def run(spark, sf_dir):
-        import uuid
+        src = adapters.load(spark, sf_dir, aspect)[aspect]
+        root = scratch_path(spark, f"ingest-{aspect}")
+        src.select("replay_id", F.array(*[c.cast("string") for c in _positional(aspect)])
+                   .alias("vals")).write.parquet(root)
+        raw = scan.positional_parquet(spark, root, aspect=aspect, replay_column="replay_id")
+        clean, _ = scan.bind(raw, aspect)
+        return clean.drop("row_ord").withColumn("replay_id", F.col("replay_id").cast("long"))
+    return run
 
-        from ..schemas import ASPECTS
-        from ..session import ensure_checkpoint_dir
-        from ..sources import scan
 
+def _ingest_mpk(aspect: str):
+    """The adapted aspect as MessagePack files, read back by byte ranges (SRC-2)."""
+    def run(spark, sf_dir):
         src = adapters.load(spark, sf_dir, aspect)[aspect]
-        vals = []
-        for f in ASPECTS[aspect]:
-            c = F.col(f.name)
-            if f.divisor is not None:
-                c = F.floor(c * F.lit(f.divisor)).cast("long")
-            if f.enum is not None:
-                c = name_to_code(c, f.enum)
-            vals.append(c.cast("string"))
-        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-queries/{uuid.uuid4().hex}"
-        src.select(F.col("replay_id").cast("string").alias("replay_id"),
-                   F.array(*vals).alias("vals")).write.partitionBy("replay_id").parquet(root)
-        raw = scan.positional_parquet(spark, root, aspect=aspect)
-        raw = raw.withColumn("replay_id", F.regexp_extract(
-            F.input_file_name(), r"replay_id=([^/]+)", 1))
-        clean, _ = scan.bind(raw, aspect)
+        root = scratch_path(spark, f"mpk-{aspect}")
+        mpk_split.write(src.select("replay_id", *_positional(aspect)),
+                        [f.name for f in ASPECTS[aspect]], aspect, root)
+        clean, _ = scan.bind(scan.read_raw(spark, [root], [aspect]), aspect)
         return clean.drop("row_ord").withColumn("replay_id", F.col("replay_id").cast("long"))
     return run
 
 
+def _ingest_quarantine(spark, sf_dir):
+    """Command records, some too short, too long, mistyped or with unknown codes,
+    through one decode: accepted and rejected rows with kind and reason (ING-3)."""
+    aspect = "commands_log"
+    fault = F.col("row_ord") % 11
+    src = adapters.load(spark, sf_dir, aspect)[aspect]
+    rows = src.select(
+        "replay_id", *[c for c in _positional(aspect)], "row_ord").withColumn(
+        "teamId", F.col("teamId") + F.when(fault.isin(3, 5), 0.5).otherwise(0.0)).withColumn(
+        "cmd_name", F.when(fault.isin(4, 5), 99).otherwise(F.col("cmd_name"))).withColumn(
+        "more", F.lit(1)).withColumn(
+        "size", F.when(fault == 1, 8).when(fault == 2, 11).otherwise(10))
+    root = scratch_path(spark, "mpk-faults")
+    mpk_split.write(rows, [*(f.name for f in ASPECTS[aspect]), "more"], aspect, root, "size")
+    clean, bad = scan.split_once(scan.read_raw(spark, [root], [aspect]), aspect,
+                                 scratch_path(spark, "split"))
+    shown = F.concat_ws("|", *[F.col(c).cast("string") for c in (
+        "frame", "teamId", "unitId", "cmd_id", "cmd_name", "x", "y")])
+    return clean.select("replay_id", F.lit("").alias("reason"), shown.alias("row")).unionByName(
+        bad.select("replay_id", "reason", F.col("raw").alias("row"))).withColumn(
+        "replay_id", F.col("replay_id").cast("long"))
+
+
+def _ingest_layer(spark, sf_dir):
+    """The damage log through the qualified layer: even replays first, then all (ING-9)."""
+    aspect = "damage_log"
+    src = adapters.load(spark, sf_dir, aspect)[aspect]
+    root, layer = scratch_path(spark, "mpk-layer"), scratch_path(spark, "layer")
+    kept = qualified.Layer(spark, layer)
+    for part in (0, 1):
+        mpk_split.write(src.where(F.col("replay_id") % 2 == part).select(
+            "replay_id", *_positional(aspect)), [f.name for f in ASPECTS[aspect]], aspect,
+            f"{root}/{part}")
+        kept.update([root], [aspect])
+    tables, _ = kept.read([root], [aspect])
+    return tables[aspect].drop("row_ord").withColumn("replay_id", F.col("replay_id").cast("long"))
+
+
 def _row_major_roundtrip(stream: str, build, pre_digits: dict[str, int] | None = None):
     """Contracted stream -> row-major zstd chunks -> decoded rows (SNK-3)."""
     def run(spark, sf_dir):
@@ -319,6 +368,9 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ss_unit_engagements": _streamed("damage_log", streams.unit_engagements()),
     "ss_binned_production": _streamed("unit_events", streams.binned_production()),
     **{f"ingest_{a}": _ingest(a) for a in INGESTED},
+    **{f"ingest_mpk_{a}": _ingest_mpk(a) for a in INGESTED},
+    "ingest_quarantine": _ingest_quarantine,
+    "ingest_layer_damage_log": _ingest_layer,
     "run_default_stats": _whole_run(registry.default_stats),
     "run_views": _whole_run(lambda: list(registry.VIEWS)),
     "dq_report": _tables(checks.quality_report, [*checks.FRAMED, "start_pos"]),

@@ -10,11 +10,12 @@ the reference).  Tables stored for the run are removed at its end.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..sinks import writers
+from ..sources import qualified
 from . import registry
 
 log = logging.getLogger(__name__)
@@ -50,6 +51,25 @@ def run(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
         outputs.close()
 
 
+def run_files(spark: SparkSession, roots: Sequence[str], layer: str, out_dir: str,
+              fmt: str = "parquet", stats: Iterable[str] | None = None,
+              streams: Iterable[str] | None = None, dims: dict[str, DataFrame] | None = None,
+              known: registry.Registry | None = None, **options) -> dict[str, str]:
+    """``run`` over telemetry files, by way of the qualified layer at ``layer``.
+
+    Only replays whose files are new or changed are decoded.  ``dims`` adds
+    tables that are no aspects (unit definitions); rejected rows are written to
+    ``<out_dir>/quarantine``.
+    """
+    kept = qualified.Layer(spark, layer)
+    kept.update(roots)
+    tables, quarantine = kept.read(roots)
+    status = run({**tables, **(dims or {})}, out_dir, fmt, stats, streams, known=known, **options)
+    status["quarantine"] = "written" if writers.write_parquet(
+        {"quarantine": quarantine}, out_dir) else "empty"
+    return status
+
+
 def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, known: registry.Registry,
            defs: DataFrame | None, game_meta: DataFrame | None) -> dict[str, str]:
     status: dict[str, str] = {}

@@ -324,11 +324,13 @@ def decode(ranges: DataFrame, batches_of, schema) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- writing
-def write(rows: DataFrame, fields: list[str], aspect: str, root: str) -> None:
+def write(rows: DataFrame, fields: list[str], aspect: str, root: str,
+          length: str | None = None) -> None:
     """Rows as MessagePack files ``<root>/part-<n>/<replay_id>/<aspect>.mpk``.
 
     Each task writes the rows that it has, so nothing is shuffled; a task that
-    runs again overwrites its own files.
+    runs again overwrites its own files.  The column ``length`` says how many of
+    the fields a record has, all by default.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -336,15 +338,18 @@ def write(rows: DataFrame, fields: list[str], aspect: str, root: str) -> None:
         attempt = uuid.uuid4().hex
         for batch in batches:
             buffers: dict[str, list[bytes]] = {}
-            for replay, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                buffers.setdefault(replay, []).append(pack(values))
+            for replay, n, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                buffers.setdefault(replay, []).append(pack(values[:n]))
             for replay, parts in buffers.items():
-                files.setdefault(replay, _Part(root, part, replay, aspect, attempt)).append(parts)
+                if replay not in files:
+                    files[replay] = _Part(root, part, replay, aspect, attempt)
+                files[replay].append(parts)
         for file in files.values():
             yield pa.record_batch([pa.array([file.commit()]), pa.array([file.rows])],
                                   ["path", "rows"])
 
-    rows.select(F.col("replay_id").cast("string"), *fields).mapInArrow(
+    size = F.col(length).cast("int") if length else F.lit(len(fields))
+    rows.select(F.col("replay_id").cast("string"), size, *fields).mapInArrow(
         run, "path string, rows long").write.format("noop").mode("overwrite").save()
 
 

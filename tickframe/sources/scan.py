@@ -213,16 +213,23 @@ def positional_json(spark: SparkSession, path: str, replay_id: str | None = None
 
 
 def positional_parquet(spark: SparkSession, path: str, column: str = "vals",
-                       replay_id: str | None = None, aspect: str | None = None) -> DataFrame:
-    """Parquet with an ``array<string>`` positional column -> raw rows."""
+                       replay_id: str | None = None, aspect: str | None = None,
+                       replay_column: str | None = None) -> DataFrame:
+    """Parquet with an ``array<string>`` positional column -> raw rows.
+
+    The replay is named by ``replay_column``, or ``replay_id``, or else the path.
+    """
     df = spark.read.parquet(path).select(
         F.input_file_name().alias("path"), F.col(column).alias("value"),
-        F.col("_metadata.row_index").alias("__id"))
-    return _from_array(df, F.col("value"), replay_id, aspect, order="__id")
+        F.col("_metadata.row_index").alias("__id"),
+        *([F.col(replay_column).cast("string").alias("__replay")] if replay_column else []))
+    return _from_array(df, F.col("value"), F.col("__replay") if replay_column else replay_id,
+                       aspect, order="__id")
 
 
 def _from_array(df: DataFrame, arr: Column, replay_id, aspect, order: str) -> DataFrame:
-    rid = F.lit(replay_id) if replay_id else F.regexp_extract("path", _PATH_REPLAY, 1)
+    rid = (F.regexp_extract("path", _PATH_REPLAY, 1) if replay_id is None else
+           replay_id if isinstance(replay_id, Column) else F.lit(replay_id))
     asp = F.lit(aspect) if aspect else F.regexp_extract("path", _PATH_ASPECT, 1)
     tagged = F.transform(arr, lambda v: _tag_expr(v))
     return df.select(
@@ -277,19 +284,17 @@ def _field_value(f: Field, raw: Column, on_bad_enum: str) -> tuple[Column, Colum
     return val.cast(f.clean_type), err
 
 
-def bind(raw: DataFrame, aspect: str, on_bad_enum: str = "reject",
-         on_error: str = "skip") -> tuple[DataFrame, DataFrame]:
-    """Positional raw rows of one aspect -> (clean table, quarantine).
+#: Why a row is rejected, the first that applies; accepted rows are ``OK``.
+OK = "ok"
+REJECTS = ("decode", "length", "required", "type", "enum")
+REJECT = "reject"
 
-    Short rows are null-padded, long rows rejected (ING-1); per-field type and
-    nullability checks (ING-2); ``on_error``: ``"skip"`` quarantines bad rows,
-    ``"fail"`` raises on the first one (ING-3); dequantize (ING-4); enum code
-    -> name with ``on_bad_enum`` ``"reject"`` or ``"null"`` (ING-5/DEC-1);
-    typed select (ING-7)."""
-    if on_error not in ("skip", "fail") or on_bad_enum not in ("reject", "null"):
-        raise ValueError("on_error must be skip|fail and on_bad_enum reject|null")
+
+def _checked(raw: DataFrame, aspect: str, on_bad_enum: str) -> DataFrame:
+    """Every row of an aspect typed, with all its faults in ``__err`` and their kind."""
+    if on_bad_enum not in ("reject", "null"):
+        raise ValueError("on_bad_enum must be reject|null")
     fields = ASPECTS[aspect]
-    d = raw.filter(F.col("aspect") == aspect)
     vals = F.col("vals")
     typed, errs = [], [F.col("decode_error"),
                        F.when(F.size(vals) > len(fields),
@@ -299,9 +304,41 @@ def bind(raw: DataFrame, aspect: str, on_bad_enum: str = "reject",
         v, e = _field_value(f, F.get(vals, i), on_bad_enum)
         typed.append(v.alias(f.name))
         errs.append(e)
-    checked = d.select("replay_id", "row_ord", vals.alias("__vals"), *typed,
-                       F.concat_ws("; ", *errs).alias("__err"))
-    checked = checked.withColumn("__err", F.when(F.col("__err") != "", F.col("__err")))
+    checked = raw.filter(F.col("aspect") == aspect).select(
+        "replay_id", "row_ord", vals.alias("__vals"), *typed, "decode_error",
+        F.concat_ws("; ", *errs).alias("__err"))
+    err = F.col("__err")
+    kind = (F.when(err == "", OK).when(F.col("decode_error").isNotNull(), "decode")
+            .when(F.size("__vals") > len(fields), "length")
+            .when(err.contains(": required value missing"), "required")
+            .when(err.contains(": expected "), "type").otherwise("enum"))
+    return checked.select("replay_id", "row_ord", "__vals", *[f.name for f in fields],
+                          kind.alias(REJECT), F.when(err != "", err).alias("__err"))
+
+
+def _clean(checked: DataFrame, aspect: str) -> DataFrame:
+    return checked.select("replay_id", *[f.name for f in ASPECTS[aspect]], "row_ord")
+
+
+def _quarantine(checked: DataFrame, aspect: str) -> DataFrame:
+    return checked.select(
+        "replay_id", F.lit(aspect).alias("aspect"), "row_ord", F.col("__err").alias("reason"),
+        F.array_join(F.col("__vals"), "|", "null").alias("raw"))
+
+
+def bind(raw: DataFrame, aspect: str, on_bad_enum: str = "reject",
+         on_error: str = "skip") -> tuple[DataFrame, DataFrame]:
+    """Positional raw rows of one aspect -> (clean table, quarantine).
+
+    Short rows are null-padded, long rows rejected (ING-1); per-field type and
+    nullability checks (ING-2); ``on_error``: ``"skip"`` quarantines bad rows,
+    ``"fail"`` raises on the first one (ING-3); dequantize (ING-4); enum code
+    -> name with ``on_bad_enum`` ``"reject"`` or ``"null"`` (ING-5/DEC-1);
+    typed select (ING-7).  Both results read ``raw`` on their own; ``split_once``
+    reads it once."""
+    if on_error not in ("skip", "fail"):
+        raise ValueError("on_error must be skip|fail")
+    checked = _checked(raw, aspect, on_bad_enum)
     bad = F.col("__err").isNotNull()
     if on_error == "fail":
         guard = F.when(bad, F.raise_error(F.concat(
@@ -310,11 +347,41 @@ def bind(raw: DataFrame, aspect: str, on_bad_enum: str = "reject",
         clean = checked.filter(guard.cast("boolean"))
     else:
         clean = checked.filter(~bad)
-    clean = clean.select("replay_id", *[f.name for f in fields], "row_ord")
-    quarantine = checked.filter(bad).select(
-        "replay_id", F.lit(aspect).alias("aspect"), "row_ord", F.col("__err").alias("reason"),
-        F.array_join(F.col("__vals"), "|", "null").alias("raw"))
-    return clean, quarantine
+    return _clean(clean, aspect), _quarantine(checked.filter(bad), aspect)
+
+
+def split_once(raw: DataFrame, aspect: str, path: str, on_bad_enum: str = "reject",
+               mode: str = "errorifexists") -> tuple[DataFrame, DataFrame]:
+    """``bind`` with one decode: rows are checked once and written to ``path`` by reject kind.
+
+    The clean table and the quarantine are read from there; each reads its own
+    partitions only.  Raw values are kept for rejected rows alone.
+    """
+    checked = _checked(raw, aspect, on_bad_enum)
+    (checked.withColumn("__vals", F.when(F.col("__err").isNotNull(), F.col("__vals")))
+     .write.mode(mode).option("compression", "zstd").partitionBy(REJECT).parquet(path))
+    return read_split(raw.sparkSession, [path], aspect)
+
+
+def read_split(spark: SparkSession, paths: Sequence[str], aspect: str
+               ) -> tuple[DataFrame, DataFrame]:
+    """(clean table, quarantine) of tables that ``split_once`` has written."""
+    checked = split_rows(spark, paths, aspect)
+    return (_clean(checked.where(F.col(REJECT) == OK), aspect),
+            _quarantine(checked.where(F.col(REJECT).isin(*REJECTS)), aspect))
+
+
+def split_rows(spark: SparkSession, paths: Sequence[str], aspect: str) -> DataFrame:
+    fields = [T.StructField(f.name, f.clean_type) for f in ASPECTS[aspect]]
+    schema = T.StructType([
+        T.StructField("replay_id", T.StringType()), T.StructField("row_ord", T.LongType()),
+        T.StructField("__vals", T.ArrayType(T.StringType())), *fields,
+        T.StructField("__err", T.StringType()), T.StructField(REJECT, T.StringType())])
+    out = None
+    for path in paths:
+        part = spark.read.schema(schema).parquet(path)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def scan(spark: SparkSession, roots: Sequence[str], aspects: Iterable[str] | None = None,
