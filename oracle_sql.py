@@ -897,6 +897,22 @@ EXTRA_SQL.update(_all_ingested())
 EXTRA_SQL["sink_row_major_army_value_timeline"] = EXTRA_SQL["out_army_value_timeline"]
 EXTRA_SQL["sink_columnar_unit_economic_contribution_binned"] = \
     EXTRA_SQL["out_unit_economic_contribution_binned"]
+EXTRA_SQL["sink_columnar_force_composition_timeline"] = STATS_SQL["force_composition_timeline"]
+EXTRA_SQL["sink_columnar_start_pos"] = with_aspects(
+    "SELECT * EXCLUDE (row_ord) FROM a_start_pos", "start_pos")
+EXTRA_SQL["sink_parquet_index"] = EXTRA_SQL["sink_jsonl_index"] = with_aspects(
+    'SELECT replay_id, count(*) AS "rows" FROM a_damage_log GROUP BY replay_id', "damage_log")
+EXTRA_SQL["sink_hybrid"] = f"""
+SELECT 'army_value_timeline' AS stream, replay_id,
+       concat_ws('|', frame, team_id, army_value) AS row
+FROM ({EXTRA_SQL["out_army_value_timeline"]}) a
+UNION ALL
+SELECT 'start_pos', replay_id, concat_ws('|', player_id, player_name, commander_def_name,
+                                         unit_def_id, x, y, z)
+FROM ({EXTRA_SQL["sink_columnar_start_pos"]}) s
+UNION ALL
+SELECT 'force_composition_timeline', replay_id, concat_ws('|', player_id, minute, unit_stats)
+FROM ({STATS_SQL["force_composition_timeline"]}) f"""
 
 
 # --------------------------------------------------------------------------- whole runs

@@ -2,12 +2,16 @@
 layouts (round-tripped through numpy / zstd)."""
 
 import json
+import re
 
 import numpy as np
 import pytest
 import zstandard
 
+from pyspark.sql import types as T
+
 from tests.conftest import make
+from tickframe.sinks import bundle as B
 from tickframe.sinks import contracts as C
 from tickframe.sinks import writers as W
 
@@ -59,14 +63,8 @@ def _concat(chunks, key):
 
 
 def _offsets(chunks, key):
-    """Stitch per-chunk offsets (each restarting at 0) into global offsets."""
-    rows = sorted((r.part, r.seq, r.blob) for r in chunks.filter(chunks.data_key == key).collect())
-    out, base = [], 0
-    for _, _, blob in rows:
-        arr = np.frombuffer(zstandard.ZstdDecompressor().decompressobj().decompress(blob), "<u4")
-        out.extend(int(x) + base for x in arr[:-1])
-        base += int(arr[-1])
-    return out + [base]
+    """The offsets of a column, its chunks simply joined."""
+    return np.frombuffer(_concat(chunks, key)["r"], "<u4").tolist()
 
 
 def test_row_major_bundle_roundtrip(spark):
@@ -131,6 +129,92 @@ def test_lookup_rows(spark):
         (1, ("a", "A")), (2, ("b", "B"))]
 
 
+NESTED = ("replay_id string, frame long, name string, ids array<long>, tags array<string>, "
+          "stats array<struct<unit_def_id: long, label: string, marks: array<int>>>, on boolean, "
+          "value double")
+
+
+def nested_rows(n, replay="r"):
+    return [(replay, i, "é" * (i % 4), list(range(i % 3)), [f"t{k}" for k in range(i % 4)],
+             [(k, f"l{k}", list(range(k))) for k in range(i % 5)], i % 2 == 0, i / 4)
+            for i in range(n)]
+
+
+NESTED_COLUMNS = ("frame", "name", "ids", "tags", "stats", "on", "value")
+
+
+def _types(df):
+    return [(f.name, W._logical(f) if not isinstance(f.dataType, (T.ArrayType, T.StringType))
+             else None, f.dataType) for f in df.schema if f.name != "replay_id"]
+
+
+@pytest.fixture
+def small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_nested_columns_over_many_chunks(spark, small_batches):
+    rows = nested_rows(100) + nested_rows(40, "s") + nested_rows(1, "t")
+    df = make(spark, rows, NESTED)
+    chunks, _ = W.columnar_bundle({"things": df}, {"things": ["frame"]})
+    chunks.cache()
+    assert chunks.where("data_key = 'things.frame' AND replay_id = 'r'").count() > 10
+    # the chunks joined are one valid file: offsets go up to the length of what they span
+    for key in ("name", "tags", "ids"):
+        offs, data = _offsets(chunks, f"things.{key}_offs"), {
+            "name": "name_data", "tags": "tags_vals_offs", "ids": "ids_vals"}[key]
+        assert len(offs) == 101 and offs == sorted(offs) and offs[0] == 0
+        size = len(_concat(chunks, f"things.{data}")["r"])
+        assert offs[-1] == {"name": size, "tags": size // 4 - 1, "ids": size // 8}[key]
+    names = _concat(chunks, "things.name_data")["r"]
+    offs = _offsets(chunks, "things.name_offs")
+    assert [names[a:b].decode() for a, b in zip(offs, offs[1:], strict=False)] == [
+        r[2] for r in rows[:100]]
+    assert len(_offsets(chunks, "things.stats_list_offs")) == 101
+    got = W.read_columnar(chunks, "things", _types(df)).orderBy("replay_id", "part", "seq", "row")
+    assert [tuple(r) for r in got.select("replay_id", *NESTED_COLUMNS).collect()] == [
+        tuple(r) for r in df.orderBy("replay_id", "frame").collect()]
+
+
+def test_offsets_follow_hot_replays_and_empty_lists(spark, small_batches):
+    rows = [("r", i, "", [], [], [], False, 0.0) for i in range(50)] + [
+        ("r", 50 + i, "x" * 10, [1], ["a"], [(1, "b", [2])], True, 1.0) for i in range(50)]
+    df = make(spark, rows, NESTED)
+    chunks, _ = W.columnar_bundle({"things": df}, {"things": ["frame"]})
+    offs = _offsets(chunks, "things.name_offs")
+    assert offs == [0] * 51 + [10 * k for k in range(1, 51)]
+    got = W.read_columnar(chunks, "things", _types(df))
+    assert sorted(map(repr, got.select("replay_id", *NESTED_COLUMNS).collect())) == sorted(
+        map(repr, df.collect()))
+
+
+def test_files_follow_bytes_and_replays_are_found(spark, tmp_path):
+    df = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('r', id % 100) END AS replay_id",
+        "id AS frame", "sha2(CAST(id AS string), 256) AS x")
+    W.write_parquet({"things": df}, str(tmp_path), orders={"things": ["frame"]},
+                    file_bytes=200_000)
+    files = [f for f in (tmp_path / "things").iterdir() if f.suffix == ".parquet"]
+    assert 3 <= len(files) <= 20
+    back = spark.read.parquet(str(tmp_path / "things"))
+    assert sorted(back.columns) == sorted(df.columns) and back.count() == 30_000
+    one = W.read_replays(spark, str(tmp_path), "things", ["r7"], df.schema)
+    assert sorted(map(tuple, one.collect())) == sorted(
+        map(tuple, df.where("replay_id = 'r7'").collect()))
+    assert 0 < len(one.inputFiles()) < len(files)
+    hot = W.read_replays(spark, str(tmp_path), "things", ["hot"], df.schema)
+    assert hot.count() == 10_000 and len(hot.inputFiles()) > 1        # a hot replay is split
+    assert W.read_replays(spark, str(tmp_path), "things", ["none"], df.schema).count() == 0
+    W.write_jsonl_gz({"things": df}, str(tmp_path / "j"), orders={"things": ["frame"]},
+                     file_bytes=400_000)
+    again = W.read_replays(spark, str(tmp_path / "j"), "things", ["r7", "hot"], df.schema, "json")
+    assert again.count() == one.count() + 10_000
+
+
 def test_hybrid_bundle_with_assets(spark, tmp_path):
     army = make(spark, [("r", 0, 1, 10.0), ("r", 450, 1, 20.0)],
                 "replay_id string, frame long, team_id long, army_value double")
@@ -142,14 +226,60 @@ def test_hybrid_bundle_with_assets(spark, tmp_path):
                   "total_energy_consumed_in_bin double")
     defs = make(spark, [(1, "a", "A")], "unit_def_id long, unit_name string, translated_human_name string")
     meta = make(spark, [("p", bytearray(b'{"id": "g"}'))], "path string, content binary")
-    out = W.hybrid_bundle({"army_value_timeline": army, "unit_economic_contribution_binned": binned},
-                          defs=defs, game_meta=meta,
-                          orders={"army_value_timeline": ["frame", "team_id"],
-                                  "unit_economic_contribution_binned": ["time_bin_start_frame"]})
+    things = make(spark, nested_rows(30), NESTED)
+    streams = {"army_value_timeline": army, "unit_economic_contribution_binned": binned,
+               "things": things}
+    bundle = B.hybrid_bundle(streams, defs=defs, game_meta=meta,
+                             orders={"army_value_timeline": ["frame", "team_id"],
+                                     "unit_economic_contribution_binned": ["time_bin_start_frame"]})
+    out, header = bundle
     keys = {r.data_key for r in out.select("data_key").distinct().collect()}
-    assert {"army_value_timeline.rows", "defs.lookup", "game_meta.json",
+    assert {"army_value_timeline.rows", "defs_map.lookup", "game_meta.json",
             "unit_economic_contribution_binned.units_alive_in_bin"} <= keys
-    lookup = _concat(out, "defs.lookup")["*"].decode()
+    lookup = _concat(out, "defs_map.lookup")["*"].decode()
     assert json.loads(lookup) == {"key": 1, "values": ["a", "A"]}
-    W.write_chunks(out, str(tmp_path / "bundle"))
-    assert spark.read.parquet(str(tmp_path / "bundle")).count() == out.count()
+    path = str(tmp_path / "bundle")
+    B.write_bundle(bundle, path)
+    doc = json.loads(header.where("replay_id = 'r'").first()["schema_json"])
+    assert doc["schema_version"] == B.VERSION and doc["replay_id"] == "r"
+    assert doc["static_assets"] == ["game_meta", "defs_map"] and set(doc["streams"]) == set(streams)
+    rows = doc["streams"]["army_value_timeline"]
+    assert rows["num_rows"] == 2 and rows["byte_size"] == 24 == 2 * rows["row_byte_stride"]
+    stats = {c["name"]: c for c in doc["streams"]["things"]["columns"]}["stats"]
+    assert "things.stats.marks_vals" in stats["data_keys"]
+    # one stream or column is opened by the header alone
+    got = B.read_stream(spark, path, "things")
+    assert sorted(map(repr, got.select("replay_id", *NESTED_COLUMNS).collect())) == sorted(
+        map(repr, things.collect()))
+    one = B.read_stream(spark, path, "things", ["name"])
+    assert [r["name"] for r in one.orderBy("part", "seq", "row").collect()] == [
+        r[2] for r in nested_rows(30)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: (.*)", plan)[1]
+    assert "stream#" in filters and "data_key#" in filters
+    army_back = B.read_stream(spark, path, "army_value_timeline").orderBy("part", "row").collect()
+    assert [(r["frame"], r["team_id"], r["army_value"]) for r in army_back] == [
+        (0, 1, 100), (450, 1, 200)]
+    with pytest.raises(KeyError, match="no stream"):
+        B.read_stream(spark, path, "nothing")
+    with pytest.raises(KeyError, match="no column"):
+        B.read_stream(spark, path, "things", ["nope"])
+    assert B.read_asset(spark, path, "game_meta").first()["blob"] == bytearray(b'{"id": "g"}')
+
+
+def test_directory_places_add_up(spark, small_batches):
+    out, _ = B.hybrid_bundle({"things": make(spark, nested_rows(60), NESTED)},
+                             orders={"things": ["frame"]})
+    for key in ("things.frame", "things.name_offs", "things.name_data"):
+        at = 0
+        for r in out.where(out.data_key == key).orderBy("part", "seq").collect():
+            assert r["byte_start"] == at
+            at += r["raw_bytes"]
+        assert at == len(_concat(out, key)["r"])
+
+
+def test_bundle_header_quotes_names(spark):
+    odd = 'r"1\\x'
+    df = make(spark, [(odd, 1, "a")], "replay_id string, frame long, name string")
+    _, header = B.hybrid_bundle({"things": df})
+    assert json.loads(header.first()["schema_json"])["replay_id"] == odd

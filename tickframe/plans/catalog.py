@@ -10,13 +10,17 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import name_to_code
 from ..schemas import ASPECTS
 from ..scratch import scratch_path
+from ..sinks import bundle
 from ..sinks import contracts as C
+from ..sinks import writers as W
 from ..sources import adapters, mpk_split, qualified, scan
 from ..streaming import jobs as streams
 from . import checks, recipes, registry, stats, views
@@ -170,11 +174,6 @@ def _ingest_layer(spark, sf_dir):
 def _row_major_roundtrip(stream: str, build, pre_digits: dict[str, int] | None = None):
     """Contracted stream -> row-major zstd chunks -> decoded rows (SNK-3)."""
     def run(spark, sf_dir):
-        import numpy as np
-
-        from pyspark.sql import types as T
-
-        from ..sinks import writers as W
         df = build(spark, sf_dir)
         if pre_digits:
             df = _rounded(df, pre_digits)
@@ -193,7 +192,6 @@ def _row_major_roundtrip(stream: str, build, pre_digits: dict[str, int] | None =
 def _columnar_roundtrip(stream: str, build, pre_digits: dict[str, int] | None = None):
     """Contracted stream -> columnar zstd chunks -> decoded rows (SNK-4/5)."""
     def run(spark, sf_dir):
-        from ..sinks import writers as W
         df = build(spark, sf_dir)
         if pre_digits:
             df = _rounded(df, pre_digits)
@@ -208,6 +206,56 @@ def _columnar_roundtrip(stream: str, build, pre_digits: dict[str, int] | None =
     return run
 
 
+def _nested_roundtrip(stream: str, build, order: tuple[str, ...]):
+    """Strings and lists of structs through columnar chunks with rebased offsets (SNK-5)."""
+    def run(spark, sf_dir):
+        df = build(spark, sf_dir)
+        chunks = W.rebase(W.pack_columnar(df, stream, order))
+        columns = [(f.name, C.logical_type(f.dataType), f.dataType) for f in df.schema.fields
+                   if f.name not in C.INTERNAL]
+        rows = W.read_columnar(chunks, stream, columns).select(
+            F.col("replay_id").cast("long").alias("replay_id"), *[n for n, _, _ in columns])
+        return rows.select(*[_unit_stats(c) if c == "unit_stats" else F.col(c)
+                             for c in rows.columns])
+    return run
+
+
+def _hybrid_roundtrip(spark, sf_dir):
+    """A bundle of a row-major, a columnar and a nested stream with assets, written, and each
+    stream opened again by the header alone (SNK-6); rows as text."""
+    tables = adapters.load(spark, sf_dir, "unit_events", "defs_map", "unit_defs", "start_pos")
+    streams_ = {
+        "army_value_timeline": _rounded(stats.army_value_timeline(tables), {"army_value": 4}),
+        "start_pos": tables["start_pos"],
+        "force_composition_timeline": stats.force_composition_timeline(tables)}
+    path = scratch_path(spark, "bundle")
+    bundle.write_bundle(bundle.hybrid_bundle(streams_, defs=tables["defs_map"], orders={
+        "army_value_timeline": ["frame", "team_id"], "start_pos": ["player_id"],
+        "force_composition_timeline": ["minute", "player_id"]}), path)
+    out = None
+    for name in streams_:
+        df = bundle.read_stream(spark, path, name)
+        columns = [c["name"] for c in bundle.stream_document(spark, path, name)["columns"]]
+        df = df.select(*[_unit_stats(c) if c == "unit_stats" else F.col(c).cast("string")
+                         for c in ["replay_id", *columns]])
+        part = df.select(F.lit(name).alias("stream"), F.col("replay_id").cast("long"),
+                         F.concat_ws("|", *columns).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _replay_index(form: str):
+    """The damage log in files by size, and its index: rows of each replay (SNK-1/2)."""
+    def run(spark, sf_dir):
+        path = scratch_path(spark, f"files-{form}")
+        write = W.write_parquet if form == "parquet" else W.write_jsonl_gz
+        write({"damage_log": adapters.load(spark, sf_dir, "damage_log")["damage_log"]}, path,
+              orders={"damage_log": ["frame", "row_ord"]})
+        return spark.read.parquet(f"{path}/damage_log/{W.INDEX}").groupBy("replay_id").agg(
+            F.sum("rows").alias("rows"))
+    return run
+
+
 #: Decimals that rows of a whole run are compared at (besides ``DIGITS``).
 RUN_DIGITS: dict[str, dict[str, int]] = {
     "damage_by_unit_def": {"total_damage_dealt": 4},
@@ -358,6 +406,14 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "army_value_timeline",
         _stat(stats.army_value_timeline, ["unit_events", "defs_map", "unit_defs"]),
         {"army_value": 4}),
+    "sink_columnar_force_composition_timeline": _nested_roundtrip(
+        "force_composition_timeline", _stat(stats.force_composition_timeline, ["unit_events"]),
+        ("minute", "player_id")),
+    "sink_columnar_start_pos": _nested_roundtrip(
+        "start_pos", _stat(stats.passthrough("start_pos"), ["start_pos"]), ("player_id",)),
+    "sink_hybrid": _hybrid_roundtrip,
+    "sink_parquet_index": _replay_index("parquet"),
+    "sink_jsonl_index": _replay_index("json"),
     "resources_by_player_final": _stat(stats.resources_by_player, ["team_stats"], final=True),
     "unit_economic_contribution_binned_left": _stat(
         stats.unit_economic_contribution_binned, ECON, production_only_bins=False,

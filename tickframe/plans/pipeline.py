@@ -14,7 +14,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sinks import writers
+from ..sinks import bundle, writers
 from ..sources import qualified
 from . import registry
 
@@ -77,8 +77,8 @@ def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, known: registr
         write = writers.write_parquet if fmt == "parquet" else writers.write_jsonl_gz
         for name, df in outputs.items():
             try:
-                df = registry.sorted_for_sink(name, df, known)
-                status[name] = "written" if write({name: df}, out_dir) else "empty"
+                orders = {name: registry.sort_keys(name, df, known)}
+                status[name] = "written" if write({name: df}, out_dir, orders=orders) else "empty"
             except Exception as e:  # isolation at action time
                 log.exception("output %s failed; skipped", name)
                 status[name] = f"failed: {type(e).__name__}"
@@ -91,7 +91,9 @@ def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, known: registr
             elif fmt == "columnar":
                 chunks, schema = writers.columnar_bundle({name: df}, orders)
             else:
-                chunks, schema = writers.hybrid_bundle({name: df}, orders=orders), None
+                bundle.write_bundle(bundle.hybrid_bundle({name: df}, orders=orders), out_dir)
+                status[name] = "written"
+                continue
             if chunks is None:
                 status[name] = "not in this layout"
                 continue
@@ -104,8 +106,7 @@ def _write(outputs: dict[str, DataFrame], out_dir: str, fmt: str, known: registr
             log.exception("output %s failed; skipped", name)
             status[name] = f"failed: {type(e).__name__}"
     if fmt == "hybrid" and (defs is not None or game_meta is not None):
-        assets = writers.hybrid_bundle({}, defs=defs, game_meta=game_meta)
-        writers.write_chunks(assets, f"{out_dir.rstrip('/')}/chunks", mode="append")
+        bundle.write_bundle(bundle.hybrid_bundle({}, defs=defs, game_meta=game_meta), out_dir)
         status["assets"] = "written"
     return status
 

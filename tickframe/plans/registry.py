@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field, replace
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -419,14 +419,15 @@ def run(tables: Mapping[str, DataFrame], stats: Iterable[str] | None = None,
     return found, raw
 
 
-def sorted_for_sink(name: str, df: DataFrame, registry: Registry | None = None) -> DataFrame:
-    """Apply the stat's declared order (nulls first on descending keys),
-    within each replay."""
+def sort_keys(name: str, df: DataFrame, registry: Registry | None = None) -> list[Column]:
+    """The stat's declared order, nulls first, within a replay."""
     registry = registry or Registry()
     stat = registry.stats.get(name) or registry.streams.get(name)
-    if not stat or not stat.sort:
-        return df
-    keys = [F.col("replay_id")] if "replay_id" in df.columns else []
-    for c, desc in stat.sort:
-        keys.append(F.col(c).desc_nulls_first() if desc else F.col(c).asc_nulls_first())
-    return df.orderBy(*keys)
+    return [F.col(c).desc_nulls_first() if desc else F.col(c).asc_nulls_first()
+            for c, desc in (stat.sort if stat else ()) if c in df.columns]
+
+
+def sorted_for_sink(name: str, df: DataFrame, registry: Registry | None = None) -> DataFrame:
+    """Apply the stat's declared order within each replay."""
+    keys = sort_keys(name, df, registry)
+    return df.orderBy(*(["replay_id"] if "replay_id" in df.columns else []), *keys) if keys else df

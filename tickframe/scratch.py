@@ -25,6 +25,15 @@ def stored(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def size(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files under ``paths``."""
+    total, conf = 0, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        total += where.getFileSystem(conf).getContentSummary(where).getLength()
+    return total
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Remove a table that no plan reads any more."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,7 +1,10 @@
 """Sinks (SNK-1..7).
 
-* Parquet and gzip JSON lines: ordinary distributed writes partitioned by
-  ``replay_id``; empty streams are skipped.
+* Parquet and gzip JSON lines: a stream is stored once, cut into ranges of
+  ``(replay_id, order...)`` by its size in bytes, and written with an index of
+  the files that each replay is in; empty streams are skipped.  The number of
+  files follows the bytes, not replays times tasks, and ``read_replays`` opens
+  only the files of the replays asked for.
 * Binary layouts: a stream is range-partitioned and sorted by
   ``(replay_id, order...)``; each Arrow batch of each task is packed into one
   zstd frame, keyed ``(replay_id, part, seq)``.  Fixed-stride rows and zstd
@@ -20,10 +23,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from ..scratch import drop, size, stored
 from .contracts import CONTRACTS, INTERNAL, TYPES, Contract, apply_contract, encode_nulls, \
     logical_type
 
@@ -39,42 +44,95 @@ CHUNK_SCHEMA = T.StructType([
     T.StructField("part", T.IntegerType(), False),
     T.StructField("seq", T.IntegerType(), False),
     T.StructField("num_rows", T.LongType(), False),
+    T.StructField("raw_bytes", T.LongType(), False),   # of the blob, uncompressed
+    T.StructField("items", T.LongType(), True),        # offsets: what the chunk's offsets span
+    T.StructField("base", T.LongType(), True),         # offsets: where the chunk's items begin
     T.StructField("blob", T.BinaryType(), False),
 ])
+#: Bytes of stored input (compressed) to one range of a sink.
+RANGE_BYTES = 64 << 20
+#: Bytes of stored input to one output file.
+FILE_BYTES = 128 << 20
+INDEX = "_replays"
 
 
 # --------------------------------------------------------------------------- files
-def _non_empty(streams: dict[str, DataFrame]):
+def _kept(streams: dict[str, DataFrame]):
+    """(name, stored table, its bytes, where) of the streams that have rows."""
     for name, df in streams.items():
+        paths: list[str] = []
+        df = stored(df, f"sink-{name}", paths)
         if df.isEmpty():
             log.info("stream %s is empty; not written", name)
-            continue
-        yield name, df
-
-
-def write_parquet(streams: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> list[str]:
+        else:
+            yield name, df, size(df.sparkSession, paths)
+        for path in paths:
+            drop(df.sparkSession, path)
+
+
+def _ranged(df: DataFrame, files: int, order: Sequence[Column | str]) -> DataFrame:
+    """Rows in ``files`` ranges of the order, sorted."""
+    if "replay_id" in df.columns:
+        order = ["replay_id", *order]
+    if not order:
+        return df.coalesce(files)
+    if files == 1:
+        return df.coalesce(1).sortWithinPartitions(*order)
+    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+
+
+def _write_files(df: DataFrame, total: int, path: str, order: Sequence[Column | str], mode: str,
+                 form: str, file_bytes: int, **options: str) -> None:
+    files = max(1, -(-total // file_bytes))
+    _ranged(df, files, order).write.mode(mode).format(form).options(**options).save(path)
+    if "replay_id" in df.columns:
+        rows = _read(df.sparkSession, path, form, df.schema)
+        (rows.groupBy("replay_id", F.col("_metadata.file_name").alias("file"))
+         .agg(F.count(F.lit(1)).alias("rows"))
+         .repartition(1).sortWithinPartitions("replay_id")
+         .write.mode("overwrite").parquet(f"{path}/{INDEX}"))
+
+
+def _read(spark: SparkSession, path: str | list[str], form: str, schema: T.StructType) -> DataFrame:
+    return spark.read.format(form).schema(schema).load(path)
+
+
+def write_parquet(streams: dict[str, DataFrame], out_dir: str, mode: str = "overwrite",
+                  orders: dict[str, Sequence[Column | str]] | None = None,
+                  file_bytes: int = FILE_BYTES) -> list[str]:
+    """SNK-1: ``<out_dir>/<stream>/``, rows by replay and the stream's order."""
     written = []
-    for name, df in _non_empty(streams):
-        w = df.write.mode(mode)
-        if "replay_id" in df.columns:
-            w = w.partitionBy("replay_id")
-        w.parquet(f"{out_dir.rstrip('/')}/{name}")
+    for name, df, total in _kept(streams):
+        _write_files(df, total, f"{out_dir.rstrip('/')}/{name}", (orders or {}).get(name, ()),
+                     mode, "parquet", file_bytes)
         written.append(name)
     return written
 
 
-def write_jsonl_gz(streams: dict[str, DataFrame], out_dir: str, mode: str = "overwrite") -> list[str]:
+def write_jsonl_gz(streams: dict[str, DataFrame], out_dir: str, mode: str = "overwrite",
+                   orders: dict[str, Sequence[Column | str]] | None = None,
+                   file_bytes: int = FILE_BYTES // 4) -> list[str]:
+    """SNK-2: as ``write_parquet``, gzip JSON lines (which are read whole, so smaller files)."""
     written = []
-    for name, df in _non_empty(streams):
-        w = (df.write.mode(mode).option("compression", "gzip")
-             .option("ignoreNullFields", "false"))
-        if "replay_id" in df.columns:
-            w = w.partitionBy("replay_id")
-        w.json(f"{out_dir.rstrip('/')}/{name}")
+    for name, df, total in _kept(streams):
+        _write_files(df, total, f"{out_dir.rstrip('/')}/{name}", (orders or {}).get(name, ()),
+                     mode, "json", file_bytes, compression="gzip", ignoreNullFields="false")
         written.append(name)
     return written
 
 
+def read_replays(spark: SparkSession, out_dir: str, name: str, replays: Sequence,
+                 schema: T.StructType | str, form: str = "parquet") -> DataFrame:
+    """The rows of some replays; only the files that hold them are opened."""
+    path = f"{out_dir.rstrip('/')}/{name}"
+    files = [r[0] for r in spark.read.parquet(f"{path}/{INDEX}").where(
+        F.col("replay_id").isin(list(replays))).select("file").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], schema)
+    return _read(spark, [f"{path}/{f}" for f in sorted(files)], form, schema).where(
+        F.col("replay_id").isin(list(replays)))
+
+
 # --------------------------------------------------------------------------- packing
 def _payload_columns(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name not in INTERNAL]
@@ -100,9 +158,16 @@ def row_major_dtype(df: DataFrame) -> np.dtype:
 
 
 def _ordered(df: DataFrame, order: Sequence[str], partitions: int | None) -> DataFrame:
+    """The stream stored once and range-partitioned by its size in bytes."""
     keys = ["replay_id", *[o for o in order if o in df.columns]]
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    paths: list[str] = []
+    rules = {f.name: f.metadata for f in df.schema}
+    df = stored(df, "ordered", paths)
+    df = df.select(*[F.col(c).alias(c, metadata=rules[c]) for c in df.columns])
+    if partitions is None:
+        total = size(df.sparkSession, paths)
+        partitions = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // RANGE_BYTES))
+    return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
 
 
 def _zstd(data: bytes) -> bytes:
@@ -140,6 +205,7 @@ def pack_row_major(df: DataFrame, stream: str, order: Sequence[str] = ("frame",
                 yield pa.RecordBatch.from_pydict({
                     "replay_id": [rid], "stream": [stream], "data_key": [f"{stream}.rows"],
                     "part": [part], "seq": [seq], "num_rows": [seg.num_rows],
+                    "raw_bytes": [rec.nbytes], "items": [None], "base": [None],
                     "blob": [_zstd(rec.tobytes())]}, schema=_CHUNK_ARROW)
                 seq += 1
 
@@ -148,7 +214,8 @@ def pack_row_major(df: DataFrame, stream: str, order: Sequence[str] = ("frame",
 
 _CHUNK_ARROW = pa.schema([("replay_id", pa.string()), ("stream", pa.string()),
                           ("data_key", pa.string()), ("part", pa.int32()), ("seq", pa.int32()),
-                          ("num_rows", pa.int64()), ("blob", pa.binary())])
+                          ("num_rows", pa.int64()), ("raw_bytes", pa.int64()),
+                          ("items", pa.int64()), ("base", pa.int64()), ("blob", pa.binary())])
 
 _NUMPY = {"Int8": "<i1", "Int16": "<i2", "Int32": "<i4", "Int64": "<i8", "UInt8": "<u1",
           "UInt16": "<u2", "UInt32": "<u4", "UInt64": "<u8", "Float32": "<f4",
@@ -179,11 +246,21 @@ def encode_array(arr: pa.Array, key: str, logical: str | None = None) -> dict[st
         return {f"{key}_offs": offs.tobytes(), f"{key}_data": b"".join(enc)}
     if pa.types.is_boolean(t):
         return {key: np.asarray(arr.fill_null(False).to_numpy(zero_copy_only=False), "u1").tobytes()}
-    code = _NUMPY.get(logical or "", None)
-    vals = arr.to_numpy(zero_copy_only=False)
-    if code is None:
-        code = "<f8" if vals.dtype.kind == "f" else "<i8"
-    return {key: np.asarray(vals).astype(code).tobytes()}
+    # values inside lists keep their own width; null numbers there are 0
+    code = _NUMPY.get(logical or "") or np.dtype(t.to_pandas_dtype()).newbyteorder("<")
+    if logical is None and pa.types.is_integer(t):
+        arr = arr.fill_null(0)
+    return {key: np.asarray(arr.to_numpy(zero_copy_only=False)).astype(code).tobytes()}
+
+
+def offset_keys(t: pa.DataType, key: str) -> set[str]:
+    """The keys of ``encode_array`` that hold offsets."""
+    if pa.types.is_list(t) or pa.types.is_large_list(t):
+        if pa.types.is_struct(t.value_type):
+            return {f"{key}_list_offs"}.union(*(
+                offset_keys(f.type, f"{key}.{f.name}") for f in t.value_type))
+        return {f"{key}_offs"} | offset_keys(t.value_type, f"{key}_vals")
+    return {f"{key}_offs"} if pa.types.is_string(t) or pa.types.is_large_string(t) else set()
 
 
 def pack_columnar(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "row_ord"),
@@ -203,6 +280,7 @@ def pack_columnar(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "
                 rows = {k: [] for k in _CHUNK_ARROW.names}
                 for n in names:
                     col = seg.column(seg.schema.get_field_index(n))
+                    offsets = offset_keys(col.type, f"{stream}.{n}")
                     for key, buf in encode_array(col, f"{stream}.{n}", logicals[n]).items():
                         rows["replay_id"].append(rid)
                         rows["stream"].append(stream)
@@ -210,6 +288,10 @@ def pack_columnar(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "
                         rows["part"].append(part)
                         rows["seq"].append(seq)
                         rows["num_rows"].append(seg.num_rows)
+                        rows["raw_bytes"].append(len(buf))
+                        rows["items"].append(int.from_bytes(buf[-4:], "little")
+                                             if key in offsets else None)
+                        rows["base"].append(0 if key in offsets else None)
                         rows["blob"].append(_zstd(buf))
                 yield pa.RecordBatch.from_pydict(rows, schema=_CHUNK_ARROW)
                 seq += 1
@@ -217,6 +299,63 @@ def pack_columnar(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "
     return src.select("replay_id", *names).mapInArrow(pack, CHUNK_SCHEMA)
 
 
+def running_before(df: DataFrame, value: str, out: str) -> DataFrame:
+    """``out``: the sum of ``value`` over the chunks of a file before each chunk.
+
+    In two phases, over the chunks of a part and over parts, so that no task
+    holds all chunks of a replay; ``first`` marks a file's first chunk.
+    """
+    file = ["replay_id", "data_key"]
+    parts = df.groupBy(*file, "part").agg(F.sum(value).alias("__sum"))
+    by_part = Window.partitionBy(*file).orderBy("part")
+    before = by_part.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*file, "part", F.coalesce(F.sum("__sum").over(before), F.lit(0))
+                         .alias("__before"), (F.row_number().over(by_part) == 1).alias("__first"))
+    by_seq = Window.partitionBy(*file, "part").orderBy("seq")
+    inside = df.withColumn("__inside", F.coalesce(F.sum(value).over(
+        by_seq.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn(
+        "__chunk", F.row_number().over(by_seq))
+    return inside.join(parts, [*file, "part"]).select(
+        *df.columns, (F.col("__before") + F.col("__inside")).alias(out),
+        (F.col("__first") & (F.col("__chunk") == 1)).alias("first"))
+
+
+def rebase(chunks: DataFrame) -> DataFrame:
+    """Chunks whose offsets count from the start of their replay's file.
+
+    The first chunk of a file has num_rows + 1 offsets, the others num_rows, so
+    that the chunks in key order are one valid offsets column.  ``base`` is where
+    a chunk's items begin.
+    """
+    chunks = stored(chunks, "chunks")
+    key = ["replay_id", "data_key", "part", "seq"]
+    offsets = chunks.where("items IS NOT NULL")
+    places = running_before(offsets.select(*key, "items"), "items", "at").select(
+        *key, "at", "first")
+
+    def move(batches):
+        import zstandard
+        d = zstandard.ZstdDecompressor()
+        for batch in batches:
+            blobs, raw = [], []
+            for blob, at, first, name in zip(*(batch.column(c).to_pylist() for c in (
+                    "blob", "at", "first", "data_key"))):
+                offs = np.frombuffer(d.decompressobj().decompress(blob), "<u4").astype(np.int64)
+                offs = (offs if first else offs[1:]) + at
+                if len(offs) and offs[-1] >= 1 << 32:
+                    raise OverflowError(f"{name}: more items than 32-bit offsets can count")
+                blobs.append(_zstd(offs.astype("<u4").tobytes()))
+                raw.append(4 * len(offs))
+            columns = {c: batch.column(c) for c in _CHUNK_ARROW.names}
+            columns.update(blob=pa.array(blobs, pa.binary()), raw_bytes=pa.array(raw, pa.int64()),
+                           base=batch.column("at"))
+            yield pa.RecordBatch.from_pydict(columns, schema=_CHUNK_ARROW)
+
+    moved = offsets.join(places, key).select(*_CHUNK_ARROW.names, "at", "first").mapInArrow(
+        move, CHUNK_SCHEMA)
+    return chunks.where("items IS NULL").unionByName(moved)
+
+
 # --------------------------------------------------------------------------- schema
 def stream_schema(df: DataFrame, stream: str, layout: str) -> dict:
     """Static part of the schema document for one stream."""
@@ -234,7 +373,7 @@ def stream_schema(df: DataFrame, stream: str, layout: str) -> dict:
         doc["row_byte_stride"] = row_major_dtype(df).itemsize
         doc["file"] = f"{stream}.rows.bin.zst"
     else:
-        doc["offsets"] = "per chunk, starting at 0"
+        doc["offsets"] = "per file"
     return doc
 
 
@@ -302,45 +441,10 @@ def columnar_bundle(streams: dict[str, DataFrame], orders: dict[str, Sequence[st
     allc = chunks[0]
     for c in chunks[1:]:
         allc = allc.unionByName(c)
+    allc = rebase(allc)
     return allc, schema_rows(allc, docs, COLUMNAR_VERSION)
 
 
-def hybrid_bundle(streams: dict[str, DataFrame], defs: DataFrame | None = None,
-                  game_meta: DataFrame | None = None,
-                  orders: dict[str, Sequence[str]] | None = None) -> DataFrame:
-    """SNK-6 as a table: row-major and columnar chunks plus the defs lookup
-    rows (JSON lines, one chunk per task batch) and the game metadata bytes,
-    under one ``(replay_id, stream, data_key, part, seq, num_rows, blob)``
-    schema."""
-    parts = [c for c in ((row_major_bundle(streams, orders)[0] if streams else None),
-                         (columnar_bundle(streams, orders)[0] if streams else None))
-             if c is not None]
-    if defs is not None:
-        from .contracts import lookup_rows
-        lines = lookup_rows(defs).select(F.to_json(F.struct("key", "values")).alias("line"))
-
-        def pack_lines(batches):
-            from pyspark import TaskContext
-            part = TaskContext.get().partitionId()
-            for seq, b in enumerate(batches):
-                text = "\n".join(b.column(0).to_pylist()).encode()
-                yield pa.RecordBatch.from_pydict({
-                    "replay_id": ["*"], "stream": ["defs"], "data_key": ["defs.lookup"],
-                    "part": [part], "seq": [seq], "num_rows": [b.num_rows],
-                    "blob": [_zstd(text)]}, schema=_CHUNK_ARROW)
-        parts.append(lines.mapInArrow(pack_lines, CHUNK_SCHEMA))
-    if game_meta is not None:
-        parts.append(game_meta.select(
-            F.lit("*").alias("replay_id"), F.lit("game_meta").alias("stream"),
-            F.lit("game_meta.json").alias("data_key"), F.lit(0).alias("part"),
-            F.lit(0).alias("seq"), F.lit(1).cast("long").alias("num_rows"),
-            F.col("content").alias("blob")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def write_chunks(chunks: DataFrame, out_dir: str, mode: str = "overwrite") -> None:
     chunks.write.mode(mode).partitionBy("replay_id", "stream").parquet(out_dir)
 
@@ -379,31 +483,81 @@ def read_row_major(chunks: DataFrame, stream: str, dtype: np.dtype,
         "replay_id", "part", "seq", "blob").mapInArrow(unpack, out_schema)
 
 
-def read_columnar(chunks: DataFrame, stream: str, columns: list[tuple[str, str]]) -> DataFrame:
-    """Decode primitive columns of columnar chunks back into rows.  A chunk's
-    buffers (one row per column) form one small group, so no group grows
-    with the data."""
-    spark_types = {"Float32": T.FloatType(), "Float64": T.DoubleType()}
-    fields = [T.StructField("replay_id", T.StringType()), T.StructField("part", T.IntegerType()),
-              T.StructField("seq", T.IntegerType()), T.StructField("row", T.LongType())]
-    for name, logical in columns:
-        fields.append(T.StructField(name, spark_types.get(logical, TYPES[logical][0])))
-    out_schema = T.StructType(fields)
-    codes = {name: _NUMPY[logical] for name, logical in columns}
-
-    def unpack(pdf):
-        import pandas as pd
+def decode_column(t: T.DataType, key: str, logical: str | None, blobs: dict[str, bytes],
+                  bases: dict[str, int], rows: int) -> pa.Array:
+    """One column of a chunk, from the buffers of its keys (recursive)."""
+    def local(name: str) -> np.ndarray:
+        """Offsets of ``rows`` + 1 entries from 0."""
+        offs = np.frombuffer(blobs[name], "<u4").astype(np.int64) - bases[name]
+        return (offs if len(offs) == rows + 1 else np.concatenate([[0], offs])).astype(np.int32)
+
+    if isinstance(t, T.ArrayType):
+        if isinstance(t.elementType, T.StructType):
+            offs = local(f"{key}_list_offs")
+            fields = [decode_column(f.dataType, f"{key}.{f.name}", None, blobs, bases,
+                                    int(offs[-1])) for f in t.elementType]
+            child = pa.StructArray.from_arrays(fields, t.elementType.names)
+        else:
+            offs = local(f"{key}_offs")
+            child = decode_column(t.elementType, f"{key}_vals", None, blobs, bases, int(offs[-1]))
+        return pa.ListArray.from_arrays(pa.array(offs), child)
+    if isinstance(t, T.StringType):
+        return pa.StringArray.from_buffers(rows, pa.py_buffer(local(f"{key}_offs").tobytes()),
+                                           pa.py_buffer(blobs[f"{key}_data"]))
+    if isinstance(t, T.BooleanType):
+        return pa.array(np.frombuffer(blobs[key], "u1").astype(bool))
+    code = _NUMPY[logical or logical_type(t)]
+    values = np.frombuffer(blobs[key], dtype=code)
+    return pa.array(values).cast(to_arrow_type(t), safe=False)
+
+
+def column_keys(t: T.DataType, key: str) -> list[str]:
+    """The keys that a column of type ``t`` is kept under."""
+    if isinstance(t, T.ArrayType):
+        if isinstance(t.elementType, T.StructType):
+            return [f"{key}_list_offs", *(k for f in t.elementType
+                                          for k in column_keys(f.dataType, f"{key}.{f.name}"))]
+        return [f"{key}_offs", *column_keys(t.elementType, f"{key}_vals")]
+    return [f"{key}_offs", f"{key}_data"] if isinstance(t, T.StringType) else [key]
+
+
+def _nullable(t: T.DataType) -> T.DataType:
+    """The type with values that may be null at every level, as decoded columns have."""
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_nullable(t.elementType))
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in t])
+    return t
+
+
+def read_columnar(chunks: DataFrame, stream: str, columns: Sequence[tuple]) -> DataFrame:
+    """Decode columns of columnar chunks back into rows.
+
+    ``columns`` are (name, logical type) or (name, logical type or ``None``, Spark
+    type) for strings and lists.  A chunk's buffers (one row per key) form one
+    small group, so no group grows with the data; other columns are not opened.
+    """
+    columns = [(c[0], c[1], _nullable(c[2] if len(c) > 2 else TYPES[c[1]][0])) for c in columns]
+    fixed = [("replay_id", T.StringType()), ("part", T.IntegerType()), ("seq", T.IntegerType()),
+             ("row", T.LongType())]
+    out_schema = T.StructType([T.StructField(n, t) for n, t in fixed]
+                              + [T.StructField(n, t) for n, _, t in columns])
+
+    def unpack(table: pa.Table) -> pa.Table:
         import zstandard
         d = zstandard.ZstdDecompressor()
-        bufs = {k: d.decompressobj().decompress(b) for k, b in zip(pdf["data_key"], pdf["blob"])}
-        n = int(pdf["num_rows"].iloc[0])
-        out = {"replay_id": [pdf["replay_id"].iloc[0]] * n, "part": [pdf["part"].iloc[0]] * n,
-               "seq": [pdf["seq"].iloc[0]] * n, "row": np.arange(n, dtype=np.int64)}
-        for name, code in codes.items():
-            vals = np.frombuffer(bufs[f"{stream}.{name}"], dtype=code)
-            out[name] = vals.astype(np.int64) if vals.dtype.kind in "iu" else vals
-        return pd.DataFrame(out)
-
-    keys = [f"{stream}.{name}" for name, _ in columns]
+        keys = table.column("data_key").to_pylist()
+        blobs = {k: d.decompressobj().decompress(b)
+                 for k, b in zip(keys, table.column("blob").to_pylist())}
+        bases = dict(zip(keys, table.column("base").to_pylist()))
+        n = table.column("num_rows")[0].as_py()
+        out = {c: pa.array([table.column(c)[0].as_py()] * n, to_arrow_type(t))
+               for c, t in fixed[:3]}
+        out["row"] = pa.array(np.arange(n, dtype=np.int64))
+        for name, logical, t in columns:
+            out[name] = decode_column(t, f"{stream}.{name}", logical, blobs, bases, n)
+        return pa.table(out)
+
+    keys = [k for name, _, t in columns for k in column_keys(t, f"{stream}.{name}")]
     return (chunks.filter(F.col("data_key").isin(keys))
-            .groupBy("replay_id", "part", "seq").applyInPandas(unpack, out_schema))
+            .groupBy("replay_id", "part", "seq").applyInArrow(unpack, out_schema))
