@@ -651,6 +651,20 @@ def _enum_case(col: str, enum_key: str) -> str:
     return f"CASE {col} {whens} END"
 
 
+_VIEWS["vw_longest_surplus"] = f"""
+  g AS (SELECT DISTINCT replay_id, team_id, unit_def_id FROM b),
+  s AS (SELECT DISTINCT replay_id, team_id, unit_def_id, time_bin_start_frame AS t FROM b
+        WHERE {_net()} > 0),
+  r AS (SELECT *, t - 300 * row_number() OVER (PARTITION BY replay_id, team_id, unit_def_id
+                                              ORDER BY t) AS island FROM s),
+  i AS (SELECT replay_id, team_id, unit_def_id, min(t) AS run_start, count(*) AS run_bins
+        FROM r GROUP BY replay_id, team_id, unit_def_id, island
+        QUALIFY row_number() OVER (PARTITION BY replay_id, team_id, unit_def_id
+                                   ORDER BY count(*) DESC, min(t)) = 1)
+SELECT replay_id, team_id, unit_def_id, run_start, coalesce(run_bins, 0) AS run_bins
+FROM g LEFT JOIN i USING (replay_id, team_id, unit_def_id)"""
+
+
 _RECIPES = {
     "rc_units_lost_per_player": with_aspects("""
 SELECT replay_id, unit_team_id AS player_id, count(*) AS units_lost
@@ -844,6 +858,9 @@ FROM (SELECT *, sum(split) OVER (PARTITION BY replay_id, attacker_unit_id ORDER
 GROUP BY replay_id, attacker_unit_id, sid""", "damage_log")
 
 
+EXTRA_SQL["ss_unit_engagements_closed"] = EXTRA_SQL["ss_unit_engagements"]
+
+
 def _ingested(aspect: str) -> str:
     """The aspect as it comes back from quantized positional records."""
     from tickframe.schemas import ASPECTS
@@ -917,7 +934,7 @@ FROM ({STATS_SQL["force_composition_timeline"]}) f"""
 
 # --------------------------------------------------------------------------- whole runs
 def _run_sql(names: list[str]) -> str:
-    """All outputs of a run as rows (output, replay_id, row)."""
+    """Rows of each output and replay of a run, and the sum of 32 bits of their digests."""
     from tickframe.plans.catalog import run_columns, run_digits
     parts = []
     for name in names:
@@ -928,7 +945,11 @@ def _run_sql(names: list[str]) -> str:
         replay = "CAST(NULL AS BIGINT)" if name == "vw_first_appearance_summary" else "replay_id"
         parts.append(f"SELECT '{name}' AS output, {replay} AS replay_id, "
                      f"concat_ws('|', {', '.join(texts)}) AS row\nFROM ({sql}) t")
-    return "\nUNION ALL\n".join(parts)
+    rows = "\nUNION ALL\n".join(parts)
+    return f"""
+SELECT output, replay_id, count(*) AS "rows",
+       CAST(sum(CAST('0x' || substr(md5(row), 1, 8) AS BIGINT)) AS BIGINT) AS digest
+FROM ({rows}) GROUP BY ALL"""
 
 
 def _scaled(column: str, digits: int) -> str:

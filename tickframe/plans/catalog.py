@@ -70,11 +70,11 @@ def _stat(fn, aspects, **kw):
     return lambda spark, sf_dir: fn(adapters.load(spark, sf_dir, *aspects), **kw)
 
 
-def _streamed(aspect: str, job):
+def _streamed(aspect: str, job, closed: bool = False):
     """Run a streaming job over an aspect derived from the driver tables: the
     aspect is written as files under the session's checkpoint dir, read as a file
-    stream in three micro-batches (``availableNow``), and the job's partial rows
-    are added up."""
+    stream in three micro-batches (``availableNow``), and the job's result read;
+    with ``closed`` all replays have ended before."""
     def run(spark, sf_dir):
         src = adapters.load(spark, sf_dir, aspect)[aspect]
         root = scratch_path(spark, f"stream-{aspect}")
@@ -88,6 +88,8 @@ def _streamed(aspect: str, job):
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        if closed:
+            streams.close_replays(job, spark, f"{root}/out", src.select("replay_id"))
         return streams.result(job, spark, f"{root}/out")
     return run
 
@@ -294,6 +296,7 @@ RUN_COLUMNS = {
     "vw_resource_tradeoff": (BIN, "team_id", "unit_def_id", "net_metal", "net_energy",
                              "units_alive"),
     "vw_sankey_fold": ("team_id", "unit_def_id", "production", "consumption"),
+    "vw_longest_surplus": ("team_id", "unit_def_id", "run_start", "run_bins"),
     "unit_economic_contribution_binned": (
         "team_id", "unit_def_id", BIN, "units_alive_in_bin", "total_units_produced_in_bin",
         *_BIN_METRICS_PRE),
@@ -342,14 +345,17 @@ def _unit_stats(c: str):
 
 
 def _whole_run(stats_of):
-    """All outputs of one run with shared inputs, as rows (output, replay_id, row)."""
+    """All outputs of one run with shared inputs: the number of rows of each output and
+    replay, and the sum of the first 32 bits of their rows' digests."""
     def run(spark, sf_dir):
         outputs, _ = registry.run(adapters.load(spark, sf_dir), stats_of(), [])
         rows = None
         for name, df in outputs.items():
             part = _row_text(name, df)
             rows = part if rows is None else rows.unionByName(part)
-        return rows
+        digest = F.conv(F.substring(F.md5(F.col("row").cast("binary")), 1, 8), 16, 10)
+        return rows.groupBy("output", "replay_id").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum(digest.cast("long")).alias("digest"))
     return run
 
 
@@ -373,6 +379,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vw_lag_correlation": _view(views.lag_correlation, team_a=0, team_b=1),
     "vw_resource_tradeoff": _view(views.resource_tradeoff),
     "vw_sankey_fold": _view(views.sankey_by_fold),
+    "vw_longest_surplus": _view(views.longest_surplus),
     "rc_units_lost_per_player": _tables(recipes.units_lost_per_player, ["unit_events"]),
     "rc_unified_event_log": _tables(recipes.unified_event_log, ["unit_events", "commands_log"]),
     "rc_unit_lifetime": _tables(recipes.unit_lifetime, ["unit_positions", "unit_events"]),
@@ -423,6 +430,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ss_minute_activity": _streamed("commands_log", streams.MINUTE_ACTIVITY),
     "ss_unit_engagements": _streamed("damage_log", streams.unit_engagements()),
     "ss_binned_production": _streamed("unit_events", streams.binned_production()),
+    "ss_unit_engagements_closed": _streamed("damage_log", streams.unit_engagements(), True),
     **{f"ingest_{a}": _ingest(a) for a in INGESTED},
     **{f"ingest_mpk_{a}": _ingest_mpk(a) for a in INGESTED},
     "ingest_quarantine": _ingest_quarantine,
@@ -434,6 +442,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 DIGITS: dict[str, dict[str, int]] = {
     "ss_unit_engagements": {"total_damage": 4, "duration_seconds": 6},
+    "ss_unit_engagements_closed": {"total_damage": 4, "duration_seconds": 6},
     "ss_minute_activity": {"combat_focus_pct": 6, "economy_focus_pct": 6},
     "resources_by_player_final": {c: 4 for c in ("total_metal_produced", "total_metal_used",
                                                  "total_energy_produced", "total_energy_used")},

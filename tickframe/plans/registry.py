@@ -189,6 +189,7 @@ VIEWS: dict[str, Stat] = {
                                 team_a=0, team_b=1),
     "vw_resource_tradeoff": _view(V.resource_tradeoff, "Net metal against net energy."),
     "vw_sankey_fold": _view(V.sankey_by_fold, "Production and consumption fold."),
+    "vw_longest_surplus": _view(V.longest_surplus, "Longest runs of net production."),
 }
 
 STREAMS: dict[str, Stat] = {

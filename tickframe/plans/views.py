@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_BUCKET_FRAMES
 from ..operators import next_values
+from ..operators.fold import Fold, fold_by
 
 R = "replay_id"
 BIN = "time_bin_start_frame"
@@ -239,8 +240,9 @@ def resource_tradeoff(binned: DataFrame, bin_start: int | None = None) -> DataFr
 def fold(df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]) -> DataFrame:
     """Generic single-pass fold over chosen columns: ``aggregates`` maps output
     name -> aggregate Column (sum/min/max/count/collect/...).  Built-in
-    aggregates combine map-side, so a hot group is never gathered in one task;
-    arbitrary Python reducers are deliberately not offered for that reason."""
+    aggregates combine map-side, so a hot group is never gathered in one task.
+    What they do not cover, ``operators.fold.fold_by`` folds in Python, by
+    mergeable states."""
     return df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
 
 
@@ -251,3 +253,32 @@ def sankey_by_fold(binned: DataFrame) -> DataFrame:
         "production": F.sum(F.when(p > 0, p)),
         "consumption": F.sum(F.when(c > 0, c)),
     })
+
+
+def _surplus_bins(state: set, rows: dict) -> set:
+    state.update(rows[BIN][rows["net_metal"] > 0].tolist())
+    return state
+
+
+def _longest_run(bins: set, step: int) -> tuple[int | None, int]:
+    """(first bin, bins) of the longest run of adjacent bins, the earliest of several."""
+    start = best = None
+    length = longest = 0
+    for b in sorted(bins):
+        if length and b == start + length * step:
+            length += 1
+        else:
+            start, length = b, 1
+        if length > longest:
+            best, longest = start, length
+    return best, longest
+
+
+def longest_surplus(binned: DataFrame, bin_frames: int = 300) -> DataFrame:
+    """The longest run of adjacent bins in which a unit definition made more metal than it
+    used, per team; a fold whose states (sets of bins) merge in any order."""
+    return fold_by(
+        binned.select(R, "team_id", "unit_def_id", BIN, _net_metal().alias("net_metal")),
+        [R, "team_id", "unit_def_id"],
+        Fold((BIN, "net_metal"), set, _surplus_bins, lambda a, b: a | b,
+             lambda bins: _longest_run(bins, bin_frames), "run_start long, run_bins long"))

@@ -38,3 +38,36 @@ def drop(spark: SparkSession, path: str) -> None:
     """Remove a table that no plan reads any more."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written beside, then renamed."""
+    beside, fs = _file_system(spark, f"{path}.tmp-{uuid.uuid4().hex}")
+    out = fs.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    where, _ = _file_system(spark, path)
+    if fs.exists(where):
+        fs.delete(where, False)
+    if not fs.rename(beside, where):
+        raise OSError(f"could not write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    where, fs = _file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is missing."""
+    where, fs = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
