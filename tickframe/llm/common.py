@@ -66,3 +66,43 @@ def ascii_lower(text: Column) -> Column:
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(
         F.translate(text, upper, upper.lower()))
+
+
+#: Bits of the table that tells rows apart before they are joined, at most.
+MAX_BITS = 26
+
+
+def key_bits(keys: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """A bit table of about 16 bits a key, and how many bits it has.
+
+    It has ``2 ** (MAX_BITS - 6)`` rows at most, so broadcasting it is bounded
+    whatever the number of keys; the fuller it is, the more rows pass it in vain.
+    """
+    many = 1 << min(MAX_BITS, max(16, (16 * n).bit_length()))
+    (key,) = keys.columns
+    bit = F.pmod(F.xxhash64(key), F.lit(many))
+    return (keys.groupBy(F.floor(bit / 64).cast("int").alias("__word"))
+            .agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(pmod(xxhash64({key}), {many}L), 64) "
+                        "AS int)))").alias("__bits")), many)
+
+
+def split_by_keys(rows: DataFrame, key: Column, keys: DataFrame,
+                  name: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among ``keys``, stored; the rows whose key is not).
+
+    No row is shuffled: a bit table is broadcast.  The first part holds every
+    row with such a key and a few more, and is written, for the optimizer would
+    move a later join below the test and shuffle all rows for it.  Rows with a
+    null key are in the second part.
+    """
+    n = keys.count()
+    bits, many = key_bits(keys, n)
+    columns = rows.columns
+    tested = rows.withColumn("__key", key).withColumn(
+        "__bit", F.pmod(F.xxhash64("__key"), F.lit(many))).withColumn(
+        "__word", F.floor(F.col("__bit") / 64).cast("int"))
+    tested = tested.join(F.broadcast(bits), "__word", "left")
+    hit = F.expr("__key IS NOT NULL AND coalesce((shiftrightunsigned(__bits, "
+                 "cast(pmod(__bit, 64) AS int)) & 1L) = 1L, false)")
+    return (stored(tested.where(hit).select(*columns), name),
+            tested.where(~hit).select(*columns))

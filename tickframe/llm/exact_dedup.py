@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import ascii_lower, stored
+from tickframe.llm.common import ascii_lower, split_by_keys, stored
 
 BLOCK_BYTES = 4096
 
@@ -106,17 +106,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns unchanged."""
-    kept = stored(exact_groups(docs, id_col, text_col, block_bytes)
-                  .where("NOT kept").groupBy("doc_id", "text_sha256", "keep_id")
-                  .agg(F.count(F.lit(1)).alias("n")), "dropped")
+    """The rows of ``docs`` that stay, all columns unchanged.
+
+    Only rows whose text is in a group of several are joined with the list of
+    dropped rows; the others pass a broadcast bit table and are not moved.
+    """
+    dropped = stored(exact_groups(docs, id_col, text_col, block_bytes)
+                     .where("NOT kept").groupBy("doc_id", "text_sha256", "keep_id")
+                     .agg(F.count(F.lit(1)).alias("n")), "dropped")
     sha = F.sha2(ascii_lower(F.col(text_col)).cast("binary"), 256)
-    gone = kept.where("NOT doc_id <=> keep_id").select(
+    rows = docs.withColumn("__dedup_sha", sha)
+    some, rest = split_by_keys(rows, F.xxhash64(F.col(id_col), F.col("__dedup_sha")), dropped.select(
+        F.xxhash64("doc_id", "text_sha256").alias("key")).distinct(), "copies")
+    gone = dropped.where("NOT doc_id <=> keep_id").select(
         F.col("doc_id").alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"))
-    out = docs.withColumn("__dedup_sha", sha)
-    out = out.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id"))
-                   & (F.col("__dedup_sha") == F.col("__gone_sha")), "left_anti")
-    if not kept.where("doc_id <=> keep_id").isEmpty():
+    some = some.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id"))
+                     & (F.col("__dedup_sha") == F.col("__gone_sha")), "left_anti")
+    if not dropped.where("doc_id <=> keep_id").isEmpty():
         # rows that repeat id and text alike: any one of them is the same row
-        out = out.dropDuplicates([id_col, "__dedup_sha"])
-    return out.drop("__dedup_sha")
+        some = some.dropDuplicates([id_col, "__dedup_sha"])
+    return rest.unionByName(some).drop("__dedup_sha")

@@ -73,11 +73,12 @@ def document_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFram
             rows = [statistics(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
             flat = pa.array(np.concatenate(rows) if rows else np.zeros(0))
             ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * STATISTICS)
-            yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(ends, flat)],
-                                  ["doc_id", "x"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, x array<double>")
+            yield pa.record_batch([batch.column(0), batch.column(2),
+                                   pa.ListArray.from_arrays(ends, flat)],
+                                  ["doc_id", "text_hash", "x"])
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       F.xxhash64(F.col(text_col)).alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, x array<double>")
 
 
 @dataclass
@@ -176,15 +177,16 @@ def _scored(rows: DataFrame, of, keep: list[str]) -> DataFrame:
 def quality_scores(docs: DataFrame, labels: DataFrame, held_out: Column,
                    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
                    max_train: int = MAX_TRAIN, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of ``docs``.
+    """doc_id, held_out, score, predicted, text_hash for every row of ``docs``.
 
-    ``held_out`` is a condition on ``doc_id``; labels are learnt from the other rows.
+    ``text_hash`` tells rows of one id apart.  ``held_out`` is a condition on ``doc_id``; labels are learnt from the other rows.
     """
     x = stored(document_statistics(docs, id_col, text_col), "statistics")
     train = (x.where(~held_out).join(one_label(labels, label_col, id_col),
                                      F.col("doc_id") == F.col("label_id")))
     model = fit(stored(bounded(train, F.col("doc_id"), max_train)
                        .select("doc_id", "x", "label"), "quality-train"))
-    scored = _scored(x, model.score, ["doc_id"])
+    scored = _scored(x, model.score, ["doc_id", "text_hash"])
     return scored.select("doc_id", held_out.alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+                         (F.col("score") >= threshold).cast("int").alias("predicted"),
+                         "text_hash")
