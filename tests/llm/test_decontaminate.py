@@ -75,3 +75,14 @@ def test_items_without_a_usable_window_match_verbatim(spark):
     got = dc.leaks(documents(spark, rows), _items(spark, items)).collect()
     assert sorted((r.doc_id, r.item_id, r.coverage) for r in got) == [
         (1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0)]
+
+
+def test_short_items_match_whole_documents_only(spark):
+    items = [(1, "Yes."), (2, "What is 12 + 15?"), (3, "東京"), (4, "True or false?")]
+    rows = [(1, "I said yes to the plan."), (2, "yes"), (3, "  Yes!\n"), (4, "what is 12 + 15? 27"),
+            (5, "東京は大きい"), (6, "東京"), (7, "it is true or false?"), (8, "true or false")]
+    docs = documents(spark, rows)
+    got = dc.leaks(docs, _items(spark, items)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(2, 1), (3, 1), (4, 2), (6, 3), (8, 4)]
+    kept = dc.without_leaks(docs, _items(spark, items[:1])).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 4, 5, 6, 7, 8]

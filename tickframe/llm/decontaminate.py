@@ -22,7 +22,9 @@ beyond that the join shuffles.
 
 Items without a usable window (fewer than ``WINDOW`` words, or slots throughout)
 are matched by their exact values: one window of the item's whole length over
-lower-cased tokens, single characters in scripts without spaces.
+lower-cased tokens, single characters in scripts without spaces.  A window of
+fewer than ``EXACT`` tokens is evidence only if it is the whole document: "Yes."
+leaks in a document that says just that, not in every one with the word.
 
 Cases: null and empty texts, and texts without a token, match nothing; of rows
 that share an id the best match counts; null ids are matched like any other;
@@ -34,11 +36,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import stored
+from tickframe.llm.common import split_by_keys, stored
 
 WINDOW = 5
 LITERALS = 3
 COVERAGE = 0.5
+EXACT = 4
 MAX_BROADCAST = 500_000
 DOC = ["doc_id", "doc_hash"]
 
@@ -220,15 +223,22 @@ def _exact_leaks(texts: DataFrame, benchmark: DataFrame, totals: DataFrame, item
                    .select("item_id", F.size("words").alias("length"),
                            F.xxhash64("words").alias("window")).distinct(), "whole-items")
     lengths = [r[0] for r in whole.select("length").distinct().orderBy("length").collect()]
+    none = F.array().cast("array<struct<length:int,window:bigint>>")
+    if not lengths:
+        return texts.where("false").select(
+            *DOC, F.lit(None).cast("long").alias("item_id"),
+            F.lit(1).cast("long").alias("matched_windows"),
+            F.lit(1).cast("long").alias("item_windows"), F.lit(1.0).alias("coverage"))
     words = texts.select(*DOC, exact_tokens(F.col("text")).alias("words"))
 
     def windows(length: int) -> Column:
         last = F.size("words") - length
-        return F.when(last >= 0, F.transform(
+        # short items match whole documents only
+        fits = last >= 0 if length >= EXACT else last == 0
+        return F.when(fits, F.transform(
             F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
             lambda i: F.struct(F.lit(length).alias("length"), F.xxhash64(
                 F.slice("words", i + 1, F.lit(length))).alias("window"))))
-    none = F.array().cast("array<struct<length:int,window:bigint>>")
     found = words.select(*DOC, F.explode(F.concat(
         none, *[F.coalesce(windows(n), none) for n in lengths])).alias("w")).select(
         *DOC, "w.length", "w.window")
@@ -239,10 +249,10 @@ def _exact_leaks(texts: DataFrame, benchmark: DataFrame, totals: DataFrame, item
 
 def _inconsistent(slotted: DataFrame, texts: DataFrame) -> DataFrame:
     """Diagonals (``whole``) and windows on which slots contradict each other."""
-    ids = slotted.select(F.col("doc_id").alias("slot_doc"),
-                         F.col("doc_hash").alias("slot_hash")).distinct()
-    raw = (texts.join(ids, F.col("doc_id").eqNullSafe(F.col("slot_doc"))
-                      & (F.col("doc_hash") == F.col("slot_hash")), "left_semi")
+    some, _ = split_by_keys(texts, F.xxhash64(*DOC), slotted.select(
+        F.xxhash64(*DOC).alias("key")).distinct(), "slot-texts")
+    # rows that repeat id and text have the same tokens
+    raw = (some.dropDuplicates(DOC)
            .select(F.col("doc_id").alias("raw_doc"), F.col("doc_hash").alias("raw_hash"),
                    raw_tokens(F.col("text")).alias("raw")))
     diagonal = [*DOC, "item_id", "diagonal"]
@@ -277,5 +287,10 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     gone = stored(_leaks(docs, benchmark, id_col, text_col, **options)
                   .select(F.col("doc_id").alias("__leaked_id"),
                           F.col("doc_hash").alias("__leaked_hash")).distinct(), "leaks")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("__leaked_id"))
-                     & (F.xxhash64(F.col(text_col)) == F.col("__leaked_hash")), "left_anti")
+    # only rows that pass the bit table of the leaks are joined with them
+    some, rest = split_by_keys(
+        docs, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))),
+        gone.select(F.xxhash64("__leaked_id", "__leaked_hash").alias("key")), "leak-texts")
+    return rest.unionByName(some.join(
+        gone, F.col(id_col).eqNullSafe(F.col("__leaked_id"))
+        & (F.xxhash64(F.col(text_col)) == F.col("__leaked_hash")), "left_anti"))
