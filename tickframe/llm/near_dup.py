@@ -43,10 +43,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import stored
+from tickframe.llm.common import split_by_keys, stored
 from tickframe.llm.components import connected_components
 
 WORDS = 5
@@ -63,7 +63,6 @@ SKETCH_MARGIN = 0.2
 BLOCK = 512
 BLOCK_GRAMS = 1_500_000
 PART_BYTES = 4 << 20
-BITMAP_BITS = 24
 
 _WORD = re.compile(r"\w+")
 # the same words where all characters are ASCII
@@ -214,12 +213,17 @@ def _all_pairs(nodes: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(nodes: DataFrame, pivots: int) -> DataFrame:
-    """Pairs of each set of a node with a few pivots of the node."""
+    """Pairs of each set of a node with a few pivots of the node.
+
+    The pivots are drawn by the sets alone, so that sets which meet in many nodes
+    meet the same few pivots there, and the pairs collapse.
+    """
     out = None
     for k in range(pivots):
-        order = F.struct(F.xxhash64("path", "s", F.lit(k)), "s")
+        order = F.struct(F.xxhash64("s", F.lit(k)), "s")
         pivot = nodes.groupBy("path").agg(F.min(order).getField("s").alias("b"))
-        part = nodes.join(pivot, "path").select(F.col("s").alias("a"), "b").where("a <> b")
+        part = nodes.join(pivot, "path").select(F.col("s").alias("a"), "b").where(
+            "a <> b").distinct()
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -232,26 +236,6 @@ def _edges(pairs: DataFrame, sketch: DataFrame, least: float) -> DataFrame:
                                                       "a long, b long")
 
 
-def _maybe_in(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
-    """Rows whose id may be among ``ids``, by a bitmap of fixed size.
-
-    It spares the join that follows most of the texts it would shuffle.  The
-    bitmap has ``2 ** BITMAP_BITS`` bits, so its broadcast is bounded; the fuller
-    it is the less it spares, and no row is lost.
-    """
-    def bit(c: str) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(1 << BITMAP_BITS))
-
-    (id_col,) = ids.columns
-    words = ids.groupBy(F.floor(bit(id_col) / 63).alias("__word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(pmod(pmod(xxhash64(%s), %dL), 63) AS int))"
-                        % (id_col, 1 << BITMAP_BITS))).alias("__bits"))
-    hit = rows.withColumn("__bit", bit(column)).withColumn("__word", F.floor(F.col("__bit") / 63))
-    return hit.join(F.broadcast(words), "__word").where(
-        F.expr("(shiftright(__bits, cast(pmod(__bit, 63) AS int)) & 1L) = 1L")).drop(
-        "__bit", "__word", "__bits")
-
-
 def _sketch_similarity(x: np.ndarray, y: np.ndarray) -> float:
     """Jaccard similarity estimated from bottom-k sketches; exact for small sets."""
     union = np.union1d(x, y)
@@ -338,20 +322,21 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
         lambda it: _described(it, words, runs, FIRST_DEPTH),
         "row long, doc_id long, text_hash long, identity binary, paths array<long>"), "described")
     sets = stored(rows.where("identity IS NOT NULL").groupBy("identity")
-                  .agg(F.min(F.struct("row", "doc_id")).alias("first"),
+                  .agg(F.min(F.struct("row", "doc_id", "text_hash")).alias("first"),
                        F.count(F.lit(1)).alias("copies"))
                   .select("identity", F.col("first.row").alias("s"),
-                          F.col("first.doc_id").alias("doc_id"), "copies"), "sets")
+                          F.col("first.doc_id").alias("doc_id"),
+                          F.col("first.text_hash").alias("text_hash"), "copies"), "sets")
     nodes = _crowds(rows.join(sets.select(F.col("s").alias("row")), "row", "left_semi")
                     .select(F.col("row").alias("s"), F.explode("paths").alias("path")))
 
     # sets with company, with their n-grams: the second and last look at the texts
     company = sets.join(nodes.select("s").distinct(), "s", "left_semi")
-    some = company.select(F.col("doc_id").alias("some_id")).distinct()
-    near = _maybe_in(texts, "doc_id", some)
-    grams = (near.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")), "left_semi")
-             .select("text").mapInArrow(lambda it: _gram_sets(it, words),
-                                        "identity binary, grams array<long>, sketch array<long>"))
+    near, _ = split_by_keys(texts, F.xxhash64("doc_id", "text_hash"), company.select(
+        F.xxhash64("doc_id", "text_hash").alias("key")).distinct(), "company")
+    grams = near.select("text").mapInArrow(
+        lambda it: _gram_sets(it, words),
+        "identity binary, grams array<long>, sketch array<long>")
     grams = stored(grams.dropDuplicates(["identity"])
                    .join(company.select("identity", "s", "copies"), "identity")
                    .drop("identity"), "grams")
@@ -429,15 +414,20 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = _classes(docs, id_col, text_col, **options)
     first = "doc_id <=> class_id AND text_hash = keep_hash"
     key = [F.col("doc_id").alias("__near_id"), F.col("text_hash").alias("__near_hash")]
+    pair = F.xxhash64("__near_id", "__near_hash").alias("key")
     gone = stored(found.where(f"NOT ({first})").select(*key).distinct(), "gone")
     repeated = stored(found.where(f"{first} AND n_links > 0").groupBy(*key)
                       .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "again")
     same = (F.col(id_col).eqNullSafe(F.col("__near_id"))
             & (F.xxhash64(F.col(text_col)) == F.col("__near_hash")))
-    out = docs.join(gone, same, "left_anti")
+    # only rows that pass the bit table of those lists are joined with them
+    some, rest = split_by_keys(
+        docs, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))),
+        gone.select(pair).unionByName(repeated.select(pair)).distinct(), "near-texts")
+    some = some.join(gone, same, "left_anti")
     if not repeated.isEmpty():
         # rows that repeat id and text of a class's first row: one of them stays
-        once = out.join(repeated, same, "left_anti")
-        out = once.unionByName(out.join(repeated, same, "left_semi")
-                               .dropDuplicates([id_col, text_col]))
-    return out
+        once = some.join(repeated, same, "left_anti")
+        some = once.unionByName(some.join(repeated, same, "left_semi")
+                                .dropDuplicates([id_col, text_col]))
+    return rest.unionByName(some)
