@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import name_to_code
 from ..schemas import ASPECTS
-from ..scratch import scratch_path
+from ..scratch import scratch_path, stored
 from ..sinks import bundle
 from ..sinks import contracts as C
 from ..sinks import writers as W
@@ -43,6 +43,11 @@ def _view(fn, **kw):
     return lambda spark, sf_dir: fn(_binned(spark, sf_dir), **kw)
 
 
+def _grid(fn, **kw):
+    """A view that reads the binned economy several times; it is stored once."""
+    return lambda spark, sf_dir: fn(stored(_binned(spark, sf_dir), "binned"), **kw)
+
+
 def _tables(fn, aspects, **kw):
     return lambda spark, sf_dir: fn(adapters.load(spark, sf_dir, *aspects), **kw)
 
@@ -365,18 +370,18 @@ def _defs_lookup(spark, sf_dir):
 
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "vw_net_metal_by_time_team": _view(views.net_metal_by_time_team),
-    "vw_metal_by_time_def": _view(views.metal_by_time_def),
+    "vw_net_metal_by_time_team": _grid(views.net_metal_by_time_team),
+    "vw_metal_by_time_def": _grid(views.metal_by_time_def),
     "vw_build_order_events": _view(views.build_order_events),
-    "vw_net_metal_heatmap": _view(views.net_metal_heatmap),
+    "vw_net_metal_heatmap": _grid(views.net_metal_heatmap),
     "vw_economic_flow_edges": _view(views.economic_flow_edges),
-    "vw_small_multiples": _view(views.small_multiples),
+    "vw_small_multiples": _grid(views.small_multiples),
     "vw_composition_snapshot": _view(views.composition_snapshot),
     "vw_build_order_transitions": _view(views.build_order_transitions),
     "vw_producer_consumer_hierarchy": _view(views.producer_consumer_hierarchy),
     "vw_economic_rhythm": _view(views.economic_rhythm),
     "vw_first_appearance_summary": _view(views.first_appearance_summary),
-    "vw_lag_correlation": _view(views.lag_correlation, team_a=0, team_b=1),
+    "vw_lag_correlation": _grid(views.lag_correlation, team_a=0, team_b=1),
     "vw_resource_tradeoff": _view(views.resource_tradeoff),
     "vw_sankey_fold": _view(views.sankey_by_fold),
     "vw_longest_surplus": _view(views.longest_surplus),
