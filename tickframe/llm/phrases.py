@@ -10,13 +10,14 @@ are, and most phrases are done well before a scan per length would start.
 
 Scans learn from a table of fixed size (``SLOT_BITS``) in which scan a phrase
 reached the threshold.  A slot may be shared: a phrase whose subphrases fall in
-taken slots is active early or in vain, but is counted for a full cycle all the
-same, so all counts are exact, and no phrase is missed.  Counts are keyed by the
+slots that others filled is active early or in vain, but is counted for a full
+cycle all the same, so all counts are exact, and no phrase is missed.  Counts are keyed by the
 phrases themselves, summed per task first.
 
 A phrase that reaches the threshold has at least threshold / shards of its
 occurrences in one shard.  Only slots of phrases with so many in some scan are
-summed over scans; counts of the others are written once and left alone.
+summed over scans, the last cycle's, without the phrases themselves; counts of
+the others are written once and left alone.
 
 Collocations: a candidate's score is the least over its cuts in two of
 2 * a / (l + r), in millionths; candidates that mostly occur inside a longer
@@ -36,25 +37,26 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.llm.common import scratch_path, stored
 
 LENGTH = 4
 THRESHOLD = 30
-SHARDS = 4
+SHARDS = 3
 TOP = 2000
 INSIDE = 80             # percent of a candidate's occurrences inside a longer one
 SCALE = 2_000_000
 SLOT_BITS = 24
 ROW_BYTES = 16 << 10    # longer texts are cut between pieces
-SCAN_BYTES = 4 << 20    # text that a task counts at once
+SCAN_BYTES = 5 << 20    # text that a task counts at once
 SALTS = 64
 UNSET = 255
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
-_TO_STOP = bytes.maketrans(_SEPARATORS, b"." * len(_SEPARATORS))
+_TO_STOP = bytes.maketrans(_SEPARATORS + b"\t", b"." * len(_SEPARATORS) + b" ")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 COUNTED = "len int, lang string, phrase string, slot int, cnt long"
 SHARDED = "lang string, words binary, shard int"
@@ -77,15 +79,14 @@ def _cut(words: bytes) -> Iterator[bytes]:
 def sharded(docs: DataFrame, lang_col: str, text_col: str, shards: int) -> DataFrame:
     """The corpus as rows (lang, words, shard), written by shard.
 
-    ``words`` are parted by one space, pieces by `` . ``.
+    ``words`` are parted by spaces, pieces by `` . ``.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, rows = [], []
             for lang, text in zip(batch.column(0).to_pylist(),
                                   batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
-                words = b" ".join((text or b"").lower().translate(_TO_STOP)
-                                  .replace(b".", b" . ").split())
+                words = (text or b"").lower().translate(_TO_STOP).replace(b".", b" . ")
                 for part in _cut(words):
                     langs.append(lang)
                     rows.append(part)
@@ -108,28 +109,32 @@ def _slots(codes: np.ndarray, length: int, many: int) -> np.ndarray:
     return (x >> np.uint64(65 - many.bit_length())).astype(np.int64)
 
 
-def _phrases(names: pa.Array, *ids: np.ndarray) -> pa.Array:
+def _phrases(names: pa.Array, ids: list[np.ndarray]) -> pa.Array:
     parts = [names.take(pa.array(i)) for i in ids]
     return pc.binary_join_element_wise(*parts, pa.scalar(b" ")).cast(pa.string())
 
 
-def _distinct(ids: np.ndarray, at: np.ndarray, length: int, size: int) -> tuple:
-    """Exact distinct phrases at places ``at``: their first places and counts."""
-    def pair(i: np.ndarray) -> np.ndarray:
-        return ids[i] * size + ids[i + 1]
-
+def _distinct(ids: np.ndarray, at: np.ndarray, length: int,
+              size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Exact distinct phrases at places ``at``, as their words' ids, and their counts."""
     if length == 1:
-        key = ids[at]
-    elif length == 2:
-        key = pair(at)
-    else:
-        # names for the first words, then names of those with the rest
-        names, first = np.unique(pair(at), return_inverse=True)
-        last, rest = ((size, ids[at + 2]) if length == 3 else
-                      (0, np.unique(pair(at + 2), return_inverse=True)[1]))
-        key = first * (last or int(rest.max()) + 1) + rest
-    _, place, counts = np.unique(key, return_index=True, return_counts=True)
-    return at[place], counts
+        counts = np.bincount(ids[at], minlength=size)
+        found = np.flatnonzero(counts)
+        return [found], counts[found]
+    first = ids[at] * size + ids[at + 1]
+    if length == 2:
+        found, counts = np.unique(first, return_counts=True)
+        return list(divmod(found, size)), counts
+    # names for the first two words, and for the rest
+    names, first = np.unique(first, return_inverse=True)
+    if length == 3:
+        found, counts = np.unique(first * size + ids[at + 2], return_counts=True)
+        first, rest = divmod(found, size)
+        return [*divmod(names[first], size), rest], counts
+    others, rest = np.unique(ids[at + 2] * size + ids[at + 3], return_inverse=True)
+    found, counts = np.unique(first * len(others) + rest, return_counts=True)
+    first, rest = divmod(found, len(others))
+    return [*divmod(names[first], size), *divmod(others[rest], size)], counts
 
 
 def count_active(lang: str, blob: bytes, reached: np.ndarray, step: int, shards: int,
@@ -144,8 +149,9 @@ def count_active(lang: str, blob: bytes, reached: np.ndarray, step: int, shards:
     ids, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
     if not len(ids):
         return
-    code = np.fromiter(map(zlib.crc32, names.to_pylist()), np.uint64, len(names))
-    code = (code + np.uint64(zlib.crc32(lang.encode()) << 32))[ids]
+    known_codes = np.fromiter(map(zlib.crc32, names.to_pylist()), np.uint64, len(names))
+    known_codes += np.uint64(zlib.crc32(lang.encode()) << 32)
+    code, many = known_codes[ids], len(reached)
     stop = pc.index(names, pa.scalar(b".", pa.binary())).as_py()
     inside = ids != stop
     running, start = code, np.where(inside, 0, UNSET + 1).astype(np.int16)
@@ -156,40 +162,53 @@ def count_active(lang: str, blob: bytes, reached: np.ndarray, step: int, shards:
             running = running[:-1] * _ODD + code[n - 1:]
         at = np.flatnonzero((start <= step) & (start > step - shards))
         if len(at):
-            first, counts = _distinct(ids, at, n, len(names))
+            parts, counts = _distinct(ids, at, n, len(names))
+            mixed = known_codes[parts[0]]
+            for i in parts[1:]:
+                mixed = mixed * _ODD + known_codes[i]
             yield pa.record_batch(
-                [pa.array(np.full(len(first), n, dtype=np.int32)),
-                 pa.array([lang]).take(pa.array(np.zeros(len(first), dtype=np.int8))),
-                 _phrases(names, *(ids[first + k] for k in range(n))),
-                 pa.array(_slots(running[first], n, len(reached)).astype(np.int32)),
-                 pa.array(counts)],
-                ["len", "lang", "phrase", "slot", "cnt"])
+                [pa.array(np.full(len(counts), n, dtype=np.int32)),
+                 pa.array([lang]).take(pa.array(np.zeros(len(counts), dtype=np.int8))),
+                 _phrases(names, parts), pa.array(_slots(mixed, n, many).astype(np.int32)),
+                 pa.array(counts)], ["len", "lang", "phrase", "slot", "cnt"])
         if n == length or len(start) < 2:
             return
+        if n == 1:
+            # all words are counted, so they are looked up once a distinct word
+            known = reached[_slots(known_codes, 1, many)].astype(np.int16)[ids]
+            known[~inside] = UNSET
+            continue
         known = np.full(len(start), UNSET, dtype=np.int16)
         some = np.flatnonzero(start <= step)
-        known[some] = reached[_slots(running[some], n, len(reached))]
+        known[some] = reached[_slots(running[some], n, many)]
 
 
-def _scan(shard: DataFrame, reached: np.ndarray, step: int, shards: int, length: int) -> DataFrame:
-    """Counts (len, lang, phrase, slot, cnt) of one scan, summed."""
-    shared = shard.sparkSession.sparkContext.broadcast(reached)
+def _shared(spark: SparkSession, table: np.ndarray) -> Broadcast:
+    """A slot table for all tasks; it is mostly empty and travels compressed."""
+    return spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
+
+
+def _table(shared: Broadcast) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
 
+
+def _scan(shard: DataFrame, shared: Broadcast, step: int, shards: int, length: int) -> DataFrame:
+    """Counts (len, lang, phrase, slot, cnt) of one scan, summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = _table(shared)
         for batch in batches:
             waiting: dict[str, list[bytes]] = {}
             size: dict[str, int] = {}
-            for lang, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                   strict=True):
+            for lang, words in zip(batch.column(0), batch.column(1), strict=True):
+                lang, words = lang.as_py(), words.as_py()
                 waiting.setdefault(lang, []).append(words)
                 size[lang] = size.get(lang, 0) + len(words)
                 if size[lang] > SCAN_BYTES:
-                    yield from count_active(lang, b" . ".join(waiting.pop(lang)), shared.value,
+                    yield from count_active(lang, b" . ".join(waiting.pop(lang)), reached,
                                             step, shards, length)
                     size[lang] = 0
             for lang, parts in waiting.items():
-                yield from count_active(lang, b" . ".join(parts), shared.value, step, shards,
-                                        length)
+                yield from count_active(lang, b" . ".join(parts), reached, step, shards, length)
 
     return (shard.select("lang", "words").mapInArrow(run, COUNTED)
             .groupBy("len", "lang", "phrase", "slot").agg(F.sum("cnt").alias("cnt")))
@@ -201,24 +220,42 @@ def _bits(rows: DataFrame, many: int) -> np.ndarray:
              .agg(F.expr("bit_or(shiftleft(1L, slot & 63))").alias("bits")).toArrow())
     packed = np.zeros(max(1, many >> 6), dtype=np.int64)
     packed[np.asarray(words["word"])] = np.asarray(words["bits"])
-    return np.unpackbits(packed.view(np.uint8), count=many, bitorder="little").astype(bool)
+    return np.unpackbits(packed.view(np.uint8), count=many, bitorder="little")
 
 
-def _summed(scans: list[DataFrame], heavy: np.ndarray, threshold: int, lengths: Column) -> DataFrame:
-    """Phrases that reach the threshold over all scans, with their counts."""
-    shared = scans[0].sparkSession.sparkContext.broadcast(np.packbits(heavy))
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def _in_slots(rows: DataFrame, asked: np.ndarray) -> DataFrame:
+    """The rows whose slot is asked for.
+
+    The slots travel as 64-bit words; ``len(asked) / 64`` of them bound what is
+    broadcast, whatever the corpus.
+    """
+    packed = np.packbits(asked > 0, bitorder="little")
+    packed = np.pad(packed, (0, -len(packed) % 8)).view(np.int64)
+    at = np.flatnonzero(packed)
+    words = rows.sparkSession.createDataFrame(pa.table({
+        "word": pa.array(at.astype(np.int32)), "bits": pa.array(packed[at])}))
+    return rows.join(F.broadcast(words), F.shiftright("slot", 6) == F.col("word")).where(
+        "(shiftrightunsigned(bits, slot & 63) & 1L) = 1L").drop("word", "bits")
+
+
+def _full_slots(scans: list[DataFrame], asked: np.ndarray, threshold: int,
+                lengths: Column) -> DataFrame:
+    """The asked slots whose phrases together reach the threshold."""
+    rows = _in_slots(_union(scans).where(lengths).select("slot", "cnt"), asked)
+    return rows.groupBy("slot").agg(F.sum("cnt").alias("n")).where(F.col("n") >= threshold)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = np.asarray(batch.column("slot"))
-            yield batch.filter(pa.array((shared.value[slot >> 3] >> (7 - (slot & 7)) & 1) > 0))
 
-    rows = scans[0]
-    for scan in scans[1:]:
-        rows = rows.unionByName(scan)
-    return (rows.where(lengths).mapInArrow(run, COUNTED)
-            .groupBy("len", "lang", "phrase", "slot").agg(F.sum("cnt").alias("f"))
-            .where(F.col("f") >= threshold))
+def _frequent(scans: list[DataFrame], asked: np.ndarray, threshold: int) -> DataFrame:
+    """Phrases that reach the threshold, with their counts, among those in the asked slots."""
+    return (_in_slots(_union(scans), asked).groupBy("len", "lang", "phrase")
+            .agg(F.sum("cnt").alias("f")).where(F.col("f") >= threshold))
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
@@ -229,29 +266,31 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
 
     Any ``slot_bits`` give the same counts; more of them spare counting in vain.
     """
+    spark = docs.sparkSession
     corpus = sharded(docs, lang_col, text_col, shards)
     many = 1 << slot_bits
     reached = np.full(many, UNSET, dtype=np.uint8)
-    heavy = np.zeros(many, dtype=bool)
+    heavy = np.zeros(many, dtype=np.uint8)
     scans: list[DataFrame] = []
     step = last = 0
     # a phrase that is active from scan ``last + 1`` on is done with scan ``last + shards``
     while step < shards or step <= last + shards:
-        scan = stored(_scan(corpus.where(F.col("shard") == step % shards), reached, step, shards,
+        shared = _shared(spark, reached)
+        scan = stored(_scan(corpus.where(F.col("shard") == step % shards), shared, step, shards,
                             length), f"scan-{step}")
+        shared.destroy()
         scans.append(scan)
         heavy |= _bits(scan.where(F.col("cnt") >= -(-threshold // shards)), many)
-        # words are done after one cycle, phrases of n words after n at most
+        # a phrase has its counts in one cycle; words are done after one, longer ones later
         growing = (F.col("len") < length) & (F.col("len") > step // shards)
-        new = _bits(_summed(scans, heavy, threshold, growing), many) & (reached == UNSET)
+        new = _bits(_full_slots(scans[-shards:], heavy & (reached == UNSET), threshold, growing),
+                    many) > 0
         if new.any():
             reached[new] = step
             last = step
         step += 1
-    found = stored(_summed(scans, heavy, threshold, F.lit(True)).drop("slot"), "frequent")
-    total = scans[0]
-    for scan in scans[1:shards]:
-        total = total.unionByName(scan)
+    found = stored(_frequent(scans, heavy, threshold), "frequent")
+    total = _union(scans[:shards])
     return found, total.where("len = 1").groupBy("lang").agg(F.sum("cnt").alias("n"))
 
 
