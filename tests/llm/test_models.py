@@ -176,3 +176,69 @@ def test_language_model_without_training(spark):
     got = hmm_lm.text_scores(documents(spark, odd_rows()), crc_mod("doc_id", 1) == 0).collect()
     assert {(r.base_score, r.score, r.train_tokens) for r in got} == {(0.0, 0.0, 0)}
     assert hmm_lm.text_scores(documents(spark, []), crc_mod("doc_id", 7) == 2).count() == 0
+
+
+def test_segments_carry_the_state_on(monkeypatch):
+    model = _tiny_hmm()
+    draw = np.random.default_rng(4)
+    texts = [draw.integers(0, 5, n).astype(np.uint16) for n in (1, 256, 257, 900, 5000)]
+    start, move, emit, total = model.expected(texts)
+    # every token, every step from token to token and every text's start counts once
+    assert np.isclose(start.sum(), len(texts))
+    assert np.isclose(move.sum(), sum(len(t) - 1 for t in texts))
+    assert np.allclose(emit.sum(axis=1), np.bincount(np.concatenate(texts), minlength=5))
+    monkeypatch.setattr(hmm_lm, "SEGMENT", 10_000)
+    whole = model.expected(texts)
+    assert np.allclose(start, whole[0], rtol=1e-6) and np.isclose(total[0], whole[3][0], rtol=1e-6)
+    assert np.allclose(move, whole[1], rtol=5e-3) and np.allclose(emit, whole[2], rtol=5e-3)
+    assert np.isclose(whole[3][0], model.log10(texts).sum())
+
+
+def test_training_sees_all_rows_and_the_likelihood_grows(spark):
+    rows = [(k, " ".join(words(k, 60, 40) if k % 2 else [w.upper() + "x" for w in words(k, 60, 40)]))
+            for k in range(120)]
+    docs = documents(spark, rows).select("doc_id", "text")
+    counts = docs.mapInArrow(lambda it: hmm_lm._word_counts(b.select(["text"]) for b in it),
+                             "word binary, class int, n long").groupBy("word", "class").agg(
+        F.sum("n").alias("c"))
+    lex = hmm_lm.lexicon(counts)
+    shared = spark.sparkContext.broadcast(lex)
+    encoded = docs.mapInArrow(
+        lambda it: hmm_lm._encoded(it, shared),
+        "row long, doc_id long, symbols binary, n_tokens long, known long, head_log double, "
+        "class_log double, rare array<binary>, rare_n array<long>").select(
+        "row", "n_tokens", "symbols")
+    seen = []
+    model = hmm_lm.train(encoded, lex, states=4, blocks=4, seen=seen)
+    assert len(seen) >= hmm_lm.LEAST_PASSES and seen[-1] > seen[0]
+    texts = [np.frombuffer(r["symbols"], np.uint16) for r in encoded.collect()]
+    flat = np.concatenate(texts)
+    unigram = np.bincount(flat, minlength=lex.size) / len(flat)
+    assert model.log10(texts).sum() > np.log10(unigram[flat]).sum()
+    # the counts of one pass over all blocks are those of one machine
+    whole = model.expected(texts)
+    blocks = [hmm_lm._block_counts(encoded.where(f"pmod(xxhash64(row), 3) = {b}"), model)
+              for b in range(3)]
+    for a, parts in zip(whole, zip(*blocks, strict=True), strict=True):
+        assert np.allclose(a, sum(parts))
+
+
+def test_quality_sums_equal_a_solve_on_one_machine(spark):
+    docs, labels, _, _ = _labelled(spark)
+    x = quality.document_statistics(docs, "doc_id", "text")
+    rows = x.join(labels.selectExpr("doc_id AS label_id", "quality AS label"),
+                  F.col("doc_id") == F.col("label_id")).where("label IS NOT NULL").select(
+        "doc_id", "x", "label").repartition(7)
+    model = quality.fit(rows)
+    held = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4)) == 0
+    got = rows.select("x", "label", held.alias("held")).collect()
+    a, y = np.array([r["x"] for r in got]), np.array([r["label"] for r in got], dtype=float)
+    assert np.allclose(model.mean, a.mean(axis=0))
+    assert np.allclose(model.scale[a.std(axis=0) > 1e-4], a.std(axis=0)[a.std(axis=0) > 1e-4])
+    fit = ~np.array([r["held"] for r in got])
+    phi = model.features(a[fit])
+    penalty = quality.RIDGE * fit.sum() * np.eye(phi.shape[1]) / quality.FEATURES
+    penalty[-1, -1] = 1e-9
+    want = np.linalg.solve(phi.T @ phi + penalty + 1e-9 * np.eye(len(penalty)), phi.T @ y[fit])
+    assert np.allclose(model.weights, want, rtol=1e-5, atol=1e-8)
+    assert np.allclose(model.raw(a[:50]), model.features(a[:50]) @ want, atol=1e-6)

@@ -10,8 +10,15 @@ Training.  Word counts, class totals and Baum-Welch counts cover all training
 texts.  Texts are cut into segments of ``SEGMENT`` tokens; every partition runs
 the scaled forward and backward recursions over its segments and sums expected
 transition, start and emission counts; the partitions' sums are added up in
-Spark.  The first guess comes from a few rounds on about ``INIT_TOKENS`` tokens;
-then ``ROUNDS`` rounds see the whole corpus.
+Spark.  A segment's forward recursion begins ``WARM`` tokens before it, so that
+it carries on the state of the text; starts are counted at texts' starts only.
+
+The corpus is taken in ``BLOCKS`` blocks (by hash of the row).  After each block
+its counts replace those of its last visit and the model is estimated again
+from the counts of all blocks (incremental Baum-Welch), so one pass over the
+corpus makes many steps.  Passes go over all training texts until, after
+``LEAST_PASSES``, the likelihood grows by less than ``SETTLED`` of itself,
+``PASSES`` at most.
 
 Scoring.  The scaled forward recursion runs over each whole text, with memory
 for one state vector a text, and gives its exact likelihood.
@@ -46,9 +53,11 @@ SYMBOLS = 4096
 CLASSES = 1024
 TABLE = 131_072
 SEGMENT = 256
-ROUNDS = 2
-INIT_ROUNDS = 15
-INIT_TOKENS = 1_000_000
+WARM = 24
+BLOCKS = 16
+LEAST_PASSES = 3
+PASSES = 12
+SETTLED = 0.01
 EMISSION_PRIOR = 20.0
 _FLUSH = 300_000
 END = b""
@@ -199,24 +208,29 @@ class Hmm:
         return back
 
     def expected(self, texts: list[np.ndarray]) -> list[np.ndarray]:
-        """Baum-Welch counts of segments: starts, transitions, emissions, log10 likelihood."""
+        """Baum-Welch counts of texts: starts, transitions, emissions, log10 likelihood."""
         k, size = len(self.start), len(self.emit)
-        parts = [t[i:i + SEGMENT] for t in texts for i in range(0, len(t), SEGMENT)]
+        # (tokens, how many of the first are there to warm up)
+        parts = [(t[max(0, i - WARM):i + SEGMENT], min(i, WARM))
+                 for t in texts for i in range(0, len(t), SEGMENT)]
         total = [np.zeros(k), np.zeros((k, k)), np.zeros((size, k)), np.zeros(1)]
-        parts.sort(key=len, reverse=True)
+        parts.sort(key=lambda p: len(p[0]), reverse=True)
         for i in range(0, len(parts), 1024):
             for a, b in zip(total, self._batch(parts[i:i + 1024]), strict=True):
                 a += b
         return total
 
-    def _batch(self, parts: list[np.ndarray]) -> list[np.ndarray]:
+    def _batch(self, parts: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
         k, n = len(self.start), len(parts)
-        lens = np.array([len(p) for p in parts])
+        lens = np.array([len(p) for p, _ in parts])
+        warm = np.array([w for _, w in parts])
         longest = int(lens[0]) if n else 0
         grid = np.zeros((longest, n), dtype=np.int64)
-        for i, p in enumerate(parts):
+        for i, (p, _) in enumerate(parts):
             grid[:len(p), i] = p
-        alive = (lens[None, :] > np.arange(longest)[:, None]).sum(axis=1)
+        at = np.arange(longest)[:, None]
+        alive = (lens[None, :] > at).sum(axis=1)
+        counted = (at >= warm[None, :]) & (at < lens[None, :])
         forward = np.zeros((longest, n, k))
         scales = np.ones((longest, n))
         state = np.broadcast_to(self.start, (n, k))
@@ -235,17 +249,20 @@ class Hmm:
             forward_t = forward[t, :m]
             right = self.emit[grid[t, :m]] * back[:m] / scales[t, :m, None]
             before = forward[t - 1, :m]
-            move += (before.T @ right) * self.step
+            if t <= WARM:
+                move += (before[counted[t, :m]].T @ right[counted[t, :m]]) * self.step
+            else:
+                move += (before.T @ right) * self.step
             forward[t, :m] = forward_t * back[:m]
             back[:m] = right @ self.step.T
         if longest:
             forward[0] *= back
         emit = np.zeros((len(self.emit), k))
-        flat, post = grid.ravel(), forward.reshape(-1, k)
+        flat, post = grid[counted], forward[counted]
         for s in range(k):
             emit[:, s] = np.bincount(flat, post[:, s], len(self.emit))
-        first = forward[0].sum(axis=0) if longest else np.zeros(k)
-        return [first, move, emit, np.array([np.log10(scales).sum()])]
+        first = forward[0][warm == 0].sum(axis=0) if longest else np.zeros(k)
+        return [first, move, emit, np.array([np.log10(scales[counted]).sum()])]
 
 
 def _normalised(counts: list[np.ndarray], unigram: np.ndarray) -> Hmm:
@@ -256,49 +273,62 @@ def _normalised(counts: list[np.ndarray], unigram: np.ndarray) -> Hmm:
                emit / emit.sum(axis=0, keepdims=True))
 
 
-def _first_guess(texts: list[np.ndarray], unigram: np.ndarray, states: int, seed: int) -> Hmm:
+def _first_guess(unigram: np.ndarray, states: int, seed: int) -> Hmm:
     draw = np.random.default_rng(seed)
     emit = unigram[:, None] * draw.gamma(2.0, size=(len(unigram), states))
     step = np.full((states, states), 0.3 / states) + 0.7 * np.eye(states)
-    model = Hmm(np.full(states, 1 / states), step, emit / emit.sum(axis=0))
-    for _ in range(INIT_ROUNDS if texts else 0):
-        model = _normalised(model.expected(texts), unigram)
-    return model
+    return Hmm(np.full(states, 1 / states), step, emit / emit.sum(axis=0))
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, dtype=np.uint16) for x in column.to_pylist()]
 
 
-def train(texts: DataFrame, lex: Lexicon, states: int = STATES, rounds: int = ROUNDS,
-          seed: int = 5) -> Hmm:
-    """Fit on rows (row, n_tokens, symbols)."""
+def _block_counts(texts: DataFrame, model: Hmm) -> list[np.ndarray] | None:
+    """Baum-Welch counts of rows (symbols, n_tokens), summed over partitions."""
+    shapes = [model.start.shape, model.step.shape, model.emit.shape, (1,)]
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(sum(int(np.prod(s)) for s in shapes))
+        for batch in batches:
+            for part in _by_tokens(batch):
+                found = shared.value.expected(_sequences(part.column("symbols")))
+                total += np.concatenate([a.ravel() for a in found])
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    flat = tree_sum(texts.select("symbols", "n_tokens").mapInArrow(partial, "sums binary"))
+    shared.destroy()
+    if flat is None:
+        return None
+    cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
+    return [a.reshape(s) for a, s in zip(np.split(flat, cuts), shapes, strict=True)]
+
+
+def train(texts: DataFrame, lex: Lexicon, states: int = STATES, passes: int = PASSES,
+          settled: float = SETTLED, blocks: int = BLOCKS, seed: int = 5,
+          seen: list[float] | None = None) -> Hmm:
+    """Fit on rows (row, n_tokens, symbols); ``seen`` gets the log10 likelihood of each pass."""
     weight = np.ones(lex.size)
     weight[:lex.first_class] = lex.counts[:lex.first_class] + 1
     weight[lex.first_class:] = lex.class_totals
     unigram = weight / weight.sum()
-    share = min(1.0, INIT_TOKENS / max(1, lex.tokens))
-    some = (texts.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < int(share * (1 << 20)))
-            .where(F.col("n_tokens") <= INIT_TOKENS // 20).orderBy(F.xxhash64("row"))
-            .limit(INIT_TOKENS // 50).select("symbols").collect())
-    model = _first_guess([np.frombuffer(r[0], dtype=np.uint16) for r in some], unigram, states,
-                         seed)
-    shapes = [(states,), (states, states), (lex.size, states), (1,)]
-    for _ in range(rounds):
-        shared = texts.sparkSession.sparkContext.broadcast(model)
-
-        def partial(batches: Iterator[pa.RecordBatch], model=shared) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(sum(int(np.prod(s)) for s in shapes))
-            for batch in batches:
-                for part in _by_tokens(batch):
-                    found = model.value.expected(_sequences(part.column("symbols")))
-                    total += np.concatenate([a.ravel() for a in found])
-            yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], ["sums"])
-
-        flat = tree_sum(texts.select("symbols", "n_tokens").mapInArrow(partial, "sums binary"))
-        cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-        counts = [a.reshape(s) for a, s in zip(np.split(flat, cuts), shapes, strict=True)]
-        model = _normalised(counts, unigram)
+    model = _first_guess(unigram, states, seed)
+    block = F.pmod(F.xxhash64("row", F.lit(seed)), F.lit(blocks))
+    counts: dict[int, list[np.ndarray]] = {}
+    before = None
+    for done in range(passes):
+        for b in range(blocks):
+            found = _block_counts(texts.where(block == b), model)
+            if found is not None:
+                counts[b] = found
+                model = _normalised([sum(c) for c in zip(*counts.values(), strict=True)], unigram)
+        likelihood = float(sum(c[3][0] for c in counts.values()))
+        if seen is not None:
+            seen.append(likelihood)
+        if done + 1 >= LEAST_PASSES and likelihood - before < settled * abs(likelihood):
+            break
+        before = likelihood
     return model
 
 
@@ -311,7 +341,7 @@ def _by_tokens(batch: pa.RecordBatch, most: int = 400_000) -> Iterator[pa.Record
 
 
 def text_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
-                text_col: str = "text", states: int = STATES, rounds: int = ROUNDS) -> DataFrame:
+                text_col: str = "text", states: int = STATES, passes: int = PASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     ``held_out`` is a condition on ``doc_id``; the model learns from the other rows.
@@ -328,7 +358,7 @@ def text_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
         "row long, doc_id long, symbols binary, n_tokens long, known long, head_log double, "
         "class_log double, rare array<binary>, rare_n array<long>"), "symbols")
     model = spark.sparkContext.broadcast(
-        train(rows.where(~held_out).select("row", "n_tokens", "symbols"), lex, states, rounds))
+        train(rows.where(~held_out).select("row", "n_tokens", "symbols"), lex, states, passes))
 
     # counts of the words beyond the table, summed up for each text
     rare = rows.select("row", F.arrays_zip("rare", "rare_n").alias("z")).select(
