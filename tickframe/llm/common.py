@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,7 +40,49 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.options(**{"compression": "zstd", **options}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+#: Tables stored inside the calls of ``kept`` that are running, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(table: DataFrame) -> None:
+    """Remove a ``stored`` table that no plan reads any more."""
+    path = table.scratch_path
+    for scope in _SCOPES:
+        if path in scope:
+            scope.remove(path)
+    _remove(table.sparkSession, path)
+
+
+def kept(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Store what ``make`` returns, then remove every table that was stored on the way.
+
+    No other plan may read those tables afterwards.
+    """
+    inner: list[str] = []
+    _SCOPES.append(inner)
+    try:
+        df = make()
+        _SCOPES.pop()
+        out = stored(df, name)
+    except BaseException:
+        if _SCOPES and _SCOPES[-1] is inner:
+            _SCOPES.pop()
+        raise
+    for path in inner:
+        _remove(out.sparkSession, path)
+    return out
 
 
 def local_path(uri: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import stored
+from tickframe.llm.common import release, stored
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -32,7 +32,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v")))
                  .where("u <> v").distinct())
-        pairs = stored(small, "edges")
+        older, pairs = pairs, stored(small, "edges")
+        release(older)
         after = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
                           ).first()
         if after == before:

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import split_by_keys, stored
+from tickframe.llm.common import kept, release, split_by_keys, stored
 from tickframe.llm.components import connected_components
 
 WORDS = 5
@@ -179,10 +179,8 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, runs: int,
 def _gram_sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for batch in (p for b in batches for p in _parts(b, "text")):
         sets = [shingles(t or "", n) for t in batch.column(0).to_pylist()]
-        yield pa.record_batch(
-            [pa.array([_identity(s) for s in sets], pa.binary()),
-             _lists(sets, pa.int64()), _lists([s[:SKETCH] for s in sets], pa.int64())],
-            ["identity", "grams", "sketch"])
+        yield pa.record_batch([pa.array([_identity(s) for s in sets], pa.binary()),
+                               _lists(sets, pa.int64())], ["identity", "grams"])
 
 
 def _deeper(batches: Iterator[pa.RecordBatch], runs: int, depth: int) -> Iterator[pa.RecordBatch]:
@@ -318,16 +316,37 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
     runs = runs_for(recall, similarity)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("text_hash"))
-    rows = stored(texts.mapInArrow(
+    described = stored(texts.mapInArrow(
         lambda it: _described(it, words, runs, FIRST_DEPTH),
         "row long, doc_id long, text_hash long, identity binary, paths array<long>"), "described")
+    rows = stored(described.drop("paths"), "rows")
     sets = stored(rows.where("identity IS NOT NULL").groupBy("identity")
                   .agg(F.min(F.struct("row", "doc_id", "text_hash")).alias("first"),
                        F.count(F.lit(1)).alias("copies"))
                   .select("identity", F.col("first.row").alias("s"),
                           F.col("first.doc_id").alias("doc_id"),
                           F.col("first.text_hash").alias("text_hash"), "copies"), "sets")
-    nodes = _crowds(rows.join(sets.select(F.col("s").alias("row")), "row", "left_semi")
+    full = kept(lambda: _linked(texts, described, sets, words, similarity, runs), "classes")
+    release(described)
+    found = rows.join(full.select("identity", "copies", "others", "root"), "identity", "left")
+    least = stored(rows.join(full.select("identity", "root"), "identity").groupBy("root")
+                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+                        .alias("least"))
+                   .select("root", F.col("least.doc_id").alias("least_id"),
+                           F.col("least.text_hash").alias("least_hash")), "class-ids")
+    return (found.join(least, "root", "left").select(
+        "doc_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
+        .alias("class_id"),
+        F.coalesce(F.col("others") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
+        F.coalesce("copies", F.lit(1)).alias("copies"), "text_hash",
+        F.when(F.col("root").isNull(), F.col("text_hash")).otherwise(F.col("least_hash"))
+        .alias("keep_hash")))
+
+
+def _linked(texts: DataFrame, described: DataFrame, sets: DataFrame, words: int,
+            similarity: float, runs: int) -> DataFrame:
+    """(identity, copies, others, root, doc_id) of all sets, their links counted exactly."""
+    nodes = _crowds(described.join(sets.select(F.col("s").alias("row")), "row", "left_semi")
                     .select(F.col("row").alias("s"), F.explode("paths").alias("path")))
 
     # sets with company, with their n-grams: the second and last look at the texts
@@ -335,8 +354,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
     near, _ = split_by_keys(texts, F.xxhash64("doc_id", "text_hash"), company.select(
         F.xxhash64("doc_id", "text_hash").alias("key")).distinct(), "company")
     grams = near.select("text").mapInArrow(
-        lambda it: _gram_sets(it, words),
-        "identity binary, grams array<long>, sketch array<long>")
+        lambda it: _gram_sets(it, words), "identity binary, grams array<long>")
     grams = stored(grams.dropDuplicates(["identity"])
                    .join(company.select("identity", "s", "copies"), "identity")
                    .drop("identity"), "grams")
@@ -352,7 +370,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
         layers.append(_crowds(deeper.select("s", F.explode("paths").alias("path"))))
         crowded = layers[-1].where(F.col("n") > SMALL)
     # first each set with its node's pivot: what that joins needs no further pairs
-    sketch, least = grams.select("s", "sketch"), similarity - SKETCH_MARGIN
+    # the n-grams are sorted by hash, so the first ones are the sketch
+    sketch = grams.select("s", F.slice("grams", 1, SKETCH).alias("sketch"))
+    least = similarity - SKETCH_MARGIN
     pairs = _pivot_pairs(crowded, PIVOTS)
     for layer in layers:
         pairs = pairs.unionByName(_pivot_pairs(layer.where(F.col("n") <= SMALL), 1))
@@ -387,22 +407,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
         "links")
     classes = connected_components(links.select(F.col("s").alias("a"), F.col("root").alias("b")))
     counted = links.groupBy("s").agg(F.sum("links").alias("others"))
-    full = stored(sets.join(counted, "s", "left")
-                  .join(classes.withColumnRenamed("node", "s"), "s", "left")
-                  .select("identity", "copies", F.coalesce("others", F.lit(0)).alias("others"),
-                          F.coalesce("root", "s").alias("root"), "doc_id"), "classes")
-    found = rows.join(full.select("identity", "copies", "others", "root"), "identity", "left")
-    least = stored(rows.join(full.select("identity", "root"), "identity").groupBy("root")
-                   .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("least"))
-                   .select("root", F.col("least.doc_id").alias("least_id"),
-                           F.col("least.text_hash").alias("least_hash")), "class-ids")
-    return (found.join(least, "root", "left").select(
-        "doc_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
-        .alias("class_id"),
-        F.coalesce(F.col("others") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
-        F.coalesce("copies", F.lit(1)).alias("copies"), "text_hash",
-        F.when(F.col("root").isNull(), F.col("text_hash")).otherwise(F.col("least_hash"))
-        .alias("keep_hash")))
+    return (sets.join(counted, "s", "left")
+            .join(classes.withColumnRenamed("node", "s"), "s", "left")
+            .select("identity", "copies", F.coalesce("others", F.lit(0)).alias("others"),
+                    F.coalesce("root", "s").alias("root"), "doc_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -411,13 +419,19 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are told apart by id and text: others with the id of a row that goes stay.
     """
-    found = _classes(docs, id_col, text_col, **options)
-    first = "doc_id <=> class_id AND text_hash = keep_hash"
-    key = [F.col("doc_id").alias("__near_id"), F.col("text_hash").alias("__near_hash")]
+    def lists() -> DataFrame:
+        """Rows that go, and rows that repeat id and text of a class's first row."""
+        first = "doc_id <=> class_id AND text_hash = keep_hash"
+        found = _classes(docs, id_col, text_col, **options).where(
+            f"NOT ({first}) OR n_links > 0").groupBy(
+            F.col("doc_id").alias("__near_id"), F.col("text_hash").alias("__near_hash"),
+            (~F.expr(first)).alias("__goes")).agg(F.count(F.lit(1)).alias("__rows"))
+        return found.where("__goes OR __rows > 1")
+
+    found = kept(lists, "near-lists")
     pair = F.xxhash64("__near_id", "__near_hash").alias("key")
-    gone = stored(found.where(f"NOT ({first})").select(*key).distinct(), "gone")
-    repeated = stored(found.where(f"{first} AND n_links > 0").groupBy(*key)
-                      .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "again")
+    gone = found.where("__goes").select("__near_id", "__near_hash")
+    repeated = found.where("NOT __goes").select("__near_id", "__near_hash")
     same = (F.col(id_col).eqNullSafe(F.col("__near_id"))
             & (F.xxhash64(F.col(text_col)) == F.col("__near_hash")))
     # only rows that pass the bit table of those lists are joined with them
