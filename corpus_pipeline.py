@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.llm import bpe, decontaminate, exact_dedup, near_dup, quality
-from tickframe.llm.common import crc_mod, split_by_keys, stored, table
+from tickframe.llm.common import crc_mod, kept, split_by_keys, stored, table
 from tickframe.llm.registry import vocabulary
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,12 +22,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scores = quality.quality_scores(docs, table(spark, sf_dir, "labels"),
-                                    crc_mod("doc_id", 4) == 2)
     # rows are told apart by id and text; rows that repeat both share one score
-    bad = stored(scores.where("predicted = 0").select(
-        F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct(),
-        "rejected")
+    bad = kept(lambda: quality.quality_scores(
+        docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 4) == 2).where(
+        "predicted = 0").select(F.col("doc_id").alias("__bad_id"),
+                                F.col("text_hash").alias("__bad_hash")).distinct(), "rejected")
     text_hash = F.xxhash64(F.col("text"))
     some, rest = split_by_keys(docs, F.xxhash64(F.col("doc_id"), text_hash), bad.select(
         F.xxhash64("__bad_id", "__bad_hash").alias("key")), "doubted")

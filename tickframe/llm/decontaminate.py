@@ -36,7 +36,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import split_by_keys, stored
+from tickframe.llm.common import kept, split_by_keys, stored
 
 WINDOW = 5
 LITERALS = 3
@@ -284,9 +284,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Rows are told apart by id and text: others with the id of a row that goes stay.
     """
-    gone = stored(_leaks(docs, benchmark, id_col, text_col, **options)
-                  .select(F.col("doc_id").alias("__leaked_id"),
-                          F.col("doc_hash").alias("__leaked_hash")).distinct(), "leaks")
+    gone = kept(lambda: _leaks(docs, benchmark, id_col, text_col, **options)
+                .select(F.col("doc_id").alias("__leaked_id"),
+                        F.col("doc_hash").alias("__leaked_hash")).distinct(), "leaks")
     # only rows that pass the bit table of the leaks are joined with them
     some, rest = split_by_keys(
         docs, F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col))),

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import ascii_lower, split_by_keys, stored
+from tickframe.llm.common import ascii_lower, kept, split_by_keys, stored
 
 BLOCK_BYTES = 4096
 
@@ -95,7 +95,7 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    ids = stored(identities(docs, id_col, text_col, block_bytes), "identities")
+    ids = kept(lambda: identities(docs, id_col, text_col, block_bytes), "identities")
     keep = stored(ids.groupBy("levels", "name")
             .agg(F.max(F.struct("doc_id", "rid")).alias("keep"),
                  F.count(F.lit(1)).alias("group_size")), "groups")
@@ -111,9 +111,9 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Only rows whose text is in a group of several are joined with the list of
     dropped rows; the others pass a broadcast bit table and are not moved.
     """
-    dropped = stored(exact_groups(docs, id_col, text_col, block_bytes)
-                     .where("NOT kept").groupBy("doc_id", "text_sha256", "keep_id")
-                     .agg(F.count(F.lit(1)).alias("n")), "dropped")
+    dropped = kept(lambda: exact_groups(docs, id_col, text_col, block_bytes)
+                   .where("NOT kept").groupBy("doc_id", "text_sha256", "keep_id")
+                   .agg(F.count(F.lit(1)).alias("n")), "dropped")
     sha = F.sha2(ascii_lower(F.col(text_col)).cast("binary"), 256)
     rows = docs.withColumn("__dedup_sha", sha)
     some, rest = split_by_keys(rows, F.xxhash64(F.col(id_col), F.col("__dedup_sha")), dropped.select(
