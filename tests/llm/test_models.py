@@ -164,7 +164,7 @@ def test_language_model(spark, monkeypatch):
                          for k in range(150)]
     docs = documents(spark, rows)
     held = [r[0] for r in docs.select(crc_mod("doc_id", 7) == 2).collect()]
-    got = hmm_lm.text_scores(docs, crc_mod("doc_id", 7) == 2).collect()
+    got = hmm_lm.text_scores(docs, crc_mod("doc_id", 7) == 2, blocks=2).collect()
     want = _brute_base(rows, held)
     assert sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4))
                    for r in got), key=str) == sorted(
@@ -173,9 +173,10 @@ def test_language_model(spark, monkeypatch):
 
 
 def test_language_model_without_training(spark):
-    got = hmm_lm.text_scores(documents(spark, odd_rows()), crc_mod("doc_id", 1) == 0).collect()
+    got = hmm_lm.text_scores(documents(spark, odd_rows()), crc_mod("doc_id", 1) == 0,
+                             blocks=2).collect()
     assert {(r.base_score, r.score, r.train_tokens) for r in got} == {(0.0, 0.0, 0)}
-    assert hmm_lm.text_scores(documents(spark, []), crc_mod("doc_id", 7) == 2).count() == 0
+    assert hmm_lm.text_scores(documents(spark, []), crc_mod("doc_id", 7) == 2, blocks=2).count() == 0
 
 
 def test_segments_carry_the_state_on(monkeypatch):

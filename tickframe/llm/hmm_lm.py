@@ -341,7 +341,8 @@ def _by_tokens(batch: pa.RecordBatch, most: int = 400_000) -> Iterator[pa.Record
 
 
 def text_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
-                text_col: str = "text", states: int = STATES, passes: int = PASSES) -> DataFrame:
+                text_col: str = "text", states: int = STATES, passes: int = PASSES,
+                blocks: int = BLOCKS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     ``held_out`` is a condition on ``doc_id``; the model learns from the other rows.
@@ -358,7 +359,8 @@ def text_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
         "row long, doc_id long, symbols binary, n_tokens long, known long, head_log double, "
         "class_log double, rare array<binary>, rare_n array<long>"), "symbols")
     model = spark.sparkContext.broadcast(
-        train(rows.where(~held_out).select("row", "n_tokens", "symbols"), lex, states, passes))
+        train(rows.where(~held_out).select("row", "n_tokens", "symbols"), lex, states, passes,
+              blocks=blocks))
 
     # counts of the words beyond the table, summed up for each text
     rare = rows.select("row", F.arrays_zip("rare", "rare_n").alias("z")).select(
