@@ -41,7 +41,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 0
-KEPT_PIECES = 400_000
+KEPT_BYTES = 64 << 20       # pieces and ids that a task keeps, with PIECE_BYTES for each
+PIECE_BYTES = 200
+MET_ONCE = 400_000          # pieces of late batches that are remembered by name only
+BATCH_BYTES = 4 << 20       # text that is encoded at a time
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1000
@@ -74,6 +77,7 @@ class PieceEncoder:
         self.marks = {m: self._ids(m) for m in (".", ",")}
         self.model.model._resize_cache(0)
         self.kept: dict[str, bytes] = {}
+        self.kept_bytes = 0
         self.once: set[str] = set()
 
     def _ids(self, text: str) -> bytes:
@@ -132,12 +136,14 @@ class PieceEncoder:
     def _forget(self, new: dict[str, bytes]) -> None:
         """Keep what came up in two batches, while there is room; drop the rest."""
         again = self.once & new.keys()
-        if len(self.kept) - len(new) + len(again) > KEPT_PIECES:
-            again = set()
+        more = sum(len(piece) + len(new[piece]) + PIECE_BYTES for piece in again)
+        if self.kept_bytes + more > KEPT_BYTES:
+            again, more = set(), 0
+        self.kept_bytes += more
         once = new.keys() - again
         for piece in once:
             del self.kept[piece]
-        self.once = once if len(self.once) > KEPT_PIECES else self.once | once
+        self.once = set(once) if len(self.once) > MET_ONCE else self.once | once
 
 
 @lru_cache(maxsize=2)
@@ -153,7 +159,7 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
-             most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+             most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     part, at, end = TaskContext.get().partitionId(), 0, np.int32(end_id).tobytes()
     model = _encoder(vocabulary)
 
