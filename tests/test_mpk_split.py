@@ -89,7 +89,7 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("split", [97, 1500])
+@pytest.mark.parametrize("split", [400, 3000])
 def test_ranges_equal_whole_files(spark, tmp_path, split):
     for i, data in enumerate(CASES.values()):
         write(str(tmp_path / f"r{i}" / "things.mpk"), data)
