@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -72,6 +73,30 @@ def test_counts_equal_brute_force(spark, shards, slot_bits):
     assert {r["lang"]: r["n"] for r in totals.collect()} == {k: v for k, v in n.items() if v}
 
 
+def late(seed, shard):
+    """A word that is frequent in shard 2 only, after words that are so everywhere."""
+    found, i = [], 0
+    for draw in [f"a{seed} b{seed}"] * 150 + [f"c{seed} a{seed} b{seed} z{seed} y{seed}"] * (
+            60 if shard == 2 else 3):
+        while True:
+            i += 1
+            text = f"q{i}.{draw}"
+            if zlib.crc32(text.encode().replace(b".", b" . ")) % 3 == shard:
+                found.append(("en", text))
+                break
+    return found
+
+
+def test_slots_that_others_filled_earlier(spark):
+    """Phrases of a late word, in slots that reached the threshold before it did."""
+    for seed in (1, 7):
+        rows = [r for shard in range(3) for r in late(seed, shard)]
+        found, _ = phrases.frequent_phrases(documents(spark, rows), threshold=30, shards=3,
+                                            slot_bits=4)
+        assert {(r["lang"], *r["phrase"].split(" ")): r["f"]
+                for r in found.collect()} == counts(rows, 30)[0]
+
+
 @pytest.mark.parametrize("top", [5, 2000])
 def test_collocations_equal_brute_force(spark, top):
     rows = corpus(2) + odd()

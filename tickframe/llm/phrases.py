@@ -180,7 +180,9 @@ def count_active(lang: str, blob: bytes, reached: np.ndarray, step: int, shards:
             continue
         known = np.full(len(start), UNSET, dtype=np.int16)
         some = np.flatnonzero(start <= step)
-        known[some] = reached[_slots(running[some], n, many)]
+        # a slot that others filled earlier says nothing of the subphrases, which ``start`` does
+        known[some] = np.maximum(reached[_slots(running[some], n, many)],
+                                 start[some] - np.int16(1))
 
 
 def _shared(spark: SparkSession, table: np.ndarray) -> Broadcast:
