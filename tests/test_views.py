@@ -50,3 +50,22 @@ def test_build_order_transitions_and_flows(spark):
     rh = {r.time_bin_start_frame: (r.metal_produced, r.units_produced)
           for r in V.economic_rhythm(b, team=0).collect()}
     assert rh == {0: (30.0, 1), 300: (0.0, 2), 600: (1.0, 1)}
+
+
+def _joins(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grids_join_without_broadcasts(spark):
+    """Sides that grow with the corpus stay off the driver, however small their files are."""
+    b = _binned(spark)
+    for view in (V.net_metal_heatmap(b), V.net_metal_by_time_team(b), V.metal_by_time_def(b),
+                 V.small_multiples(b), V.lag_correlation(b, team_a=0, team_b=1)):
+        assert "SortMergeJoin" in _joins(view) and "Broadcast" not in _joins(view)
+
+
+def test_heatmap_cells(spark):
+    got = {(r.team_id, r.time_index, r.unit_index): (r.net_metal, r.min_value, r.max_value)
+           for r in V.net_metal_heatmap(_binned(spark)).collect()}
+    assert got == {(0, 0, 0): (20.0, -4.0, 20.0), (0, 1, 1): (-4.0, -4.0, 20.0),
+                   (0, 2, 0): (1.0, -4.0, 20.0), (1, 1, 0): (5.0, 0.0, 5.0)}
