@@ -170,3 +170,25 @@ def test_writer_keeps_all_batches(spark, tmp_path):
     assert sorted(r[0] for r in got.selectExpr("vals[0]").collect()) == sorted(
         f"i:{i}" for i in range(25_000))
     assert got.where("size(vals) = 2 AND vals[1] = 's:x'").count() == 12_500
+
+
+def test_a_file_a_replay_however_many_tasks_write(spark, tmp_path):
+    df = spark.range(4000).selectExpr("id % 40 AS replay_id", "id AS a", "id * 2 AS b")
+    M.write(df.repartition(6), ["a", "b"], "things", str(tmp_path))
+    files = scan.discover(spark, [str(tmp_path)], with_content=False).collect()
+    assert len(files) == 40 == len({r["replay_id"] for r in files})
+    rows = raw_rows(scan.read_raw(spark, [str(tmp_path)], ["things"]))
+    assert len(rows) == 4000
+
+
+def test_tasks_list_what_spark_lists(spark, tmp_path):
+    for at in ("a/things.mpk", "b/c/things.mpk", "b/c/d/e/things.mpk", "b/c/notes.txt",
+               ".hidden/things.mpk", "_kept/things.mpk", "b/_things.mpk", "b/.things.mpk",
+               "top.mpk", "x=1/_y=2/things.mpk", "sp ace/t%20h.mpk"):
+        write(str(tmp_path / at), b"".join(map(pack, records(len(at), 20))))
+    columns = ["path", "length", "modified", "replay_id", "aspect"]
+    by_task = scan.discover(spark, [str(tmp_path)], with_content=False).select(*columns).collect()
+    by_spark = scan.discover(spark, [str(tmp_path)]).select(*columns).collect()
+    assert sorted(by_task) == sorted(by_spark) and len(by_task) == 6
+    files = scan.discover(spark, [str(tmp_path)], with_content=False)
+    assert not [f for f in files.inputFiles() if f.endswith(".mpk")]

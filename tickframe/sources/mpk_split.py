@@ -20,6 +20,7 @@ read ends its file: the rows before it are returned, and one error row.
 
 from __future__ import annotations
 
+import itertools
 import os
 import uuid
 from collections.abc import Iterator
@@ -37,6 +38,8 @@ MIN_SPLIT = 64 << 10
 CONFIRM = 8             # records that a guess must be followed by
 MAX_VALUES = 1 << 16    # a record with more values at one level is no telemetry row
 BUFFER = 1 << 20
+TASK_FILES = 2000       # short files that a task reads, and their bytes
+TASK_BYTES = 16 << 20
 INDEX = ("path string, replay_id string, aspect string, length long, modified timestamp, k long, "
          "first long, stop long, rows long, error string")
 
@@ -288,9 +291,10 @@ def indexed(files: DataFrame, split: int, store: str) -> DataFrame:
             raise
         known = spark.createDataFrame([], INDEX)
     same = ["path", "length", "modified"]
-    new = files.join(known.select(*same).distinct(), same, "left_anti")
+    new = files.join(known.select(*same).distinct().hint("merge"), same, "left_anti")
     index(new, split).write.mode("append").parquet(store)
-    return spark.read.schema(INDEX).parquet(store).join(files.select(*same), same, "left_semi")
+    return spark.read.schema(INDEX).parquet(store).join(
+        files.select(*same).hint("merge"), same, "left_semi")
 
 
 def numbered(ranges: DataFrame) -> DataFrame:
@@ -313,7 +317,11 @@ def decode(ranges: DataFrame, batches_of, schema) -> DataFrame:
     long_ranges = ranges.where("rows IS NOT NULL")
     tasks = long_ranges.count()
     columns = ["path", "replay_id", "aspect", "first", "stop", "first_row", "error"]
-    parts = [ranges.where("rows IS NULL").withColumn("first_row", F.lit(0).cast("long"))]
+    whole = ranges.where("rows IS NULL")
+    files, total = whole.agg(F.count("path"), F.coalesce(F.sum("stop"), F.lit(0))).first()
+    cores = ranges.sparkSession.sparkContext.defaultParallelism
+    parts = [_spread(whole, max(min(files, cores), files // TASK_FILES, total // TASK_BYTES))
+             .withColumn("first_row", F.lit(0).cast("long"))]
     if tasks:
         parts.append(_spread(numbered(long_ranges), tasks))
     out = None
@@ -328,31 +336,41 @@ def write(rows: DataFrame, fields: list[str], aspect: str, root: str,
           length: str | None = None) -> None:
     """Rows as MessagePack files ``<root>/part-<n>/<replay_id>/<aspect>.mpk``.
 
-    Each task writes the rows that it has, so nothing is shuffled; a task that
-    runs again overwrites its own files.  The column ``length`` says how many of
-    the fields a record has, all by default.
+    Rows are shuffled by replay, so there are as many files as replays, however
+    many tasks read the rows, and a task has one file open; a task that runs again
+    overwrites its own files.  The column ``length`` says how many of the fields a
+    record has, all by default.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, files = TaskContext.get().partitionId(), {}
-        attempt = uuid.uuid4().hex
+        part = TaskContext.get().partitionId()
+        attempt, file = uuid.uuid4().hex, None
         for batch in batches:
-            buffers: dict[str, list[bytes]] = {}
-            for replay, n, *values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                buffers.setdefault(replay, []).append(pack(values[:n]))
-            for replay, parts in buffers.items():
-                if replay not in files:
-                    files[replay] = _Part(root, part, replay, aspect, attempt)
-                files[replay].append(parts)
-        for file in files.values():
-            yield pa.record_batch([pa.array([file.commit()]), pa.array([file.rows])],
-                                  ["path", "rows"])
+            done: list[_Part] = []
+            records = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            for replay, group in itertools.groupby(records, key=lambda r: r[0]):
+                if file is None or file.replay != replay:
+                    if file is not None:
+                        done.append(file)
+                        file.commit()
+                    file = _Part(root, part, replay, aspect, attempt)
+                file.append([pack(values[:n]) for _, n, *values in group])
+            yield _written(done)
+        if file is not None:
+            file.commit()
+            yield _written([file])
 
     size = F.col(length).cast("int") if length else F.lit(len(fields))
-    rows.select(F.col("replay_id").cast("string"), size, *fields).mapInArrow(
+    rows.select(F.col("replay_id").cast("string").alias("__replay"), size.alias("__size"),
+                *fields).repartition("__replay").sortWithinPartitions("__replay").mapInArrow(
         run, "path string, rows long").write.format("noop").mode("overwrite").save()
 
 
+def _written(files: list[_Part]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([f.path for f in files], pa.string()),
+                            pa.array([f.rows for f in files], pa.int64())], ["path", "rows"])
+
+
 class _Part:
     """A file that appears under its name when it is whole."""
 
@@ -362,7 +380,7 @@ class _Part:
         self.fs, base = ((LocalFileSystem(), parsed.path) if parsed.scheme in ("", "file")
                          else FileSystem.from_uri(root))
         self.folder = f"{base}/part-{part:05d}/{replay}"
-        self.path, self.rows = f"{self.folder}/{aspect}.mpk", 0
+        self.path, self.rows, self.replay = f"{self.folder}/{aspect}.mpk", 0, replay
         self.temporary = f"{self.folder}/.{aspect}-{attempt}"
         self.fs.create_dir(self.folder)
         self.stream = self.fs.open_output_stream(self.temporary)
@@ -371,7 +389,6 @@ class _Part:
         self.stream.write(b"".join(parts))
         self.rows += len(parts)
 
-    def commit(self) -> str:
+    def commit(self) -> None:
         self.stream.close()
         self.fs.move(self.temporary, self.path)
-        return self.path

@@ -113,7 +113,7 @@ class Layer:
                 "|", "path", F.col("length").cast("string"),
                 F.unix_micros("modified").cast("string")))), "\n"), 256).alias("signature"),
             F.count(F.lit(1)).cast("int").alias("files"))
-        return files.join(pair, ["replay_id", "aspect"])
+        return files.join(pair.hint("merge"), ["replay_id", "aspect"])
 
     def update(self, roots: Sequence[str], aspects: Iterable[str] | None = None,
                on_bad_enum: str = "reject", split: int | None = None) -> str | None:
@@ -121,7 +121,7 @@ class Layer:
         names = list(ASPECTS) if aspects is None else list(aspects)
         entries = self.latest().select("replay_id", "aspect", "signature")
         new = stored(self._current(roots, names).join(
-            entries, ["replay_id", "aspect", "signature"], "left_anti"), "new-files")
+            entries.hint("merge"), ["replay_id", "aspect", "signature"], "left_anti"), "new-files")
         found = [r[0] for r in new.select("aspect").distinct().collect()]
         if not found:
             return None
@@ -145,12 +145,12 @@ class Layer:
         """({aspect: clean}, quarantine) of the pairs that the inputs hold now."""
         names = list(ASPECTS) if aspects is None else list(aspects)
         current = self._current(roots, names).select("replay_id", "aspect", "signature").distinct()
-        live = stored(self.latest().join(current, ["replay_id", "aspect", "signature"],
-                                         "left_semi"), "live-pairs")
+        live = stored(self.latest().join(current.hint("merge"), [
+            "replay_id", "aspect", "signature"], "left_semi"), "live-pairs")
         # one row a batch and aspect: how many of its pairs are live, of how many
         used = {(r["aspect"], r["batch"]): r["live"] == r["pairs"] for r in self.manifest().join(
-            live.select("replay_id", "aspect", "batch", F.lit(1).alias("one")),
-            ["replay_id", "aspect", "batch"], "left").groupBy("aspect", "batch").agg(
+            live.select("replay_id", "aspect", "batch", F.lit(1).alias("one"))
+            .hint("merge"), ["replay_id", "aspect", "batch"], "left").groupBy("aspect", "batch").agg(
             F.count("one").alias("live"), F.count(F.lit(1)).alias("pairs"))
             .where("live > 0").collect()}
         tables, quarantine = {}, None
@@ -162,7 +162,7 @@ class Layer:
                 parts = scan.read_split(self.spark, [self._path(aspect, batch)], aspect)
                 if not whole:       # some pairs were decoded again since, or their files went
                     keep = live.where((F.col("aspect") == aspect) & (F.col("batch") == batch))
-                    parts = [p.join(keep.select("replay_id"), "replay_id", "left_semi")
+                    parts = [p.join(keep.select("replay_id").hint("merge"), "replay_id", "left_semi")
                              .select(*p.columns) for p in parts]
                 clean, bad = clean.unionByName(parts[0]), bad.unionByName(parts[1])
             tables[aspect] = clean

@@ -3,8 +3,9 @@
 Layout: ``<root>/<replay_id>/<aspect>.mpk`` (MessagePack stream of positional
 lists), or JSON-lines / Parquet files holding one positional array per row.
 
-1. *discover* (SRC-1/SRC-7): ``binaryFile`` listing per root; when the same
-   (replay, aspect) exists under several roots the later root wins.  The
+1. *discover* (SRC-1/SRC-7): tasks list the folders of each root (``binaryFile``
+   where only Spark reads the store); when the same (replay, aspect) exists under
+   several roots the later root wins.  The
    override is an anti-join on file metadata only, so file contents are never
    shuffled.
 2. *decode* (SRC-2): ``mapInArrow`` in the executors turns byte ranges of the
@@ -21,9 +22,11 @@ lists), or JSON-lines / Parquet files holding one positional array per row.
 
 from __future__ import annotations
 
+import fnmatch
 import json
 import logging
-from collections.abc import Iterable, Sequence
+import re
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +35,7 @@ from pyspark.sql import types as T
 
 from ..enums import ENUMS
 from ..schemas import ASPECTS, Field
+from ..scratch import stored
 from . import mpk_split
 from .msgpack_lite import iter_records
 
@@ -51,7 +55,79 @@ BATCH_ROWS = 8192
 
 
 # --------------------------------------------------------------------------- discover
+#: Stores whose folders and files executors open at any place.
+RANGED = ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
+_LISTED = pa.schema([("path", pa.string()), ("folder", pa.bool_()), ("length", pa.int64()),
+                     ("millis", pa.int64())])
+
+
+def _children(path: str, glob: str, deep: bool) -> Iterator[tuple]:
+    """(path, folder, length, millis) of what a folder holds, without hidden names."""
+    from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
+    if path.startswith("file:"):
+        fs, name = LocalFileSystem(), re.sub("^file:(//)?", "", path)
+    else:
+        fs, name = FileSystem.from_uri(path)
+    for info in fs.get_file_info(FileSelector(name)):
+        base = info.base_name
+        if base.startswith(".") or base.startswith("_") and "=" not in base:
+            continue
+        child = f"{path.rstrip('/')}/{base}"
+        if info.type == FileType.Directory:
+            if deep:
+                yield from _children(child, glob, True)
+            else:
+                yield child, True, None, None
+        elif info.type == FileType.File and fnmatch.fnmatchcase(base, glob):
+            yield child, False, info.size, info.mtime_ns // 1_000_000
+
+
+def _expanded(found: DataFrame, glob: str, deep: bool) -> DataFrame:
+    """The rows with folders replaced by what they hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for new in _children(row[0], glob, deep) if row[1] else [row]:
+                    rows.append(new)
+                    if len(rows) >= BATCH_ROWS:
+                        yield _listed(rows)
+                        rows = []
+            yield _listed(rows)
+
+    return found.mapInArrow(run, "path string, folder boolean, length long, millis long")
+
+
+def _listed(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(_LISTED)
+    return pa.record_batch([pa.array(list(c), f.type) for c, f in
+                            zip(columns, _LISTED, strict=True)], schema=_LISTED)
+
+
+def _list_in_tasks(spark: SparkSession, root: str, glob: str) -> DataFrame | None:
+    """The files below a folder, listed by tasks: no list of all files is on the driver.
+
+    ``None`` where only Spark's own listing will do.
+    """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if (re.search(r"[*?{}\[\]\\]", root) or fs.getUri().getScheme() not in RANGED
+            or not fs.exists(where) or not fs.getFileStatus(where).isDirectory()):
+        return None
+    found = spark.createDataFrame([(fs.makeQualified(where).toString(), True, None, None)],
+                                  "path string, folder boolean, length long, millis long")
+    tasks = spark.sparkContext.defaultParallelism
+    for deep in (False, False, True):       # folders of two levels are dealt to tasks
+        found = _expanded(found, glob, deep).repartition(tasks, "path")
+    return stored(found.select("path", "length", F.timestamp_millis("millis").alias("modified")),
+                  "listed")
+
+
 def _list(spark: SparkSession, root: str, glob: str, with_content: bool) -> DataFrame | None:
+    listed = None if with_content else _list_in_tasks(spark, root, glob)
+    if listed is not None:
+        return listed.select("*", F.regexp_extract("path", _PATH_REPLAY, 1).alias("replay_id"),
+                             F.regexp_extract("path", _PATH_ASPECT, 1).alias("aspect"))
     try:
         df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true").load(root))
@@ -94,7 +170,7 @@ def discover(spark: SparkSession, roots: Sequence[str], glob: str = "*.mpk",
             shadow = later[0]
             for d in later[1:]:
                 shadow = shadow.unionByName(d)
-            df = df.join(shadow.distinct(), ["replay_id", "aspect"], "left_anti")
+            df = df.join(shadow.distinct().hint("merge"), ["replay_id", "aspect"], "left_anti")
         out = df if out is None else out.unionByName(df)
     return out
 
@@ -170,10 +246,6 @@ def decode_files(files: DataFrame) -> DataFrame:
     return files.select("replay_id", "aspect", "content").mapInArrow(_decode_batches, RAW_SCHEMA)
 
 
-#: Stores whose files executors open at any place.
-RANGED = ("", "file", "hdfs", "s3", "gs", "gcs", "abfs", "abfss")
-
-
 def decode_split(files: DataFrame, split: int | None = None, store: str | None = None) -> DataFrame:
     """files(path, length, modified, replay_id, aspect) -> raw rows, read by byte ranges.
 
