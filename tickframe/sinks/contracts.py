@@ -110,7 +110,8 @@ CONTRACTS: dict[str, Contract] = {
         "total_energy_consumed_in_bin": cast("Float32", 0),
     }, layout="columnar"),
     "unit_positions": Contract({
-        "frame": cast("UInt32"), "unit_id": cast("UInt16"), "unit_def_id": cast("UInt16"),
+        # unit ids pass 65535 where replays share one numbering
+        "frame": cast("UInt32"), "unit_id": cast("Int32"), "unit_def_id": cast("UInt16"),
         "team_id": cast("UInt16"), "x": cast("Int16"), "y": cast("Int16"), "z": cast("Int16"),
         "vx": cast("Int16"), "vy": cast("Int16"), "vz": cast("Int16"),
     }, layout="row-major-mixed"),
