@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 import zstandard
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import make
@@ -283,3 +284,39 @@ def test_bundle_header_quotes_names(spark):
     df = make(spark, [(odd, 1, "a")], "replay_id string, frame long, name string")
     _, header = B.hybrid_bundle({"things": df})
     assert json.loads(header.first()["schema_json"])["replay_id"] == odd
+
+
+def test_unit_ids_past_sixteen_bits(spark):
+    df = spark.range(65_530, 65_545).selectExpr("1L AS replay_id", "id AS frame", "id AS unit_id",
+                                                *(f"0L AS {c}" for c in (
+                                                    "unit_def_id", "team_id", "x", "y", "z")),
+                                                *(f"0.0D AS {c}" for c in ("vx", "vy", "vz")))
+    out = W.prepare(df, "unit_positions")
+    assert out.schema["unit_id"].dataType.simpleString() == "int"
+    assert sorted(r.unit_id for r in out.collect()) == list(range(65_530, 65_545))
+
+
+def test_files_follow_rows_that_compress_well(spark, tmp_path, monkeypatch):
+    """A file of few bytes may hold more rows than a task can sort."""
+    monkeypatch.setattr(W, "FILE_ROWS", 1000)
+    df = spark.range(10_000).selectExpr("id % 50 AS replay_id", "1L AS frame")
+    W.write_parquet({"s": df}, str(tmp_path), orders={"s": ["frame"]})
+    files = spark.read.parquet(f"{tmp_path}/s").selectExpr("_metadata.file_name AS f").groupBy(
+        "f").count().collect()
+    assert len(files) > 5 and max(r["count"] for r in files) < 3000
+    index = spark.read.parquet(f"{tmp_path}/s/{W.INDEX}")
+    assert {(r.replay_id, r.n) for r in index.groupBy("replay_id").agg(
+        F.sum("rows").alias("n")).collect()} == {(i, 200) for i in range(50)}
+
+
+def test_chunks_of_many_replays_come_in_few_batches(spark):
+    df = spark.range(5000).selectExpr("id AS replay_id", "id AS frame", "2L AS team_id",
+                                      "id * 0.5 AS army_value")
+    prepared = W.prepare(df, "army_value_timeline")
+    chunks = W.pack_row_major(prepared, "army_value_timeline", ["frame"], partitions=3)
+    keys = chunks.select("part", "seq").distinct().count()
+    assert chunks.count() == keys == 5000
+    rows = W.read_row_major(chunks, "army_value_timeline", W.row_major_dtype(prepared),
+                            prepared.schema)
+    assert sorted((int(r.replay_id), r.row, r.frame, r.team_id) for r in rows.collect()) == [
+        (i, 0, i, 2) for i in range(5000)]

@@ -17,12 +17,14 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import logging
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +55,10 @@ CHUNK_SCHEMA = T.StructType([
 RANGE_BYTES = 64 << 20
 #: Bytes of stored input to one output file.
 FILE_BYTES = 128 << 20
+#: Rows of one output file or range; files that compress well hold many more than their bytes say.
+FILE_ROWS = 1 << 20
+#: Decoded rows that leave a task at once, at least a chunk's.
+UNPACK_ROWS = 1 << 16
 INDEX = "_replays"
 
 
@@ -83,13 +89,13 @@ def _ranged(df: DataFrame, files: int, order: Sequence[Column | str]) -> DataFra
 
 def _write_files(df: DataFrame, total: int, path: str, order: Sequence[Column | str], mode: str,
                  form: str, file_bytes: int, **options: str) -> None:
-    files = max(1, -(-total // file_bytes))
+    files = max(1, -(-total // file_bytes), -(-df.count() // FILE_ROWS))
     _ranged(df, files, order).write.mode(mode).format(form).options(**options).save(path)
     if "replay_id" in df.columns:
         rows = _read(df.sparkSession, path, form, df.schema)
         (rows.groupBy("replay_id", F.col("_metadata.file_name").alias("file"))
          .agg(F.count(F.lit(1)).alias("rows"))
-         .repartition(1).sortWithinPartitions("replay_id")
+         .repartitionByRange(max(1, files // 16), "replay_id").sortWithinPartitions("replay_id")
          .write.mode("overwrite").parquet(f"{path}/{INDEX}"))
 
 
@@ -170,19 +176,23 @@ def _ordered(df: DataFrame, order: Sequence[str], partitions: int | None) -> Dat
     return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)
 
 
-def _zstd(data: bytes) -> bytes:
+@functools.cache
+def _compressor():
     import zstandard
-    return zstandard.ZstdCompressor().compress(data)
+    return zstandard.ZstdCompressor()
+
+
+def _zstd(data: bytes) -> bytes:
+    return _compressor().compress(data)
 
 
 def _segments(batch: pa.RecordBatch):
-    """Split a batch sorted by replay_id into (replay_id, sub-batch) runs."""
-    rid = batch.column(batch.schema.get_field_index("replay_id")).to_pylist()
+    """(replay_id, first row, rows) of the runs of a batch sorted by replay_id."""
+    runs = pc.run_end_encode(batch.column(batch.schema.get_field_index("replay_id")))
     start = 0
-    for i in range(1, len(rid) + 1):
-        if i == len(rid) or rid[i] != rid[start]:
-            yield rid[start], batch.slice(start, i - start)
-            start = i
+    for rid, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+        yield rid, start, end - start
+        start = end
 
 
 def pack_row_major(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "row_ord"),
@@ -197,17 +207,25 @@ def pack_row_major(df: DataFrame, stream: str, order: Sequence[str] = ("frame",
         part = TaskContext.get().partitionId()
         seq = 0
         for batch in batches:
-            for rid, seg in _segments(batch):
-                rec = np.empty(seg.num_rows, dtype=dtype)
-                for n in names:
-                    col = seg.column(seg.schema.get_field_index(n))
-                    rec[n] = col.to_numpy(zero_copy_only=False).astype(dtype[n], copy=False)
-                yield pa.RecordBatch.from_pydict({
-                    "replay_id": [rid], "stream": [stream], "data_key": [f"{stream}.rows"],
-                    "part": [part], "seq": [seq], "num_rows": [seg.num_rows],
-                    "raw_bytes": [rec.nbytes], "items": [None], "base": [None],
-                    "blob": [_zstd(rec.tobytes())]}, schema=_CHUNK_ARROW)
-                seq += 1
+            runs = list(_segments(batch))
+            rec = np.empty(batch.num_rows, dtype=dtype)
+            for n in names:
+                col = batch.column(batch.schema.get_field_index(n))
+                # values beside a null would pass through floats
+                for at, many in [(at, many) for _, at, many in runs] if col.null_count else [
+                        (0, len(col))]:
+                    rec[n][at:at + many] = col.slice(at, many).to_numpy(
+                        zero_copy_only=False).astype(dtype[n], copy=False)
+            many = len(runs)
+            yield pa.RecordBatch.from_pydict({
+                "replay_id": [rid for rid, _, _ in runs], "stream": [stream] * many,
+                "data_key": [f"{stream}.rows"] * many, "part": [part] * many,
+                "seq": range(seq, seq + many), "num_rows": [n for _, _, n in runs],
+                "raw_bytes": [n * dtype.itemsize for _, _, n in runs],
+                "items": [None] * many, "base": [None] * many,
+                "blob": [_zstd(rec[at:at + n].tobytes()) for _, at, n in runs]},
+                schema=_CHUNK_ARROW)
+            seq += many
 
     return src.select("replay_id", *names).mapInArrow(pack, CHUNK_SCHEMA)
 
@@ -276,8 +294,9 @@ def pack_columnar(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "
         part = TaskContext.get().partitionId()
         seq = 0
         for batch in batches:
-            for rid, seg in _segments(batch):
-                rows = {k: [] for k in _CHUNK_ARROW.names}
+            rows = {k: [] for k in _CHUNK_ARROW.names}
+            for rid, at, many in _segments(batch):
+                seg = batch.slice(at, many)
                 for n in names:
                     col = seg.column(seg.schema.get_field_index(n))
                     offsets = offset_keys(col.type, f"{stream}.{n}")
@@ -293,8 +312,8 @@ def pack_columnar(df: DataFrame, stream: str, order: Sequence[str] = ("frame", "
                                              if key in offsets else None)
                         rows["base"].append(0 if key in offsets else None)
                         rows["blob"].append(_zstd(buf))
-                yield pa.RecordBatch.from_pydict(rows, schema=_CHUNK_ARROW)
                 seq += 1
+            yield pa.RecordBatch.from_pydict(rows, schema=_CHUNK_ARROW)
 
     return src.select("replay_id", *names).mapInArrow(pack, CHUNK_SCHEMA)
 
@@ -465,15 +484,21 @@ def read_row_major(chunks: DataFrame, stream: str, dtype: np.dtype,
         import zstandard
         d = zstandard.ZstdDecompressor()
         for b in batches:
-            cols = b.to_pydict()
-            for rid, part, seq, blob in zip(cols["replay_id"], cols["part"], cols["seq"],
-                                            cols["blob"]):
-                rec = np.frombuffer(d.decompressobj().decompress(blob), dtype=dtype)
-                out = {"replay_id": [rid] * len(rec), "part": [part] * len(rec),
-                       "seq": [seq] * len(rec), "row": np.arange(len(rec), dtype=np.int64)}
-                for n in names:
-                    out[n] = rec[n].astype(wide[n])
-                yield pa.RecordBatch.from_pydict(out, schema=arrow_schema)
+            first, waiting, rows = 0, [], 0
+            for i, blob in enumerate(b.column(3)):
+                waiting.append(np.frombuffer(d.decompressobj().decompress(blob.as_py()),
+                                             dtype=dtype))
+                rows += len(waiting[-1])
+                if rows >= UNPACK_ROWS or i + 1 == b.num_rows:
+                    sizes = [len(w) for w in waiting]
+                    chunk = pa.array(np.repeat(np.arange(first, i + 1), sizes))
+                    rec = np.concatenate(waiting)
+                    yield pa.RecordBatch.from_arrays(
+                        [*(b.column(c).take(chunk) for c in range(3)),
+                         pa.array(np.concatenate([np.arange(n, dtype=np.int64) for n in sizes])),
+                         *(pa.array(rec[n].astype(wide[n])) for n in names)],
+                        schema=arrow_schema)
+                    first, waiting, rows = i + 1, [], 0
 
     out_schema = T.StructType([
         T.StructField("replay_id", T.StringType()), T.StructField("part", T.IntegerType()),
