@@ -131,3 +131,38 @@ def test_run_over_files_uses_the_layer(spark, files, tmp_path):
     batches = Layer(spark, layer).manifest().select("batch").distinct().count()
     pipeline.run_files(spark, [files], layer, out, stats=[], streams=["commands_log"])
     assert Layer(spark, layer).manifest().select("batch").distinct().count() == batches
+
+
+def test_frames_that_decrease_are_counted_within_and_between_ranges(spark):
+    import random
+
+    from tickframe.operators import ordered
+    from tickframe.plans import checks
+    draw = random.Random(5)
+    data = [(draw.choice([None, 1, 2, 3]), draw.choice([None, -1, 0, 5, 9, 20]),
+             draw.choice([None, *range(40)]), draw.choice([None, 1]), 1) for _ in range(600)]
+    data += [(4, 7, 100, 1, 1), (4, 6, 900, 1, 1), (4, 8, 2000, 1, 1)]      # ranges far apart
+    df = spark.createDataFrame(data, "replay_id long, frame long, row_ord long, "
+                                     "wind_strength long, tidal_strength long")
+
+    def low(v):
+        return (v is not None, v or 0)
+
+    want = {}
+    for replay in {r[0] for r in data}:
+        mine = sorted((r for r in data if r[0] == replay), key=lambda r: (low(r[2]), low(r[1])))
+        frames = [r[1] for r in mine]
+        want[replay] = {
+            "required_null": sum(None in (r[1], r[3]) for r in mine),
+            "frame_negative": sum(f is not None and f < 0 for f in frames),
+            "frame_decreasing": sum(None not in (a, b) and b < a
+                                    for a, b in zip(frames, frames[1:], strict=False))}
+    for width in (1, 7, checks.ORDERED_ROWS):
+        got = {}
+        for r in checks.aspect_checks({"map_envir_econ": df}, "map_envir_econ", width).collect():
+            got.setdefault(r["replay_id"], {})[r["check"]] = r["violations"]
+        assert got == want, width
+    plan = checks.aspect_checks({"map_envir_econ": df}, "map_envir_econ")._jdf.queryExecution()
+    # rows are read once and sorted once: no count of ranges, no pass over their edges
+    plan = plan.optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and "Union" not in plan and ordered.BUCKET in plan
