@@ -243,3 +243,42 @@ def test_quality_sums_equal_a_solve_on_one_machine(spark):
     want = np.linalg.solve(phi.T @ phi + penalty + 1e-9 * np.eye(len(penalty)), phi.T @ y[fit])
     assert np.allclose(model.weights, want, rtol=1e-5, atol=1e-8)
     assert np.allclose(model.raw(a[:50]), model.features(a[:50]) @ want, atol=1e-6)
+
+
+def test_toxicity_search_holds_one_part_of_the_index_at_a_time(spark):
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(120):
+        cols = np.sort(rng.choice(60, 12, replace=False)).astype(np.int32)
+        weights = rng.random(12)
+        vectors.append((cols, weights / np.sqrt((weights * weights).sum())))
+    examples = spark.createDataFrame(
+        [(k, c.tolist(), w.tolist(), k % 2, 1) for k, (c, w) in enumerate(vectors)],
+        "name long, cols array<int>, weights array<double>, ones long, n long")
+    path, parts = toxicity.index_parts(examples, 30)
+    assert parts == 4
+    dense = np.zeros((120, 60))
+    for k, (c, w) in enumerate(vectors):
+        dense[k, c] = w
+    queries = vectors[:40]
+    got = toxicity.neighbours([(c.tobytes(), w.tobytes()) for c, w in queries], path, parts, 5)
+    assert len(toxicity._PART) == 1
+    for (c, w), near in zip(queries, got, strict=True):
+        truth = np.round(dense[:, c] @ w, 9)
+        assert np.allclose([s for s, _, _ in near], np.sort(truth)[::-1][:5], atol=2e-9)
+        assert all(abs(truth[name] - s) < 2e-9 and share == name % 2 for s, share, name in near)
+
+
+def test_toxicity_whole_lists_score_as_blocks_do():
+    rng = np.random.default_rng(6)
+    examples = []
+    for k in range(300):
+        cols = np.sort(rng.choice(80, 20, replace=False)).astype(np.int32)
+        weights = rng.random(20)
+        examples.append((k, cols, weights / np.sqrt((weights * weights).sum()), 0, 1))
+    index = toxicity.BlockMaxIndex.build(examples, 8)
+    for _, cols, weights, _, _ in examples[:30]:
+        entry, of = toxicity._ranges(index.lists, cols.astype(np.int64))
+        assert (index._all_scores(cols, weights, 10)
+                == index._scores(entry, weights[of], np.ones(len(entry), bool), 10)
+                == index.nearest(cols, weights, 10))
