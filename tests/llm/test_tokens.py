@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -43,6 +44,29 @@ def test_marks_after_marks_equal_the_library():
                 text, add_special_tokens=False).ids, repr(text)
 
 
+def test_tables_of_pieces_stay_bounded_and_change_no_ids(monkeypatch):
+    monkeypatch.setattr(ts, "KEPT_BYTES", 6000)
+    monkeypatch.setattr(ts, "RECENT_BYTES", 4000)
+    model, encoder = _model(BYTES), ts.PieceEncoder(BYTES)
+    texts = [" ".join(w + "%" * (k % 3) for w in words(k, 60)) + "\nNext$$$ line.\nAnd \u00e9t\u00e9!!"
+             for k in range(20)] + ["a\n\nb c", "x.\n1y z", "a b\n's", "it's\nll. don't,\nx"]
+    for _ in range(3):
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(ids, np.int32).tolist() == model.encode(
+                text, add_special_tokens=False).ids, repr(text)
+            assert encoder.kept_bytes <= 6000 and encoder.recent_bytes < 4000 + 1000
+
+
+def test_a_batch_is_read_in_slices():
+    texts = ["x" * 40, None, "y" * 70, "", "\u00e9" * 30, None]
+    batch = pa.record_batch([pa.array(range(6), pa.int64()), pa.array(texts, pa.string())],
+                            ["doc_id", "text"]).slice(1)
+    parts = list(ts._slices(batch, 65))
+    assert [i for ids, _ in parts for i in ids] == [1, 2, 3, 4, 5]
+    assert [t for _, part in parts for t in part] == ["", "y" * 70, "", "\u00e9" * 30, ""]
+    assert len(parts) > 1 and list(ts._slices(batch.slice(5), 65)) == []
+
+
 def test_bpe_composes_before_it_lowers(spark):
     texts = ["H\u0331", "a H\u0331 B", "J\u030c T\u0308 W\u030a Y\u030a", "ABC def"]
     got = {r.doc_id: r.ids for r in bpe.encode(documents(spark, list(enumerate(texts))),

@@ -16,10 +16,11 @@ from the metadata columns of the files; nothing is gathered on the driver.
 
 Tokens come from the tokenizers library.  Its pre-tokenizer keeps a space with
 the word after it, so a text whose spaces all stand alone between two other
-characters can be cut there; the pieces are looked up in a bounded table of
-pieces met before, and missing ones are encoded once per batch.  Texts with any
-other white space next to a space, or with a special token, go to the library
-as they are.
+characters can be cut there, and around lines' ends that stand alone; the pieces
+are looked up in bounded tables of pieces met before, and missing ones are
+encoded alone.  Letters with marks after them are two pre-tokens, so
+the letters are encoded once whatever follows them.  Texts with any other white
+space next to a space, or with a special token, go to the library as they are.
 
 Cases: a null or empty text has the end id only; null ids come first; rows
 that share an id stand together, ordered by the hash of their texts; an empty
@@ -29,6 +30,7 @@ table writes no rows; columns other than id and text are not read.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -36,20 +38,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 END_ID = 0
 KEPT_BYTES = 64 << 20       # pieces and ids that a task keeps, with PIECE_BYTES for each
+RECENT_BYTES = 48 << 20     # those of pieces that came up once
 PIECE_BYTES = 200
-MET_ONCE = 400_000          # pieces of late batches that are remembered by name only
 BATCH_BYTES = 4 << 20       # text that is encoded at a time
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 1000
 
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_MARKS = string.punctuation
 
 
 def _cuts_at_spaces(text: str) -> bool:
@@ -58,8 +62,19 @@ def _cuts_at_spaces(text: str) -> bool:
                 or "\n " in text or "\0" in text or _OTHER_SPACE.search(text))
 
 
-class PieceEncoder:
-    """Ids of texts under a byte-level BPE vocabulary, as int32 arrays."""
+def _pieces(text: str) -> list[str]:
+    """The parts of a text that cuts at spaces; line ends that stand alone are parts too."""
+    text = text.replace(" ", "\0 ")
+    if "\n" in text and "\n\n" not in text:
+        text = text.replace("\n", "\0\n\0")
+    return text.split("\0")
+
+
+class PieceEncoder(dict):
+    """Ids of texts under a byte-level BPE vocabulary, as 32-bit integers' bytes.
+
+    As a dict it holds the pieces that came up again; ``recent`` holds others.
+    """
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -69,81 +84,60 @@ class PieceEncoder:
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.byte_level = (isinstance(self.model.pre_tokenizer, pre_tokenizers.ByteLevel)
                            and self.model.normalizer is None
+                           and self.model.pre_tokenizer.use_regex
                            and not self.model.pre_tokenizer.add_prefix_space)
         show = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {c: show.pre_tokenize_str(chr(c))[0][0]
                       for c in [32, *range(65, 91), *range(97, 123), *range(128, 0x250)]}
-        self.space = self.shown[32]
-        self.marks = {m: self._ids(m) for m in (".", ",")}
         self.model.model._resize_cache(0)
-        self.kept: dict[str, bytes] = {}
+        self.tokenize = self.model.model.tokenize
         self.kept_bytes = 0
-        self.once: set[str] = set()
+        self.recent: dict[str, bytes] = {}
+        self.recent_bytes = 0
 
     def _ids(self, text: str) -> bytes:
         return array("i", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _fill(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces not kept; a leading space is part of a piece."""
-        out: dict[str, bytes] = {}
-        rest = []
-        tokenize, kept, marks = self.model.model.tokenize, self.kept, self.marks
-        for piece in pieces:
-            mark = marks.get(piece[-1:])
-            body = piece if mark is None else piece[:-1]
-            letters = body[1:]
-            # a space and letters are one pre-token, so the model sees them directly and a
-            # mark after them is a pre-token of its own; after anything else it may not be
-            if body[:1] != " " or not letters.isalpha() or not (
-                    letters.isascii() or max(letters) < "\u0250"):
-                rest.append(piece)
-                continue
-            ids = kept.get(body) or out.get(body)
-            if ids is None:
-                word = self.space + letters if letters.isascii() else body.translate(self.shown)
-                ids = out[body] = array("i", [t.id for t in tokenize(word)]).tobytes()
-            if mark is not None:
-                out[piece] = ids + mark
-        for i in range(0, len(rest), 4096):
-            part = rest[i:i + 4096]
-            found = self.model.encode_batch_fast(part, add_special_tokens=False)
-            out.update(zip(part, (array("i", e.ids).tobytes() for e in found), strict=True))
-        return out
+    def _found(self, piece: str) -> bytes:
+        """Ids of a piece that is not known; a leading space is part of it."""
+        body = piece.rstrip(_MARKS)
+        letters = body[1:] if body[:1] == " " else body
+        # a space and letters are one pre-token, so the model sees them directly, and marks
+        # up to the piece's end are a pre-token of their own; after anything else they may not be
+        if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0250"):
+            return self._ids(piece)
+        if body != piece:
+            return self[body] + self[piece[len(body):]]
+        return array("i", [t.id for t in self.tokenize(body.translate(self.shown))]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        """Ids of a piece that did not come up twice; from the second time on it is kept."""
+        ids = self.recent.get(piece)
+        if ids is None:
+            ids = self._found(piece)
+            if self.recent_bytes > RECENT_BYTES:
+                self.recent.clear()
+                self.recent_bytes = 0
+            self.recent[piece] = ids
+            self.recent_bytes += len(piece) + len(ids) + PIECE_BYTES
+        else:
+            size = len(piece) + len(ids) + PIECE_BYTES
+            if self.kept_bytes + size <= KEPT_BYTES:
+                self[piece] = ids
+                self.kept_bytes += size
+        return ids
+
+    def _encoded(self, text: str) -> bytes:
+        if not text:
+            return b""
+        if not self.byte_level or not _cuts_at_spaces(text) or any(
+                s in text for s in self.special):
+            return self._ids(text)
+        return b"".join(map(self.__getitem__, _pieces(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """32-bit ids of each text, as bytes in the machine's order."""
-        out: list[bytes | None] = [None] * len(texts)
-        split = []
-        missing: set[str] = set()
-        for i, text in enumerate(texts):
-            if not text:
-                out[i] = b""
-            elif not self.byte_level or not _cuts_at_spaces(text) or any(
-                    s in text for s in self.special):
-                out[i] = self._ids(text)
-            else:
-                pieces = text.replace(" ", "\0 ").split("\0")
-                split.append((i, pieces))
-                missing.update(pieces)
-        missing -= self.kept.keys()
-        new = self._fill(missing)
-        self.kept.update(new)
-        for i, pieces in split:
-            out[i] = b"".join(map(self.kept.__getitem__, pieces))
-        self._forget(new)
-        return out
-
-    def _forget(self, new: dict[str, bytes]) -> None:
-        """Keep what came up in two batches, while there is room; drop the rest."""
-        again = self.once & new.keys()
-        more = sum(len(piece) + len(new[piece]) + PIECE_BYTES for piece in again)
-        if self.kept_bytes + more > KEPT_BYTES:
-            again, more = set(), 0
-        self.kept_bytes += more
-        once = new.keys() - again
-        for piece in once:
-            del self.kept[piece]
-        self.once = set(once) if len(self.once) > MET_ONCE else self.once | once
+        return [self._encoded(text) for text in texts]
 
 
 @lru_cache(maxsize=2)
@@ -158,6 +152,19 @@ def _lists(ids: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
+def _slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of about ``most_bytes`` of text, read from the batch one at a time."""
+    texts = batch.column(1)
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        end = min(len(texts), int(np.searchsorted(ends, before + most_bytes, "right")) + 1)
+        yield (batch.column(0).slice(at, end - at).to_pylist(),
+               [t or "" for t in texts.slice(at, end - at).to_pylist()])
+        at = end
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
              most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     part, at, end = TaskContext.get().partitionId(), 0, np.int32(end_id).tobytes()
@@ -175,16 +182,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
             ["doc_id", "part", "part_start", "n_tokens", "tokens"])
 
     for batch in batches:
-        ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                strict=True):
-            ids.append(doc_id)
-            texts.append(text or "")
-            size += len(texts[-1])
-            if size > most_bytes:
-                yield rows(ids, texts)
-                ids, texts, size = [], [], 0
-        if ids:
+        for ids, texts in _slices(batch, most_bytes):
             yield rows(ids, texts)
 
 
