@@ -125,3 +125,25 @@ def test_large_counts_are_exact():
 def test_empty(spark):
     assert phrases.collocations(documents(spark, [])).collect() == []
     assert phrases.collocations(documents(spark, [("en", None)])).collect() == []
+
+
+def test_scans_are_read_as_one_table_and_slots_travel_as_words(spark, tmp_path):
+    slots = [[0, 63, 64, 1000], [63, 4095], [7]]
+    paths = []
+    for k, found in enumerate(slots):
+        paths.append(str(tmp_path / f"scan-{k}"))
+        spark.createDataFrame([(2, "en", f"a {s}", s, 2) for s in found],
+                              phrases.COUNTED).write.parquet(paths[-1])
+    rows = phrases._together(spark, paths)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    packed = phrases._bits(rows, 4096)
+    assert packed.nbytes == 4096 // 8
+    assert phrases._slots_of(packed).tolist() == sorted(set(sum(slots, [])))
+    asked = packed.copy()
+    asked[0] = 1 << 63
+    assert sorted(r.slot for r in phrases._in_slots(rows, asked).collect()) == [
+        63, 63, 64, 1000, 4095]
+    full = phrases._full_slots(rows, packed, 4, phrases.F.lit(True)).collect()
+    assert [(r.slot, r.n) for r in full] == [(63, 4)]
+    assert phrases._slots_of(phrases._bits(rows.where("false"), 4096)).tolist() == []

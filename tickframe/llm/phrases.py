@@ -187,7 +187,7 @@ def count_active(lang: str, blob: bytes, reached: np.ndarray, step: int, shards:
 
 def _shared(spark: SparkSession, table: np.ndarray) -> Broadcast:
     """A slot table for all tasks; it is mostly empty and travels compressed."""
-    return spark.sparkContext.broadcast(zlib.compress(table.tobytes(), 1))
+    return spark.sparkContext.broadcast(zlib.compress(table, 1))
 
 
 def _table(shared: Broadcast) -> np.ndarray:
@@ -217,46 +217,53 @@ def _scan(shard: DataFrame, shared: Broadcast, step: int, shards: int, length: i
 
 
 def _bits(rows: DataFrame, many: int) -> np.ndarray:
-    """Which of ``many`` slots rows have; at most ``many / 64`` rows come to the driver."""
+    """The slots (of ``many``) that rows have, as bits of 64-bit words.
+
+    At most ``many / 64`` rows come to the driver.
+    """
     words = (rows.groupBy(F.shiftright("slot", 6).alias("word"))
              .agg(F.expr("bit_or(shiftleft(1L, slot & 63))").alias("bits")).toArrow())
-    packed = np.zeros(max(1, many >> 6), dtype=np.int64)
-    packed[np.asarray(words["word"])] = np.asarray(words["bits"])
-    return np.unpackbits(packed.view(np.uint8), count=many, bitorder="little")
+    packed = np.zeros(max(1, many >> 6), dtype=np.uint64)
+    packed[np.asarray(words["word"])] = np.asarray(words["bits"]).view(np.uint64)
+    return packed
+
+
+def _slots_of(packed: np.ndarray) -> np.ndarray:
+    """The slots whose bits are set; words without any are not unpacked."""
+    at = np.flatnonzero(packed)
+    bits = np.unpackbits(packed[at].view(np.uint8), bitorder="little")
+    found = np.flatnonzero(bits)
+    return (at[found >> 6] << 6) + (found & 63)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+def _together(spark: SparkSession, scans: list[str]) -> DataFrame:
+    """The counts of several scans, read as one table: a plan has one scan for all of them."""
+    return spark.read.schema(COUNTED).parquet(*scans)
 
 
 def _in_slots(rows: DataFrame, asked: np.ndarray) -> DataFrame:
     """The rows whose slot is asked for.
 
-    The slots travel as 64-bit words; ``len(asked) / 64`` of them bound what is
-    broadcast, whatever the corpus.
+    The slots travel as 64-bit words; their number bounds what is broadcast, whatever
+    the corpus.
     """
-    packed = np.packbits(asked > 0, bitorder="little")
-    packed = np.pad(packed, (0, -len(packed) % 8)).view(np.int64)
-    at = np.flatnonzero(packed)
+    at = np.flatnonzero(asked)
     words = rows.sparkSession.createDataFrame(pa.table({
-        "word": pa.array(at.astype(np.int32)), "bits": pa.array(packed[at])}))
+        "word": pa.array(at.astype(np.int32)), "bits": pa.array(asked[at].view(np.int64))}))
     return rows.join(F.broadcast(words), F.shiftright("slot", 6) == F.col("word")).where(
         "(shiftrightunsigned(bits, slot & 63) & 1L) = 1L").drop("word", "bits")
 
 
-def _full_slots(scans: list[DataFrame], asked: np.ndarray, threshold: int,
+def _full_slots(scans: DataFrame, asked: np.ndarray, threshold: int,
                 lengths: Column) -> DataFrame:
     """The asked slots whose phrases together reach the threshold."""
-    rows = _in_slots(_union(scans).where(lengths).select("slot", "cnt"), asked)
+    rows = _in_slots(scans.where(lengths).select("slot", "cnt"), asked)
     return rows.groupBy("slot").agg(F.sum("cnt").alias("n")).where(F.col("n") >= threshold)
 
 
-def _frequent(scans: list[DataFrame], asked: np.ndarray, threshold: int) -> DataFrame:
+def _frequent(scans: DataFrame, asked: np.ndarray, threshold: int) -> DataFrame:
     """Phrases that reach the threshold, with their counts, among those in the asked slots."""
-    return (_in_slots(_union(scans), asked).groupBy("len", "lang", "phrase")
+    return (_in_slots(scans, asked).groupBy("len", "lang", "phrase")
             .agg(F.sum("cnt").alias("f")).where(F.col("f") >= threshold))
 
 
@@ -272,8 +279,10 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
     corpus = sharded(docs, lang_col, text_col, shards)
     many = 1 << slot_bits
     reached = np.full(many, UNSET, dtype=np.uint8)
-    heavy = np.zeros(many, dtype=np.uint8)
-    scans: list[DataFrame] = []
+    # sets of slots are words of 64 bits on the driver
+    heavy = np.zeros(max(1, many >> 6), dtype=np.uint64)
+    done = np.zeros_like(heavy)
+    scans: list[str] = []
     step = last = 0
     # a phrase that is active from scan ``last + 1`` on is done with scan ``last + shards``
     while step < shards or step <= last + shards:
@@ -281,18 +290,19 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
         scan = stored(_scan(corpus.where(F.col("shard") == step % shards), shared, step, shards,
                             length), f"scan-{step}")
         shared.destroy()
-        scans.append(scan)
+        scans.append(scan.scratch_path)
         heavy |= _bits(scan.where(F.col("cnt") >= -(-threshold // shards)), many)
         # a phrase has its counts in one cycle; words are done after one, longer ones later
         growing = (F.col("len") < length) & (F.col("len") > step // shards)
-        new = _bits(_full_slots(scans[-shards:], heavy & (reached == UNSET), threshold, growing),
-                    many) > 0
+        new = _bits(_full_slots(_together(spark, scans[-shards:]), heavy & ~done, threshold,
+                                growing), many)
         if new.any():
-            reached[new] = step
+            reached[_slots_of(new)] = step
+            done |= new
             last = step
         step += 1
-    found = stored(_frequent(scans, heavy, threshold), "frequent")
-    total = _union(scans[:shards])
+    found = stored(_frequent(_together(spark, scans), heavy, threshold), "frequent")
+    total = _together(spark, scans[:shards])
     return found, total.where("len = 1").groupBy("lang").agg(F.sum("cnt").alias("n"))
 
 
