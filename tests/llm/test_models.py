@@ -5,6 +5,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, odd_rows, words
@@ -282,3 +283,26 @@ def test_toxicity_whole_lists_score_as_blocks_do():
         assert (index._all_scores(cols, weights, 10)
                 == index._scores(entry, weights[of], np.ones(len(entry), bool), 10)
                 == index.nearest(cols, weights, 10))
+
+
+@pytest.mark.parametrize("share, dense", [(16, 512), (2, 3), (1, 0)])
+def test_many_queries_at_once_find_the_same_neighbours(monkeypatch, share, dense):
+    monkeypatch.setattr(toxicity, "DENSE_SHARE", share)
+    monkeypatch.setattr(toxicity, "DENSE_TERMS", dense)
+    rng = np.random.default_rng(5)
+
+    def vector(terms):
+        cols = np.unique(np.minimum(rng.geometric(0.08, 12), terms) - 1).astype(np.int32)
+        weights = rng.random(len(cols)) + 0.1
+        return cols, weights / np.sqrt((weights * weights).sum())
+
+    examples = [(k, *vector(40), k % 2, 1) for k in range(300)]
+    examples += [(300 + k, *examples[k][1:3], 1, 1) for k in range(30)]     # ties
+    index = toxicity.BlockMaxIndex.build(examples, 8)
+    queries = [vector(60) for _ in range(150)] + [(c, w) for _, c, w, _, _ in examples[:20]]
+    queries += [(np.zeros(0, np.int32), np.zeros(0)), (np.array([55], np.int32), np.ones(1))]
+    for k in (1, 10, 400):
+        assert list(index.nearest_of_many(queries, k)) == [
+            index.nearest(c, w, k) for c, w in queries]
+    empty = toxicity.BlockMaxIndex.build([], 8)
+    assert list(empty.nearest_of_many(queries[:3], 10)) == [[], [], []]
