@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import make
 from tickframe.operators.rollup import Rollup, aggregate_together
-from tickframe.plans import pipeline, registry
+from tickframe.plans import catalog, pipeline, registry
 from tickframe.plans import stats as S
 from tickframe.plans.registry import Registry, Stat, StatError
 from tickframe.sources import adapters
@@ -169,3 +169,34 @@ def test_odd_inputs(spark):
                                                       "player_economic_efficiency"], [])
     assert sorted(map(repr, outputs["resources_by_player"].collect())) == sorted(map(
         repr, S.resources_by_player({"team_stats": nulls}).collect()))
+
+
+def test_failed_outputs_are_told_from_results(spark, tables, tmp_path):
+    broken = Stat(lambda t: 1 / 0, "", inputs=("unit_events",))
+    known = Registry({"broken": broken, "reader": Stat(lambda t: t["stat:broken"], "",
+                                                       inputs=("stat:broken",)),
+                      "input": Stat(units_lost, "", inputs=("no_such_table",)),
+                      "both": broken, "lost": LOST}, {"broken": broken, "both": LOST})
+    outputs, raw = registry.run(tables, ["reader", "input", "lost"], ["broken"], known)
+    assert list(outputs) == ["lost"] and set(outputs.failed) == {"reader", "input"}
+    assert isinstance(raw.failed["broken"], ZeroDivisionError)
+    with pytest.raises(StatError, match="reader.*division by zero.*no_such_table"):
+        outputs.check()
+    good, _ = registry.run(tables, ["lost"], [], known)
+    good.check()
+    # the stream has the name: the stat's failure is not its, and its own is not hidden
+    status = pipeline.run(tables, str(tmp_path / "o"), stats=["reader", "lost", "both"],
+                          streams=["broken", "both"], known=known)
+    assert status == {"lost": "written", "both": "written", "reader": "failed: StatError",
+                      "broken": "failed: ZeroDivisionError"}
+    swapped = Registry({"both": LOST}, {"both": broken})
+    assert pipeline.run(tables, str(tmp_path / "p"), stats=["both"], streams=["both"],
+                        known=swapped) == {"both": "failed: ZeroDivisionError"}
+
+
+def test_whole_run_with_a_failing_stat_fails(spark, monkeypatch):
+    name = "force_composition_timeline"
+    monkeypatch.setitem(registry.STATS, name, Stat(
+        lambda t: 1 / 0, "", True, registry.STATS[name].inputs))
+    with pytest.raises(StatError, match=f"{name}: ZeroDivisionError"):
+        catalog.queries()["run_default_stats"](spark, SF)

@@ -2,9 +2,10 @@
 
 RUN-1/RUN-2: the requested stats and streams share their inputs (see
 ``registry``); a failure while building *or writing* one output is logged and
-that output skipped, so one broken stat never loses the others.  Empty outputs
-are not written.  When a stat and a stream share a name the stream wins (as in
-the reference).  Tables stored for the run are removed at its end.
+that output skipped, so one broken stat never loses the others; its status says
+``failed``.  Empty outputs are not written.  When a stat and a stream share a name
+the stream wins (as in the reference), also if it failed.  Tables stored for the
+run are removed at its end.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ def build_outputs(tables: dict[str, DataFrame], stats: Iterable[str] | None = No
     for name in set(st) & set(sm):
         log.warning("name clash %r: the unaggregated stream wins", name)
     st.update(sm)
+    for name in sm.failed:
+        st.pop(name, None)
+    st.failed = {n: e for n, e in {**st.failed, **sm.failed}.items() if n not in st}
     return st
 
 
@@ -46,7 +50,9 @@ def run(tables: dict[str, DataFrame], out_dir: str, fmt: str = "parquet",
     known = known or registry.Registry()
     outputs = build_outputs(tables, stats, streams, known)
     try:
-        return _write(outputs, out_dir, fmt, known, defs, game_meta)
+        status = _write(outputs, out_dir, fmt, known, defs, game_meta)
+        status.update((n, f"failed: {type(e).__name__}") for n, e in outputs.failed.items())
+        return status
     finally:
         outputs.close()
 
