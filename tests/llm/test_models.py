@@ -5,6 +5,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -306,3 +307,62 @@ def test_many_queries_at_once_find_the_same_neighbours(monkeypatch, share, dense
             index.nearest(c, w, k) for c, w in queries]
     empty = toxicity.BlockMaxIndex.build([], 8)
     assert list(empty.nearest_of_many(queries[:3], 10)) == [[], [], []]
+
+
+def _kinds_of_examples(n):
+    """Vectors of two vocabularies that share five terms, and the index over them."""
+    rng = np.random.default_rng(8)
+    vectors = []
+    for k in range(n):
+        cols = np.unique(np.append(rng.choice(60, 25) + 5 + 60 * (k % 2), rng.choice(5, 2)))
+        weights = rng.random(len(cols)) + 0.1
+        vectors.append((cols.astype(np.int32), weights / np.sqrt((weights * weights).sum())))
+    return vectors, toxicity.BlockMaxIndex.build(
+        [(k, *v, 0, 1) for k, v in enumerate(vectors)], 8)
+
+
+def test_kinds_of_examples_have_dense_rows_of_their_own_terms(monkeypatch):
+    vectors, index = _kinds_of_examples(400)
+    # a matrix over all examples has 125 rows of 400; examples of a kind lack half of the terms
+    assert sum(k.dense.size for k in index._by_kind[0]) < 0.7 * 125 * 400
+    assert sum(k.stop - k.first for k in index._by_kind[0]) == 400
+    got = index.nearest_of_many(vectors, 10)
+    assert got == [index.nearest(c, w, 10) for c, w in vectors]
+    # lists read in slices, and with few dense rows
+    monkeypatch.setattr(toxicity, "LISTED", 50)
+    monkeypatch.setattr(toxicity, "DENSE_TERMS", 3)
+    del index.__dict__["_by_kind"]
+    assert got == index.nearest_of_many(vectors, 10)
+    # with a bound, nothing that reaches it is missed
+    least = np.array([found[4][0] for found in got])
+    for found, few in zip(got, index.nearest_of_many(vectors, 10, least), strict=True):
+        assert few[:5] == found[:5]
+
+
+def test_neighbours_closer_than_single_precision_are_told_apart():
+    # 30 examples that differ by 1e-8 of a similarity, in falling order
+    share = 0.5 - 1e-8 * np.arange(30)
+    examples = [(k, np.array([0, 1 + k], np.int32),
+                 np.array([s, np.sqrt(1 - s * s)]), 0, 1) for k, s in enumerate(share)]
+    index = toxicity.BlockMaxIndex.build(examples, 8)
+    queries = [(np.array([0], np.int32), np.ones(1))] * 40
+    for found in index.nearest_of_many(queries, 10):
+        assert [index.names[i] for _, i in found] == list(range(10))
+        assert [s for s, _ in found] == [round(s, 9) for s in share[:10].tolist()]
+
+
+def test_vectors_count_words_and_their_starts(monkeypatch):
+    found = ["bb", "word", "word*", "wordy", "wordy*", "wordyest"]
+    table = pa.table({"term": found, "weight": [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]})
+    text = "Word wordy WORDYEST wordyest bb unknown wordsmith"
+    for words in (100_000, 1):      # kept columns of words, or not
+        monkeypatch.setattr(toxicity, "_WORDS", words)
+        known = toxicity.Vocabulary(table)
+        for _ in range(2):
+            cols, weights = toxicity._vector(text, known)
+            counts = toxicity.terms(text)
+            want = np.array([(1 + np.log(counts[t])) * (i + 1) for i, t in enumerate(found)])
+            assert cols.tolist() == list(range(6)) and cols.dtype == np.int32
+            assert np.allclose(weights, want / np.sqrt((want * want).sum()), rtol=1e-14)
+    assert counts["word*"] == 4 and counts["wordy*"] == 2 and counts["wordyest"] == 2
+    assert [len(x) for x in toxicity._vector("", known)] == [0, 0]
